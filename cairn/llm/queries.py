@@ -5,6 +5,7 @@ import importlib
 
 #: Query name -> module of this package that holds it.
 MODULES = {
+    "op5_simhash": "simhash",
     "op8_suffix_dedup": "suffix_dedup",
 }
 
