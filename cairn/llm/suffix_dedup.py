@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import BASE_A, BASE_B, cut, mix64, parts, prefix_sums, slices, span_hash, text_bytes, text_or_empty
 
 LENGTH, GRAM, HOT = 400, 100, 20_000
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 _RUN = "khash long, s0 int, s1 int, p int"
 
 
@@ -118,7 +118,7 @@ def _segments_of(length: int, gram: int):
                     for to, x in zip(out, (seg[p - s0 : p - s0 + 16], thash, r["khash"], r["members"], s0, s1, p, seg), strict=True):
                         to.append(x)
                     size += len(seg)
-                if size > 8 * CHUNK:
+                if size > 4 * CHUNK:
                     yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names)
                     out, size = [[] for _ in names], 0
             if out[0]:
@@ -184,7 +184,7 @@ def _resolve(length: int):
         while a < len(cuts) - 1:  # whole classes, a few MB at a time
             begin = size[cuts[a]] - len(segs[order[cuts[a]]])
             b = a + 1
-            while b < len(cuts) - 1 and size[cuts[b + 1] - 1] - begin <= 2 * CHUNK:
+            while b < len(cuts) - 1 and size[cuts[b + 1] - 1] - begin <= CHUNK:
                 b += 1
             rows_here = order[cuts[a] : cuts[b]]
             a = b
@@ -210,7 +210,7 @@ def _resolve(length: int):
             edges = np.flatnonzero(np.concatenate(([True], kh[1:] != kh[:-1], [True])))
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 if kh[a] != last:
-                    if size > 8 * CHUNK:
+                    if size > 4 * CHUNK:
                         yield from flush(rows, pa)
                         rows, size = [], 0
                     done = set()
@@ -238,8 +238,8 @@ def _explode_windows(length: int):
         for batch in batches:
             col = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("khash", "s0", "s1", "p")}
             segs, names = batch.column("seg").to_pylist(), batch.column("thash")
-            for a in range(0, len(segs), 2000):
-                z = slice(a, a + 2000)
+            for a in range(0, len(segs), 500):
+                z = slice(a, a + 500)
                 r, j, head, wa, wb = _windows(segs[z], col["khash"][z], col["s0"][z], col["s1"][z], col["p"][z], length)
                 start = (col["s0"][z][r] + j).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([names.take(pa.array(r + a)), pa.array(start), *(pa.array(x.view(np.int64)) for x in (head, wa, wb))], ["thash", "start", "head", "wa", "wb"])
