@@ -5,7 +5,9 @@ import importlib
 
 #: Query name -> module of this package that holds it.
 MODULES = {
+    "op3_toxicity": "toxicity",
     "op5_simhash": "simhash",
+    "op6_quality": "quality",
     "op8_suffix_dedup": "suffix_dedup",
 }
 
