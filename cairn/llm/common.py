@@ -117,3 +117,11 @@ def slices(offsets: np.ndarray, most: int):
         b = min(n, max(b, a + 1))
         yield a, b
         a = b
+
+
+def worker_state() -> dict:
+    """What a Python worker keeps from task to task (tokenizers, caches); empty at first."""
+    import sys
+    import types
+
+    return sys.modules.setdefault("_cairn_worker_state", types.ModuleType("_cairn_worker_state")).__dict__

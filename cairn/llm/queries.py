@@ -8,6 +8,7 @@ MODULES = {
     "op3_toxicity": "toxicity",
     "op5_simhash": "simhash",
     "op6_quality": "quality",
+    "op7_packing": "packing",
     "op8_suffix_dedup": "suffix_dedup",
 }
 
