@@ -10,6 +10,7 @@ MODULES = {
     "op6_quality": "quality",
     "op7_packing": "packing",
     "op8_suffix_dedup": "suffix_dedup",
+    "op10_decontaminate": "decontaminate",
 }
 
 
