@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, parts, text_or_empty
+from .common import cut, mix64, parts, text_bytes, text_or_empty
 from .components import connected_components
 
 WORDS, RADIUS, SEED = 4, 4, 42
@@ -112,12 +112,17 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def near_pairs(fps: np.ndarray, group: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places (i, j) of fingerprints of one group at most `radius` bits apart; rows sorted by group, then Gray rank."""
+def link_groups(fps: np.ndarray, group: np.ndarray, radius: int) -> np.ndarray:
+    """Smallest place that each place links to, within groups, at `radius` or fewer bits.
+
+    fps has a row of words for each fingerprint; rows are sorted by group, then Gray rank.
+    Pairs that are linked already are not compared again.
+    """
     n = len(fps)
+    label = np.arange(n)
     if not n:
-        return
-    levels = [(fps, np.full(n, ~np.uint64(0)), np.arange(n), np.arange(1, n + 1))]
+        return label
+    levels = [(fps, np.full_like(fps, ~np.uint64(0)), np.arange(n), np.arange(1, n + 1))]
     owner = group
     while True:
         first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
@@ -128,19 +133,18 @@ def near_pairs(fps: np.ndarray, group: np.ndarray, radius: int) -> Iterator[tupl
         begin = np.repeat(first, nodes) + FAN * (np.arange(nodes.sum()) - np.repeat(np.cumsum(nodes) - nodes, nodes))
         end = np.minimum(begin + FAN, np.repeat(first + sizes, nodes))
         bits, mask = levels[-1][0], levels[-1][1]
-        both = np.bitwise_and.reduceat(bits | ~mask, begin)  # shared ones
-        none = ~np.bitwise_or.reduceat(bits | ~mask, begin)  # shared zeros
-        levels.append((both, (both | none) & np.bitwise_and.reduceat(mask, begin), begin, end))
+        ones = np.bitwise_and.reduceat(bits | ~mask, begin, axis=0)
+        zeros = ~np.bitwise_or.reduceat(bits | ~mask, begin, axis=0)
+        levels.append((ones, (ones | zeros) & np.bitwise_and.reduceat(mask, begin, axis=0), begin, end))
         owner = owner[begin]
     top = len(levels) - 1
     roots = np.arange(len(levels[top][0]))
     stack = [(top, roots[a : a + 10_000], roots[a : a + 10_000]) for a in range(0, len(roots), 10_000)]
+    most = PAIRS // fps.shape[1]
     while stack:
         level, a, b = stack.pop()
         if level == 0:
-            keep = a != b
-            if keep.any():
-                yield a[keep], b[keep]
+            label = settle(label, a, b)
             continue
         _, _, begin, end = levels[level]
         bits, mask = levels[level - 1][0], levels[level - 1][1]
@@ -149,17 +153,22 @@ def near_pairs(fps: np.ndarray, group: np.ndarray, radius: int) -> Iterator[tupl
         cum = np.cumsum(total)
         x = 0
         while x < len(a):
-            y = max(x + 1, int(np.searchsorted(cum, (cum[x - 1] if x else 0) + PAIRS, side="right")))
+            y = max(x + 1, int(np.searchsorted(cum, (cum[x - 1] if x else 0) + most, side="right")))
             t = total[x:y]
             k = np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t)
             wide = np.repeat(nb[x:y], t)
             i = np.repeat(begin[a[x:y]], t) + k // wide
             j = np.repeat(begin[b[x:y]], t) + k % wide
-            keep = i <= j
+            keep = (label[i] != label[j]) if level == 1 else (i <= j)
             i, j = i[keep], j[keep]
-            keep = np.bitwise_count((bits[i] ^ bits[j]) & mask[i] & mask[j]) <= radius
-            stack.append((level - 1, i[keep], j[keep]))
+            apart = np.bitwise_count((bits[i] ^ bits[j]) & mask[i] & mask[j]).sum(axis=1, dtype=np.int64)
+            keep = apart <= radius
+            if level == 1:
+                label = settle(label, i[keep], j[keep])
+            else:
+                stack.append((level - 1, i[keep], j[keep]))
             x = y
+    return label
 
 
 def settle(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -179,11 +188,20 @@ def settle(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             label = up
 
 
-def _links(radius: int):
-    keys = ("t", "key", "s", "sub")
+def _words_of(column) -> np.ndarray:
+    """Rows of words from a column of longs or of binaries of one size."""
+    import pyarrow as pa
+
+    if pa.types.is_integer(column.type):
+        return column.to_numpy(zero_copy_only=False).view(np.uint64)[:, None]
+    raw, offsets = text_bytes(column)
+    return np.frombuffer(raw.tobytes(), dtype=np.uint64).reshape(len(column), -1) if len(column) else np.zeros((0, 1), np.uint64)
+
+
+def _links(radius: int, keys: tuple = ("t", "key", "s", "sub")):
 
     def flush(table: dict, pa) -> Iterator:
-        order = np.lexsort((gray_rank(table["fp"].view(np.uint64)), *(table[k] for k in reversed(keys))))
+        order = np.lexsort((gray_rank(table["fp"][:, 0]), *(table[k] for k in reversed(keys))))
         cols = {k: v[order] for k, v in table.items()}
         edge = np.zeros(len(order), bool)
         for k in keys:
@@ -191,10 +209,8 @@ def _links(radius: int):
         edge[:1] = True
         group = np.cumsum(edge) - 1
         alone = np.bincount(group)[group] == 1
-        fps, group, node = cols["fp"].view(np.uint64)[~alone], group[~alone], cols["node"][~alone]
-        label = np.arange(len(fps))
-        for i, j in near_pairs(fps, group, radius):
-            label = settle(label, i, j)
+        fps, group, node = cols["fp"][~alone], group[~alone], cols["node"][~alone]
+        label = link_groups(fps, group, radius)
         linked = np.flatnonzero(label != np.arange(len(fps)))
         if len(linked):
             yield pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[label[linked]])], ["a", "b"])
@@ -205,7 +221,9 @@ def _links(radius: int):
         held: list[dict] = []
         size = 0
         for batch in batches:  # sorted by the keys: whole groups are cut off as they pass
-            held.append({k: batch.column(k).to_numpy(zero_copy_only=False) for k in (*keys, "fp", "node")})
+            if not batch.num_rows:
+                continue
+            held.append({k: batch.column(k).to_numpy(zero_copy_only=False) for k in (*keys, "node")} | {"fp": _words_of(batch.column("fp"))})
             size += batch.num_rows
             if size >= ROWS:
                 table = {k: np.concatenate([h[k] for h in held]) for k in held[0]}
@@ -263,6 +281,91 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, t
     return rows.join(named, F.col("fp") == F.col("fp2"), "left").select("id", "fp", "component")
 
 
+#: For `similar_groups`: share of differing bits up to which texts are alike (measured: about 0.13 at a Jaccard similarity of 0.8
+#: of word shingles, 0.5 for strangers), and the chance that such a pair meets in a band.
+WIDE_WORDS, ALIKE, RECALL = 5, 0.18, 0.97
+
+
+def _wide(words: int, width: int):
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        salts = mix64(np.arange(1, width + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        for batch in batches:
+            rows: list[np.ndarray] = []
+            hashes, counts = [], []
+
+            def flush(hashes=hashes, counts=counts, rows=rows):
+                h, n = np.array(hashes, np.uint64), np.array(counts, dtype=np.int64)
+                rows.append(np.stack([majority_bits(mix64(h ^ s), n) for s in salts], axis=1))
+                hashes.clear()
+                counts.clear()
+
+            for text in batch.column("text"):
+                h = shingle_hashes(text.as_buffer().to_pybytes(), words)
+                hashes += h
+                counts.append(len(h))
+                if len(hashes) > 100_000:
+                    flush()
+            if counts:
+                flush()
+            fps = np.concatenate(rows) if rows else np.zeros((0, width), np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x.tobytes() for x in fps], pa.binary())], ["id", "fp"])
+
+    return run
+
+
+def _bands(bits: int, bands: int):
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            fps = _words_of(batch.column("fp"))
+            n = len(fps)
+            flat = np.unpackbits(fps.view(np.uint8), axis=1)[:, : bits * bands].reshape(n, bands, bits).astype(np.int64) if n else np.zeros((0, bands, bits), np.int64)
+            key = flat @ (np.int64(1) << np.arange(bits, dtype=np.int64))
+            at = pa.array(np.repeat(np.arange(n), bands))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.tile(np.arange(bands, dtype=np.int32), n)), pa.array(key.ravel()), batch.column("node").take(at), batch.column("fp").take(at)], ["t", "key", "node", "fp"]
+            )
+
+    return run
+
+
+def similar_groups(docs: DataFrame, words: int = WIDE_WORDS, alike: float = ALIKE, recall: float = RECALL, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """(id, component) for texts alike in word shingles, from about a similarity of 0.8 up.
+
+    The same search over wider fingerprints: several 64-bit words, one hash family
+    each, whose bits are cut into bands.  Texts that agree on a band meet there and
+    link if at most the share `alike` of all bits differs.  Bits to a band follow the
+    number of nodes, bands follow from the recall wanted of pairs that differ in 0.15 of their bits.
+    """
+    slim = docs.select(F.col(id_column).cast("long").alias("id"), text_or_empty(text).alias("text"))
+    n = max(1, slim.count())
+    bits = max(12, n.bit_length() - 6)
+    bands = int(np.ceil(np.log(1 - recall) / np.log(1 - 0.85**bits)))
+    width = -(-bits * bands // 64)
+    rows = cut(slim.mapInArrow(_wide(words, width), "id long, fp binary"))
+    nodes = cut(rows.groupBy("fp").agg(F.min("id").alias("node")))
+    keyed = nodes.where("node is not null").mapInArrow(_bands(bits, bands), "t int, key long, node long, fp binary")
+    met = keyed.repartition(parts(docs.sparkSession), "t", "key").sortWithinPartitions("t", "key")
+    links = met.mapInArrow(_links(int(alike * 64 * width), ("t", "key")), "a long, b long").distinct()
+    found = connected_components(cut(links))
+    named = nodes.join(found, "node", "left").select(F.col("fp").alias("fp2"), F.coalesce("component", "node").alias("component"))
+    return rows.join(named, F.col("fp") == F.col("fp2"), "left").select("id", "component")
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """The rows with the smallest id of their group of similar texts; one row where that row repeats.
+
+    Rows whose id is null stay only where no row with an id has their text's group.
+    """
+    groups = similar_groups(docs, id_column=id_column)
+    keep = groups.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("_kept")).distinct()
+    kept = docs.join(keep, F.col(id_column).cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    return kept.dropDuplicates([id_column])
+
+
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")

@@ -1,12 +1,63 @@
-"""A corpus pipeline: toxicity, near duplicates, repeated strings, benchmark leaks, packing."""
+"""A corpus pipeline over `documents`: toxic texts go, one text of each group of near
+duplicates stays, strings that repeat across the rest are cut out, texts that hold
+benchmark items go, and what is left is packed into training sequences.
+
+Every stage reads all that the stage before it kept.  All but the last return the
+columns of `documents`, whatever they are.  n_chars follows the text where a stage
+changes it.
+"""
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cairn.llm import decontaminate, packing, simhash, suffix_dedup, toxicity
+from cairn.llm.common import shared_path
+
+#: Over 50 words, in bytes: shorter repeats are common phrases.
+REPEAT_BYTES = 256
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.not_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.one_of_each(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.without_repeats(docs, length=REPEAT_BYTES)
+    if "n_chars" in out.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.packed_pieces(docs.select("doc_id", "text"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("suffix_array_dedup", cut_repeats),
+    ("benchmark_decontamination", drop_leaks),
+    ("best_fit_packing", pack_sequences),
+]
+
+#: Trained trees, fingerprints and alignment have no SQL form; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stage's rows are written in the shared folder and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        path = shared_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
