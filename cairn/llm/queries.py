@@ -5,11 +5,15 @@ import importlib
 
 #: Query name -> module of this package that holds it.
 MODULES = {
+    "op1_fingerprint": "fingerprint",
+    "op2_sharding": "sharding",
     "op3_toxicity": "toxicity",
+    "op4_chat": "chat",
     "op5_simhash": "simhash",
     "op6_quality": "quality",
     "op7_packing": "packing",
     "op8_suffix_dedup": "suffix_dedup",
+    "op9_warc": "warc",
     "op10_decontaminate": "decontaminate",
 }
 
