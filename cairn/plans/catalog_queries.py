@@ -1,5 +1,611 @@
-"""Queries of the catalog engine over the driver's tables, and the SQL that checks them."""
+"""Queries of the catalog engine over the driver's tables, and the SQL that checks them.
+
+Tables stand in for the catalog's: supplier for source, part for product and
+variety, lineitem for stock, orders for ledger rows, events for runs and acks,
+nation for the closed vocabulary.  Every query reads its whole tables.
+"""
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..functions import kernels as K
+from ..functions import numbers as N
+from ..functions import text as T
+from ..operators import catalog, derive, health, ledger, resolve
+from ..sources import readers, sinks
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+# ---- health, gates, drift -------------------------------------------------------------------------------------------
+
+_FILL = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", round(avg(CASE WHEN trim(coalesce(CAST({c} AS VARCHAR), '')) <> '' THEN 1.0 ELSE 0.0 END), 4) AS fill_rate FROM {t_}" for t_, cs in (("orders", ("o_orderkey", "o_orderstatus", "o_orderpriority")), ("events", ("event_type", "props", "value"))) for c in cs)
+
+
+@query(_FILL)
+def fill_rates(spark, sf):
+    return health.fill_rates(t(spark, sf, "orders"), ["o_orderkey", "o_orderstatus", "o_orderpriority"]).unionByName(health.fill_rates(t(spark, sf, "events"), ["event_type", "props", "value"]))
+
+
+@query("""
+WITH h AS (SELECT CASE WHEN event_id % 2 = 0 THEN 'base' ELSE 'now' END AS side, CASE WHEN value > 20 THEN event_type END AS event_type, CASE WHEN value > 2 THEN props END AS props FROM events WHERE event_id % 2 = 0
+           UNION ALL SELECT 'now', CASE WHEN value > 60 THEN event_type END, CASE WHEN value > 2 THEN props END FROM events WHERE event_id % 2 = 1),
+r AS (SELECT side, round(avg(CASE WHEN event_type IS NULL THEN 0.0 ELSE 1.0 END), 4) AS e, round(avg(CASE WHEN props IS NULL THEN 0.0 ELSE 1.0 END), 4) AS p FROM h GROUP BY side),
+d AS (SELECT 'event_type' AS "column", round(b.e - n.e, 4) AS "drop" FROM r b, r n WHERE b.side = 'base' AND n.side = 'now'
+      UNION ALL SELECT 'props', round(b.p - n.p, 4) FROM r b, r n WHERE b.side = 'base' AND n.side = 'now')
+SELECT "column", "drop", CASE WHEN "column" = 'event_type' AND "drop" >= 0.40 THEN 'FAILED' WHEN "drop" >= 0.15 THEN 'DEGRADED' ELSE 'OK' END AS status FROM d
+""")
+def contract_drift_report(spark, sf):
+    e = t(spark, sf, "events")
+    side = lambda odd, least: health.fill_rates(e.where(F.col("event_id") % 2 == odd).select(F.when(F.col("value") > least, F.col("event_type")).alias("event_type"), F.when(F.col("value") > 2, F.col("props")).alias("props")))
+    return health.fill_drops(side(1, 60), side(0, 20), ["event_type"])
+
+
+@query("""
+WITH m AS (SELECT l_returnflag, year(l_shipdate) AS y, round(median(CASE WHEN l_extendedprice > 0 THEN l_extendedprice END), 4) AS median, count(CASE WHEN l_extendedprice > 0 THEN 1 END) AS n FROM lineitem GROUP BY 1, 2)
+SELECT l_returnflag, y, median, n FROM m WHERE n >= 8
+""")
+def magnitude_medians(spark, sf):
+    return health.magnitudes(t(spark, sf, "lineitem").withColumn("y", F.year("l_shipdate").cast("long")), ["l_returnflag", "y"], "l_extendedprice")
+
+
+@query("""
+WITH m AS (SELECT l_returnflag, CASE WHEN l_linenumber <= 3 THEN 'base' ELSE 'now' END AS side, CASE WHEN l_linenumber <= 3 THEN l_quantity ELSE l_quantity * (CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 5 ELSE 20 END) END AS v FROM lineitem),
+q AS (SELECT l_returnflag, side, round(median(v), 4) AS m FROM m GROUP BY 1, 2 HAVING count(*) >= 8)
+SELECT b.l_returnflag, b.m AS base, n.m AS now, CASE WHEN greatest(n.m / b.m, b.m / n.m) >= 10 THEN 'FAILED' WHEN greatest(n.m / b.m, b.m / n.m) >= 4 THEN 'DEGRADED' ELSE 'OK' END AS status
+FROM q b JOIN q n ON b.l_returnflag = n.l_returnflag AND b.side = 'base' AND n.side = 'now'
+""")
+def magnitude_drift_status(spark, sf):
+    li = t(spark, sf, "lineitem").select("l_returnflag", "l_linenumber", "l_quantity")
+    times = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 5).otherwise(20)
+    base = health.magnitudes(li.where("l_linenumber <= 3"), ["l_returnflag"], "l_quantity").select("l_returnflag", F.col("median").alias("base"))
+    now = health.magnitudes(li.where("l_linenumber > 3").withColumn("l_quantity", F.col("l_quantity") * times), ["l_returnflag"], "l_quantity").select("l_returnflag", F.col("median").alias("now"))
+    return base.join(now, "l_returnflag").withColumn("status", health.drift_status(F.col("now"), F.col("base")))
+
+
+@query("""
+WITH j AS (SELECT o.*, c.c_custkey, c.c_acctbal FROM orders o LEFT JOIN customer c ON o_custkey = c_custkey), n AS (SELECT count(*) AS n FROM j),
+v AS (SELECT 'customer_known' AS invariant, 'HARD' AS severity, count_if(c_custkey IS NULL) AS violations FROM j UNION ALL SELECT 'balance_positive', 'SOFT', count_if(NOT coalesce(c_acctbal > 0, false)) FROM j
+      UNION ALL SELECT 'price_small', 'SOFT', count_if(NOT coalesce(o_totalprice < 200000, false)) FROM j UNION ALL SELECT 'not_open', 'SOFT', count_if(NOT coalesce(o_orderstatus <> 'O', false)) FROM j)
+SELECT invariant, severity, CAST(violations AS BIGINT) AS violations, round(violations / n, 4) AS fraction, CASE WHEN round(violations / n, 4) >= 0.9 THEN 'FAILED' WHEN round(violations / n, 4) >= 0.5 THEN 'DEGRADED' ELSE 'OK' END AS status FROM v, n
+""")
+def gate_violations(spark, sf):
+    j = t(spark, sf, "orders").join(t(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+    return health.gate(j, [("customer_known", "HARD", F.col("c_custkey").isNotNull()), ("balance_positive", "SOFT", F.col("c_acctbal") > 0), ("price_small", "SOFT", F.col("o_totalprice") < 200000), ("not_open", "SOFT", F.col("o_orderstatus") != "O")])
+
+
+@query("""
+SELECT 'p_brand' AS "column", 'pattern' AS rule, round(count_if(NOT regexp_matches(p_brand, '^Brand#\\d$')) / count(*), 4) AS rate, CASE WHEN round(count_if(NOT regexp_matches(p_brand, '^Brand#\\d$')) / count(*), 4) >= 0.5 THEN 'FAILED' WHEN round(count_if(NOT regexp_matches(p_brand, '^Brand#\\d$')) / count(*), 4) > 0.2 THEN 'DEGRADED' ELSE 'OK' END AS status FROM part
+UNION ALL SELECT 'p_type', 'value_set', round(count_if(lower(p_type) NOT IN ('small', 'medium', 'large')) / count(*), 4), CASE WHEN round(count_if(lower(p_type) NOT IN ('small', 'medium', 'large')) / count(*), 4) > 0.2 THEN 'DEGRADED' ELSE 'OK' END FROM part
+""")
+def shape_and_value_sets(spark, sf):
+    return health.shape_report(t(spark, sf, "part"), {"p_brand": r"^Brand#\d$"}, {"p_type": ["Small", "Medium", "Large"]})
+
+
+# ---- names, numbers, keys -------------------------------------------------------------------------------------------
+
+_KEY = "trim(regexp_replace(lower(regexp_replace(strip_accents(replace(replace(regexp_replace(coalesce({c}, ''), '[^\\p{{L}}\\p{{N}}\\p{{M}}\\s]', ' ', 'g'), 'ß', 'ss'), 'Æ', 'AE')), '[^\\x00-\\x7F]', '', 'g')), '\\s+', ' ', 'g'))"
+
+
+@query(f"SELECT doc_id, md5({_KEY.format(c='text')}) AS key_md5, length({_KEY.format(c='text')}) AS key_chars FROM documents")
+def match_key_docs(spark, sf):
+    key = t(spark, sf, "documents").select("doc_id", T.match_key(F.col("text")).alias("k"))
+    return key.select("doc_id", F.md5(F.col("k").cast("binary")).alias("key_md5"), F.char_length("k").cast("long").alias("key_chars"))
+
+
+@query("""
+SELECT p_partkey, trim(regexp_replace(lower(p_name || ' ' || p_brand), '[^a-z0-9]+', '-', 'g'), '-') AS slug,
+list_aggregate(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', ' ') AS title FROM part
+""")
+def slug_title_case(spark, sf):
+    return t(spark, sf, "part").select("p_partkey", T.slugify(F.concat_ws(" ", "p_name", "p_brand")).alias("slug"), T.title_case(F.col("p_name")).alias("title"))
+
+
+@query("""
+WITH w AS (SELECT string_split(CASE WHEN p_size % 5 = 0 THEN 'z ' WHEN p_size % 5 = 1 THEN 'kx7 ' ELSE '' END || p_name, ' ') AS w FROM part), p AS (SELECT w[1] AS head, array_to_string(w[2:], ' ') AS rest FROM w)
+SELECT head, count(DISTINCT rest) AS rests FROM p WHERE rest <> '' AND (regexp_matches(head, '\\d') OR NOT regexp_matches(head, '[aeiouy]')) GROUP BY head HAVING count(DISTINCT rest) >= 2
+""")
+def code_prefix_fanout(spark, sf):
+    name = F.concat(F.when(F.col("p_size") % 5 == 0, "z ").when(F.col("p_size") % 5 == 1, "kx7 ").otherwise(""), F.col("p_name"))
+    return catalog.code_prefixes(t(spark, sf, "part").select(name.alias("name")), "name")
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice, 2) AS price, CAST(CASE WHEN l_linenumber % 3 = 0 THEN floor(l_extendedprice) ELSE round(l_extendedprice, 2) END AS DOUBLE) AS parsed FROM lineitem
+""")
+def parse_number_locale(spark, sf):
+    li = t(spark, sf, "lineitem")
+    p = F.round("l_extendedprice", 2)
+    english = F.format_number(p, 2)
+    continental = F.translate(english, ",.", ".,")
+    whole = F.concat(F.lit("ca. "), F.format_number(F.floor(F.col("l_extendedprice")), 0), F.lit(" kg"))
+    spelled = F.when(F.col("l_linenumber") % 3 == 0, F.when(F.col("l_extendedprice") >= 1_000_000, whole).otherwise(F.concat(F.floor("l_extendedprice").cast("string"), F.lit(" kg")))).when(F.col("l_linenumber") % 3 == 1, english).otherwise(F.concat(F.lit("EUR "), continental))
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", p.alias("price"), N.parse_number(spelled).alias("parsed"))
+
+
+@query("""
+SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN round(p_size * 0.01, 6) WHEN 1 THEN round((p_size + p_size + 2) / 2 * 0.001, 6) WHEN 2 THEN round(p_size * 0.0254, 6) END AS metres,
+CASE p_size % 4 WHEN 0 THEN round(p_size * 0.01, 6) WHEN 1 THEN round((p_size + 2) * 0.001, 6) WHEN 2 THEN round(p_size * 0.0254, 6) END AS face FROM part
+""")
+def measure_unit_convert(spark, sf):
+    s = F.col("p_size").cast("string")
+    raw = F.when(F.col("p_size") % 4 == 0, F.concat(s, F.lit(" cm"))).when(F.col("p_size") % 4 == 1, F.concat(s, F.lit("-"), (F.col("p_size") + 2).cast("string"), F.lit("mm"))).when(F.col("p_size") % 4 == 2, F.concat(s, F.lit('"'))).otherwise(F.concat(s, F.lit(" furlongs")))
+    return t(spark, sf, "part").select("p_partkey", F.round(N.parse_measure(raw), 6).alias("metres"), F.round(N.parse_face(raw), 6).alias("face"))
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE 'mint_' || substr(sha1('site' || chr(0) || p_name || chr(0) || lower(p_type) || chr(0)), 1, 16) END AS surrogate FROM part
+""")
+def surrogate_mint(spark, sf):
+    natural = F.when(F.col("p_partkey") % 3 == 0, F.col("p_brand")).otherwise("")
+    return t(spark, sf, "part").select("p_partkey", N.surrogate(natural, F.lit("site"), F.col("p_name"), F.col("p_type")).alias("surrogate"))
+
+
+@query("SELECT o_orderkey, substr(sha256(CAST(o_custkey AS VARCHAR) || chr(0) || o_orderstatus || chr(0) || o_orderpriority || chr(0)), 1, 24) AS fingerprint FROM orders")
+def row_fingerprint(spark, sf):
+    return t(spark, sf, "orders").select("o_orderkey", N.fingerprint(F.col("o_custkey"), F.col("o_orderstatus"), F.col("o_orderpriority")).alias("fingerprint"))
+
+
+@query("""
+WITH k AS (SELECT p_partkey, 'slab_' || replace(lower(p_type), ' ', '_') AS head, replace(p_name, ' ', '_') AS slug FROM part),
+h AS (SELECT *, sha1(unhex('6f9619ff8b86d011b42d00cf4fc964ff') || CAST('slab:' || slug AS BLOB)) AS h FROM k)
+SELECT p_partkey, head || '_' || slug || '_' || substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || lower(to_hex((CAST('0x' || substr(h, 17, 1) AS INT) & 3) | 8)) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS variety_key FROM h
+""")
+def variety_keys(spark, sf):
+    return t(spark, sf, "part").select("p_partkey", N.variety_key(F.lit("slab"), T.slugify(F.col("p_type"), "_"), T.slugify(F.col("p_name"), "_")).alias("variety_key"))
+
+
+@query("SELECT doc_id, md5(CASE WHEN regexp_matches(x, '^[=+\\-@\\t\\r]') OR regexp_matches(x, '^\\s*[=+\\-@]') THEN '''' || x ELSE x END) AS cell_md5 FROM (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '=' WHEN 1 THEN ' +' WHEN 2 THEN '-' ELSE '' END || text AS x FROM documents)")
+def safe_cell(spark, sf):
+    lead = F.when(F.col("doc_id") % 4 == 0, "=").when(F.col("doc_id") % 4 == 1, " +").when(F.col("doc_id") % 4 == 2, "-").otherwise("")
+    return t(spark, sf, "documents").select("doc_id", F.md5(T.safe_cell(F.concat(lead, F.col("text"))).cast("binary")).alias("cell_md5"))
+
+
+@query("""
+SELECT page_id, len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS links, lower(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title, len(regexp_extract_all(html, '(?is)<th[^>]*>(.*?)</th>\\s*<td[^>]*>(.*?)</td>', 1)) AS cells FROM pages
+""")
+def html_attribute_table(spark, sf):
+    p = t(spark, sf, "pages")
+    n = F.size(F.regexp_extract_all("html", F.lit(r"(?is)<th[^>]*>(.*?)</th>\s*<td[^>]*>(.*?)</td>"), 1))
+    return p.select("page_id", F.size(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)).cast("long").alias("links"), F.lower(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"), n.cast("long").alias("cells"))
+
+
+# ---- duplicates and windows -----------------------------------------------------------------------------------------
+
+
+@query("SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY upper(text) ORDER BY doc_id) AS n FROM documents) WHERE n = 1")
+def exact_dedup_keep_first(spark, sf):
+    return resolve.keep_first(t(spark, sf, "documents").select("doc_id", "source", F.sha2(F.upper("text").cast("binary"), 256).alias("k")), F.col("k"), ["doc_id"]).select("doc_id", "source")
+
+
+@query("SELECT p_partkey, CASE WHEN row_number() OVER w > 1 THEN first_value(p_partkey) OVER w END AS seen_before FROM part WINDOW w AS (PARTITION BY p_name, p_brand ORDER BY p_partkey)")
+def near_duplicate_flag(spark, sf):
+    key = T.match_key(F.col("p_name"))
+    return resolve.flag_seen(t(spark, sf, "part"), [key, F.col("p_brand")], ["p_partkey"], "p_partkey", key == "").select("p_partkey", "seen_before")
+
+
+@query("SELECT p_partkey, first_value(p_brand) OVER (PARTITION BY p_name, p_type ORDER BY p_partkey) <> p_brand AS handle_collision FROM part")
+def handle_collision(spark, sf):
+    p = t(spark, sf, "part").withColumn("h", derive.handle(F.col("p_name"), F.lit("x"), F.col("p_type"), F.lit("s")))
+    return resolve.handle_collisions(p, "h", "p_brand", ["p_partkey"]).select("p_partkey", "handle_collision")
+
+
+@query("SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events WHERE event_type <> 'error') WHERE n = 1")
+def latest_run_per_source(spark, sf):
+    return readers.latest_per_source(t(spark, sf, "events"), "user_id", "event_id", F.col("event_type") != "error").select("user_id", "event_id")
+
+
+@query("SELECT user_id, event_id, CAST(n AS BIGINT) AS age FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events) WHERE n <= 20")
+def rolling_history(spark, sf):
+    w = Window.partitionBy("user_id").orderBy(F.desc("event_id"))
+    return t(spark, sf, "events").select("user_id", "event_id", F.row_number().over(w).cast("long").alias("age")).where("age <= 20")
+
+
+@query("""
+SELECT user_id, count_if(d = 0) AS streak FROM (SELECT user_id, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id DESC ROWS UNBOUNDED PRECEDING) AS d FROM events) GROUP BY user_id
+""")
+def clean_run_streak(spark, sf):
+    return health.clean_streak(t(spark, sf, "events"), "user_id", ["event_id"], F.col("event_type") != "error")
+
+
+@query("SELECT l_partkey, l_orderkey, l_quantity AS qty FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_quantity DESC) AS n FROM lineitem) WHERE n = 1")
+def inventory_last_wins(spark, sf):
+    li = t(spark, sf, "lineitem").select("l_partkey", "l_orderkey", F.col("l_quantity").alias("qty"), F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_quantity").alias("o"))
+    return li.groupBy("l_partkey").agg(F.max_by(F.struct("l_orderkey", "qty"), "o").alias("x")).select("l_partkey", "x.l_orderkey", "x.qty")
+
+
+# ---- resolution -----------------------------------------------------------------------------------------------------
+
+_WORDS = ["red", "blue", "small", "large", "hot", "cold"]
+_SYNONYMS = [("new", "Red"), ("old", "none")]
+
+
+def _vocabulary(spark):
+    return spark.createDataFrame([(w, w.title()) for w in _WORDS], "norm string, canonical string")
+
+
+@query("""
+WITH v AS (SELECT DISTINCT string_split(p_name, ' ')[1] AS raw FROM part)
+SELECT raw, CASE WHEN raw = 'new' THEN 'Red' WHEN raw = 'old' THEN NULL WHEN raw IN ('red', 'blue', 'small', 'large', 'hot', 'cold') THEN upper(raw[1]) || raw[2:] END AS value,
+CASE WHEN raw IN ('new', 'old', 'red', 'blue', 'small', 'large', 'hot', 'cold') THEN 'high' ELSE 'none' END AS confidence,
+CASE WHEN raw = 'new' THEN 'synonym' WHEN raw = 'old' THEN 'synonym_none' WHEN raw IN ('red', 'blue', 'small', 'large', 'hot', 'cold') THEN 'exact' ELSE 'unresolved' END AS method FROM v
+""")
+def vocab_resolve_exact_synonym(spark, sf):
+    raw = t(spark, sf, "part").select(F.get(F.split("p_name", " "), F.lit(0)).alias("raw"))
+    return resolve.resolve_vocabulary(raw, _vocabulary(spark), spark.createDataFrame(_SYNONYMS, "norm string, target string"), near=False)
+
+
+@query()
+def vocab_resolve_fuzzy(spark, sf):
+    first = F.get(F.split("p_name", " "), F.lit(0))
+    raw = t(spark, sf, "part").select(F.when(F.col("p_size") % 3 == 0, F.concat(first, F.lit("x"))).otherwise(first).alias("raw"))
+    return resolve.resolve_vocabulary(raw, _vocabulary(spark), spark.createDataFrame(_SYNONYMS, "norm string, target string"))
+
+
+@query("""
+WITH r AS (SELECT DISTINCT string_split(p_name, ' ')[1] || CASE WHEN p_size % 2 = 0 THEN ' + ' ELSE ' | ' END || CASE WHEN p_size % 3 = 0 THEN 'blue' ELSE 'hot' END AS raw FROM part),
+s AS (SELECT raw, contains(raw, '+') AS c, CASE WHEN contains(raw, '+') THEN string_split(raw, ' + ') ELSE string_split(raw, ' | ') END AS p FROM r),
+n AS (SELECT raw, c, list_distinct(list_filter(p, lambda x: x IN ('red', 'blue', 'small', 'large', 'hot', 'cold'))) AS d, list_filter(p, lambda x: x IN ('red', 'blue', 'small', 'large', 'hot', 'cold'))[1] AS f FROM s)
+SELECT raw, upper(f[1]) || f[2:] AS value, CASE WHEN len(d) = 1 THEN 'single' WHEN c THEN 'compound_suggest' ELSE 'multi_value' END AS method FROM n
+""")
+def vocab_resolve_multi(spark, sf):
+    p = t(spark, sf, "part")
+    raw = p.select(F.concat(F.get(F.split("p_name", " "), F.lit(0)), F.when(F.col("p_size") % 2 == 0, " + ").otherwise(" | "), F.when(F.col("p_size") % 3 == 0, "blue").otherwise("hot")).alias("raw"))
+    return resolve.resolve_multi(raw, _vocabulary(spark))
+
+
+@query("""
+WITH n AS (SELECT DISTINCT p_name FROM part), m AS (SELECT p_name, regexp_replace(p_name, '[^a-z0-9]', '', 'g') AS compact, list_aggregate(list_sort(list_distinct(string_split(p_name, ' '))), 'string_agg', ' ') AS ts FROM n)
+SELECT a.p_name AS query, b.p_name AS found, CASE WHEN a.compact = b.compact THEN 'compact' ELSE 'tokenset' END AS tier FROM m a JOIN m b ON a.compact = b.compact OR a.ts = b.ts
+""")
+def projection_tiers(spark, sf):
+    n = t(spark, sf, "part").select("p_name").distinct()
+    m = n.select("p_name", T.compact(F.col("p_name")).alias("compact"), T.tokenset(F.col("p_name")).alias("ts"))
+    swapped = m.select(F.array_join(F.reverse(F.split("p_name", " ")), " ").alias("q"), F.col("p_name").alias("query"))
+    by = lambda c: m.select(F.col("p_name").alias("query"), c).join(m.select(F.col("p_name").alias("found"), c), c).select("query", "found")
+    del swapped
+    first = by("compact").withColumn("tier", F.lit("compact"))
+    return first.unionByName(by("ts").join(first, ["query", "found"], "left_anti").withColumn("tier", F.lit("tokenset")))
+
+
+@query("SELECT s_suppkey, c_custkey, round(jaro_winkler_similarity(s_name, c_name), 6) AS score FROM supplier JOIN customer ON s_nationkey = c_nationkey AND s_suppkey % 10 = c_custkey % 10")
+def jaro_winkler_pairs(spark, sf):
+    j = t(spark, sf, "supplier").join(t(spark, sf, "customer"), (F.col("s_nationkey") == F.col("c_nationkey")) & (F.col("s_suppkey") % 10 == F.col("c_custkey") % 10))
+    return j.select("s_suppkey", "c_custkey", F.round(K.jaro_winkler_score("s_name", "c_name"), 6).alias("score"))
+
+
+@query()
+def fuzzy_match_ladder(spark, sf):
+    p = t(spark, sf, "part")
+    known = p.groupBy(F.col("p_name").alias("name"), F.col("p_type").alias("type")).agg(F.min("p_partkey").alias("cid")).withColumn("aliases", F.array(F.concat(F.col("name"), F.lit(" stone"))))
+    name = F.col("p_name")
+    typo = F.when(F.col("p_size") % 4 == 0, F.concat(name, F.lit("s"))).when(F.col("p_size") % 4 == 1, F.replace(name, F.lit(" "), F.lit(""))).when(F.col("p_size") % 4 == 2, F.array_join(F.reverse(F.split(name, " ")), " ")).otherwise(name)
+    return resolve.match_ladder(p.select(typo.alias("query"), F.col("p_type").alias("qtype")), resolve.surfaces(known))
+
+
+@query("""
+WITH q AS (SELECT vec_id AS qid, embedding AS qv FROM embeddings WHERE vec_id % 100 = 0), s AS (SELECT qid, vec_id, round(list_cosine_similarity(CAST(qv AS DOUBLE[]), CAST(embedding AS DOUBLE[])), 6) AS score FROM q JOIN embeddings ON vec_id <> qid)
+SELECT qid, arg_max(vec_id, score * 1e9 - vec_id * 1e-3) AS cid, max(score) AS score FROM s GROUP BY qid
+""")
+def semantic_nn(spark, sf):
+    e = t(spark, sf, "embeddings")
+    return resolve.semantic_nearest(e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec")), e.select(F.col("vec_id").alias("cid"), "embedding"))
+
+
+@query()
+def hashing_embedder(spark, sf):
+    v = t(spark, sf, "part").select("p_name").distinct().withColumn("v", resolve.hashing_embedding(T.match_key(F.col("p_name"))))
+    return v.select("p_name", F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm"), F.array_join(F.transform("v", lambda x: F.round(x, 4).cast("string")), ",").alias("vector"))
+
+
+# ---- ladders, validation, routing -----------------------------------------------------------------------------------
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN 'block' WHEN p_size % 5 = 0 THEN 'tile' WHEN regexp_matches(p_name, '\\b(slab|block|tile)s?\\b') THEN regexp_extract(p_name, '\\b(slab|block|tile)s?\\b', 1) WHEN p_size > 25 THEN 'slab' ELSE 'slab' END AS form,
+CASE WHEN p_size % 7 = 0 THEN 'override' WHEN p_size % 5 = 0 THEN 'tag' WHEN regexp_matches(p_name, '\\b(slab|block|tile)s?\\b') THEN 'name_word' WHEN p_size > 25 THEN 'structural' ELSE 'default' END AS method FROM part
+""")
+def format_ladder(spark, sf):
+    f = derive.format_ladder(F.when(F.col("p_size") % 7 == 0, "Block").otherwise(""), F.when(F.col("p_size") % 5 == 0, "Tiles"), F.col("p_name"), F.col("p_size") > 25)
+    return t(spark, sf, "part").withColumn("f", f).select("p_partkey", F.col("f.value").alias("form"), F.col("f.method").alias("method"))
+
+
+@query("""
+WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS INT) AS q, l_linenumber % 5 AS k FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, q, CASE k WHEN 0 THEN NULL WHEN 1 THEN q WHEN 2 THEN q WHEN 3 THEN q ELSE CASE WHEN round_even(q / 5.0, 0) BETWEEN 1 AND 60 THEN CAST(round_even(q / 5.0, 0) AS INT) END END AS bundle,
+CASE k WHEN 0 THEN NULL WHEN 1 THEN 'explicit' WHEN 2 THEN 'slab_count' WHEN 3 THEN 'area_division' ELSE CASE WHEN round_even(q / 5.0, 0) BETWEEN 1 AND 60 THEN 'standard_area' END END AS method FROM x
+""")
+def bundle_ladder(spark, sf):
+    q, k = F.col("l_quantity").cast("int"), F.col("l_linenumber") % 5
+    only = lambda n, c: F.when(k == n, c.cast("string"))
+    total = F.when(k == 3, (q * 4).cast("string")).when(k == 4, q.cast("string"))
+    b = derive.bundle_ladder(F.when(k == 0, "block").otherwise("slab"), only(1, q), only(2, q), F.lit(None).cast("string"), total, only(3, F.lit(4)))
+    return t(spark, sf, "lineitem").withColumn("b", b).select("l_orderkey", "l_linenumber", "l_partkey", q.alias("q"), F.col("b.value").alias("bundle"), F.col("b.method").alias("method"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS INT) AS q, CASE l_linenumber % 3 WHEN 0 THEN CAST(l_quantity AS INT) WHEN 1 THEN 0 ELSE greatest(1, CAST(floor(CAST(l_quantity AS INT) / 8.0) AS INT)) END AS inventory,
+CASE l_linenumber % 3 WHEN 0 THEN 'slab_count' WHEN 1 THEN 'quantity' ELSE 'stock_area' END AS method FROM lineitem
+""")
+def inventory_ladder(spark, sf):
+    q, k = F.col("l_quantity").cast("int"), F.col("l_linenumber") % 3
+    i = derive.inventory_ladder(F.when(k == 0, q.cast("string")), F.when(k == 1, "0"), F.when(k == 2, q.cast("string")), F.lit(4.0), F.lit(2.0))
+    return t(spark, sf, "lineitem").withColumn("i", i).select("l_orderkey", "l_linenumber", "l_partkey", q.alias("q"), F.col("i.value").alias("inventory"), F.col("i.method").alias("method"))
+
+
+@query("""
+SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'IT' WHEN s_suppkey % 4 = 1 THEN 'N' || n_nationkey ELSE r_name END AS origin, CASE WHEN s_suppkey % 4 = 0 THEN 'scrape' WHEN s_suppkey % 4 = 1 THEN 'supplier_override' WHEN s_suppkey % 4 = 2 THEN 'origin_map' ELSE 'supplier_default' END AS method
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+""")
+def origin_ladder(spark, sf):
+    j = t(spark, sf, "supplier").join(F.broadcast(t(spark, sf, "nation")), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(t(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    k = F.col("s_suppkey") % 4
+    o = derive.origin_ladder(F.when(k == 0, "it").otherwise("IT,BR"), k < 3, F.when(k == 1, F.concat(F.lit("n"), F.col("n_nationkey").cast("string"))), F.col("r_name"), F.col("r_name"))
+    return j.withColumn("o", o).select("s_suppkey", F.col("o.value").alias("origin"), F.col("o.method").alias("method"))
+
+
+@query("""
+SELECT p_partkey, round(CASE WHEN p_size % 3 = 0 THEN 3.3 WHEN p_size % 3 = 1 THEN (100 + p_size) * 0.01 ELSE (200 + p_size) / 100.0 END, 3) AS length, CASE p_size % 3 WHEN 0 THEN 'default' WHEN 1 THEN 'parsed' ELSE 'cm_fix' END AS method FROM part
+""")
+def dimension_ladder(spark, sf):
+    s = F.col("p_size")
+    raw = F.when(s % 3 == 0, "free").when(s % 3 == 1, F.concat((100 + s).cast("string"), F.lit("cm"))).otherwise(F.concat((200 + s).cast("string"), F.lit("m")))
+    return t(spark, sf, "part").withColumn("d", derive.dimension(raw, F.lit("slab"), 0)).select("p_partkey", F.col("d.value").alias("length"), F.col("d.method").alias("method"))
+
+
+@query("""
+WITH a AS (SELECT p_type, list_sort(list(DISTINCT string_split(p_name, ' ')[1])) AS allowed FROM part WHERE p_size <= 10 GROUP BY 1)
+SELECT p_partkey, list_contains(allowed, string_split(p_name, ' ')[1]) AS member, array_to_string(allowed, ',') AS allowed FROM part JOIN a USING (p_type)
+""")
+def reconcile_membership(spark, sf):
+    p = t(spark, sf, "part").withColumn("w", F.get(F.split("p_name", " "), F.lit(0)))
+    a = p.where("p_size <= 10").groupBy("p_type").agg(F.array_sort(F.collect_set("w")).alias("allowed"))
+    return p.join(F.broadcast(a), "p_type").select("p_partkey", F.array_contains("allowed", F.col("w")).alias("member"), F.array_join("allowed", ",").alias("allowed"))
+
+
+def _listings(spark, sf):
+    """Parts as listings with their stock, and the row rules that apply to them."""
+    stock = t(spark, sf, "lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").alias("stock"), F.count("*").alias("images"))
+    p = t(spark, sf, "part").join(stock, F.col("p_partkey") == F.col("l_partkey"), "left")
+    flags = F.array_compact(F.array(F.when(F.col("p_retailprice") > 1000, "price_high"), F.when(F.col("p_type") == "PROMO", "promo")))
+    p = p.withColumn("review_flags", flags)
+    rules = [("no_stock", F.coalesce(F.col("stock"), F.lit(0)) < 600), ("no_image", F.coalesce(F.col("images"), F.lit(0)) < 20), ("dimension_invalid", F.col("p_size") > 45)]
+    return derive.validate(p, rules)
+
+
+_ROUTE = """
+WITH s AS (SELECT l_partkey, sum(l_quantity) AS stock, count(*) AS images FROM lineitem GROUP BY 1),
+v AS (SELECT p_partkey, list_filter([CASE WHEN coalesce(stock, 0) < 600 THEN 'no_stock' END, CASE WHEN coalesce(images, 0) < 20 THEN 'no_image' END, CASE WHEN p_size > 45 THEN 'dimension_invalid' END], lambda x: x IS NOT NULL) AS r,
+      list_filter([CASE WHEN p_retailprice > 1000 THEN 'price_high' END, CASE WHEN p_type = 'PROMO' THEN 'promo' END], lambda x: x IS NOT NULL) AS f FROM part LEFT JOIN s ON p_partkey = l_partkey)
+"""
+
+
+@query(_ROUTE + "SELECT p_partkey, array_to_string(r, ',') AS reasons, array_to_string(f, ',') AS flags, CASE WHEN len(r) > 0 THEN 'reject' WHEN len(f) > 0 THEN 'review' ELSE 'emit' END AS route FROM v")
+def validate_route(spark, sf):
+    return _listings(spark, sf).select("p_partkey", F.array_join("reject_reasons", ",").alias("reasons"), F.array_join("review_flags", ",").alias("flags"), "route")
+
+
+@query(_ROUTE + "SELECT reason, count(*) AS n FROM (SELECT unnest(r) AS reason FROM v) GROUP BY 1")
+def reject_rules_exploded(spark, sf):
+    return _listings(spark, sf).select(F.explode("reject_reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query(_ROUTE + "SELECT p_partkey, unnest(f) AS code FROM v")
+def review_flags_exploded(spark, sf):
+    return _listings(spark, sf).select("p_partkey", F.explode("review_flags").alias("code"))
+
+
+@query("SELECT p_name, p_type, p_partkey FROM (SELECT *, row_number() OVER (PARTITION BY p_name, p_type ORDER BY p_partkey) AS n FROM part WHERE p_size > 20) WHERE n = 1")
+def gap_dedup(spark, sf):
+    return catalog.gap_queue(t(spark, sf, "part").where("p_size > 20"), ["p_name", "p_type"], ["p_partkey"]).select("p_name", "p_type", "p_partkey")
+
+
+@query("""
+SELECT CAST(n.o_custkey AS VARCHAR) AS sku, CASE WHEN k.o_custkey IS NULL THEN 'new' ELSE 'existing' END AS state, k.o_custkey IS NOT NULL AND k.q <> n.q AS product_changed
+FROM (SELECT o_custkey, count(*) AS q FROM orders WHERE year(o_orderdate) >= 1998 GROUP BY 1) n LEFT JOIN (SELECT o_custkey, count(*) AS q FROM orders WHERE year(o_orderdate) < 1998 GROUP BY 1) k ON n.o_custkey = k.o_custkey
+""")
+def product_new_existing(spark, sf):
+    o = t(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("sku"), F.year("o_orderdate").alias("y"))
+    known = o.where("y < 1998").groupBy("sku").agg(F.count("*").cast("string").alias("quantity"))
+    return derive.product_state(o.where("y >= 1998").groupBy("sku").agg(F.count("*").alias("inventory")), known).select("sku", "state", "product_changed")
+
+
+@query("""
+WITH k AS (SELECT DISTINCT o_custkey FROM orders WHERE year(o_orderdate) < 1998), n AS (SELECT DISTINCT o_custkey FROM orders WHERE year(o_orderdate) >= 1998), g AS (SELECT o_custkey FROM k WHERE o_custkey NOT IN (SELECT o_custkey FROM n))
+SELECT (SELECT count(*) FROM g) AS gone, (SELECT count(*) FROM k) AS known, (SELECT count(*) FROM g) <= 0.3 * (SELECT count(*) FROM k) AS allowed
+""")
+def discontinued_guard(spark, sf):
+    o = t(spark, sf, "orders").select(F.concat(F.lit("S-"), F.col("o_custkey").cast("string")).alias("sku"), F.year("o_orderdate").alias("y"))
+    known = o.where("y < 1998").select("sku").distinct()
+    gone = derive.discontinued(known, o.where("y >= 1998"), "S-")
+    one = gone.agg(F.count("*").alias("gone")).join(known.agg(F.count("*").alias("known")))
+    return one.withColumn("allowed", F.col("gone") <= F.col("known") * 0.3)
+
+
+# ---- catalog algebra ------------------------------------------------------------------------------------------------
+
+_COMBOS = "SELECT DISTINCT p_type, v.color, b.brand, s.size FROM (SELECT p_type, list(DISTINCT string_split(p_name, ' ')[1]) AS colors, list(DISTINCT p_brand) AS brands, list(DISTINCT p_size % 5) AS sizes FROM {src} GROUP BY 1), LATERAL (SELECT unnest(colors) AS color) v, LATERAL (SELECT unnest(brands) AS brand) b, LATERAL (SELECT unnest(sizes) AS size) s"
+
+
+def _combos(p: DataFrame) -> DataFrame:
+    lists = p.groupBy("p_type").agg(F.collect_set(F.get(F.split("p_name", " "), F.lit(0))).alias("color"), F.collect_set("p_brand").alias("brand"), F.collect_set(F.col("p_size") % 5).alias("size"))
+    return catalog.valid_combinations(lists, ["color", "brand", "size"])
+
+
+@query(_COMBOS.format(src="part"))
+def valid_combinations(spark, sf):
+    return _combos(t(spark, sf, "part"))
+
+
+@query(f"WITH c AS ({_COMBOS.format(src='(SELECT * FROM part WHERE p_partkey % 3 <> 0 AND p_brand <> ' + chr(39) + 'Brand#1' + chr(39) + ')')}), p AS ({_COMBOS.format(src='(SELECT * FROM part WHERE p_type <> ' + chr(39) + 'PROMO' + chr(39) + ')')}) SELECT *, 'added' AS change FROM (SELECT * FROM c EXCEPT SELECT * FROM p) UNION ALL SELECT *, 'removed' FROM (SELECT * FROM p EXCEPT SELECT * FROM c)")
+def combination_delta(spark, sf):
+    p = t(spark, sf, "part")
+    return catalog.delta(_combos(p.where("p_partkey % 3 <> 0 and p_brand <> 'Brand#1'")), _combos(p.where("p_type <> 'PROMO'")))
+
+
+@query("""
+SELECT 'lineitem_part' AS "check", count(DISTINCT l_partkey) AS violations FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 40)
+UNION ALL SELECT 'lineitem_supplier', count(DISTINCT l_suppkey) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)
+UNION ALL SELECT 'order_customer', count(DISTINCT o_custkey) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
+""")
+def consistency_gate(spark, sf):
+    li, o = t(spark, sf, "lineitem"), t(spark, sf, "orders")
+    return catalog.consistency([
+        ("lineitem_part", li.select(F.col("l_partkey").alias("k")), t(spark, sf, "part").where("p_size <= 40").select(F.col("p_partkey").alias("k")), ["k"]),
+        ("lineitem_supplier", li.select(F.col("l_suppkey").alias("k")), t(spark, sf, "supplier").select(F.col("s_suppkey").alias("k")), ["k"]),
+        ("order_customer", o.select(F.col("o_custkey").alias("k")), t(spark, sf, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("k")), ["k"]),
+    ])
+
+
+@query("SELECT c.p_type, v.p_name, v.p_brand FROM (SELECT DISTINCT p_type FROM part) c, (SELECT DISTINCT p_name, p_brand FROM part) v WHERE (c.p_type, v.p_name, v.p_brand) NOT IN (SELECT p_type, p_name, p_brand FROM part)")
+def union_fill_categories(spark, sf):
+    p = t(spark, sf, "part")
+    return catalog.union_fill(p, p.select("p_type"), "p_type", ["p_name", "p_brand"])
+
+
+@query("SELECT p_name, p_partkey, array_to_string(a, ',') AS aliases FROM (SELECT p_name, arg_min(p_partkey, (CASE WHEN p_type = 'PROMO' THEN 0 ELSE 1 END) * 1000000000 + length(p_brand) * 100000000 + p_partkey) AS p_partkey, list_sort(list(DISTINCT lower(p_brand))) AS a FROM part GROUP BY 1)")
+def survivor_collapse(spark, sf):
+    order = [F.when(F.col("p_type") == "PROMO", 0).otherwise(1), F.char_length("p_brand"), F.col("p_partkey")]
+    return catalog.survivors(t(spark, sf, "part"), ["p_name"], order, "p_brand").select("p_name", "p_partkey", F.array_join("aliases", ",").alias("aliases"))
+
+
+@query("SELECT p_type, array_to_string(list_sort(list(DISTINCT string_split(p_name, ' ')[2])), ',') AS finishes FROM part GROUP BY 1")
+def category_finishes(spark, sf):
+    p = t(spark, sf, "part").withColumn("w", F.get(F.split("p_name", " "), F.lit(1)))
+    return catalog.category_sets(p, "p_type", "w").select("p_type", F.array_join("values", ",").alias("finishes"))
+
+
+@query("SELECT p_type, p_brand, n FROM (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY n DESC, p_brand) AS r FROM (SELECT p_type, p_brand, count(*) AS n FROM part GROUP BY 1, 2)) WHERE r = 1")
+def default_mode(spark, sf):
+    return catalog.most_common(t(spark, sf, "part"), ["p_type"], "p_brand")
+
+
+@query("""
+WITH v AS (SELECT 'color' AS category, unnest(['red', 'blue', 'small', 'large']) AS norm UNION ALL SELECT 'type', unnest(['standard', 'promo', 'large', 'small'])), l AS (SELECT 'first' AS "column", string_split(p_name, ' ')[1] AS norm FROM part UNION ALL SELECT 'p_type', lower(p_type) FROM part), n AS (SELECT "column", count(*) AS total FROM l GROUP BY 1)
+SELECT l."column", category, round(count(*) / any_value(total), 4) AS rate FROM l JOIN v USING (norm) JOIN n ON n."column" = l."column" GROUP BY 1, 2
+""")
+def vocab_swap_matrix(spark, sf):
+    p = t(spark, sf, "part").select(F.get(F.split("p_name", " "), F.lit(0)).alias("first"), "p_type")
+    v = spark.createDataFrame([("color", w) for w in ("red", "blue", "small", "large")] + [("type", w) for w in ("standard", "promo", "large", "small")], "category string, norm string")
+    return catalog.vocabulary_swap(p, ["first", "p_type"], v)
+
+
+@query("SELECT p_partkey, coalesce(c, min(c) OVER (PARTITION BY p_name, p_type), 'Natural') AS color FROM (SELECT *, CASE WHEN p_size > 30 THEN p_brand END AS c FROM part)")
+def color_fill(spark, sf):
+    p = t(spark, sf, "part").withColumn("color", F.when(F.col("p_size") > 30, F.col("p_brand")))
+    return catalog.color_fill(p, ["p_name", "p_type"]).select("p_partkey", "color")
+
+
+@query("""
+WITH n AS (SELECT p_name || CASE WHEN p_size = 1 THEN ' 7x' ELSE '' END AS name, p_type FROM part), o AS (SELECT DISTINCT name AS norm, lower(p_type) AS type_norm FROM n)
+SELECT norm, type_norm, CASE WHEN norm LIKE 'old %' AND norm NOT LIKE '% 7x' THEN 'reject' WHEN norm LIKE '% 7x' THEN 'hold' WHEN (norm, type_norm) IN (SELECT p_name, lower(p_type) FROM part WHERE p_size <= 5) THEN 'existing' WHEN norm LIKE 'red %' THEN 'mint' ELSE 'review' END AS action FROM o
+""")
+def curation_actions(spark, sf):
+    p = t(spark, sf, "part")
+    names = p.select(F.concat("p_name", F.when(F.col("p_size") == 1, " 7x").otherwise("")).alias("name"), F.col("p_type").alias("type"))
+    only = lambda c: p.where(c).select(F.col("p_name").alias("name"), F.col("p_type").alias("type"))
+    return catalog.curate(names, only("p_size <= 5"), only("p_name like 'old %'"), only("p_name like 'red %'")).select("norm", "type_norm", "action")
+
+
+# ---- ledger ---------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT CASE o_orderstatus WHEN 'F' THEN 'synced' WHEN 'O' THEN 'pending' ELSE 'dirty' END AS state, count(*) AS n FROM orders GROUP BY 1")
+def ledger_status(spark, sf):
+    return ledger.status(_orders_state(t(spark, sf, "orders")))
+
+
+def _orders_state(o: DataFrame) -> DataFrame:
+    return o.withColumn("state", F.when(F.col("o_orderstatus") == "F", "synced").when(F.col("o_orderstatus") == "O", "pending").otherwise("dirty"))
+
+
+@query("SELECT p_partkey AS variation_key FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)")
+def orphaned_varieties(spark, sf):
+    return ledger.orphans(t(spark, sf, "part").select(F.col("p_partkey").alias("variation_key")), t(spark, sf, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("variation_key")))
+
+
+@query("SELECT o_orderkey AS sku, o_custkey AS variation_key FROM orders WHERE o_orderstatus IN ('O', 'P') AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 1000) ORDER BY o_orderdate, o_orderkey LIMIT 500")
+def servable_page(spark, sf):
+    o = _orders_state(t(spark, sf, "orders")).select(F.col("o_orderkey").alias("sku"), F.col("o_custkey").alias("variation_key"), "state", F.col("o_orderdate").alias("created_at"))
+    v = t(spark, sf, "customer").select(F.col("c_custkey").alias("variation_key"), F.when(F.col("c_acctbal") > 1000, "synced").otherwise("dirty").alias("state"), F.col("c_mktsegment").alias("type"), F.col("c_name").alias("image_url"))
+    return ledger.page(ledger.servable_products(o, v), ["created_at", "sku"]).select("sku", "variation_key")
+
+
+@query("""
+WITH s AS (SELECT o_custkey AS k, min(o_orderpriority) AS h, CASE WHEN o_custkey % 5 = 0 THEN 'retiring' WHEN o_custkey % 5 = 1 THEN 'pending' ELSE 'synced' END AS s FROM orders WHERE year(o_orderdate) < 1998 GROUP BY 1),
+n AS (SELECT o_custkey AS k, min(o_orderpriority) AS h FROM orders WHERE year(o_orderdate) >= 1998 AND o_custkey % 7 <> 0 GROUP BY 1)
+SELECT coalesce(s.k, n.k) AS k, coalesce(n.h, s.h) AS payload_hash, CASE WHEN s.k IS NULL THEN 'pending' WHEN n.k IS NULL THEN s.s WHEN s.s = 'retiring' THEN 'dirty' WHEN s.h <> n.h THEN CASE WHEN s.s = 'pending' THEN 'pending' ELSE 'dirty' END ELSE s.s END AS state FROM s FULL JOIN n ON s.k = n.k
+""")
+def ledger_upsert_transition(spark, sf):
+    o = t(spark, sf, "orders").withColumn("y", F.year("o_orderdate")).withColumnRenamed("o_custkey", "k")
+    at = F.lit("2024-01-01").cast("timestamp")
+    state = o.where("y < 1998").groupBy("k").agg(F.min("o_orderpriority").alias("payload_hash")).withColumn("state", F.when(F.col("k") % 5 == 0, "retiring").when(F.col("k") % 5 == 1, "pending").otherwise("synced")).withColumn("created_at", at).withColumn("updated_at", at)
+    new = o.where("y >= 1998 and k % 7 <> 0").groupBy("k").agg(F.min("o_orderpriority").alias("payload_hash"))
+    return ledger.upsert(state, new, "k", at).select("k", "payload_hash", "state")
+
+
+_ACKS = """
+WITH g AS (SELECT user_id, event_id, event_type <> 'error' AS ok, sum(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS g FROM events),
+f AS (SELECT user_id, g, sum(CASE WHEN ok THEN 0 ELSE 1 END) AS n FROM g GROUP BY 1, 2), l AS (SELECT user_id, arg_max(n, g) AS n FROM f GROUP BY 1)
+SELECT user_id, CASE WHEN n >= 5 THEN 'gap_held' WHEN n > 0 THEN 'dirty' ELSE 'synced' END AS state, CAST(n AS BIGINT) AS attempts FROM l
+"""
+
+
+@query(_ACKS)
+def ack_fold(spark, sf):
+    return ledger.ack_fold(t(spark, sf, "events"), "user_id", ["event_id"], F.col("event_type") != "error")
+
+
+@query(_ACKS)
+def streaming_ack_replay(spark, sf):
+    from ..streaming import acks
+    from ..streaming.paths import scratch
+
+    source = spark.readStream.schema(t(spark, sf, "events").schema).option("maxFilesPerTrigger", 1).option("pathGlobFilter", "events.parquet").parquet(sf)
+    root = scratch(spark, "acks")
+    acks.replay(source, f"{root}/log", f"{root}/checkpoint")
+    return acks.folded(spark, f"{root}/log", "user_id", ["event_id"], F.col("event_type") != "error")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' AND o_orderdate < TIMESTAMP '1998-06-01 00:00:00' - INTERVAL 900 SECOND THEN 'dirty' WHEN o_orderstatus = 'P' THEN 'syncing' ELSE 'synced' END AS state FROM orders")
+def lease_reap(spark, sf):
+    o = t(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "P", "syncing").otherwise("synced").alias("state"), F.col("o_orderdate").alias("leased_at"))
+    return ledger.reap(o, F.lit("1998-06-01").cast("timestamp")).select("o_orderkey", "state")
+
+
+@query("""
+WITH e AS (SELECT event_id, user_id % 50 AS v, event_type IN ('signup', 'error') AS is_v, event_type <> 'error' AS ok FROM events),
+s AS (SELECT *, last_value(CASE WHEN is_v THEN ok END IGNORE NULLS) OVER (PARTITION BY v ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM e)
+SELECT event_id, coalesce(seen, false) AS applied FROM s WHERE NOT is_v
+""")
+def guarded_product_acks(spark, sf):
+    is_v = F.col("event_type").isin("signup", "error")
+    e = t(spark, sf, "events").select(F.col("event_id").alias("ordinal"), F.when(is_v, "variation").otherwise("product").alias("type"), F.when(is_v, F.col("user_id") % 50).otherwise(F.col("event_id") + 1000).alias("key"), (F.col("user_id") % 50).alias("variation_key"), (F.col("event_type") != "error").alias("ok"))
+    return ledger.guarded_product_acks(e).select(F.col("ordinal").alias("event_id"), "applied")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_quantity = floor(l_quantity) THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) ELSE CAST(l_quantity AS VARCHAR) END AS \"Quantity\", '' AS \"Unmapped\", CASE WHEN l_returnflag = 'R' THEN 'true' ELSE 'false' END AS \"Returned\" FROM lineitem")
+def import_template(spark, sf):
+    li = t(spark, sf, "lineitem")
+    keyed = li.withColumn("r", F.col("l_returnflag") == "R")
+    out = sinks.template(keyed, ["l_orderkey", "l_linenumber", "l_partkey", "Quantity", "Unmapped", "Returned"], {"l_orderkey": F.col("l_orderkey"), "l_linenumber": F.col("l_linenumber"), "l_partkey": F.col("l_partkey"), "Quantity": F.col("l_quantity"), "Returned": F.col("r")})
+    return out.withColumns({"l_orderkey": F.col("l_orderkey").cast("long"), "l_linenumber": F.col("l_linenumber").cast("int"), "l_partkey": F.col("l_partkey").cast("long")})
