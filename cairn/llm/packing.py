@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 
 from .common import cut, slices, text_bytes, text_or_empty, worker_state
 
-CAPACITY, END, NEARLY, FAN_IN, PER_TASK, CACHE = 2048, 0, 0.99, 8, 200_000, 700_000
+CAPACITY, END, NEARLY, FAN_IN, PER_TASK, CACHE = 2048, 0, 0.99, 8, 200_000, 1_200_000
+
+MARKS = ".,;:!?%&$#*|"
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -50,7 +52,6 @@ class WordTokens:
 
     def __init__(self, path: str):
         import json
-        import re
 
         from tokenizers import Tokenizer
 
@@ -60,15 +61,22 @@ class WordTokens:
         split = told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         kinds = [x["type"] for x in told["normalizer"]["normalizers"]]
         known = kinds == ["NFC", "Replace", "Lowercase"] and split == self.PATTERN
-        odd = ["İ", "Σ", "[\x1c-\x1f]", *(re.escape(t["content"]) for t in told["added_tokens"])]
-        self.whole = re.compile("|".join(odd) if known else "").search
+        self.odd = ["İ", "Σ", "\x1c", "\x1d", "\x1e", "\x1f", *(t["content"] for t in told["added_tokens"])] if known else [""]
         self.cache: dict[str, bytes] = {}
 
     def _learn(self, chunks: list[str]) -> None:
-        if len(self.cache) + len(chunks) > CACHE:
-            self.cache.clear()
-        for a in range(0, len(chunks), 20_000):
-            part = chunks[a : a + 20_000]
+        ends: dict[str, tuple[str, str]] = {}  # a word and the marks after it are split there
+        plain: dict[str, None] = {}
+        for c in chunks:
+            word = c.rstrip(MARKS)
+            if word and len(word) < len(c) and word[-1].isalnum():
+                ends[c] = (word, c[len(word) :])
+                plain[word] = plain[c[len(word) :]] = None
+            else:
+                plain[c] = None
+        unknown = [c for c in plain if c not in self.cache]
+        for a in range(0, len(unknown), 20_000):
+            part = unknown[a : a + 20_000]
             told = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             sizes = np.fromiter(map(len, part), np.int64, len(part)) + 1
             begin = np.cumsum(sizes) - sizes
@@ -76,13 +84,14 @@ class WordTokens:
             edges = np.searchsorted(offsets, np.append(begin, begin[-1] + sizes[-1])) * 4
             raw = np.array(told.ids, dtype="<u4").tobytes()
             self.cache.update(zip(part, map(lambda x, y: raw[x:y], edges[:-1].tolist(), edges[1:].tolist()), strict=True))
+        self.cache.update((c, self.cache[w] + self.cache[m]) for c, (w, m) in ends.items())
 
     def packed(self, texts: list[str]) -> list[bytes]:
         out: list = [None] * len(texts)
         split: list = []
         missing: dict[str, None] = {}
         for k, text in enumerate(texts):
-            if self.whole(text):
+            if any(x in text for x in self.odd):
                 out[k] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
                 continue
             if not text.isascii() and not unicodedata.is_normalized("NFC", text):
@@ -95,7 +104,8 @@ class WordTokens:
             else:
                 out[k] = b"".join(found)
         if missing:
-            if len(self.cache) + len(missing) > CACHE:  # cleared: all of these texts' chunks are learned anew
+            if len(self.cache) + 2 * len(missing) > CACHE:  # cleared: all of these texts' chunks are learned anew
+                self.cache.clear()
                 missing = dict.fromkeys(c for _, chunks in split for c in chunks)
             self._learn(list(missing))
             for k, chunks in split:
