@@ -90,7 +90,7 @@ def title_case(c: Column) -> Column:
 def bracket_aliases(c: Column) -> Column:
     """What stands in round or square brackets, trimmed, blanks dropped."""
     found = F.regexp_extract_all(c, F.lit(r"[(\[]([^)\]]*)[)\]]"), 1)
-    return F.filter(F.transform(found, F.trim), lambda x: x != "")
+    return F.filter(F.transform(found, lambda x: F.trim(x)), lambda x: x != "")
 
 
 def without_brackets(c: Column) -> Column:
@@ -126,7 +126,7 @@ def clean(c: Column) -> Column:
 def split_list(c: Column, sep: str = ",") -> Column:
     import re
 
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), re.escape(sep)), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), re.escape(sep)), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def na(c: Column) -> Column:

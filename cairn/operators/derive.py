@@ -52,7 +52,7 @@ def inventory_ladder(slabs: Column, quantity: Column, stock_m2: Column, length:
     """Slab count, stated quantity (nothing is a quantity too), stock area by face; capped."""
     exact = lambda c: F.when((c.try_cast("double") >= 0) & (c.try_cast("double") == F.floor(c.try_cast("double"))), c.try_cast("double").cast("int"))
     by_area = F.greatest(F.lit(1), F.floor(F.try_divide(N.parse_number(stock_m2), length * width)).cast("int"))
-    cap = lambda c: F.least(c, F.lit(C.INVENTORY_CAP))
+    cap = lambda c: F.when(c > C.INVENTORY_CAP, F.lit(C.INVENTORY_CAP)).otherwise(c)
     return ladder(
         rung(cap(exact(slabs)), "slab_count", "high"),
         rung(cap(exact(quantity)), "quantity", "high"),

@@ -68,7 +68,7 @@ def multi_parts(raw: Column) -> Column:
     """(combine, parts) of a value that names several: joined by + & / and, or listed by | and commas."""
     listed = raw.rlike(r"[|,]")
     parts = F.split(raw, r"(?i)\s*[|,]\s*|\s*[+&/]\s*|\s+and\s+")
-    return F.struct((~listed).alias("combine"), F.filter(F.transform(parts, F.trim), lambda x: x != "").alias("parts"))
+    return F.struct((~listed).alias("combine"), F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "").alias("parts"))
 
 
 def resolve_multi(values: DataFrame, vocabulary: DataFrame) -> DataFrame:

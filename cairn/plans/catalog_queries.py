@@ -143,8 +143,8 @@ def parse_number_locale(spark, sf):
 
 
 @query("""
-SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN round(p_size * 0.01, 6) WHEN 1 THEN round((p_size + p_size + 2) / 2 * 0.001, 6) WHEN 2 THEN round(p_size * 0.0254, 6) END AS metres,
-CASE p_size % 4 WHEN 0 THEN round(p_size * 0.01, 6) WHEN 1 THEN round((p_size + 2) * 0.001, 6) WHEN 2 THEN round(p_size * 0.0254, 6) END AS face FROM part
+SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN round(CAST(p_size AS DOUBLE) * 0.01, 6) WHEN 1 THEN round((p_size + p_size + 2) / 2 * 0.001, 6) WHEN 2 THEN round(CAST(p_size AS DOUBLE) * 0.0254, 6) END AS metres,
+CASE p_size % 4 WHEN 0 THEN round(CAST(p_size AS DOUBLE) * 0.01, 6) WHEN 1 THEN round(CAST((p_size + 2) AS DOUBLE) * 0.001, 6) WHEN 2 THEN round(CAST(p_size AS DOUBLE) * 0.0254, 6) END AS face FROM part
 """)
 def measure_unit_convert(spark, sf):
     s = F.col("p_size").cast("string")
@@ -364,7 +364,7 @@ def origin_ladder(spark, sf):
 
 
 @query("""
-SELECT p_partkey, round(CASE WHEN p_size % 3 = 0 THEN 3.3 WHEN p_size % 3 = 1 THEN (100 + p_size) * 0.01 ELSE (200 + p_size) / 100.0 END, 3) AS length, CASE p_size % 3 WHEN 0 THEN 'default' WHEN 1 THEN 'parsed' ELSE 'cm_fix' END AS method FROM part
+SELECT p_partkey, round(CASE WHEN p_size % 3 = 0 THEN CAST(3.3 AS DOUBLE) WHEN p_size % 3 = 1 THEN CAST((100 + p_size) AS DOUBLE) * 0.01 ELSE (200 + p_size) / 100.0 END, 3) AS length, CASE p_size % 3 WHEN 0 THEN 'default' WHEN 1 THEN 'parsed' ELSE 'cm_fix' END AS method FROM part
 """)
 def dimension_ladder(spark, sf):
     s = F.col("p_size")
