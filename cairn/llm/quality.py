@@ -21,8 +21,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, text_or_empty
-from .toxicity import CAPITALS, CRIES, DIGITS, LETTERS, MARKS, SYMBOLS, byte_counts, labelled_sample
+from .common import slices, text_bytes, text_or_empty
+from .toxicity import CAPITALS, CHUNK, CRIES, DIGITS, LETTERS, MARKS, SYMBOLS, byte_counts, labelled_sample
 
 SAMPLE, CUT, SHRINK, RIDGE = 20_000, 0.3, 0.1, 1e-2
 
@@ -114,8 +114,10 @@ def _measured(batches: Iterator) -> Iterator:
 
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
-        x = statistics(batch.column("text").to_pylist(), data, offsets)
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array(list(x), pa.list_(pa.float64()))], ["id", "y", "x"])
+        for a, b in slices(offsets, CHUNK):
+            part = batch.slice(a, b - a)
+            x = statistics(part.column("text").to_pylist(), data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("y"), pa.array(list(x), pa.list_(pa.float64()))], ["id", "y", "x"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE) -> Discriminant | None:
@@ -135,7 +137,8 @@ def score_column(model: Discriminant | None, text: Column) -> Column:
         if model is None:
             return pa.array(np.full(len(texts), 0.5))
         data, offsets = text_bytes(texts)
-        return pa.array(model.score(statistics(texts.to_pylist(), data, offsets)))
+        out = [model.score(statistics(texts.slice(a, b - a).to_pylist(), data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])) for a, b in slices(offsets, CHUNK)]
+        return pa.array(np.concatenate(out) if out else np.zeros(0))
 
     return score(text)
 

@@ -355,15 +355,16 @@ def similar_groups(docs: DataFrame, words: int = WIDE_WORDS, alike: float = ALIK
     return rows.join(named, F.col("fp") == F.col("fp2"), "left").select("id", "component")
 
 
-def one_of_each(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """The rows with the smallest id of their group of similar texts; one row where that row repeats.
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows with the smallest id of their group of similar texts; equal rows of one id count once.
 
-    Rows whose id is null stay only where no row with an id has their text's group.
+    Rows whose id is null have no place in the order: they all stay, equal texts once.
     """
-    groups = similar_groups(docs, id_column=id_column)
-    keep = groups.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("_kept")).distinct()
-    kept = docs.join(keep, F.col(id_column).cast("long").eqNullSafe(F.col("_kept")), "left_semi")
-    return kept.dropDuplicates([id_column])
+    groups = similar_groups(docs.where(F.col(id_column).isNotNull()), text=text, id_column=id_column)
+    keep = groups.where("id = component").select(F.col("id").alias("_kept")).distinct()
+    named = docs.where(F.col(id_column).isNotNull()).join(keep, F.col(id_column).cast("long") == F.col("_kept"), "left_semi")
+    every = named.unionByName(docs.where(F.col(id_column).isNull()))
+    return every.withColumn("_text_md5", F.md5(text_or_empty(text).cast("binary"))).dropDuplicates([id_column, "_text_md5"]).drop("_text_md5")
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:

@@ -27,9 +27,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, text_or_empty
+from .common import slices, text_bytes, text_or_empty
 
-SAMPLE, ENTRIES, CUT = 20_000, 3_000, 0.7
+SAMPLE, ENTRIES, CUT, CHUNK = 20_000, 3_000, 0.7, 1 << 20
 TREES, DEPTH, RATE, BINS, LEAF, FOLDS = 60, 3, 0.2, 32, 5, 3
 INSULTS = frozenset("idiot idiots moron morons stupid dumb pathetic disgusting worthless trash scum loser losers clown clowns filth garbage imbecile retard bastard vermin".split())
 SECOND = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton ta vous votre vos tú ti usted ustedes tus vosotros".split())
@@ -239,10 +239,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE)
 
             for batch in batches:
                 data, offsets = text_bytes(batch.column("text"))
-                texts, half = batch.column("text").to_pylist(), np.array(batch.column("half").to_pylist())
-                both = [dense_features(texts, data, offsets, x) for x in lexicons]
-                x = np.where(half[:, None] == 0, both[1], both[0])
-                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array(list(x), pa.list_(pa.float64()))], ["id", "y", "x"])
+                for a, b in slices(offsets, CHUNK):
+                    part = batch.slice(a, b - a)
+                    texts, half = part.column("text").to_pylist(), np.array(part.column("half").to_pylist())
+                    both = [dense_features(texts, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], x) for x in lexicons]
+                    x = np.where(half[:, None] == 0, both[1], both[0])
+                    yield pa.RecordBatch.from_arrays([part.column("id"), part.column("y"), pa.array(list(x), pa.list_(pa.float64()))], ["id", "y", "x"])
 
         kind = dict(rows.dtypes)["id"]
         table = rows.mapInArrow(featured, f"id {kind}, y int, x array<double>").orderBy("id", "x").collect()
@@ -262,7 +264,8 @@ def score_column(model: Model, text: Column) -> Column:
         import pyarrow as pa
 
         data, offsets = text_bytes(texts)
-        return pa.array(model.score(texts.to_pylist(), data, offsets))
+        out = [model.score(texts.slice(a, b - a).to_pylist(), data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets, CHUNK)]
+        return pa.array(np.concatenate(out) if out else np.zeros(0))
 
     return score(text)
 
