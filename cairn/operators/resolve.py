@@ -89,59 +89,68 @@ def resolve_multi(values: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 
 def surfaces(candidates: DataFrame) -> DataFrame:
-    """A row for each projection of each name and alias: (cid, canonical, block, tier, key).  candidates (cid, name, aliases, type)."""
-    named = candidates.select("cid", F.col("name").alias("canonical"), T.match_key(F.col("type")).alias("block"), F.explode(F.array_union(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("surface"))
+    """A row for each name and alias with its projections: (cid, ckey, block, surface, norm, ...).  candidates (cid, name, aliases, type)."""
+    named = candidates.select("cid", T.match_key(F.col("name")).alias("ckey"), T.match_key(F.col("type")).alias("block"), F.explode(F.array_union(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("surface"))
     keyed = named.withColumn("norm", T.match_key(F.col("surface"))).where("norm <> ''").dropDuplicates(["cid", "norm"])
     return keyed.withColumns({"compact": T.compact(F.col("norm")), "tokenset": T.tokenset(F.col("norm")), "deprefixed": T.deprefixed(F.col("norm")), "phonetic": K.phonetic_key("norm")})
 
 
-def _choose(hits: DataFrame, tier: str, review: bool) -> DataFrame:
-    """One candidate or none for each query: narrowed by name, then by block."""
-    named = F.col("qnorm") == T.match_key(F.col("canonical"))
-    blocked = (F.col("qblock") == "") | (F.col("block") == "") | (F.col("qblock") == F.col("block"))
-    per = hits.groupBy("query", "qblock").agg(
-        F.collect_set("cid").alias("all"), F.collect_set(F.when(named, F.col("cid"))).alias("own"), F.collect_set(F.when(blocked, F.col("cid"))).alias("fit"),
-        F.collect_set(F.when(named & blocked, F.col("cid"))).alias("both"),
+TIERS = ("exact", "compact", "tokenset", "deprefixed", "phonetic")
+
+
+def _tiers(rows: DataFrame) -> DataFrame:
+    """A row for each tier's key."""
+    keys = ("norm", "compact", "tokenset", "deprefixed", "phonetic")
+    long = rows.withColumn("_t", F.explode(F.array(*(F.struct(F.lit(i).alias("rank"), F.col(k).alias("key")) for i, k in enumerate(keys)))))
+    return long.withColumns({"rank": F.col("_t.rank"), "key": F.col("_t.key")}).drop("_t").where("key <> ''")
+
+
+def _fits() -> Column:
+    return (F.col("qblock") == "") | (F.col("block") == "") | (F.col("qblock") == F.col("block"))
+
+
+def _choose(hits: DataFrame) -> DataFrame:
+    """The first tier that settles a query: one candidate after narrowing by name, then by block; only exact ties go to review."""
+    named = F.col("qnorm") == F.col("ckey")
+    per = hits.groupBy("query", "qblock", "rank").agg(
+        F.collect_set("cid").alias("all"), F.collect_set(F.when(named, F.col("cid"))).alias("own"), F.collect_set(F.when(_fits(), F.col("cid"))).alias("fit"),
+        F.collect_set(F.when(named & _fits(), F.col("cid"))).alias("both"),
     )
     only = lambda c: F.when(F.size(c) == 1, F.get(c, F.lit(0)))
-    pool_fit = F.when(F.size("own") > 0, F.col("both")).otherwise(F.col("fit"))
-    cid = F.coalesce(F.when(F.size("all") == 1, only("fit")), F.when(F.size("own") > 0, only("own")), only(pool_fit))
-    out = per.withColumn("cid", cid)
-    found = out.where("cid is not null").select("query", "qblock", "cid", F.lit(tier).alias("tier"), F.lit("accept").alias("decision"), F.lit(100.0).alias("score"))
-    if not review:
-        return found
-    tied = out.where(F.col("cid").isNull() & (F.size(pool_fit) > 1)).select("query", "qblock", F.array_min(pool_fit).alias("cid"), F.lit("exact_ambiguous").alias("tier"), F.lit("review").alias("decision"), F.lit(100.0).alias("score"))
-    return found.unionByName(tied)
+    pool = F.when(F.size("own") > 0, F.col("both")).otherwise(F.col("fit"))
+    cid = F.coalesce(F.when(F.size("all") == 1, only("fit")), F.when(F.size("own") > 0, only("own")), only(pool))
+    tier = F.get(F.array(*map(F.lit, TIERS)), F.col("rank"))
+    found = F.when(cid.isNotNull(), F.struct(cid.alias("cid"), tier.alias("tier"), F.lit("accept").alias("decision"), F.lit(100.0).alias("score")))
+    tied = F.when((F.col("rank") == 0) & (F.size(pool) > 1), F.struct(F.array_min(pool).alias("cid"), F.lit("exact_ambiguous").alias("tier"), F.lit("review").alias("decision"), F.lit(100.0).alias("score")))
+    out = per.withColumn("x", F.coalesce(found, tied)).where("x is not null")
+    return out.groupBy("query", "qblock").agg(F.min_by("x", "rank").alias("x")).select("query", "qblock", "x.*")
 
 
 def match_ladder(queries: DataFrame, index: DataFrame, accept: float = C.AUTO_ACCEPT, floor: float = C.REVIEW_FLOOR) -> DataFrame:
     """(query, qblock, cid, tier, decision, score) for distinct queries (query, qtype).
 
-    Exact, compact, token-set, deprefixed, phonetic and fuzzy tiers in turn; each
-    runs only on what the ones before left open.  The fuzzy tier compares within a
-    type block, and untyped rows with the candidates that share a word beginning.
+    Exact, compact, token-set, deprefixed and phonetic tiers are one join on (tier,
+    key), of which the first that settles a query counts; the fuzzy tier runs only on
+    what is left, and compares within a type block candidates that share a word beginning.
     """
     q = queries.select("query", T.match_key(F.col("qtype")).alias("qblock")).distinct().withColumn("qnorm", T.match_key(F.col("query"))).where("qnorm <> ''")
-    q = q.withColumns({"compact": T.compact(F.col("qnorm")), "tokenset": T.tokenset(F.col("qnorm")), "deprefixed": T.deprefixed(F.col("qnorm")), "phonetic": K.phonetic_key("qnorm")}).withColumn("norm", F.col("qnorm"))
-    out, rest = None, q
-    for tier in ("norm", "compact", "tokenset", "deprefixed", "phonetic"):
-        keys = index.select("cid", "canonical", "block", F.col(tier).alias("_key"), F.col("norm").alias("_norm")).where("_key <> ''")
-        hits = rest.join(keys, F.col(tier) == F.col("_key"))
-        if tier == "phonetic":
-            hits = hits.where((K.jaro_winkler_score("qnorm", "_norm") * 100 >= C.PHONETIC_GUARD) & ((F.col("qblock") == "") | (F.col("block") == "") | (F.col("qblock") == F.col("block"))))
-        step = _choose(hits, "exact" if tier == "norm" else tier, tier == "norm")
-        out = step if out is None else out.unionByName(step)
-        rest = rest.join(step.select("query", "qblock"), ["query", "qblock"], "left_anti")
+    q = q.withColumns({"compact": T.compact(F.col("qnorm")), "tokenset": T.tokenset(F.col("qnorm")), "deprefixed": T.deprefixed(F.col("qnorm")), "phonetic": K.phonetic_key("qnorm"), "norm": F.col("qnorm")})
+    known = index.withColumnRenamed("norm", "_norm").withColumn("norm", F.col("_norm"))
+    asked = _tiers(q).select("query", "qblock", "qnorm", "rank", "key")
+    held = _tiers(known).select("cid", "ckey", "block", "_norm", "rank", "key")
+    hits = asked.join(held, ["rank", "key"])
+    sound = hits.where("rank = 4").where(_fits() & (F.col("_norm") != F.col("qnorm"))).where(K.jaro_winkler_score("qnorm", "_norm") * 100 >= C.PHONETIC_GUARD)
+    settled = _choose(hits.where("rank < 4").unionByName(sound))
+    rest = q.select("query", "qblock", "qnorm").join(settled.select("query", "qblock"), ["query", "qblock"], "left_anti")
     starts = lambda c: F.array_distinct(F.transform(F.split(c, " "), lambda w: F.substring(w, 1, 3)))
-    left = rest.select("query", "qblock", "qnorm", F.explode(starts(F.col("qnorm"))).alias("s"))
-    right = index.select("cid", "canonical", "block", F.col("norm").alias("_norm"), F.explode(starts(F.col("norm"))).alias("s"))
-    pairs = left.join(right, "s").where((F.col("qblock") == "") | (F.col("block") == "") | (F.col("qblock") == F.col("block")))
-    pairs = pairs.where((F.size(F.split("_norm", " ")) > 1) | (F.size(F.split("qnorm", " ")) < 2)).select("query", "qblock", "qnorm", "cid", "canonical", "_norm").distinct()
+    left = rest.withColumn("s", F.explode(starts(F.col("qnorm"))))
+    right = index.select("cid", "ckey", "block", F.col("norm").alias("_norm"), F.explode(starts(F.col("norm"))).alias("s"))
+    pairs = left.join(right, "s").where(_fits())
+    pairs = pairs.where((F.size(F.split("_norm", " ")) > 1) | (F.size(F.split("qnorm", " ")) < 2)).select("query", "qblock", "qnorm", "cid", "ckey", "_norm").distinct()
     scored = pairs.withColumn("score", K.fuzzy_score("qnorm", "_norm"))
-    top = Window.partitionBy("query", "qblock").orderBy(F.desc("score"), F.desc((F.col("_norm") == T.match_key(F.col("canonical"))).cast("int")), "cid")
-    best = scored.withColumn("_n", F.row_number().over(top)).where("_n = 1")
-    fuzzy = best.where(F.col("score") >= floor).select("query", "qblock", "cid", F.lit("fuzzy").alias("tier"), F.when(F.col("score") >= accept, "accept").otherwise("review").alias("decision"), F.round("score", 4).alias("score"))
-    out = out.unionByName(fuzzy)
+    best = scored.groupBy("query", "qblock").agg(F.max_by(F.struct("cid", "score"), F.struct("score", F.col("_norm") == F.col("ckey"), -F.col("cid"))).alias("x"))
+    fuzzy = best.where(F.col("x.score") >= floor).select("query", "qblock", "x.cid", F.lit("fuzzy").alias("tier"), F.when(F.col("x.score") >= accept, "accept").otherwise("review").alias("decision"), F.round("x.score", 4).alias("score"))
+    out = settled.unionByName(fuzzy)
     return q.select("query", "qblock").join(out, ["query", "qblock"], "left").withColumns({"tier": F.coalesce("tier", F.lit("no_candidate")), "decision": F.coalesce("decision", F.lit("gap"))})
 
 
@@ -159,10 +168,21 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
 
 
-def semantic_nearest(queries: DataFrame, candidates: DataFrame, vector: str = "embedding", most: int = 200_000) -> DataFrame:
-    """(qid, cid, score) of the nearest candidate of each query; queries are broadcast in blocks of at most `most` values."""
-    scored = candidates.join(F.broadcast(queries), F.col("cid") != F.col("qid")).withColumn("score", cosine(F.col("qvec"), F.col(vector)))
-    return scored.groupBy("qid").agg(F.max_by("cid", F.struct(F.round("score", 6), -F.col("cid"))).alias("cid"), F.round(F.max("score"), 6).alias("score"))
+def semantic_nearest(queries: DataFrame, candidates: DataFrame, vector: str = "embedding", most: int = 2_000) -> DataFrame:
+    """(qid, cid, score) of the nearest other candidate of each query (qid, qvec).
+
+    The stated queries are read in blocks of at most `most`, and each block, whose size
+    is thus bounded, is compared with all candidates; more queries mean more passes.
+    """
+    n = queries.count()
+    blocks = max(1, -(-n // most))
+    out = None
+    for i in range(blocks):
+        part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == i)
+        scored = candidates.join(F.broadcast(part), F.col("cid") != F.col("qid")).withColumn("score", cosine(F.col("qvec"), F.col(vector)))
+        best = scored.groupBy("qid").agg(F.max_by("cid", F.struct(F.round("score", 6), -F.col("cid"))).alias("cid"), F.round(F.max("score"), 6).alias("score"))
+        out = best if out is None else out.unionByName(best)
+    return out
 
 
 def alias_decision(probability: Column, despaced: Column, same_type: Column) -> Column:
