@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, text_or_empty
+from .common import bound_batches, mix64, text_or_empty
 
 GRAM, RARE, CUT, BLOCK = 5, 8, 0.6, 200_000
 _WORD = re.compile(r"\w+")
@@ -193,6 +193,7 @@ def _document_counts(shared):
 def seeded_blocks(docs: DataFrame, benchmark: DataFrame, n: int = GRAM, most: int = BLOCK, text: str = "text") -> Iterator:
     """Broadcast blocks whose seeds follow the counts over all documents."""
     spark = docs.sparkSession
+    bound_batches(spark)
     for block in _blocks(benchmark, n, most):
         if not len(block.grams):
             continue

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE_A, BASE_B, parts, prefix_sums, slices, span_hash, text_or_empty
+from .common import BASE_A, BASE_B, bound_batches, parts, prefix_sums, slices, span_hash, text_or_empty
 
 LETTERS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", dtype=np.uint8)
 SMALLEST, MOST, FEWEST, ROLL, COMMON = 3, 64, 16, 7, 4
@@ -161,6 +161,7 @@ def neighbour_fingerprints(docs: DataFrame, text: str = "text", id_column: str =
     row of the range below as a guest, so no row has to see all others.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     slim = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text"))
     kind = dict(slim.dtypes)["id"]
     n = buckets or 2 * parts(spark)

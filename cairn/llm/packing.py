@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices, text_bytes, text_or_empty, worker_state
+from .common import bound_batches, cut, slices, text_bytes, text_or_empty, worker_state
 
 CAPACITY, END, NEARLY, FAN_IN, PER_TASK, CACHE = 2048, 0, 0.99, 8, 200_000, 1_200_000
 
@@ -143,6 +143,7 @@ def _pieces_of(path: str, capacity: int):
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every text's token pieces."""
+    bound_batches(docs.sparkSession)
     slim = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text"))
     kind = dict(slim.dtypes)["id"]
     return slim.mapInArrow(_pieces_of(path or tokenizer_path(), capacity), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, mix64, parts, text_bytes, text_or_empty
+from .common import bound_batches, cut, mix64, parts, text_bytes, text_or_empty
 from .components import connected_components
 
 WORDS, RADIUS, SEED = 4, 4, 42
@@ -101,6 +101,7 @@ def _fingerprints(words: int):
 
 def fingerprints(docs: DataFrame, words: int = WORDS, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """(id, fp) of every row; fp holds the 64 bits as a long."""
+    bound_batches(docs.sparkSession)
     slim = docs.select(F.col(id_column).cast("long").alias("id"), text_or_empty(text).alias("text"))
     return slim.mapInArrow(_fingerprints(words), "id long, fp long")
 
@@ -340,6 +341,7 @@ def similar_groups(docs: DataFrame, words: int = WIDE_WORDS, alike: float = ALIK
     link if at most the share `alike` of all bits differs.  Bits to a band follow the
     number of nodes, bands follow from the recall wanted of pairs that differ in 0.15 of their bits.
     """
+    bound_batches(docs.sparkSession)
     slim = docs.select(F.col(id_column).cast("long").alias("id"), text_or_empty(text).alias("text"))
     n = max(1, slim.count())
     bits = max(12, n.bit_length() - 6)

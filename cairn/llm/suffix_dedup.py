@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE_A, BASE_B, cut, mix64, parts, prefix_sums, slices, span_hash, text_bytes, text_or_empty
+from .common import BASE_A, BASE_B, bound_batches, cut, mix64, parts, prefix_sums, slices, span_hash, text_bytes, text_or_empty
 
 LENGTH, GRAM, HOT = 400, 100, 20_000
 CHUNK = 1 << 19
@@ -278,15 +278,20 @@ def _kept(batches: Iterator) -> Iterator:
 def repeated_spans(docs: DataFrame, text: str = "text", id_column: str = "doc_id", length: int = LENGTH, gram: int | None = None, hot: int = HOT):
     """(rows, changed): rows (id, thash, n_bytes, copies) of the input, and for texts that lose bytes (thash, kept, n_removed, n_spans)."""
     spark = docs.sparkSession
+    bound_batches(spark)
     gram = gram or max(1, length // 4)
     texts = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text")).withColumn("thash", F.unhex(F.md5(F.col("text").cast("binary"))))
     rows = texts.select("id", "thash", F.octet_length("text").cast("long").alias("n_bytes"))
     long_enough = texts.where(F.octet_length("text") >= length)
     runs = long_enough.select("thash", "text").mapInArrow(_runs_of(length, gram), f"thash binary, {_RUN}")
-    shared = runs.groupBy("khash").agg(F.count("*").alias("members"), F.min(F.struct("thash", "p")).alias("a"), F.max(F.struct("thash", "p")).alias("b")).where("a != b").select("khash", "members")
+    shared = runs.groupBy("khash").agg(F.count("*").alias("members"), F.min(F.struct("thash", "p")).alias("a"), F.max(F.struct("thash", "p")).alias("b")).where("a != b")
+    # under another key the counts are dealt anew, so that Spark can split a class that a large share of texts has
+    other = lambda c: F.col(c).bitwiseXOR(F.lit(1).cast("long"))
+    known = shared.select(other("khash").alias("class"), "members")
     # one text stands for its copies; its row has the smallest id
     copies = rows.where(F.col("n_bytes") >= length).groupBy("thash").agg(F.count("*").alias("copies"), F.min("id").alias("id"))
-    wanted = runs.join(shared, "khash").groupBy("thash").agg(F.collect_set(F.struct("khash", "members", "s0", "s1", "p")).alias("runs")).join(copies, "thash")
+    met = runs.withColumn("class", other("khash")).join(known, "class")
+    wanted = met.groupBy("thash").agg(F.collect_set(F.struct("khash", "members", "s0", "s1", "p")).alias("runs")).join(copies, "thash")
     held = cut(long_enough.join(wanted.withColumnRenamed("thash", "t2").withColumnRenamed("id", "id2"), (F.col("thash") == F.col("t2")) & F.col("id").eqNullSafe(F.col("id2"))).select("thash", "text", "copies", "runs"))
     segments = held.select("thash", "text", "runs").mapInArrow(_segments_of(length, gram), "lead binary, thash binary, khash long, members long, s0 int, s1 int, p int, seg binary")
     n = parts(spark)

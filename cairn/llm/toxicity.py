@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes, text_or_empty
+from .common import bound_batches, slices, text_bytes, text_or_empty
 
 SAMPLE, ENTRIES, CUT, CHUNK = 20_000, 3_000, 0.7, 1 << 20
 TREES, DEPTH, RATE, BINS, LEAF, FOLDS = 60, 3, 0.2, 32, 5, 3
@@ -220,6 +220,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
+    bound_batches(docs.sparkSession)
     rows = labelled_sample(docs, labels, "toxic", learn, sample).withColumn("half", F.pmod(F.xxhash64(F.col("id"), F.lit("half")), F.lit(2)).cast("int"))
     rows = rows.persist()
     try:
