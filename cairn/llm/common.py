@@ -132,6 +132,4 @@ BATCH_BYTES = 4 << 20
 
 def bound_batches(spark: SparkSession) -> None:
     """Texts travel to Python in batches of at most 4 MB, however many rows that is."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key, "0").rstrip("bB") or 0) != BATCH_BYTES:
-        spark.conf.set(key, str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
