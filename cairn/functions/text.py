@@ -37,7 +37,8 @@ def collapse_ws(c: Column) -> Column:
 
 
 def ascii_fold(c: Column) -> Column:
-    """Latin letters to ASCII; other characters outside ASCII go.  Ligatures and digits in signs expand."""
+    """Latin letters to ASCII; other characters outside ASCII go.  Ligatures and digits in signs expand.  ASCII passes as it is."""
+    plain = c
     for k, v in SPECIAL.items():
         if len(v) > 1:
             c = F.replace(c, F.lit(k), F.lit(v))
@@ -46,7 +47,7 @@ def ascii_fold(c: Column) -> Column:
     for k, v in (("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬀ", "ff"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("½", "12"), ("¼", "14"), ("¾", "34")):
         c = F.replace(c, F.lit(k), F.lit(v))
     c = F.translate(c, "".join(one) + source, "".join(one.values()) + target)
-    return F.regexp_replace(c, r"[^\x00-\x7F]", "")
+    return F.when(plain.rlike(r"^[\x00-\x7F]*$"), plain).otherwise(F.regexp_replace(c, r"[^\x00-\x7F]", ""))
 
 
 def match_key(c: Column) -> Column:
