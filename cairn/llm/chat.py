@@ -117,3 +117,13 @@ def op4_chat(spark, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"),
         "identical",
     )
+
+
+ORACLE_SQL = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+f AS (SELECT *, 15 + length(role) + length(text) + CASE WHEN contains(text, '</turn>' || chr(10)) THEN 1 + length(regexp_replace(text, '[^\\<>\n]', '', 'g')) ELSE 0 END AS n FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+CAST(length(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS BIGINT) AS loss_chars,
+sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(sum(n) AS BIGINT) AS formatted_chars, true AS identical FROM f GROUP BY conv_id
+"""

@@ -89,3 +89,11 @@ def op9_warc(spark, sf_dir: str) -> DataFrame:
     back = read(spark, path)
     target = F.regexp_extract(field("WARC-Refers-To"), r"<urn:page:(-?\d+)>", 1)
     return back.select("page_id", "payload_bytes", "payload_digest", field("WARC-Type").alias("record_type"), F.nullif(target, F.lit("")).cast(pages.schema["page_id"].dataType).alias("refers_to"))
+
+
+ORACLE_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages), h AS (SELECT page_id, html, sha1(html) AS h, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) AS BIGINT) + 1, 1)), '') AS payload_digest,
+CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM h
+"""
