@@ -72,29 +72,36 @@ def fingerprint(text: str) -> str:
     return signatures(raw, np.array([0, len(raw)]))[0]
 
 
-def _common_run(a: Column, b: Column) -> Column:
-    grams = lambda s: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.char_length(s) - (COMMON - 1))), lambda i: F.substring(s, i, F.lit(COMMON)))
-    return F.arrays_overlap(grams(a), grams(b))
+def _bound(value: Column, then) -> Column:
+    """then(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def _alike(a: Column, b: Column) -> Column:
-    longest, shortest = F.greatest(F.char_length(a), F.char_length(b)), F.least(F.char_length(a), F.char_length(b))
-    score = F.lit(1.0) - F.levenshtein(a, b) / longest
-    return F.when(shortest == 0, 0.0).when((shortest >= COMMON) & ~_common_run(a, b), 0.0).otherwise(score)
+    def compared(p: Column) -> Column:
+        grams = lambda s: F.transform(F.sequence(F.lit(1), F.char_length(s) - (COMMON - 1)), lambda i: F.substring(s, i, F.lit(COMMON)))
+        longest, shortest = F.greatest(F.char_length(p["a"]), F.char_length(p["b"])), F.least(F.char_length(p["a"]), F.char_length(p["b"]))
+        unlike = (shortest >= COMMON) & ~F.arrays_overlap(grams(p["a"]), grams(p["b"]))
+        return F.when(shortest == 0, 0.0).when(unlike, 0.0).otherwise(F.lit(1.0) - F.levenshtein(p["a"], p["b"]) / longest)
+
+    return _bound(F.struct(a.alias("a"), b.alias("b")), compared)
 
 
 def likeness(x: Column, y: Column) -> Column:
     """0 to 1 for two fingerprints."""
-    a, b = F.split(x, ":"), F.split(y, ":")
     part = lambda p, i: F.get(p, F.lit(i))
-    sa, sb = part(a, 0).cast("long"), part(b, 0).cast("long")
-    same = F.greatest(_alike(part(a, 1), part(b, 1)), _alike(part(a, 2), part(b, 2)))
-    return (
-        F.when(x == y, 1.0).when(sa == sb, same)
-        .when(sa == sb * 2, _alike(part(a, 1), part(b, 2)))
-        .when(sb == sa * 2, _alike(part(b, 1), part(a, 2)))
-        .otherwise(0.0)
-    )
+
+    def compared(p: Column) -> Column:
+        a, b = p["a"], p["b"]
+        sa, sb = part(a, 0).cast("long"), part(b, 0).cast("long")
+        return (
+            F.when(sa == sb, F.greatest(_alike(part(a, 1), part(b, 1)), _alike(part(a, 2), part(b, 2))))
+            .when(sa == sb * 2, _alike(part(a, 1), part(b, 2)))
+            .when(sb == sa * 2, _alike(part(b, 1), part(a, 2)))
+            .otherwise(0.0)
+        )
+
+    return F.when(x == y, 1.0).otherwise(_bound(F.struct(F.split(x, ":").alias("a"), F.split(y, ":").alias("b")), compared))
 
 
 def _with_neighbours(kind: str):
