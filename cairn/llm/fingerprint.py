@@ -183,12 +183,10 @@ def neighbour_fingerprints(docs: DataFrame, text: str = "text", id_column: str =
         empty = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
         return spark.createDataFrame([], empty)
     ranges = sorted(heads)
-    pick = None
-    for i, b in enumerate(ranges):
-        above, h = ranges[i - 1], heads[b]
-        here = F.when((F.col("b") == b) & F.col("id").eqNullSafe(F.lit(h["id"])) & (F.xxhash64("text") == h["x"]), F.lit(above))
-        pick = here if pick is None else F.coalesce(pick, here)
-    guests = placed.withColumn("g", pick).where("g is not null").groupBy("g").agg(F.first("id").alias("id"), F.first("text").alias("text")).select(F.col("g").cast("int").alias("b"), "id", "text")
+    above = [(ranges[i - 1], b, heads[b]["id"], heads[b]["x"]) for i, b in enumerate(ranges)]
+    first = F.broadcast(spark.createDataFrame(above, f"g int, hb int, hid {kind}, hx long"))  # a row for each range
+    same = (F.col("b") == F.col("hb")) & F.col("id").eqNullSafe(F.col("hid")) & (F.xxhash64("text") == F.col("hx"))
+    guests = placed.join(first, same).groupBy("g").agg(F.first("id").alias("id"), F.first("text").alias("text")).select(F.col("g").alias("b"), "id", "text")
     rows = placed.select("b", "id", "text", F.lit(False).alias("guest")).unionByName(guests.withColumn("guest", F.lit(True)))
     sorted_rows = rows.repartition(parts(spark), "b").sortWithinPartitions("b", "guest", F.desc_nulls_last("id"), F.desc(F.xxhash64("text")))
     marks = sorted_rows.mapInArrow(_with_neighbours(kind), f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, next_fingerprint string")
