@@ -1,13 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Texts and items are lower-cased word sequences.  One pass over the corpus counts
-in how many documents each of the items' n-grams stands.  An item's seeds are its
-rare n-grams: those in at most `RARE` documents, or in at most four times as many
-as its median n-gram, so that an item that leaked into a large share of the
-corpus keeps its seeds while common lines inside an item drop out.  A second pass
-aligns every passage around seeds with its item by Smith-Waterman (match 2,
-mismatch and gap -1); a document holds an item if the best alignment reaches
-`CUT` of the item's perfect score.
+Texts and items are lower-cased word sequences.  Every n-gram of an item is a
+seed, in however many documents it stands.  One pass aligns every passage around
+seeds with its item by Smith-Waterman (match 2, mismatch and gap -1); a document
+holds an item if the best alignment reaches `CUT` of the item's perfect score.
 
 The benchmark is read in blocks of at most `BLOCK` n-grams, so what is sent to
 the executors has that bound; a larger benchmark means more passes, not larger
@@ -26,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import bound_batches, mix64, text_or_empty
 
-GRAM, RARE, CUT, BLOCK = 5, 8, 0.6, 200_000
+GRAM, CUT, BLOCK = 5, 0.6, 200_000
 _WORD = re.compile(r"\w+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -66,7 +62,7 @@ def smith_waterman(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
 
 
 class Block:
-    """Some items, their word numbers, n-grams and, once counted, seeds."""
+    """Some items, their word numbers and n-grams."""
 
     def __init__(self, items: list[tuple[int, str]], n: int = GRAM):
         self.n, self.names, self.items, self.vocabulary = n, [], [], {}
@@ -88,7 +84,6 @@ class Block:
         self.grams, self.first = np.unique(self.place, return_index=True)
         self.count = np.diff(np.append(self.first, len(self.place)))
         self.sizes = sorted({min(n, len(ids)) for ids in self.items})
-        self.seed = np.ones(len(self.grams), bool)
 
     def numbers(self, text: str) -> np.ndarray:
         w = words(text)
@@ -110,23 +105,10 @@ class Block:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(grams), np.concatenate(places)
 
-    def choose_seeds(self, df: np.ndarray) -> None:
-        """df: in how many documents each n-gram stands."""
-        gram = np.repeat(np.arange(len(self.grams)), self.count)
-        rare = np.zeros(len(self.grams), bool)
-        order = np.argsort(self.item, kind="stable")
-        cuts = np.flatnonzero(np.concatenate(([True], self.item[order][1:] != self.item[order][:-1], [True]))) if len(order) else [0]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            own = gram[order[a:b]]
-            rare[own[df[own] <= max(RARE, 4 * np.median(df[own]))]] = True
-        self.seed = rare
-
     def matches(self, text: str, cut: float, memo: dict) -> list[tuple]:
         """(item, score, first word, last word + 1, seeds) of every item the text holds."""
         ids = self.numbers(text)
         gram, place = self.found(ids)
-        keep = self.seed[gram]
-        gram, place = gram[keep], place[keep]
         if not len(gram):
             return []
         c = self.count[gram]
@@ -173,37 +155,13 @@ def _blocks(benchmark: DataFrame, n: int, most: int) -> Iterator[Block]:
         yield Block(rows, n)
 
 
-def _document_counts(shared):
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        block = shared.value
-        df = np.zeros(len(block.grams), dtype=np.int64)
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                gram, _ = block.found(block.numbers(text))
-                if len(gram):
-                    df[np.unique(gram)] += 1
-        at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], ["gram", "df"])
-
-    return run
-
-
-def seeded_blocks(docs: DataFrame, benchmark: DataFrame, n: int = GRAM, most: int = BLOCK, text: str = "text") -> Iterator:
-    """Broadcast blocks whose seeds follow the counts over all documents."""
+def seeded_blocks(docs: DataFrame, benchmark: DataFrame, n: int = GRAM, most: int = BLOCK) -> Iterator:
+    """Broadcast blocks of the benchmark."""
     spark = docs.sparkSession
     bound_batches(spark)
     for block in _blocks(benchmark, n, most):
-        if not len(block.grams):
-            continue
-        shared = spark.sparkContext.broadcast(block)
-        counts = docs.select(text_or_empty(text).alias("text")).mapInArrow(_document_counts(shared), "gram long, df long")
-        df = np.zeros(len(block.grams), dtype=np.int64)
-        for r in counts.groupBy("gram").agg(F.sum("df").alias("df")).collect():  # at most a row for each n-gram of the block
-            df[r["gram"]] = r["df"]
-        block.choose_seeds(df)
-        yield spark.sparkContext.broadcast(block)
+        if len(block.grams):
+            yield spark.sparkContext.broadcast(block)
 
 
 def _matches(shared, cut: float):
@@ -227,7 +185,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cut: float = CUT, n: int
     kind = dict(slim.dtypes)["id"]
     schema = f"doc_id {kind}, item_id long, score double, first_word long, end_word long, seeds long"
     out = docs.sparkSession.createDataFrame([], schema)
-    for shared in seeded_blocks(docs, benchmark, n, most, text):
+    for shared in seeded_blocks(docs, benchmark, n, most):
         out = out.unionByName(slim.mapInArrow(_matches(shared, cut), schema))
     return out
 

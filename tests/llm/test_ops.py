@@ -265,3 +265,15 @@ def test_op10(spark, sf_tiny, texts, block):
     assert all(abs(got[k]["score"] - s) < 1e-9 for k, s in want.items())
     hit = got[31, 1]
     assert decontaminate.words(texts[31])[hit["first_word"] : hit["end_word"]] == decontaminate.words(texts[31])[30:70]
+
+
+def test_op10_edited_leak_in_many_documents(spark):
+    item = [f"w{i}" for i in range(40)]
+    leak = list(item)
+    for i in (4, 13, 22, 31):
+        leak[i] = f"x{i}"
+    docs = spark.createDataFrame([(i, f"before{i} " + " ".join(leak) + f" after{i}") for i in range(12)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    want = brute_alignment(item, leak) / 80
+    assert want >= decontaminate.CUT
+    assert sorted((r["doc_id"], r["score"]) for r in rows(decontaminate.contaminated(docs, items))) == [(i, want) for i in range(12)]
