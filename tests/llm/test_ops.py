@@ -277,3 +277,34 @@ def test_op10_edited_leak_in_many_documents(spark):
     want = brute_alignment(item, leak) / 80
     assert want >= decontaminate.CUT
     assert sorted((r["doc_id"], r["score"]) for r in rows(decontaminate.contaminated(docs, items))) == [(i, want) for i in range(12)]
+
+
+def densely_edited(r, item, kind):
+    """The item with every fourth or fifth word replaced, dropped or followed by another."""
+    out, at = [], int(r.integers(0, 4))
+    for i, w in enumerate(item):
+        if i == at:
+            at += int(r.integers(4, 6))
+            op = kind if kind < 3 else int(r.integers(0, 3))
+            out += [[f"x{i}"], [], [w, f"x{i}"]][op]
+        else:
+            out.append(w)
+    return out
+
+
+def test_op10_recall_of_dense_edits():
+    r = np.random.default_rng(5)
+    items = [[f"w{x}" for x in r.integers(0, 60, n)] for n in (1, 2, 3, 5, 8, 9, 16, 16, 25, 40)]
+    texts = [densely_edited(r, item, kind) for item in items for kind in (0, 1, 2, 3) for _ in range(3)]
+    texts += [["w70", *items[6][:3], "x", *items[6][4:7], "y", *items[6][8:11], "z", *items[6][12:]], [*items[4][:4], "x", *items[4][5:]]]
+    texts += [[f"w{x}" for x in r.integers(0, 60, 300)] for _ in range(5)]
+    texts = [[f"p{i}" for i in range(j % 7)] + t + ["q"] * (j % 5) for j, t in enumerate(texts)]
+    want = {}
+    for j, t in enumerate(texts):
+        for k, item in enumerate(items):
+            score = brute_alignment(item, t) / (2 * len(item))
+            if score >= decontaminate.CUT:
+                want[j, k] = score
+    got = decontaminate.Block([(k, " ".join(item)) for k, item in enumerate(items)]).matches([" ".join(t) for t in texts], {})
+    assert {(j, m[0]): m[1] for j, found in enumerate(got) for m in found} == want
+    assert len(want) > 100
