@@ -199,7 +199,8 @@ def _words_of(column) -> np.ndarray:
     return np.frombuffer(raw.tobytes(), dtype=np.uint64).reshape(len(column), -1) if len(column) else np.zeros((0, 1), np.uint64)
 
 
-def _links(radius: int, keys: tuple = ("t", "key", "s", "sub")):
+def _links(radius: int):
+    keys = ("t", "key", "s", "sub")
 
     def flush(table: dict, pa) -> Iterator:
         order = np.lexsort((gray_rank(table["fp"][:, 0]), *(table[k] for k in reversed(keys))))
@@ -282,79 +283,156 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, t
     return rows.join(named, F.col("fp") == F.col("fp2"), "left").select("id", "fp", "component")
 
 
-#: For `similar_groups`: share of differing bits up to which texts are alike (measured: about 0.13 at a Jaccard similarity of 0.8
-#: of word shingles, 0.5 for strangers), and the chance that such a pair meets in a band.
-WIDE_WORDS, ALIKE, RECALL = 5, 0.18, 0.97
+#: For `similar_groups`: words to a shingle, and minima to a band and bands of the MinHash signature.  A pair of similarity 0.8
+#: shares a band with a chance of 0.9993, whatever the size of the corpus.
+WIDE_WORDS, BAND, BANDS = 5, 6, 24
 
 
-def _wide(words: int, width: int):
+def alike(common, a, b):
+    """Whether sets of a and b members with so many in common have a Jaccard similarity of 0.8 at least."""
+    return 9 * common >= 4 * (a + b)
+
+
+def shingle_set(raw: bytes, words: int) -> np.ndarray:
+    return np.unique(np.array(shingle_hashes(raw, words), dtype=np.uint64))
+
+
+def _node(own: np.ndarray) -> int:
+    import xxhash
+
+    return _signed(xxhash.xxh64_intdigest(own.tobytes(), SEED))
+
+
+def band_keys(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of BANDS keys for each set of shingles; equal keys are equal minima of BAND hash functions."""
+    keys = np.zeros((len(sets), BANDS), np.uint64)
+    has = [i for i, x in enumerate(sets) if len(x)]
+    if not has:
+        return keys
+    h = mix64(np.concatenate([sets[i] for i in has]))
+    at = np.cumsum([0, *(len(sets[i]) for i in has)])[:-1]
+    factors = mix64(np.arange(1, BAND * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    for t in range(BANDS):
+        key = np.zeros(len(has), np.uint64)
+        for f in factors[t * BAND : (t + 1) * BAND]:
+            key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(h * f, at))
+        keys[has, t] = key
+    return keys
+
+
+def _signatures(words: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        salts = mix64(np.arange(1, width + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         for batch in batches:
-            rows: list[np.ndarray] = []
-            hashes, counts = [], []
-
-            def flush(hashes=hashes, counts=counts, rows=rows):
-                h, n = np.array(hashes, np.uint64), np.array(counts, dtype=np.int64)
-                rows.append(np.stack([majority_bits(mix64(h ^ s), n) for s in salts], axis=1))
-                hashes.clear()
-                counts.clear()
-
+            nodes, keys, held, size = [], [], [], 0
             for text in batch.column("text"):
-                h = shingle_hashes(text.as_buffer().to_pybytes(), words)
-                hashes += h
-                counts.append(len(h))
-                if len(hashes) > 100_000:
-                    flush()
-            if counts:
-                flush()
-            fps = np.concatenate(rows) if rows else np.zeros((0, width), np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x.tobytes() for x in fps], pa.binary())], ["id", "fp"])
+                held.append(shingle_set(text.as_buffer().to_pybytes(), words))
+                nodes.append(_node(held[-1]))
+                size += len(held[-1])
+                if size > 20_000:
+                    keys.append(band_keys(held))
+                    held, size = [], 0
+            keys.append(band_keys(held))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(nodes, pa.int64()), pa.array([x.tobytes() for k in keys for x in k], pa.binary())], ["id", "node", "keys"])
 
     return run
 
 
-def _bands(bits: int, bands: int):
+def _bands(batches: Iterator) -> Iterator:
+    import pyarrow as pa
+
+    for batch in batches:
+        key = _words_of(batch.column("keys")).view(np.int64)
+        n = len(key)
+        t = np.tile(np.arange(BANDS, dtype=np.int32), n)
+        yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(key.ravel()[: len(t)]), batch.column("node").take(pa.array(np.repeat(np.arange(n), BANDS)))], ["t", "key", "node"])
+
+
+def _sets(words: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            fps = _words_of(batch.column("fp"))
-            n = len(fps)
-            flat = np.unpackbits(fps.view(np.uint8), axis=1)[:, : bits * bands].reshape(n, bands, bits).astype(np.int64) if n else np.zeros((0, bands, bits), np.int64)
-            key = flat @ (np.int64(1) << np.arange(bits, dtype=np.int64))
-            at = pa.array(np.repeat(np.arange(n), bands))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(np.arange(bands, dtype=np.int32), n)), pa.array(key.ravel()), batch.column("node").take(at), batch.column("fp").take(at)], ["t", "key", "node", "fp"]
-            )
+            own = [shingle_set(x.as_buffer().to_pybytes(), words) for x in batch.column("text")]
+            same = [_node(x) == n for x, n in zip(own, batch.column("node").to_pylist(), strict=True)]  # an id can stand with other texts too
+            out = batch.select(["met", "node", "keys"]).append_column("own", pa.array([x.tobytes() for x in own], pa.binary()))
+            yield out.filter(pa.array(same, pa.bool_()))
 
     return run
 
 
-def similar_groups(docs: DataFrame, words: int = WIDE_WORDS, alike: float = ALIKE, recall: float = RECALL, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """(id, component) for texts alike in word shingles, from about a similarity of 0.8 up.
+def verified_groups(keys: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """Smallest place that each set is joined to by links of sets that share a band key and are alike by exact count."""
+    label, places = np.arange(len(sets)), np.arange(len(sets))
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+
+    def join(i: int, js: np.ndarray) -> None:
+        js = js[alike(np.minimum(sizes[js], sizes[i]), sizes[js], sizes[i])]
+        js = js[(keys[js] == keys[i]).any(axis=1)]
+        for x in range(0, len(js), 1_000):
+            part = js[x : x + 1_000]
+            if sizes[i]:  # of texts without words all are equal
+                other = np.concatenate([sets[j] for j in part])
+                k = np.minimum(np.searchsorted(sets[i], other), sizes[i] - 1)
+                ends = np.cumsum(sizes[part])
+                hits = np.concatenate(([0], np.cumsum(sets[i][k] == other)))
+                part = part[alike(hits[ends] - hits[ends - sizes[part]], sizes[part], sizes[i])]
+            if len(part):
+                linked = np.unique(np.append(label[part], label[i]))
+                label[: i + 1][np.isin(label[: i + 1], linked)] = linked[0]
+
+    for i in range(1, len(sets)):
+        join(i, np.flatnonzero(label[:i] == places[:i]))
+        join(i, np.flatnonzero((label[:i] != label[i]) & (label[:i] != places[:i])))
+    return label
+
+
+def _verified(batches: Iterator) -> Iterator:
+    """Rows sorted by candidate group come in; (node, grp) of nodes that are linked go out."""
+    import pyarrow as pa
 
-    The same search over wider fingerprints: several 64-bit words, one hash family
-    each, whose bits are cut into bands.  Texts that agree on a band meet there and
-    link if at most the share `alike` of all bits differs.  Bits to a band follow the
-    number of nodes, bands follow from the recall wanted of pairs that differ in 0.15 of their bits.
+    def settled(held: list[tuple]) -> Iterator:
+        label = verified_groups(np.frombuffer(b"".join(x[1] for x in held), np.uint64).reshape(len(held), -1), [np.frombuffer(x[2], np.uint64) for x in held])
+        at = np.flatnonzero(label != np.arange(len(held)))
+        if len(at):
+            node = np.array([x[0] for x in held], dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[label[at]])], ["node", "grp"])
+
+    met, held = None, []
+    for batch in batches:
+        for m, *row in zip(*(batch.column(c).to_pylist() for c in ("met", "node", "keys", "own")), strict=True):
+            if m != met and held:
+                yield from settled(held)
+                held = []
+            met = m
+            held.append(tuple(row))
+    if held:
+        yield from settled(held)
+
+
+def similar_groups(docs: DataFrame, words: int = WIDE_WORDS, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """(id, component) for texts linked by a Jaccard similarity of 0.8 or more of their sets of word shingles.
+
+    Texts with one set are a node.  Nodes that share a band of their MinHash signature are put
+    into candidate groups; within a group every pair that shares a band and isn't joined yet
+    is counted exactly, and only pairs of 0.8 or more link.
     """
     bound_batches(docs.sparkSession)
     slim = docs.select(F.col(id_column).cast("long").alias("id"), text_or_empty(text).alias("text"))
-    n = max(1, slim.count())
-    bits = max(12, n.bit_length() - 6)
-    bands = int(np.ceil(np.log(1 - recall) / np.log(1 - 0.85**bits)))
-    width = -(-bits * bands // 64)
-    rows = cut(slim.mapInArrow(_wide(words, width), "id long, fp binary"))
-    nodes = cut(rows.groupBy("fp").agg(F.min("id").alias("node")))
-    keyed = nodes.where("node is not null").mapInArrow(_bands(bits, bands), "t int, key long, node long, fp binary")
-    met = keyed.repartition(parts(docs.sparkSession), "t", "key").sortWithinPartitions("t", "key")
-    links = met.mapInArrow(_links(int(alike * 64 * width), ("t", "key")), "a long, b long").distinct()
+    rows = cut(slim.mapInArrow(_signatures(words), "id long, node long, keys binary"))
+    nodes = cut(rows.where("id is not null").groupBy("node").agg(F.min("id").alias("id"), F.min("keys").alias("keys")))
+    keyed = nodes.select("node", "keys").mapInArrow(_bands, "t int, key long, node long")
+    shared = keyed.groupBy("t", "key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    links = keyed.join(shared, ["t", "key"]).where("a <> node").select("a", F.col("node").alias("b")).distinct()
     found = connected_components(cut(links))
-    named = nodes.join(found, "node", "left").select(F.col("fp").alias("fp2"), F.coalesce("component", "node").alias("component"))
-    return rows.join(named, F.col("fp") == F.col("fp2"), "left").select("id", "component")
+    met = nodes.join(found.select("node", F.col("component").alias("met")), "node")
+    sets = slim.join(met, "id").select("met", "node", "keys", "text").mapInArrow(_sets(words), "met long, node long, keys binary, own binary")
+    dealt = sets.dropDuplicates(["node"]).repartition(parts(docs.sparkSession), "met").sortWithinPartitions("met", "node")
+    joined = cut(dealt.mapInArrow(_verified, "node long, grp long"))
+    named = nodes.join(joined, "node", "left").select("node", "id", F.coalesce("grp", "node").alias("grp"))
+    least = named.groupBy("grp").agg(F.min("id").alias("component"))
+    return rows.join(named.join(least, "grp").select("node", "component"), "node", "left").select("id", "component")
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,5 +1,7 @@
+import random
+
 import corpus_pipeline
-from cairn.llm import suffix_dedup
+from cairn.llm import simhash, suffix_dedup
 
 
 def test_stages(spark, sf_tiny, texts):
@@ -32,3 +34,45 @@ def test_cut_text_stays_valid(spark):
     docs = spark.createDataFrame([(1, "a" + base + "tail one"), (2, "b" + base + "last end")], "doc_id long, text string")
     got = sorted(r.text for r in suffix_dedup.without_repeats(docs, length=256).collect())
     assert got == ["atail one", "blast end"]
+
+
+def test_near_duplicates_are_verified(spark):
+    r = random.Random(3)
+    word = lambda: f"w{r.randrange(10**6)}"
+    texts = {}
+    for g in range(60):
+        base = [word() for _ in range(r.choice([9, 10, 40, 150, 400]))]
+        texts[10 * g] = base
+        for k in range(1, 5):
+            t = list(base)
+            for _ in range(r.randrange(1, 2 + len(t) // 30)):
+                t[r.randrange(len(t))] = word()
+            texts[10 * g + k] = t
+        texts[10 * g + 5] = (base + [word()]) if g % 2 else base * 2
+    texts[1000], texts[1001] = [*"abcdefgh"], [*"abcdefghi"]  # 4 of 5 shingles: 0.8
+    texts[1002], texts[1003] = [*"ABCDEFG".lower(), "z"], [*"abcdefg", "y", "x"]  # few in common
+    shingles = {i: {tuple(t[k : k + 5]) for k in range(max(1, len(t) - 4))} for i, t in texts.items()}
+    label = {i: i for i in texts}
+    linked = apart = 0
+    for i in texts:
+        for j in texts:
+            if j < i:
+                similarity = len(shingles[i] & shingles[j]) / len(shingles[i] | shingles[j])
+                apart += 0.6 < similarity < 0.8
+                if similarity >= 0.8:
+                    linked += 1
+                    low, high = sorted((label[i], label[j]))
+                    label = {k: low if v == high else v for k, v in label.items()}
+    assert linked > 30 and apart > 30
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    assert {x.id: x.component for x in simhash.similar_groups(docs).collect()} == label
+    assert sorted(x.doc_id for x in simhash.one_of_each(docs).collect()) == sorted(set(label.values()))
+
+
+def test_pair_of_two_thirds_stays(spark):
+    a = [f"w{i}" for i in range(104)]
+    b = [*a[:50], "x", *a[51:70], "y", *a[71:90], "z", *a[91:97], *(f"v{i}" for i in range(3)), *a[100:]]
+    one, two = ({tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in (a, b))
+    assert 0.55 < len(one & two) / len(one | two) < 0.8
+    docs = spark.createDataFrame([(1, " ".join(a)), (2, " ".join(b))], "doc_id long, text string")
+    assert simhash.one_of_each(docs).count() == 2
