@@ -24,6 +24,7 @@ repeated rows get equal results; other columns of the input aren't touched.
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -277,6 +278,12 @@ def _kept(batches: Iterator) -> Iterator:
 
 def repeated_spans(docs: DataFrame, text: str = "text", id_column: str = "doc_id", length: int = LENGTH, gram: int | None = None, hot: int = HOT):
     """(rows, changed): rows (id, thash, n_bytes, copies) of the input, and for texts that lose bytes (thash, kept, n_removed, n_spans)."""
+    texts, copies, single = found_spans(docs, text, id_column, length, gram, hot)
+    return texts, copies, single.mapInArrow(_kept, "thash binary, kept binary, n_removed long, n_spans long")
+
+
+def found_spans(docs: DataFrame, text: str = "text", id_column: str = "doc_id", length: int = LENGTH, gram: int | None = None, hot: int = HOT):
+    """As `repeated_spans`, but (thash, text, spans) for texts that lose bytes; the spans can overlap."""
     spark = docs.sparkSession
     bound_batches(spark)
     gram = gram or max(1, length // 4)
@@ -302,8 +309,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", id_column: str = "doc_id
     hot_spans = windows.join(twice, ["head", "wa", "wb"]).select("thash", F.col("start").alias("lo"), (F.col("start") + length).alias("hi"))
     spans = found.unionByName(hot_spans).groupBy("thash").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     single = held.where("copies = 1").select("thash", "text").join(spans, "thash")
-    changed = single.mapInArrow(_kept, "thash binary, kept binary, n_removed long, n_spans long")
-    return texts, copies.select("thash", "copies"), changed
+    return texts, copies.select("thash", "copies"), single
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id", length: int = LENGTH) -> DataFrame:
@@ -346,6 +352,76 @@ def without_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     return out.select(*columns)
 
 
+#: Words as `without_repeated_words` counts them: runs without white space, and each letter of scripts that don't part words.
+_ALONE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
+_WORD = re.compile(rf"[{_ALONE}]|[^\s{_ALONE}]+")
+CODE = 5  # bytes that stand for a word
+
+
+def word_codes(text: str, known: dict) -> str:
+    """CODE ASCII letters for each word, 30 bits of its hash."""
+    import xxhash
+
+    out = []
+    for w in _WORD.findall(text):
+        code = known.get(w)
+        if code is None:
+            h = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
+            code = known[w] = "".join(chr(48 + (h >> 6 * k & 63)) for k in range(CODE))
+        out.append(code)
+    return "".join(out)
+
+
+def _coded(batches: Iterator) -> Iterator:
+    import pyarrow as pa
+
+    for batch in batches:
+        known: dict = {}
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([word_codes(t, known) for t in batch.column("text").to_pylist()], pa.string())], ["id", "codes"])
+
+
+def without_words(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the words that spans of its codes cover."""
+    words = [m.span() for m in _WORD.finditer(text)]
+    out, at = [], 0
+    for lo, hi in sorted(spans):
+        first, last = -(-lo // CODE), hi // CODE - 1
+        if first <= last and words[last][1] > at:
+            out.append(text[at : max(at, words[first][0])])
+            at = words[last][1]
+    return "".join(out) + text[at:]
+
+
+def without_repeated_words(docs: DataFrame, words: int, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """As `without_repeats`, for strings of so many words or more, however short the words; white space between words doesn't count."""
+    bound_batches(docs.sparkSession)
+    kind = dict(docs.dtypes)[id_column]
+    codes = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text")).mapInArrow(_coded, f"id {kind}, codes string")
+    _, copies, single = found_spans(codes, "codes", "id", words * CODE)
+
+    @F.arrow_udf("binary")
+    def code_hash(texts):
+        import hashlib
+
+        import pyarrow as pa
+
+        known: dict = {}
+        return pa.array([hashlib.md5(word_codes(t, known).encode()).digest() for t in texts.to_pylist()], pa.binary())
+
+    @F.arrow_udf("string")
+    def rest(texts, spans):
+        import pyarrow as pa
+
+        return pa.array([t if not s else without_words(t, [(x["lo"], x["hi"]) for x in s]) for t, s in zip(texts.to_pylist(), spans.to_pylist(), strict=True)], pa.string())
+
+    twin = copies.where("copies > 1").select("thash", F.lit(True).alias("_twin"))
+    both = twin.join(single.select("thash", F.col("spans").alias("_spans")), "thash", "full_outer").withColumnRenamed("thash", "_thash")
+    joined = docs.withColumn("_thash2", code_hash(text_or_empty(text))).join(both, F.col("_thash2") == F.col("_thash"), "left")
+    out = joined.withColumn("_rest", F.when(F.col("_twin"), F.lit("")).when(F.col("_spans").isNotNull(), rest(text_or_empty(text), F.col("_spans"))))
+    out = out.where(F.col("_rest").isNull() | (F.trim(F.regexp_replace("_rest", r"\s+", " ")) != ""))
+    return out.withColumn(text, F.coalesce("_rest", F.col(text))).select(*docs.columns)
+
+
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     """Every document's bytes without strings of 400 bytes that start twice or more in the corpus."""
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

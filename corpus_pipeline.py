@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from cairn.llm import decontaminate, packing, simhash, suffix_dedup, toxicity
 from cairn.llm.common import shared_path
 
-#: Over 50 words, in bytes: shorter repeats are common phrases.
-REPEAT_BYTES = 256
+#: Over 50 words, of whatever length: shorter repeats are common phrases.
+REPEAT_WORDS = 51
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +27,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = suffix_dedup.without_repeats(docs, length=REPEAT_BYTES)
+    out = suffix_dedup.without_repeated_words(docs, REPEAT_WORDS)
     if "n_chars" in out.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -76,3 +76,15 @@ def test_pair_of_two_thirds_stays(spark):
     assert 0.55 < len(one & two) / len(one | two) < 0.8
     docs = spark.createDataFrame([(1, " ".join(a)), (2, " ".join(b))], "doc_id long, text string")
     assert simhash.one_of_each(docs).count() == 2
+
+
+def test_repeats_of_over_50_short_words_go(spark, sf):
+    r = random.Random(8)
+    short = lambda n: [r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)]
+    cut, left, signs = short(51), short(50), "".join(chr(0x4E00 + r.randrange(2000)) for _ in range(60))
+    text = lambda i, part: f"before{i} " + part + f" after{i}"
+    parts = [" ".join(cut), "  ".join(cut), " ".join(left), " ".join(left), signs, signs]
+    docs = spark.createDataFrame([(i, text(i, p)) for i, p in enumerate(parts)] + [(9, None)], "doc_id long, text string")
+    got = {x.doc_id: x.text for x in corpus_pipeline.cut_repeats(spark, docs, sf).collect()}
+    assert {i: got[i].split() for i in (0, 1, 4, 5)} == {i: [f"before{i}", f"after{i}"] for i in (0, 1, 4, 5)}
+    assert all(got[i] == text(i, parts[i]) for i in (2, 3)) and got[9] is None
