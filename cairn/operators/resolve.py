@@ -109,6 +109,12 @@ def _fits() -> Column:
     return (F.col("qblock") == "") | (F.col("block") == "") | (F.col("qblock") == F.col("block"))
 
 
+def _long_enough(a: Column, b: Column, floor: float) -> Column:
+    """False only for lengths at which no likeness can reach the floor: all letters of the shorter are common at most."""
+    x, y = F.char_length(a), F.char_length(b)
+    return 200 * F.least(x, y) >= floor * (x + y)
+
+
 def _choose(hits: DataFrame) -> DataFrame:
     """The first tier that settles a query: one candidate after narrowing by name, then by block; only exact ties go to review."""
     named = F.col("qnorm") == F.col("ckey")
@@ -131,7 +137,9 @@ def match_ladder(queries: DataFrame, index: DataFrame, accept: float = C.AUTO_AC
 
     Exact, compact, token-set, deprefixed and phonetic tiers are one join on (tier,
     key), of which the first that settles a query counts; the fuzzy tier runs only on
-    what is left, and compares within a type block candidates that share a word beginning.
+    what is left, and compares all candidates of a type block whose lengths allow the floor.
+    A best score that candidates of one name share, or of a single word for a query of
+    several, goes to review.
     """
     q = queries.select("query", T.match_key(F.col("qtype")).alias("qblock")).distinct().withColumn("qnorm", T.match_key(F.col("query"))).where("qnorm <> ''")
     q = q.withColumns({"compact": T.compact(F.col("qnorm")), "tokenset": T.tokenset(F.col("qnorm")), "deprefixed": T.deprefixed(F.col("qnorm")), "phonetic": K.phonetic_key("qnorm"), "norm": F.col("qnorm")})
@@ -142,14 +150,14 @@ def match_ladder(queries: DataFrame, index: DataFrame, accept: float = C.AUTO_AC
     sound = hits.where("rank = 4").where(_fits() & (F.col("_norm") != F.col("qnorm"))).where(K.jaro_winkler_score("qnorm", "_norm") * 100 >= C.PHONETIC_GUARD)
     settled = _choose(hits.where("rank < 4").unionByName(sound))
     rest = q.select("query", "qblock", "qnorm").join(settled.select("query", "qblock"), ["query", "qblock"], "left_anti")
-    starts = lambda c: F.array_distinct(F.transform(F.split(c, " "), lambda w: F.substring(w, 1, 3)))
-    left = rest.withColumn("s", F.explode(starts(F.col("qnorm"))))
-    right = index.select("cid", "ckey", "block", F.col("norm").alias("_norm"), F.explode(starts(F.col("norm"))).alias("s"))
-    pairs = left.join(right, "s").where(_fits())
-    pairs = pairs.where((F.size(F.split("_norm", " ")) > 1) | (F.size(F.split("qnorm", " ")) < 2)).select("query", "qblock", "qnorm", "cid", "ckey", "_norm").distinct()
+    right = index.select("cid", "ckey", "block", F.col("norm").alias("_norm"))
+    pairs = rest.join(F.broadcast(right), _fits() & _long_enough(F.col("qnorm"), F.col("_norm"), floor)).select("query", "qblock", "qnorm", "cid", "ckey", "_norm")
     scored = pairs.withColumn("score", K.fuzzy_score("qnorm", "_norm"))
-    best = scored.groupBy("query", "qblock").agg(F.max_by(F.struct("cid", "score"), F.struct("score", F.col("_norm") == F.col("ckey"), -F.col("cid"))).alias("x"))
-    fuzzy = best.where(F.col("x.score") >= floor).select("query", "qblock", "x.cid", F.lit("fuzzy").alias("tier"), F.when(F.col("x.score") >= accept, "accept").otherwise("review").alias("decision"), F.round("x.score", 4).alias("score"))
+    each = scored.groupBy("query", "qblock", "qnorm", "cid", "ckey").agg(F.max(F.struct("score", (F.col("_norm") == F.col("ckey")).alias("own"))).alias("b")).select("query", "qblock", "qnorm", "cid", "ckey", "b.*")
+    top = each.withColumn("_top", F.max("score").over(Window.partitionBy("query", "qblock"))).where((F.col("score") == F.col("_top")) & (F.col("score") >= floor))
+    best = top.groupBy("query", "qblock", "qnorm", "score").agg(F.max_by(F.struct("cid", "ckey"), F.struct("own", -F.col("cid"))).alias("x"), (F.count("*") > F.count_distinct("ckey")).alias("tied"))
+    guarded = (F.size(F.split("x.ckey", " ")) > 1) | (F.size(F.split("qnorm", " ")) < 2)
+    fuzzy = best.select("query", "qblock", "x.cid", F.lit("fuzzy").alias("tier"), F.when((F.col("score") >= accept) & guarded & ~F.col("tied"), "accept").otherwise("review").alias("decision"), F.round("score", 4).alias("score"))
     out = settled.unionByName(fuzzy)
     return q.select("query", "qblock").join(out, ["query", "qblock"], "left").withColumns({"tier": F.coalesce("tier", F.lit("no_candidate")), "decision": F.coalesce("decision", F.lit("gap"))})
 

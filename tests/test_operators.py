@@ -18,6 +18,17 @@ def test_ladder_resolves_and_rejects(spark):
     assert got["Nothing Like It"][1:] == ("no_candidate", "gap")
 
 
+def test_ladder_finds_typos_at_word_starts_and_holds_ties(spark):
+    known = spark.createDataFrame([(1, "Travertine", "travertine", []), (2, "Calacatta Golden", "marble", []), (3, "Calacatta Golden", "dolomite", []), (4, "Onyxia", "onyx", [])], "cid int, name string, type string, aliases array<string>")
+    asked = [("Trsvertine", "travertine"), ("Calacatta Goldenq", ""), ("Calacatta Goldenq", "marble"), ("Trsvertine", "onyx"), ("Onyxia a", "onyx")]
+    got = {(r["query"], r["qblock"]): (r["cid"], r["tier"], r["decision"]) for r in resolve.match_ladder(spark.createDataFrame(asked, "query string, qtype string"), resolve.surfaces(known)).collect()}
+    assert got["Trsvertine", "travertine"] == (1, "fuzzy", "review")
+    assert got["Trsvertine", "onyx"][1:] == ("no_candidate", "gap")
+    assert got["Calacatta Goldenq", ""][1:] == ("fuzzy", "review")
+    assert got["Calacatta Goldenq", "marble"] == (2, "fuzzy", "accept")
+    assert got["Onyxia a", "onyx"] == (4, "fuzzy", "review")
+
+
 def test_vocabulary_ladder(spark):
     v = spark.createDataFrame([("polished", "Polished"), ("leathered", "Leathered")], "norm string, canonical string")
     s = spark.createDataFrame([("gloss", "Polished"), ("tbd", "none")], "norm string, target string")
