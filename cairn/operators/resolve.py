@@ -32,7 +32,7 @@ def resolve_vocabulary(values: DataFrame, vocabulary: DataFrame, synonyms: DataF
     """(raw, value, confidence, method) of each distinct raw value: synonym, exact, near, or unresolved.
 
     values (raw); vocabulary (norm, canonical); synonyms (norm, target), target `none` resolves to nothing.
-    Only what no equality resolves is compared by likeness, and only with words of the same first or last letters.
+    Only what no equality resolves is compared by likeness, with every word whose length allows the floor.
     """
     raw = values.select("raw").distinct().withColumn("norm", T.match_key(F.col("raw")))
     words = F.broadcast(vocabulary.select("norm", "canonical"))  # a closed vocabulary: some hundred words
@@ -50,10 +50,8 @@ def resolve_vocabulary(values: DataFrame, vocabulary: DataFrame, synonyms: DataF
     residue = done.where("method is null").select("raw", "norm")
     if not near:
         return settled.unionByName(residue.select("raw", F.lit(None).cast("string").alias("value"), F.lit("none").alias("confidence"), F.lit("unresolved").alias("method")))
-    blocks = lambda c: F.array_distinct(F.array(F.substring(c, 1, 2), F.concat(F.lit("$"), F.substring(c, -2, 2))))
-    left = residue.withColumn("block", F.explode(blocks(F.col("norm"))))
-    right = vocabulary.select(F.col("norm").alias("norm2"), "canonical").withColumn("block", F.explode(blocks(F.col("norm2"))))
-    pairs = left.join(F.broadcast(right), "block").select("raw", "norm", "norm2", "canonical").distinct()
+    right = vocabulary.select(F.col("norm").alias("norm2"), "canonical")
+    pairs = residue.join(F.broadcast(right), _long_enough(F.col("norm"), F.col("norm2"), floor))
     scored = pairs.withColumn("score", K.fuzzy_score("norm", "norm2"))
     best = scored.groupBy("raw").agg(F.max(F.struct("score", F.col("canonical"))).alias("b"))
     out = residue.join(best, "raw", "left").select(

@@ -37,6 +37,14 @@ def test_vocabulary_ladder(spark):
     assert got == {"Polished": ("Polished", "exact"), "gloss": ("Polished", "synonym"), "TBD": (None, "synonym_none"), "Leatherd": ("Leathered", "fuzzy"), "zzz": (None, "unresolved"), "": (None, "empty")}
 
 
+def test_vocabulary_compares_with_every_word(spark):
+    v = spark.createDataFrame([("dark brown", "Dark Brown"), ("leathered and polished", "Leathered And Polished")], "norm string, canonical string")
+    s = spark.createDataFrame([], "norm string, target string")
+    raw = spark.createDataFrame([("brown dark",), ("xeathered and polishex",), ("light",)], "raw string")
+    got = {r["raw"]: (r["value"], r["method"]) for r in resolve.resolve_vocabulary(raw, v, s).collect()}
+    assert got == {"brown dark": ("Dark Brown", "fuzzy"), "xeathered and polishex": ("Leathered And Polished", "fuzzy"), "light": (None, "unresolved")}
+
+
 def test_health_paths(spark):
     assert health.structural(spark.range(1).toDF("a"), ["a", "b"], [])["status"] == "FAILED"
     assert health.structural(spark.range(1).toDF("a"), ["a"], [])["status"] == "OK"
