@@ -100,13 +100,24 @@ def read_back(formatted: DataFrame) -> DataFrame:
     return read.withColumn("identical", plain == F.col("source")).withColumn("loss_mask", spans)
 
 
+def under_mask(formatted: Column, mask: Column) -> Column:
+    """The texts under a loss mask, read from the formatted text; bodies after an escaping marker are unescaped."""
+
+    def body(x: Column) -> Column:
+        start, length = x["start"].cast("int"), x["length"].cast("int")
+        raw = F.substring(formatted, start + 1, length)
+        return F.when(F.substring(formatted, start - 1, F.lit(2)) == "\\>", unescape(raw)).otherwise(raw)
+
+    return F.array_join(F.transform(mask, body), "")
+
+
 def op4_chat(spark, sf_dir: str) -> DataFrame:
     """Digests of every conversation, read back from its formatted text."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame(EXTRA, "conv_id long, turn long, role string, text string")
     read = read_back(format_conversations(turns.unionByName(extra)))
     said = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda x: x["role"] == "assistant"), lambda x: x["text"]), "")
+    loss = under_mask(F.col("formatted"), F.col("loss_mask"))
     digest = lambda c: F.sha2(c.cast("binary"), 256)
     return read.select(
         "conv_id",

@@ -308,3 +308,12 @@ def test_op10_recall_of_dense_edits():
     got = decontaminate.Block([(k, " ".join(item)) for k, item in enumerate(items)]).matches([" ".join(t) for t in texts], {})
     assert {(j, m[0]): m[1] for j, found in enumerate(got) for m in found} == want
     assert len(want) > 100
+
+
+def test_op4_loss_follows_the_mask(spark, sf_tiny, monkeypatch):
+    read = chat.read_back
+    right = {r["conv_id"]: r["loss_chars"] for r in rows(chat.op4_chat(spark, sf_tiny))}
+    shorter = "transform(loss_mask, x -> named_struct('start', x.start, 'length', greatest(x.length - 1, 0L)))"
+    monkeypatch.setattr(chat, "read_back", lambda f: read(f).withColumn("loss_mask", chat.F.expr(shorter)))
+    wrong = {r["conv_id"]: r["loss_chars"] for r in rows(chat.op4_chat(spark, sf_tiny))}
+    assert right[-7] == 26 and wrong[-7] == 25 and right != wrong
