@@ -1,4 +1,4 @@
-"""Exact removal of byte strings that repeat anywhere in the corpus.
+"""Exact removal of byte strings that repeat anywhere in the corpus, by a sparse, distributed suffix array.
 
 A byte goes if a string of `length` bytes that covers it also starts somewhere
 else, in the same or another text.  Comparing every suffix of the corpus would
@@ -6,36 +6,43 @@ move each byte hundreds of times, so the suffix array is sparse:
 
 1. Every window of `length` bytes has one anchor, the position in it whose
    `gram`-byte string hashes lowest (leftmost of ties).  Equal windows have equal
-   anchors at equal places, so windows are only compared within an anchor's class.
-   Each maximal run of window starts with one anchor becomes one row.
+   anchors at equal places, so only the suffixes that start at anchors are sorted,
+   each with the bytes that the windows of its anchor cover to both sides.
 2. Anchors whose leading string occurs once in the corpus are dropped.
-3. The other runs' bytes are range-partitioned by the anchor suffix's leading
-   bytes, with sampled splitters, so a class never crosses a bucket's boundary
-   unless it is hot.  Each bucket sorts its suffixes by a multikey quicksort,
-   class and offset first, then two 64-bit words of the window; equal
-   neighbours are repeats.
-4. Classes of over `hot` runs do not enter one bucket: their windows become rows
-   counted by (class, offset, words) across the whole cluster.
+3. Sampled splitters range-partition the suffixes by their leading bytes.  Each
+   bucket sorts its suffixes by a multikey quicksort of their bytes, and the common
+   prefix of neighbours gives runs that share the leading string.  Within a run the
+   common bytes to the left are sorted the same way; two suffixes with so many bytes
+   in common to both sides that a window fits are a repeat, and every byte of it was
+   compared.  Equal leading strings have equal splitter keys, so a run lies on one
+   side of a bucket's boundary: the suffixes next to each other across a boundary
+   have less than `gram` bytes in common, and no window can be shared across it.
+4. Leading strings with over `hot` suffixes do not enter one bucket: their windows
+   become rows that are counted by a strong digest across the whole cluster.
 
 Texts are identified by their MD5, so exact copies are compared once, and a text
 of `length` bytes or more with another row of the same text goes whole.
 Nulls count as empty texts; texts shorter than `length` keep all their bytes;
-repeated rows get equal results; other columns of the input aren't touched.
+long texts are read a piece at a time; repeated rows get equal results; other
+columns of the input aren't touched.
 """
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE_A, BASE_B, bound_batches, cut, mix64, parts, prefix_sums, slices, span_hash, text_bytes, text_or_empty
+from .common import BASE_A, bound_batches, cut, parts, prefix_sums, released, slices, span_hash, text_bytes, text_or_empty
 
 LENGTH, GRAM, HOT = 400, 100, 20_000
-CHUNK = 1 << 19
-_RUN = "khash long, s0 int, s1 int, p int"
+CHUNK = 1 << 18
+#: Runs of up to so many different suffixes are compared pair by pair, larger ones by the groups that each depth makes.
+FEW = 24
+_TEXT, _RUN = "ta long, tb long", "khash long, s0 int, s1 int, p int"
 
 
 def window_minimum(key: np.ndarray, width: int) -> np.ndarray:
@@ -71,179 +78,286 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     return row[first], h[p[first]], start[first] - base, start[last] - base, p[first] - base
 
 
+def _pieces(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple]:
+    """(first row, bytes, offsets, place of the bytes in their row): whole rows together, long rows a piece at a time.
+
+    Pieces overlap by length - 1 bytes, so every window is in exactly one.
+    """
+    for a, b in slices(offsets, CHUNK):
+        lo, hi = int(offsets[a]), int(offsets[b])
+        if hi - lo <= 2 * CHUNK:
+            yield a, data[lo:hi], offsets[a : b + 1] - lo, 0
+            continue
+        for at in range(lo, hi - length + 1, CHUNK):
+            part = data[at : min(hi, at + CHUNK + length - 1)]
+            yield a, part, np.array([0, len(part)]), at - lo
+
+
 def _runs_of(length: int, gram: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        seen: set[bytes] = set()
+        seen: set[int] = set()
         for batch in batches:
-            names = batch.column("thash")
+            ta, tb = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("ta", "tb"))
             data, offsets = text_bytes(batch.column("text"))
-            for a, b in slices(offsets, CHUNK):
-                row, h, s0, s1, p = anchor_runs(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], length, gram)
-                if not len(row):
-                    continue
-                fresh = np.zeros(b - a, dtype=bool)  # exact copies within a task are sent once
-                for i in np.unique(row):
-                    name = names[a + int(i)].as_py()
-                    if name not in seen:
-                        fresh[i] = True
-                        if len(seen) < 200_000:
-                            seen.add(name)
-                keep = fresh[row]
-                row = row[keep]
-                yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(row + a)), pa.array(h[keep].view(np.int64)), *(pa.array(x[keep].astype(np.int32)) for x in (s0, s1, p))],
-                    ["thash", "khash", "s0", "s1", "p"],
-                )
+            fresh = np.zeros(len(ta), dtype=bool)  # exact copies within a task are sent once
+            for i, name in enumerate(zip(ta.tolist(), tb.tolist(), strict=True)):
+                fresh[i] = name not in seen
+                if fresh[i] and len(seen) < 200_000:
+                    seen.add(name)
+            for a, part, cuts, base in _pieces(data, offsets, length):
+                row, h, s0, s1, p = anchor_runs(part, cuts, length, gram)
+                keep = fresh[a + row]
+                row = a + row[keep]
+                if len(row):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ta[row]), pa.array(tb[row]), pa.array(h[keep].view(np.int64)), *(pa.array((x[keep] + base).astype(np.int32)) for x in (s0, s1, p))],
+                        ["ta", "tb", "khash", "s0", "s1", "p"],
+                    )
 
     return run
 
 
+def gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes data[start : start + size] of each place, one after the other."""
+    to = np.cumsum(size) - size
+    return data[np.repeat(start - to, size) + np.arange(int(size.sum()))]
+
+
 def _segments_of(length: int, gram: int):
-    """Cuts each candidate run's bytes out of its text."""
+    """Cuts each candidate suffix out of its text, with the bytes that its windows cover to the left."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-        names = ["lead", "thash", "khash", "members", "s0", "s1", "p", "seg"]
+        def binary(values: np.ndarray, sizes: np.ndarray):
+            ends = np.zeros(len(sizes) + 1, np.int32)
+            np.cumsum(sizes, out=ends[1:])
+            return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
+
         for batch in batches:
-            out: list[list] = [[] for _ in names]
-            size = 0
-            for thash, text, runs in zip(batch.column("thash").to_pylist(), batch.column("text"), batch.column("runs"), strict=True):
-                raw = text.as_buffer()
-                for r in runs.as_py():
-                    s0, s1, p = r["s0"], r["s1"], r["p"]
-                    seg = raw[s0 : s1 + length].to_pybytes()
-                    for to, x in zip(out, (seg[p - s0 : p - s0 + 16], thash, r["khash"], r["members"], s0, s1, p, seg), strict=True):
-                        to.append(x)
-                    size += len(seg)
-                if size > 4 * CHUNK:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names)
-                    out, size = [[] for _ in names], 0
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names)
+            data, offsets = text_bytes(batch.column("text"))
+            runs = batch.column("runs")
+            row = np.repeat(np.arange(len(runs)), runs.value_lengths().to_numpy(zero_copy_only=False))
+            khash, members, s0, s1, p = (x.to_numpy(zero_copy_only=False) for x in runs.flatten().flatten())
+            ta, tb = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("ta", "tb"))
+            size = (s1 - s0).astype(np.int64) + length
+            start = offsets[row] + s0
+            for a, b in slices(np.concatenate(([0], np.cumsum(size))), 2 * CHUNK):
+                z = slice(a, b)
+                lead = gather(data, start[z] + (p - s0)[z], np.full(b - a, 16))
+                yield pa.RecordBatch.from_arrays(
+                    [binary(lead, np.full(b - a, 16)), *(pa.array(x[z]) for x in (ta[row], tb[row], khash, members, s0, s1, p)), binary(gather(data, start[z], size[z]), size[z])],
+                    ["lead", "ta", "tb", "khash", "members", "s0", "s1", "p", "seg"],
+                )
 
     return run
 
 
-def multikey_sort(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Order by the keys in turn, and each place's group of equal keys; a later key is read only inside ties of the earlier ones."""
-    n = len(keys[0])
-    order = np.argsort(keys[0], kind="stable")
-    k = keys[0][order]
-    new = np.concatenate(([True], k[1:] != k[:-1])) if n else np.zeros(0, bool)
-    for key in keys[1:]:
-        group = np.cumsum(new) - 1
-        tied = np.bincount(group, minlength=1)[group] > 1 if n else new
-        at = np.flatnonzero(tied)
-        if not len(at):
+def multikey_sort(word, n: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of n byte strings by multikey quicksort, eight bytes a round, and the bytes that each has in common with the one before it.
+
+    word(rows, k) gives bytes 8k to 8k + 7 of the rows' strings as numbers in byte order;
+    a round reads only strings that are still tied.  Common bytes of strings that stay
+    tied are given as 8 * most.
+    """
+    order = np.arange(n)
+    common = np.full(n, 8 * most, dtype=np.int64)
+    common[:1] = 0
+    at, group = np.arange(n), np.zeros(n, dtype=np.int64)
+    for k in range(most):
+        if len(at) < 2:
             break
-        k = key[order[at]]
-        inner = np.lexsort((k, group[at]))
+        key = word(order[at], k)
+        inner = np.lexsort((key, group))
         order[at] = order[at][inner]
-        k, g = k[inner], group[at]
-        split = np.concatenate(([False], (k[1:] != k[:-1]) & (g[1:] == g[:-1])))
-        new[at[split]] = True
-    return order, np.cumsum(new) - 1
-
-
-def _windows(segs: list[bytes], khash: np.ndarray, s0: np.ndarray, s1: np.ndarray, p: np.ndarray, length: int):
-    """For every window of the runs: run, place in the run, class-and-offset key and two words."""
-    data = np.frombuffer(b"".join(segs), dtype=np.uint8)
-    sizes = np.array([len(x) for x in segs], dtype=np.int64)
-    begin = np.cumsum(sizes) - sizes
-    counts = (s1 - s0 + 1).astype(np.int64)
-    run = np.repeat(np.arange(len(segs)), counts)
-    j = np.arange(len(run)) - np.repeat(np.cumsum(counts) - counts, counts)
-    start = begin[run] + j
-    head = mix64(khash.view(np.uint64)[run] + mix64(((p - s0)[run] - j).astype(np.uint64)))
-    a = span_hash(prefix_sums(data, BASE_A), start, start + length, BASE_A)
-    b = span_hash(prefix_sums(data, BASE_B), start, start + length, BASE_B)
-    return run, j, head, a, b
-
-
-def _spans(run: np.ndarray, start: np.ndarray, length: int):
-    """Covered byte spans (run, from, to) of window starts sorted by (run, start)."""
-    if not len(run):
-        return run, start, start
-    first = np.flatnonzero(np.concatenate(([True], (run[1:] != run[:-1]) | (start[1:] > start[:-1] + length))))
-    last = np.concatenate((first[1:], [len(run)])) - 1
-    return run[first], start[first], start[last] + length
-
-
-def _resolve(length: int):
-    def flush(rows: list, pa) -> Iterator:
-        segs = [x for r in rows for x in r["seg"]]
-        khash, s0, s1, p = (np.concatenate([r[k] for r in rows]) for k in ("khash", "s0", "s1", "p"))
-        names = [x for r in rows for x in r["thash"]]
-        order = np.argsort(khash, kind="stable")
-        cuts = np.flatnonzero(np.concatenate(([True], khash[order][1:] != khash[order][:-1], [True])))
-        size = np.cumsum([len(segs[i]) for i in order])
-        a = 0
-        while a < len(cuts) - 1:  # whole classes, a few MB at a time
-            begin = size[cuts[a]] - len(segs[order[cuts[a]]])
-            b = a + 1
-            while b < len(cuts) - 1 and size[cuts[b + 1] - 1] - begin <= CHUNK:
-                b += 1
-            rows_here = order[cuts[a] : cuts[b]]
-            a = b
-            run, j, head, wa, wb = _windows([segs[i] for i in rows_here], khash[rows_here], s0[rows_here], s1[rows_here], p[rows_here], length)
-            sort, group = multikey_sort([head, wa, wb])
-            dup = np.sort(sort[np.bincount(group)[group] > 1])
-            r, lo, hi = _spans(run[dup], (s0[rows_here][run[dup]] + j[dup]).astype(np.int64), length)
-            if len(r):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[i] for i in rows_here[r]], pa.binary()), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], ["thash", "lo", "hi"]
-                )
+        key = key[inner]
+        same = group[1:] == group[:-1]
+        split = np.flatnonzero(same & (key[1:] != key[:-1])) + 1
+        apart = key[split] ^ key[split - 1]
+        for s in (1, 2, 4, 8, 16, 32):  # all bits below the highest differing one
+            apart |= apart >> np.uint64(s)
+        common[at[split]] = 8 * k + (64 - np.bitwise_count(apart).astype(np.int64)) // 8
+        new = np.concatenate(([True], ~same))
+        new[split] = True
+        group = np.cumsum(new) - 1
+        tied = np.bincount(group)[group] > 1
+        at, group = at[tied], group[tied]
+    return order, common
+
+
+class Suffixes:
+    """Suffixes at anchors with what stands to their left: the bytes of a bucket, or of some whole classes of it."""
+
+    def __init__(self, data: np.ndarray, begin: np.ndarray, left: np.ndarray, right: np.ndarray, length: int, gram: int):
+        pad = np.zeros(8, np.uint8)
+        self.bytes = np.concatenate((pad, data, pad))
+        self.at = begin + left + 8  # the anchor
+        self.left, self.right, self.length, self.gram = left, right, length, gram
+        self.most = -(-length // 8)
+        self.low = np.ndarray(len(self.bytes) - 7, "<u8", self.bytes, strides=(1,))
+        self.high = np.ndarray(len(self.bytes) - 7, ">u8", self.bytes, strides=(1,))
+
+    def ahead(self, rows: np.ndarray, k: int) -> np.ndarray:
+        """Bytes 8k to 8k + 7 to the right of the anchor; nothing is less than any byte."""
+        rest = np.clip(self.right[rows] - 8 * k, 0, 8).astype(np.uint64)
+        x = self.high[np.minimum(self.at[rows] + 8 * k, len(self.high) - 1)].astype(np.uint64)
+        return np.where(rest > 0, x & (~np.uint64(0) << (np.uint64(64) - np.uint64(8) * np.maximum(rest, np.uint64(1)))), np.uint64(0))
+
+    def behind(self, rows: np.ndarray, k: int) -> np.ndarray:
+        """Bytes 8k to 8k + 7 to the left of the anchor, the nearest first."""
+        rest = np.clip(self.left[rows] - 8 * k, 0, 8).astype(np.uint64)
+        x = self.low[np.maximum(self.at[rows] - 8 * k - 8, 0)].astype(np.uint64)
+        return np.where(rest > 0, x & (~np.uint64(0) << (np.uint64(64) - np.uint64(8) * np.maximum(rest, np.uint64(1)))), np.uint64(0))
+
+    def sorted(self, rows: np.ndarray, right: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the rows in byte order, shorter ones first, and the bytes in common with the one before."""
+        size = (self.right if right else self.left)[rows]
+        word = self.ahead if right else self.behind
+        by_size = np.argsort(size, kind="stable")  # ties keep this order
+        order, common = multikey_sort(lambda r, k: word(rows[by_size[r]], k), len(rows), self.most)
+        order = by_size[order]
+        common[1:] = np.minimum(common[1:], np.minimum(size[order][1:], size[order][:-1]))
+        return order, common
+
+    def common_left(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """How many bytes to the left of the anchors of i and j are equal."""
+        most = np.minimum(self.left[i], self.left[j])
+        out = most.copy()
+        at = np.arange(len(i))
+        for k in range(self.most):
+            at = at[most[at] > 8 * k]
+            if not len(at):
+                break
+            x = self.low[np.maximum(self.at[i[at]] - 8 * k - 8, 0)].astype(np.uint64) ^ self.low[np.maximum(self.at[j[at]] - 8 * k - 8, 0)].astype(np.uint64)
+            for s in (1, 2, 4, 8, 16, 32):
+                x |= x >> np.uint64(s)
+            same = (64 - np.bitwise_count(x).astype(np.int64)) // 8
+            out[at] = np.minimum(most[at], 8 * k + same)
+            at = at[same == 8]
+        return out
+
+    def repeats(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each suffix how far repeated windows reach to its left and right; zeros where there is none."""
+        n = len(self.at)
+        far_left, far_right = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        if n < 2:
+            return far_left, far_right
+        order, common = self.sorted(np.arange(n), True)
+        run = np.cumsum(common < self.gram)  # suffixes with the leading string in common
+        begin, end = self.at - self.left, self.at + self.right
+        raw = self.bytes.tobytes()
+        first: dict = {}
+        own = np.empty(n, np.int64)  # the first suffix with the same bytes to both sides
+        for place, (i, r) in enumerate(zip(order.tolist(), run.tolist(), strict=True)):
+            own[place] = first.setdefault((r, self.left[i], raw[begin[i] : end[i]]), place)
+        twice = np.bincount(own, minlength=n)[own] > 1
+        far_left[order[twice]], far_right[order[twice]] = self.left[order[twice]], self.right[order[twice]]
+        one = np.flatnonzero(own == np.arange(n))
+        common = np.append(0, np.minimum.reduceat(common[1 : one[-1] + 1], one[:-1]) if len(one) > 1 else common[:0])
+        rows, run = order[one], run[one]
+        edges = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1], [True])))
+        sizes = np.diff(edges)
+        few = np.repeat(sizes <= FEW, sizes)
+        right = np.full(len(rows), 8 * self.most)
+        for k in range(1, min(FEW, len(rows))):  # suffixes that stand k places apart
+            right[:-k] = np.minimum(right[:-k], common[k:])
+            i = np.flatnonzero(few[:-k] & (run[k:] == run[:-k]))
+            if not len(i):
+                break
+            a, b, r = rows[i], rows[i + k], right[i]
+            near = r + np.minimum(self.left[a], self.left[b]) >= self.length
+            a, b, r = a[near], b[near], r[near]
+            left = self.common_left(a, b)
+            fits = left + r >= self.length
+            for x in (a[fits], b[fits]):
+                np.maximum.at(far_left, x, left[fits])
+                np.maximum.at(far_right, x, r[fits])
+        for k in np.flatnonzero(sizes > FEW).tolist():
+            self._large(rows[edges[k] : edges[k + 1]], common[edges[k] : edges[k + 1]], far_left, far_right)
+        return far_left, far_right
+
+    def _large(self, rows: np.ndarray, right: np.ndarray, far_left: np.ndarray, far_right: np.ndarray) -> None:
+        """One run of many suffixes in byte order: those in one group by so many bytes to the left and the rest to the right share a window."""
+        n = len(rows)
+        order, left = self.sorted(rows, False)
+
+        def shared(depth_left: int, depth_right: int) -> np.ndarray:
+            a, b = np.empty(n, np.int64), np.cumsum(right < depth_right)
+            a[order] = np.cumsum(left < depth_left)
+            _, back, count = np.unique(a * (n + 1) + b, return_inverse=True, return_counts=True)
+            return count[back] > 1
+
+        open_left, open_right = np.ones(n, bool), np.ones(n, bool)
+        for d in np.unique(left[1:])[::-1].tolist():
+            hit = open_left & shared(d, self.length - d)
+            far_left[rows[hit]] = np.maximum(far_left[rows[hit]], d)
+            open_left &= ~hit
+        for d in np.unique(right[1:])[::-1].tolist():
+            if d >= self.gram:
+                hit = open_right & shared(self.length - d, d)
+                far_right[rows[hit]] = np.maximum(far_right[rows[hit]], d)
+                open_right &= ~hit
+
+
+def _resolve(length: int, gram: int):
+    def flush(held: list, pa) -> Iterator:
+        col = {k: np.concatenate([h.column(k).to_numpy(zero_copy_only=False) for h in held]) for k in ("ta", "tb", "s0", "s1", "p")}
+        bits = [text_bytes(h.column("seg")) for h in held]
+        data = np.concatenate([x[0] for x in bits])
+        size = np.concatenate([np.diff(x[1]) for x in bits])
+        begin = np.cumsum(size) - size
+        left = (col["p"] - col["s0"]).astype(np.int64)
+        far_left, far_right = Suffixes(data, begin, left, size - left, length, gram).repeats()
+        hit = np.flatnonzero(far_right)
+        if len(hit):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(col["ta"][hit]), pa.array(col["tb"][hit]), pa.array((col["p"][hit] - far_left[hit]).astype(np.int32)), pa.array((col["p"][hit] + far_right[hit]).astype(np.int32))],
+                ["ta", "tb", "lo", "hi"],
+            )
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        rows: list = []
-        done: set = set()
-        size, last = 0, None
-        for batch in batches:  # sorted by (lead, khash): a class's rows are adjacent
+        held: list = []
+        size = 0
+        for batch in batches:  # sorted by (lead, khash): suffixes with one leading string are adjacent
+            if not batch.num_rows:
+                continue
             kh = batch.column("khash").to_numpy(zero_copy_only=False)
-            table = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("khash", "s0", "s1", "p")}
-            names, segs = batch.column("thash").to_pylist(), batch.column("seg").to_pylist()
-            edges = np.flatnonzero(np.concatenate(([True], kh[1:] != kh[:-1], [True])))
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                if kh[a] != last:
-                    if size > 4 * CHUNK:
-                        yield from flush(rows, pa)
-                        rows, size = [], 0
-                    done = set()
-                    last = kh[a]
-                pick = []
-                for i in range(a, b):
-                    at = (names[i], int(table["p"][i]))
-                    if at not in done:  # copies of a row that other copies of the text have sent
-                        done.add(at)
-                        pick.append(i)
-                rows.append({"thash": [names[i] for i in pick], "seg": [segs[i] for i in pick]} | {k: v[pick] for k, v in table.items()})
-                size += sum(len(segs[i]) for i in pick)
-        if rows:
-            yield from flush(rows, pa)
+            ends = np.cumsum(np.diff(text_bytes(batch.column("seg"))[1]))
+            fresh = kh[1:] != kh[:-1]
+            starts = np.flatnonzero(np.append(bool(held) and held[-1].column("khash")[-1].as_py() != kh[0], fresh))
+            a = 0
+            for b in starts.tolist():
+                if size + (ends[b - 1] if b else 0) - (ends[a - 1] if a else 0) > 4 * CHUNK:
+                    if b > a:
+                        held.append(batch.slice(a, b - a))
+                    yield from flush(held, pa)
+                    held, size, a = [], 0, b
+            held.append(batch.slice(a))
+            size += int(ends[-1] - (ends[a - 1] if a else 0))
+        if held:
+            yield from flush(held, pa)
 
     return run
 
 
 def _explode_windows(length: int):
-    """A row for each window of the hot classes' runs."""
+    """A row for each window of the hot classes' suffixes, under its digest."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            col = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("khash", "s0", "s1", "p")}
-            segs, names = batch.column("seg").to_pylist(), batch.column("thash")
-            for a in range(0, len(segs), 500):
-                z = slice(a, a + 500)
-                r, j, head, wa, wb = _windows(segs[z], col["khash"][z], col["s0"][z], col["s1"][z], col["p"][z], length)
-                start = (col["s0"][z][r] + j).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(r + a)), pa.array(start), *(pa.array(x.view(np.int64)) for x in (head, wa, wb))], ["thash", "start", "head", "wa", "wb"])
+            col = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("ta", "tb", "s0", "s1")}
+            for i, seg in enumerate(batch.column("seg")):
+                raw = seg.as_buffer()
+                n = int(col["s1"][i] - col["s0"][i]) + 1
+                word = np.frombuffer(b"".join(hashlib.blake2b(raw[j : j + length], digest_size=16).digest() for j in range(n)), np.int64).reshape(n, 2)
+                start = np.arange(col["s0"][i], col["s0"][i] + n, dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.full(n, col[k][i])) for k in ("ta", "tb")), pa.array(start), *(pa.array(np.ascontiguousarray(word[:, k])) for k in (0, 1))], ["ta", "tb", "start", "wa", "wb"])
 
     return run
 
@@ -271,66 +385,83 @@ def _kept(batches: Iterator) -> Iterator:
     for batch in batches:
         rows = [keep_bytes(t.as_buffer().to_pybytes(), [(x["lo"], x["hi"]) for x in s.as_py()]) for t, s in zip(batch.column("text"), batch.column("spans"), strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("thash"), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64())],
-            ["thash", "kept", "n_removed", "n_spans"],
+            [batch.column("ta"), batch.column("tb"), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64())],
+            ["ta", "tb", "kept", "n_removed", "n_spans"],
         )
 
 
+def text_name(text) -> tuple:
+    """The MD5 of a text or of bytes as two longs, ta and tb."""
+    digest = F.md5(text.cast("binary"))
+    return tuple(F.conv(F.substring(digest, at, 16), 16, -10).cast("long").alias(name) for at, name in ((1, "ta"), (17, "tb")))
+
+
 def repeated_spans(docs: DataFrame, text: str = "text", id_column: str = "doc_id", length: int = LENGTH, gram: int | None = None, hot: int = HOT):
-    """(rows, changed): rows (id, thash, n_bytes, copies) of the input, and for texts that lose bytes (thash, kept, n_removed, n_spans)."""
+    """(rows, copies, changed): the input as (id, text, ta, tb), texts that can match as (ta, tb, copies), and of texts that lose bytes (ta, tb, kept, n_removed, n_spans)."""
     texts, copies, single = found_spans(docs, text, id_column, length, gram, hot)
-    return texts, copies, single.mapInArrow(_kept, "thash binary, kept binary, n_removed long, n_spans long")
+    return texts, copies, single.mapInArrow(released(_kept), f"{_TEXT}, kept binary, n_removed long, n_spans long")
 
 
 def found_spans(docs: DataFrame, text: str = "text", id_column: str = "doc_id", length: int = LENGTH, gram: int | None = None, hot: int = HOT):
-    """As `repeated_spans`, but (thash, text, spans) for texts that lose bytes; the spans can overlap."""
+    """As `repeated_spans`, but (ta, tb, text, spans) for texts that lose bytes; the spans can overlap."""
     spark = docs.sparkSession
     bound_batches(spark)
     gram = gram or max(1, length // 4)
-    texts = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text")).withColumn("thash", F.unhex(F.md5(F.col("text").cast("binary"))))
-    rows = texts.select("id", "thash", F.octet_length("text").cast("long").alias("n_bytes"))
+    name = ["ta", "tb"]
+    texts = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text")).select("id", "text", *text_name(F.col("text")))
     long_enough = texts.where(F.octet_length("text") >= length)
-    runs = long_enough.select("thash", "text").mapInArrow(_runs_of(length, gram), f"thash binary, {_RUN}")
-    shared = runs.groupBy("khash").agg(F.count("*").alias("members"), F.min(F.struct("thash", "p")).alias("a"), F.max(F.struct("thash", "p")).alias("b")).where("a != b")
+    runs = long_enough.select(*name, "text").mapInArrow(released(_runs_of(length, gram)), f"{_TEXT}, {_RUN}")
+    ends = [f(c).alias(f"{c}_{n}") for c in ("ta", "tb", "p") for f, n in ((F.min, "low"), (F.max, "high"))]
+    shared = runs.groupBy("khash").agg(F.count("*").alias("members"), *ends).where("ta_low <> ta_high or tb_low <> tb_high or p_low <> p_high")
     # under another key the counts are dealt anew, so that Spark can split a class that a large share of texts has
     other = lambda c: F.col(c).bitwiseXOR(F.lit(1).cast("long"))
     known = shared.select(other("khash").alias("class"), "members")
     # one text stands for its copies; its row has the smallest id
-    copies = rows.where(F.col("n_bytes") >= length).groupBy("thash").agg(F.count("*").alias("copies"), F.min("id").alias("id"))
+    copies = long_enough.groupBy(*name).agg(F.count("*").alias("copies"), F.min("id").alias("id"))
     met = runs.withColumn("class", other("khash")).join(known, "class")
-    wanted = met.groupBy("thash").agg(F.collect_set(F.struct("khash", "members", "s0", "s1", "p")).alias("runs")).join(copies, "thash")
-    held = cut(long_enough.join(wanted.withColumnRenamed("thash", "t2").withColumnRenamed("id", "id2"), (F.col("thash") == F.col("t2")) & F.col("id").eqNullSafe(F.col("id2"))).select("thash", "text", "copies", "runs"))
-    segments = held.select("thash", "text", "runs").mapInArrow(_segments_of(length, gram), "lead binary, thash binary, khash long, members long, s0 int, s1 int, p int, seg binary")
+    wanted = met.groupBy(*name).agg(F.collect_set(F.struct("khash", "members", "s0", "s1", "p")).alias("runs")).join(copies, name)
+    w = wanted.select(F.col("ta").alias("ta2"), F.col("tb").alias("tb2"), F.col("id").alias("id2"), "copies", "runs")
+    same = (F.col("ta") == F.col("ta2")) & (F.col("tb") == F.col("tb2")) & F.col("id").eqNullSafe(F.col("id2"))
+    held = cut(long_enough.join(w, same).dropDuplicates(name).select(*name, "text", "copies", "runs"))
+    segments = held.select(*name, "text", "runs").mapInArrow(released(_segments_of(length, gram)), f"lead binary, {_TEXT}, khash long, members long, s0 int, s1 int, p int, seg binary")
     n = parts(spark)
     cold = segments.where(F.col("members") <= hot).repartitionByRange(n, "lead", "khash").sortWithinPartitions("lead", "khash")
-    found = cold.drop("lead", "members").mapInArrow(_resolve(length), "thash binary, lo int, hi int")
-    windows = segments.where(F.col("members") > hot).drop("lead", "members").mapInArrow(_explode_windows(length), "thash binary, start int, head long, wa long, wb long")
-    twice = windows.groupBy("head", "wa", "wb").agg(F.min(F.struct("thash", "start")).alias("a"), F.max(F.struct("thash", "start")).alias("b")).where("a != b").select("head", "wa", "wb")
-    hot_spans = windows.join(twice, ["head", "wa", "wb"]).select("thash", F.col("start").alias("lo"), (F.col("start") + length).alias("hi"))
-    spans = found.unionByName(hot_spans).groupBy("thash").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
-    single = held.where("copies = 1").select("thash", "text").join(spans, "thash")
-    return texts, copies.select("thash", "copies"), single
+    found = cold.drop("lead", "members").mapInArrow(released(_resolve(length, gram)), f"{_TEXT}, lo int, hi int")
+    windows = segments.where(F.col("members") > hot).select(*name, "s0", "s1", "seg").mapInArrow(released(_explode_windows(length)), f"{_TEXT}, start int, wa long, wb long")
+    ends = [f(c).alias(f"{c}_{n}") for c in ("ta", "tb", "start") for f, n in ((F.min, "low"), (F.max, "high"))]
+    twice = windows.groupBy("wa", "wb").agg(*ends).where("ta_low <> ta_high or tb_low <> tb_high or start_low <> start_high")
+    twice = twice.select(other("wa").alias("xa"), "wb")
+    hot_spans = windows.withColumn("xa", other("wa")).join(twice, ["xa", "wb"]).select(*name, F.col("start").alias("lo"), (F.col("start") + length).alias("hi"))
+    spans = found.unionByName(hot_spans).groupBy(*name).agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    single = held.where("copies = 1").select(*name, "text").join(spans, name)
+    return texts, copies.select(*name, "copies"), single
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id", length: int = LENGTH) -> DataFrame:
-    """Each input row's id with n_bytes, n_removed, n_spans and the kept bytes (null where nothing went)."""
-    texts, copies, changed = repeated_spans(docs, text, id_column, length)
-    rows = texts.select("id", "thash", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("whole_sha256"))
-    outcome = changed.withColumn("sha", F.sha2("kept", 256)).drop("kept")
-    return _settled(rows, copies, outcome, length)
+    """Each input row's id with n_bytes, n_removed, n_spans, kept_sha256, and how many bytes and code points are left.
 
-
-def _settled(rows: DataFrame, copies: DataFrame, outcome: DataFrame, length: int) -> DataFrame:
-    twin = copies.where("copies > 1").select("thash", F.lit(True).alias("twin"))
-    out = rows.join(twin.join(outcome, "thash", "full_outer"), "thash", "left")
+    A code point of which a byte went is not counted among those left.
+    """
+    texts, copies, changed = repeated_spans(docs, text, id_column, length)
+    rows = texts.select(
+        F.col("id").alias("doc_id"), "ta", "tb", F.octet_length("text").cast("long").alias("n_bytes"), F.char_length("text").cast("long").alias("whole_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("whole_sha256"),
+    )
+    left = F.make_valid_utf8(F.col("kept").cast("string"))
+    broken = F.when(F.is_valid_utf8(F.col("kept").cast("string")), 0).otherwise(F.regexp_count(left, F.lit("\ufffd")))
+    outcome = changed.select("ta", "tb", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha"), (F.char_length(left) - broken).cast("long").alias("left_chars"))
+    name = ["ta", "tb"]
+    twin = copies.where("copies > 1").select(*name, F.lit(True).alias("twin"))
+    out = rows.join(twin.join(outcome, name, "full_outer"), name, "left")
     whole = F.coalesce(F.col("twin"), F.lit(False))
+    pick = lambda gone, part, none: F.when(whole, gone).otherwise(F.coalesce(part, none))
+    removed = pick(F.col("n_bytes"), F.col("n_removed"), F.lit(0)).cast("long")
     return out.select(
-        F.col("id").alias("doc_id"),
-        "n_bytes",
-        F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(whole, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("sha", "whole_sha256")).alias("kept_sha256"),
-    )
+        "doc_id", "n_bytes", removed.alias("n_removed"), pick(F.lit(1), F.col("n_spans"), F.lit(0)).cast("long").alias("n_spans"),
+        pick(F.sha2(F.lit("").cast("binary"), 256), F.col("sha"), F.col("whole_sha256")).alias("kept_sha256"),
+        (F.col("n_bytes") - removed).alias("kept_bytes"), pick(F.lit(0), F.col("left_chars"), F.col("whole_chars")).cast("long").alias("kept_chars"),
+        (removed > 0).cast("int").alias("has_repeats"),
+    )
 
 
 def without_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id", length: int = LENGTH) -> DataFrame:
@@ -338,18 +469,22 @@ def without_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_i
 
     A code point of which a byte went goes too.
     """
-    columns = docs.columns
-    texts, copies, changed = repeated_spans(docs, text, id_column, length)
-    del texts
-    twin = copies.where("copies > 1").select("thash", F.lit(True).alias("_twin"))
-    fixed = changed.select("thash", F.try_validate_utf8(F.col("kept").cast("string")).alias("_clean"), F.make_valid_utf8(F.col("kept").cast("string")).alias("_kept"))
-    both = twin.join(fixed, "thash", "full_outer").withColumnRenamed("thash", "_thash")
-    keyed = docs.withColumn("_thash2", F.unhex(F.md5(text_or_empty(text).cast("binary"))))
-    joined = keyed.join(both, F.col("_thash2") == F.col("_thash"), "left")
-    new = F.when(F.col("_twin"), F.lit("")).otherwise(F.coalesce("_clean", F.regexp_replace("_kept", "�", ""), F.col(text)))
-    gone = (F.col("_twin").isNotNull() | F.col("_kept").isNotNull()) & (F.trim(F.regexp_replace(new, r"\s+", " ")) == "")
-    out = joined.withColumn("_gone", gone).withColumn(text, new).where(~F.coalesce("_gone", F.lit(False)))
-    return out.select(*columns)
+    _, copies, changed = repeated_spans(docs, text, id_column, length)
+    kept = F.col("kept").cast("string")
+    fixed = changed.select("ta", "tb", F.coalesce(F.try_validate_utf8(kept), F.regexp_replace(F.make_valid_utf8(kept), "\ufffd", "")).alias("_left"))
+    return _with_rest(docs, text, text_or_empty(text), copies, fixed, lambda _, left: left)
+
+
+def _with_rest(docs: DataFrame, text: str, code: Column, copies: DataFrame, changed: DataFrame, rest) -> DataFrame:
+    """The input with rest(text, _left) as the text where `changed` (ta, tb, _left) knows its code; texts with copies go, as do rows of which only white space is left."""
+    twin = copies.where("copies > 1").select("ta", "tb", F.lit(True).alias("_twin"))
+    both = twin.join(changed, ["ta", "tb"], "full_outer")
+    packed = docs.select(F.struct(*docs.columns).alias("row"), code.alias("code")).select("row", F.struct(*text_name(F.col("code"))).alias("name"))
+    found = packed.join(both, (F.col("name.ta") == F.col("ta")) & (F.col("name.tb") == F.col("tb")), "left")
+    whole = F.coalesce(F.col("row")[text].cast("string"), F.lit(""))
+    new = found.withColumn("_rest", F.when(F.col("_twin"), F.lit("")).when(F.col("_left").isNotNull(), rest(whole, F.col("_left"))))
+    left = new.where(F.col("_rest").isNull() | (F.trim(F.regexp_replace("_rest", r"\s+", " ")) != ""))
+    return left.select(*(F.coalesce(F.col("_rest"), F.col("row")[c]).alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 #: Words as `without_repeated_words` counts them: runs without white space, and each letter of scripts that don't part words.
@@ -396,30 +531,23 @@ def without_repeated_words(docs: DataFrame, words: int, text: str = "text", id_c
     """As `without_repeats`, for strings of so many words or more, however short the words; white space between words doesn't count."""
     bound_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[id_column]
-    codes = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text")).mapInArrow(_coded, f"id {kind}, codes string")
+    codes = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text")).mapInArrow(released(_coded), f"id {kind}, codes string")
     _, copies, single = found_spans(codes, "codes", "id", words * CODE)
 
     @F.arrow_udf("binary")
-    def code_hash(texts):
-        import hashlib
-
+    def coded(texts):
         import pyarrow as pa
 
         known: dict = {}
-        return pa.array([hashlib.md5(word_codes(t, known).encode()).digest() for t in texts.to_pylist()], pa.binary())
+        return pa.array([word_codes(t, known).encode() for t in texts.to_pylist()], pa.binary())
 
     @F.arrow_udf("string")
     def rest(texts, spans):
         import pyarrow as pa
 
-        return pa.array([t if not s else without_words(t, [(x["lo"], x["hi"]) for x in s]) for t, s in zip(texts.to_pylist(), spans.to_pylist(), strict=True)], pa.string())
+        return pa.array([t if s is None else without_words(t, [(x["lo"], x["hi"]) for x in s]) for t, s in zip(texts.to_pylist(), spans.to_pylist(), strict=True)], pa.string())
 
-    twin = copies.where("copies > 1").select("thash", F.lit(True).alias("_twin"))
-    both = twin.join(single.select("thash", F.col("spans").alias("_spans")), "thash", "full_outer").withColumnRenamed("thash", "_thash")
-    joined = docs.withColumn("_thash2", code_hash(text_or_empty(text))).join(both, F.col("_thash2") == F.col("_thash"), "left")
-    out = joined.withColumn("_rest", F.when(F.col("_twin"), F.lit("")).when(F.col("_spans").isNotNull(), rest(text_or_empty(text), F.col("_spans"))))
-    out = out.where(F.col("_rest").isNull() | (F.trim(F.regexp_replace("_rest", r"\s+", " ")) != ""))
-    return out.withColumn(text, F.coalesce("_rest", F.col(text))).select(*docs.columns)
+    return _with_rest(docs, text, coded(text_or_empty(text)), copies, single.select("ta", "tb", F.col("spans").alias("_left")), rest)
 
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:

@@ -202,17 +202,66 @@ def brute_repeats(raw, length):
     return [(k, [(i, i + length) for i in range(len(b) - length + 1) if count[b[i : i + length]] > 1], b) for k, b in raw]
 
 
-@pytest.mark.parametrize("hot", [20_000, 1])
-def test_op8(spark, sf_tiny, texts, hot, monkeypatch):
+@pytest.mark.parametrize(("hot", "parts"), [(20_000, 1), (20_000, 2), (20_000, 7), (1, 4)])
+def test_op8(spark, sf_tiny, texts, hot, parts, monkeypatch):
     monkeypatch.setattr(suffix_dedup.repeated_spans, "__defaults__", (*suffix_dedup.repeated_spans.__defaults__[:-1], hot))
+    monkeypatch.setattr(suffix_dedup, "parts", lambda _: parts)
     got = rows(suffix_dedup.op8_suffix_dedup(spark, sf_tiny))
     raw = [(i, (texts[i] or "").encode()) for i in [*texts, 20]]
     want = {}
     for i, spans, b in brute_repeats(raw, 400):
         kept, gone, n = suffix_dedup.keep_bytes(b, spans)
-        want[i] = (len(b), gone, n, hashlib.sha256(kept).hexdigest())
+        want[i] = (len(b), gone, n, hashlib.sha256(kept).hexdigest(), len(b) - gone, len(kept.decode("utf-8", "ignore")), int(gone > 0))
     assert len(got) == len(raw) and want[23][1] > 0 and want[29][1] == 900
-    assert all((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]] for r in got)
+    names = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes", "kept_chars", "has_repeats")
+    assert all(tuple(r[k] for k in names) == want[r["doc_id"]] for r in got)
+
+
+def test_op8_long_text(spark):
+    """A text of many pieces with repeats inside it and across the borders of pieces."""
+    r = np.random.default_rng(4)
+    line = lambda n: bytes(r.integers(97, 123, n, dtype=np.uint8))
+    passage, size = line(1_000), suffix_dedup.CHUNK
+    long = line(size - 500) + passage + line(3 * size) + passage + line(9 * size - 1)
+    docs = spark.createDataFrame([(1, long.decode()), (2, (line(700) + passage[:600] + line(700)).decode()), (3, passage[:399].decode())], "doc_id long, text string")
+    got = {x["doc_id"]: (x["n_bytes"], x["n_removed"], x["n_spans"]) for x in rows(suffix_dedup.remove_repeats(docs))}
+    assert got == {1: (len(long), 2_000, 2), 2: (2_000, 600, 1), 3: (399, 0, 0)}
+
+
+@pytest.mark.parametrize("few", [1, 3, 24])
+@pytest.mark.parametrize("letters", [2, 3, 20])
+def test_op8_suffixes(few, letters, monkeypatch):
+    """Reach of repeated windows around anchors against all pairs of suffixes."""
+    monkeypatch.setattr(suffix_dedup, "FEW", few)
+    r, length, gram = np.random.default_rng(few + letters), 40, 10
+    heads, sides = [r.integers(0, letters, gram) for _ in range(3)], [r.integers(0, letters, 30) for _ in range(5)]
+    segs, left = [], []
+    for _ in range(160):
+        a, b = int(r.integers(0, 31)), int(r.integers(0, 31))
+        before, after = (np.array(sides[r.integers(0, 5)]) for _ in range(2))
+        for x in (before, after):
+            if r.random() < 0.7:
+                x[r.integers(0, 30)] = r.integers(0, letters)
+        segs.append(np.concatenate((before[30 - a :], heads[r.integers(0, 3)], after[:b])).astype(np.uint8))
+        left.append(a)
+    left, size = np.array(left), np.array([len(x) for x in segs])
+    begin = np.cumsum(size) - size
+    got = suffix_dedup.Suffixes(np.concatenate(segs), begin, left, size - left, length, gram).repeats()
+    common = lambda x, y: next((k for k, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
+    n = len(segs)
+    want = np.zeros((2, n), np.int64)
+    for i in range(n):
+        for j in range(n):
+            a, b = common(segs[i][: left[i]][::-1], segs[j][: left[j]][::-1]), common(segs[i][left[i] :], segs[j][left[j] :])
+            if i != j and b >= gram and a + b >= length:
+                want[0, i], want[1, i] = max(want[0, i], a), max(want[1, i], b)
+    whole = {}
+    for i in range(n):
+        whole.setdefault((left[i], segs[i].tobytes()), []).append(i)
+    for same in whole.values():
+        if len(same) > 1:  # copies are taken whole: a window fits in each in a corpus
+            want[0, same], want[1, same] = left[same], size[same] - left[same]
+    assert (want[1] > 0).sum() > 10 and (np.array(got) == want).all()
 
 
 def test_op9(spark, sf_tiny):
