@@ -14,10 +14,12 @@ BASE_A, BASE_B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; a temporary one only where none is set (tests)."""
+    """The shared folder named in spark.checkpoint.dir; a temporary one only where none is set and Spark is local (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     held = spark.sparkContext.getCheckpointDir()
     if named is None and held is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cairn-checkpoint-"))
         held = spark.sparkContext.getCheckpointDir()
     elif held is None:
@@ -37,6 +39,13 @@ def shared_path(spark: SparkSession, what: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+def spread_join(rows: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join on keys of which the first is a long, for a small side that is an aggregate by them: both sides are dealt anew,
+    so that Spark can split a key that many rows have, which it can't where the aggregate's own partitioning is used again."""
+    turned = lambda df: df.withColumn(keys[0], F.col(keys[0]).bitwiseXOR(F.lit(1).cast("long")))
+    return turned(turned(rows).join(turned(small), keys, how))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -22,15 +22,17 @@ judged alike.  Rows with a null id are kept.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, text_or_empty
+from .common import bound_batches, released, text_or_empty
 
 CUT, BLOCK = 0.6, 200_000
 CHUNK = 200_000
@@ -214,14 +216,14 @@ def seeded_blocks(docs: DataFrame, benchmark: DataFrame, cut: float = CUT, most:
     bound_batches(spark)
     for block in _blocks(benchmark, cut, most):
         if len(block.items):
-            yield spark.sparkContext.broadcast(block)
+            yield spark.sparkContext.broadcast(cloudpickle.dumps(block))  # by value: workers need no copy of this package
 
 
 def _matches(shared):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        block, memo = shared.value, {}
+        block, memo = pickle.loads(shared.value), {}
         names = ["doc_id", "item_id", "score", "first_word", "end_word", "seeds"]
         for batch in batches:
             found = block.matches(batch.column("text").to_pylist(), memo)
@@ -240,16 +242,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cut: float = CUT, most:
     schema = f"doc_id {kind}, item_id long, score double, first_word long, end_word long, seeds long"
     out = docs.sparkSession.createDataFrame([], schema)
     for shared in seeded_blocks(docs, benchmark, cut, most):
-        out = out.unionByName(slim.mapInArrow(_matches(shared), schema))
+        out = out.unionByName(slim.mapInArrow(released(_matches(shared)), schema))
     return out
 
 
 def holds_item(shared, text: Column) -> Column:
+    own: list = []  # a task's block and what it has aligned
+
     @F.arrow_udf("boolean")
     def held(texts):
         import pyarrow as pa
 
-        block, memo = shared.value, {}
+        if not own:
+            own.append((pickle.loads(shared.value), {}))
+        block, memo = own[0]
         return pa.array([bool(x) for x in block.matches(texts.to_pylist(), memo)], pa.bool_())
 
     return held(text)

@@ -5,8 +5,9 @@ fingerprints are one node, so copies never meet as pairs.  Two fingerprints at
 `radius` or fewer differing bits agree on at least k of radius + k blocks of the
 64 bits; each choice of k blocks is a table, and the blocks' bits the key under
 which fingerprints meet.  k follows the number of distinct fingerprints, so that
-a key keeps about 64 of them.  Keys that hold a large share are split once more by
-the blocks of their other bits, by the same argument, so no link is lost.
+a key keeps about 64 of them.  A key of over `KEY` fingerprints is split by blocks of its
+other bits, by the same argument, again and again until none is larger; what can't be
+split has so few other bits that it can't be larger.  So no link is lost.
 
 Within a key the fingerprints are sorted by Gray rank and made into a tree: each
 node keeps the bits that all fingerprints below it share.  Node pairs are
@@ -16,7 +17,7 @@ spanning forest before they leave the task.
 
 Null and empty texts, and texts of white space only, have fingerprint zero and
 link like any other.  Repeated rows link to each other.  Rows with a null id are
-kept and have the component of their fingerprint.
+kept and have the component of their fingerprint.  Ids can be of any type with an order.
 """
 from __future__ import annotations
 
@@ -27,11 +28,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, cut, mix64, parts, text_bytes, text_or_empty
+from .common import bound_batches, cut, mix64, parts, released, spread_join, text_bytes, text_or_empty
 from .components import connected_components
 
 WORDS, RADIUS, SEED = 4, 4, 42
-FAN, ROWS, PAIRS = 16, 200_000, 2_000_000
+FAN, ROWS, PAIRS, KEY = 16, 100_000, 1_000_000, 4_096
 
 
 def shingle_hashes(raw: bytes, words: int, seed: int = SEED) -> list[int]:
@@ -102,8 +103,8 @@ def _fingerprints(words: int):
 def fingerprints(docs: DataFrame, words: int = WORDS, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """(id, fp) of every row; fp holds the 64 bits as a long."""
     bound_batches(docs.sparkSession)
-    slim = docs.select(F.col(id_column).cast("long").alias("id"), text_or_empty(text).alias("text"))
-    return slim.mapInArrow(_fingerprints(words), "id long, fp long")
+    slim = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text"))
+    return slim.mapInArrow(released(_fingerprints(words)), f"id {dict(slim.dtypes)['id']}, fp long")
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
@@ -113,14 +114,16 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def link_groups(fps: np.ndarray, group: np.ndarray, radius: int) -> np.ndarray:
+def link_groups(fps: np.ndarray, group: np.ndarray, radius: int, label: np.ndarray | None = None, confirm=None) -> np.ndarray:
     """Smallest place that each place links to, within groups, at `radius` or fewer bits.
 
     fps has a row of words for each fingerprint; rows are sorted by group, then Gray rank.
-    Pairs that are linked already are not compared again.
+    Pairs that are linked already, also by a label that is given, are not compared again.
+    confirm(label, i, j) links those of the pairs that it accepts; without it all are.
     """
     n = len(fps)
-    label = np.arange(n)
+    label = np.arange(n) if label is None else label
+    confirm = confirm or settle
     if not n:
         return label
     levels = [(fps, np.full_like(fps, ~np.uint64(0)), np.arange(n), np.arange(1, n + 1))]
@@ -165,7 +168,7 @@ def link_groups(fps: np.ndarray, group: np.ndarray, radius: int) -> np.ndarray:
             apart = np.bitwise_count((bits[i] ^ bits[j]) & mask[i] & mask[j]).sum(axis=1, dtype=np.int64)
             keep = apart <= radius
             if level == 1:
-                label = settle(label, i[keep], j[keep])
+                label = confirm(label, i[keep], j[keep])
             else:
                 stack.append((level - 1, i[keep], j[keep]))
             x = y
@@ -200,7 +203,7 @@ def _words_of(column) -> np.ndarray:
 
 
 def _links(radius: int):
-    keys = ("t", "key", "s", "sub")
+    keys = ("mask", "key")
 
     def flush(table: dict, pa) -> Iterator:
         order = np.lexsort((gray_rank(table["fp"][:, 0]), *(table[k] for k in reversed(keys))))
@@ -256,36 +259,52 @@ def table_masks(bits: list[int], radius: int, k: int) -> list[int]:
     return [sum(c) for c in itertools.combinations(_blocks(bits, radius + k), k)]
 
 
+def _longs(values: list[int]):
+    return F.array(*(F.lit(_signed(v)).cast("long") for v in values))
+
+
+def split_keys(keyed: DataFrame, radius: int, most: int = KEY) -> DataFrame:
+    """(node, fp, mask) so that at most `most` nodes agree on the mask's bits, and pairs at `radius` bits still share a row's mask and bits."""
+    left = most.bit_length() - 1  # fingerprints with so few other bits are few
+    while True:
+        key = F.col("fp").bitwiseAND(F.col("mask"))
+        large = cut(keyed.groupBy("mask", key.alias("key")).count().where((F.col("count") > most) & (F.bit_count("mask") < 64 - left)).select("mask", "key"))
+        masks = [r["mask"] & (1 << 64) - 1 for r in large.select("mask").distinct().collect()]  # of the tables, whose number the radius bounds
+        if not masks:
+            return keyed
+        inner = F.map_from_arrays(_longs(masks), F.array(*(_longs([m | x for x in table_masks([b for b in range(64) if not m >> b & 1], radius, 1)]) for m in masks)))
+        marked = spread_join(keyed.withColumn("key", key), large.withColumn("large", F.lit(True)), ["key", "mask"], "left")
+        finer = F.when(F.col("large"), F.element_at(inner, F.col("mask"))).otherwise(F.array("mask"))
+        keyed = cut(marked.select("node", "fp", F.explode(finer).alias("mask")))
+
+
 def linked_components(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(node, component) of nodes (node, fp), distinct in fp, that link to another."""
     n = nodes.count()
     k = next((k for k in (1, 2, 3) if n >> (64 * k // (radius + k)) <= 64), 4)
-    masks = table_masks(list(range(64)), radius, k)
-    tables = F.explode(F.array(*(F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for t, m in enumerate(masks))))
-    keyed = nodes.select("node", "fp", tables.alias("x")).select("node", "fp", "x.t", "x.key")
-    # a key of over `most` nodes is split; at most 200 keys of each table can be so large
-    most = max(4096, n // 200)
-    large = keyed.groupBy("t", "key").count().where(F.col("count") > most).select("t", "key", F.lit(True).alias("large"))
-    keyed = keyed.join(F.broadcast(large), ["t", "key"], "left")
-    inner = F.array(*(F.array(*(F.lit(_signed(x)) for x in table_masks([b for b in range(64) if not m >> b & 1], radius, 1))) for m in masks))
-    split = F.when(F.col("large"), F.get(inner, F.col("t"))).otherwise(F.array(F.lit(0).cast("long")))
-    placed = keyed.select("node", "fp", "t", "key", F.posexplode(split).alias("s", "m")).select("node", "fp", "t", "key", "s", F.col("fp").bitwiseAND(F.col("m")).alias("sub"))
-    met = placed.repartition(parts(nodes.sparkSession), "t", "key", "s", "sub").sortWithinPartitions("t", "key", "s", "sub")
-    return connected_components(cut(met.mapInArrow(_links(radius), "a long, b long").distinct()))
+    keyed = nodes.select("node", "fp", F.explode(_longs(table_masks(list(range(64)), radius, k))).alias("mask"))
+    placed = split_keys(keyed, radius).withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
+    met = placed.repartition(parts(nodes.sparkSession), "mask", "key").sortWithinPartitions("mask", "key")
+    return connected_components(cut(met.mapInArrow(released(_links(radius)), "a long, b long").distinct()))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """(id, fp, component): the component is the smallest id reachable over links of at most `radius` bits."""
     rows = cut(fingerprints(docs, words, text, id_column))
-    nodes = cut(rows.groupBy("fp").agg(F.min("id").alias("node"), F.count("*").alias("rows")))
-    found = linked_components(nodes.where("node is not null").select("node", "fp"), radius)
-    named = nodes.join(found, "node", "left").select(F.col("fp").alias("fp2"), F.coalesce("component", "node").alias("component"))
-    return rows.join(named, F.col("fp") == F.col("fp2"), "left").select("id", "fp", "component")
+    nodes = cut(rows.groupBy("fp").agg(F.min("id").alias("least")))
+    found = linked_components(nodes.select(F.col("fp").alias("node"), "fp"), radius)
+    named = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("grp"))
+    least = named.groupBy("grp").agg(F.min("least").alias("component"))
+    own = spread_join(named.select("fp", "grp"), least, ["grp"]).select(F.col("fp").alias("fp2"), "component")
+    return rows.join(own, F.col("fp") == F.col("fp2"), "left").select("id", "fp", "component")
 
 
-#: For `similar_groups`: words to a shingle, and minima to a band and bands of the MinHash signature.  A pair of similarity 0.8
-#: shares a band with a chance of 0.9993, whatever the size of the corpus.
-WIDE_WORDS, BAND, BANDS = 5, 6, 24
+#: For `similar_groups`: words to a shingle, minima to a band and bands of the MinHash signature that deals texts into groups, words and
+#: largest distance of the wide fingerprint.  A pair of similarity 0.8 shares a band with a chance of 0.9993 and differs in about 39
+#: of the 256 bits, whatever the size of the corpus; over 72 bits differ for fewer than 1 in 1,000 such pairs, of any length.
+WIDE_WORDS, BAND, BANDS, WIDE, FAR = 5, 6, 24, 4, 72
+#: Texts and bytes of shingles that one task compares with each other, and pivots of a larger group.
+GROUP, GROUP_BYTES, PIVOTS = 4_096, 16 << 20, 8
 
 
 def alike(common, a, b):
@@ -320,21 +339,32 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     return keys
 
 
+def wide_fingerprints(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of WIDE words of majority bits for each set of shingles."""
+    h, counts = np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.array([len(x) for x in sets], dtype=np.int64)
+    seeds = np.arange(1, WIDE + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return np.stack([majority_bits(mix64(h ^ x), counts) for x in seeds], axis=1) if sets else np.zeros((0, WIDE), np.uint64)
+
+
 def _signatures(words: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            nodes, keys, held, size = [], [], [], 0
+            nodes, keys, fps, counts, held, size = [], [], [], [], [], 0
             for text in batch.column("text"):
                 held.append(shingle_set(text.as_buffer().to_pybytes(), words))
                 nodes.append(_node(held[-1]))
+                counts.append(len(held[-1]))
                 size += len(held[-1])
                 if size > 20_000:
                     keys.append(band_keys(held))
+                    fps.append(wide_fingerprints(held))
                     held, size = [], 0
             keys.append(band_keys(held))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(nodes, pa.int64()), pa.array([x.tobytes() for k in keys for x in k], pa.binary())], ["id", "node", "keys"])
+            fps.append(wide_fingerprints(held))
+            packed = (pa.array([x.tobytes() for k in part for x in k], pa.binary()) for part in (keys, fps))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), *packed], ["id", "node", "n", "keys", "fp"])
 
     return run
 
@@ -356,52 +386,76 @@ def _sets(words: int):
         for batch in batches:
             own = [shingle_set(x.as_buffer().to_pybytes(), words) for x in batch.column("text")]
             same = [_node(x) == n for x, n in zip(own, batch.column("node").to_pylist(), strict=True)]  # an id can stand with other texts too
-            out = batch.select(["met", "node", "keys"]).append_column("own", pa.array([x.tobytes() for x in own], pa.binary()))
+            out = batch.select(["met", "deals", "node", "fp"]).append_column("own", pa.array([x.tobytes() for x in own], pa.binary()))
             yield out.filter(pa.array(same, pa.bool_()))
 
     return run
 
 
-def verified_groups(keys: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
-    """Smallest place that each set is joined to by links of sets that share a band key and are alike by exact count."""
-    label, places = np.arange(len(sets)), np.arange(len(sets))
-    sizes = np.array([len(x) for x in sets], dtype=np.int64)
-
-    def join(i: int, js: np.ndarray) -> None:
-        js = js[alike(np.minimum(sizes[js], sizes[i]), sizes[js], sizes[i])]
-        js = js[(keys[js] == keys[i]).any(axis=1)]
-        for x in range(0, len(js), 1_000):
-            part = js[x : x + 1_000]
-            if sizes[i]:  # of texts without words all are equal
-                other = np.concatenate([sets[j] for j in part])
-                k = np.minimum(np.searchsorted(sets[i], other), sizes[i] - 1)
-                ends = np.cumsum(sizes[part])
-                hits = np.concatenate(([0], np.cumsum(sets[i][k] == other)))
-                part = part[alike(hits[ends] - hits[ends - sizes[part]], sizes[part], sizes[i])]
-            if len(part):
-                linked = np.unique(np.append(label[part], label[i]))
-                label[: i + 1][np.isin(label[: i + 1], linked)] = linked[0]
-
-    for i in range(1, len(sets)):
-        join(i, np.flatnonzero(label[:i] == places[:i]))
-        join(i, np.flatnonzero((label[:i] != label[i]) & (label[:i] != places[:i])))
-    return label
+def verified_groups(fps: np.ndarray, sets: list[np.ndarray], known: np.ndarray | None = None) -> np.ndarray:
+    """Smallest place that each set is joined to by links of sets that are alike by exact count.
+
+    The Gray-order index over their wide fingerprints finds the pairs to count; those joined already,
+    also by equal `known` values, are left out.
+    """
+    n = len(sets)
+    order = np.argsort(gray_rank(fps[:, 0]), kind="stable")
+    sizes = np.array([len(sets[i]) for i in order], dtype=np.int64)
+    ends = np.cumsum(sizes)
+    _, shingle = np.unique(np.concatenate([sets[i] for i in order]) if n else np.zeros(0, np.uint64), return_inverse=True)
+    mark = np.zeros(len(shingle) + 1, dtype=bool)
+    label = np.arange(n)
+    if known is not None:
+        _, first, back = np.unique(known[order], return_index=True, return_inverse=True)
+        label = first[back]
+
+    def confirm(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        fits = (i < j) & alike(np.minimum(sizes[i], sizes[j]), sizes[i], sizes[j])
+        i, j = i[fits], j[fits]
+        if not len(i):
+            return label
+        by = np.argsort(i, kind="stable")
+        i, j = i[by], j[by]
+        cuts = np.flatnonzero(np.concatenate(([True], i[1:] != i[:-1])))
+        for a, b in zip(cuts, np.append(cuts[1:], len(i)), strict=True):
+            one, js = int(i[a]), j[a:b]
+            js = js[label[js] != label[one]]
+            if not len(js):
+                continue
+            if sizes[one]:  # of texts without words all are equal
+                own = shingle[ends[one] - sizes[one] : ends[one]]
+                mark[own] = True
+                to = np.cumsum(sizes[js])
+                hits = np.concatenate(([0], np.cumsum(mark[shingle[np.repeat(ends[js] - to, sizes[js]) + np.arange(to[-1])]])))
+                mark[own] = False
+                js = js[alike(hits[to] - hits[to - sizes[js]], sizes[js], sizes[one])]
+            if len(js):
+                label = settle(label, np.full(len(js), one), js)
+        return label
+
+    label = link_groups(fps[order], np.zeros(n, np.int64), FAR, label, confirm)
+    out = np.empty(n, np.int64)
+    out[order] = order[label]
+    least = np.full(n, n)
+    np.minimum.at(least, out, np.arange(n))
+    return least[out]
 
 
 def _verified(batches: Iterator) -> Iterator:
-    """Rows sorted by candidate group come in; (node, grp) of nodes that are linked go out."""
+    """Rows sorted by group come in; (node, grp) of nodes that are linked go out."""
     import pyarrow as pa
 
     def settled(held: list[tuple]) -> Iterator:
-        label = verified_groups(np.frombuffer(b"".join(x[1] for x in held), np.uint64).reshape(len(held), -1), [np.frombuffer(x[2], np.uint64) for x in held])
+        node = np.array([x[0] for x in held], dtype=np.int64)
+        fps = np.frombuffer(b"".join(x[2] for x in held), np.uint64).reshape(len(held), -1)
+        label = verified_groups(fps, [np.frombuffer(x[3], np.uint64) for x in held], np.array([x[1] for x in held], dtype=np.int64))
         at = np.flatnonzero(label != np.arange(len(held)))
         if len(at):
-            node = np.array([x[0] for x in held], dtype=np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[label[at]])], ["node", "grp"])
 
     met, held = None, []
     for batch in batches:
-        for m, *row in zip(*(batch.column(c).to_pylist() for c in ("met", "node", "keys", "own")), strict=True):
+        for m, *row in zip(*(batch.column(c).to_pylist() for c in ("met", "node", "known", "fp", "own")), strict=True):
             if m != met and held:
                 yield from settled(held)
                 held = []
@@ -411,28 +465,66 @@ def _verified(batches: Iterator) -> Iterator:
         yield from settled(held)
 
 
+def _compared(dealt: DataFrame) -> DataFrame:
+    """(node, grp) of the links within each value of `met`, whose size the caller bounds; rows (met, node, known, fp, own)."""
+    one = dealt.select("met", "node", "known", "fp", "own").repartition(parts(dealt.sparkSession), "met").sortWithinPartitions("met", "node")
+    return cut(one.mapInArrow(released(_verified), "node long, grp long"))
+
+
+def _large_groups(large: DataFrame) -> DataFrame:
+    """(node, grp) of the links in groups too large for one task; rows (met, deals, node, fp, own).
+
+    Members are dealt out, and some pivots of the group go to every deal.  What that
+    doesn't join to the group's largest part is the rest: it is compared with all
+    members, block by block, so that every pair but those joined already is looked at.
+    """
+    placed = large.withColumn("deal", F.pmod(F.xxhash64("node"), "deals"))
+    every = lambda rows: rows.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)))
+    chosen = large.groupBy("met", F.pmod(F.xxhash64("node", F.lit("pivot")), F.lit(PIVOTS)).alias("slot")).agg(F.min("node").alias("node")).select("node")
+    first = placed.unionByName(every(large.join(chosen, "node", "left_semi"))).dropDuplicates(["deal", "node"])
+    links = _compared(first.withColumn("met", F.xxhash64("met", "deal")).withColumn("known", F.col("node")))
+    parts_of = connected_components(links.select(F.col("node").alias("a"), F.col("grp").alias("b")))
+    own = cut(large.select("met", "node", "deals").join(parts_of, "node", "left").select("met", "deals", "node", F.coalesce("component", "node").alias("known")))
+    sizes = own.groupBy("met", "known").agg(F.count("*").alias("n"))
+    top = sizes.groupBy("met").agg(F.max_by("known", F.struct("n", "known")).alias("top"), F.sum("n").alias("n"), F.max("n").alias("joined"))
+    blocks = top.where("n > joined").select("met", "top", F.ceil((F.col("n") - F.col("joined")) / GROUP).alias("blocks"))
+    if blocks.isEmpty():
+        return links
+    marked = spread_join(own, blocks, ["met"]).select("node", "known", "blocks", (F.col("known") != F.col("top")).alias("rest"))
+    rows = placed.drop("deal").join(marked, "node").withColumn("deal", F.pmod(F.xxhash64("node"), "deals"))
+    asked = every(rows.where("rest").withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), "blocks")))
+    answers = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    second = asked.unionByName(answers).dropDuplicates(["deal", "block", "node"])
+    return links.unionByName(_compared(second.withColumn("met", F.xxhash64("met", "deal", "block"))))
+
+
 def similar_groups(docs: DataFrame, words: int = WIDE_WORDS, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """(id, component) for texts linked by a Jaccard similarity of 0.8 or more of their sets of word shingles.
 
-    Texts with one set are a node.  Nodes that share a band of their MinHash signature are put
-    into candidate groups; within a group every pair that shares a band and isn't joined yet
-    is counted exactly, and only pairs of 0.8 or more link.
+    Texts with one set are a node with a fingerprint of 256 majority bits.  Nodes that share a band of
+    their MinHash signature are dealt to one group; within it the Gray-order index over the
+    fingerprints finds pairs, and each pair that isn't joined yet is counted exactly, so that only pairs of
+    0.8 or more link.  Texts without words are one node.  Rows with a null id have no component.
     """
     bound_batches(docs.sparkSession)
-    slim = docs.select(F.col(id_column).cast("long").alias("id"), text_or_empty(text).alias("text"))
-    rows = cut(slim.mapInArrow(_signatures(words), "id long, node long, keys binary"))
-    nodes = cut(rows.where("id is not null").groupBy("node").agg(F.min("id").alias("id"), F.min("keys").alias("keys")))
-    keyed = nodes.select("node", "keys").mapInArrow(_bands, "t int, key long, node long")
+    slim = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text"))
+    rows = cut(slim.mapInArrow(released(_signatures(words)), f"id {dict(slim.dtypes)['id']}, node long, n long, keys binary, fp binary"))
+    nodes = cut(rows.where("id is not null").groupBy("node").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("keys").alias("keys"), F.min("fp").alias("fp")))
+    keyed = nodes.select("node", "keys").mapInArrow(released(_bands), "t int, key long, node long")
     shared = keyed.groupBy("t", "key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    links = keyed.join(shared, ["t", "key"]).where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    links = spread_join(keyed, shared, ["key", "t"]).where("a <> node").select("a", F.col("node").alias("b")).distinct()
     found = connected_components(cut(links))
-    met = nodes.join(found.select("node", F.col("component").alias("met")), "node")
-    sets = slim.join(met, "id").select("met", "node", "keys", "text").mapInArrow(_sets(words), "met long, node long, keys binary, own binary")
-    dealt = sets.dropDuplicates(["node"]).repartition(parts(docs.sparkSession), "met").sortWithinPartitions("met", "node")
-    joined = cut(dealt.mapInArrow(_verified, "node long, grp long"))
-    named = nodes.join(joined, "node", "left").select("node", "id", F.coalesce("grp", "node").alias("grp"))
+    grouped = cut(nodes.join(found.select("node", F.col("component").alias("met")), "node").select("met", "node", "id", "n", "fp"))
+    deals = cut(grouped.groupBy("met").agg(F.greatest(F.ceil(F.count("*") / GROUP), F.ceil(8 * F.sum("n") / GROUP_BYTES), F.lit(1)).cast("long").alias("deals")))
+    met = spread_join(grouped, deals, ["met"]).select("met", "deals", "node", "id", "fp")
+    sets = slim.join(met, "id").select("met", "deals", "node", "fp", "text").mapInArrow(released(_sets(words)), "met long, deals long, node long, fp binary, own binary").dropDuplicates(["node"])
+    joined = _compared(sets.where("deals = 1").withColumn("known", F.col("node")))
+    if not deals.where("deals > 1").isEmpty():
+        joined = joined.unionByName(_large_groups(cut(sets.where("deals > 1"))))
+    linked = connected_components(joined.select(F.col("node").alias("a"), F.col("grp").alias("b")))
+    named = nodes.join(linked, "node", "left").select("node", "id", F.coalesce("component", "node").alias("grp"))
     least = named.groupBy("grp").agg(F.min("id").alias("component"))
-    return rows.join(named.join(least, "grp").select("node", "component"), "node", "left").select("id", "component")
+    return rows.join(spread_join(named, least, ["grp"]).select("node", "component"), "node", "left").select("id", "component")
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -441,10 +533,11 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     Rows whose id is null have no place in the order: they all stay, equal texts once.
     """
     groups = similar_groups(docs.where(F.col(id_column).isNotNull()), text=text, id_column=id_column)
-    keep = groups.where("id = component").select(F.col("id").alias("_kept")).distinct()
-    named = docs.where(F.col(id_column).isNotNull()).join(keep, F.col(id_column).cast("long") == F.col("_kept"), "left_semi")
-    every = named.unionByName(docs.where(F.col(id_column).isNull()))
-    return every.withColumn("_text_md5", F.md5(text_or_empty(text).cast("binary"))).dropDuplicates([id_column, "_text_md5"]).drop("_text_md5")
+    keep = groups.where("id = component").select(F.col("id").alias("kept")).distinct()
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_column).alias("id"), F.md5(text_or_empty(text).cast("binary")).alias("digest"))
+    named = packed.where("id is not null").join(keep, F.col("id") == F.col("kept"), "left_semi")
+    every = named.unionByName(packed.where("id is null")).dropDuplicates(["id", "digest"])
+    return every.select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:

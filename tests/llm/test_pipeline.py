@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 import corpus_pipeline
 from cairn.llm import simhash, suffix_dedup
 
@@ -69,6 +71,55 @@ def test_near_duplicates_are_verified(spark):
     assert sorted(x.doc_id for x in simhash.one_of_each(docs).collect()) == sorted(set(label.values()))
 
 
+def shingled(t):
+    return {tuple(t[k : k + 5]) for k in range(max(1, len(t) - 4))}
+
+
+def test_near_duplicates_in_a_group_of_many_tasks(spark, monkeypatch):
+    """A chain of groups that one task may not hold, with members that only a few others are like."""
+    monkeypatch.setattr(simhash, "GROUP", 12)
+    monkeypatch.setattr(simhash, "PIVOTS", 2)
+    r = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    texts = {}
+    for i in range(150):
+        t = list(texts[r.randrange(i)]) if i and r.random() < 0.7 else list(base)
+        for _ in range(r.choice([1, 2, 3, 3, 4])):
+            t[r.randrange(len(t))] = f"v{r.randrange(10**6)}"
+        texts[i] = t
+    label = {i: i for i in texts}
+    sets = {i: shingled(t) for i, t in texts.items()}
+    for i in texts:
+        for j in range(i):
+            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8 and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = {k: low if v == high else v for k, v in label.items()}
+    assert 3 < len(set(label.values())) < 150
+    docs = spark.createDataFrame([(f"{i:04d}", " ".join(t)) for i, t in texts.items()], "doc_id string, text string")
+    assert {x.id: x.component for x in simhash.similar_groups(docs).collect()} == {f"{i:04d}": f"{k:04d}" for i, k in label.items()}
+
+
+@pytest.mark.parametrize("size", [60, 600, 4_000])
+def test_recall_at_sizes(spark, size):
+    """Pairs of similarity 0.8 to 0.9 among texts of one vocabulary, whatever the corpus's size."""
+    r = random.Random(size)
+    texts, pairs = [], []
+    for k in range(size // 2):
+        t = [f"w{r.randrange(3_000)}" for _ in range(r.choice([12, 30, 90, 250]))]
+        u = list(t)
+        for _ in range(max(1, len(t) // 60)):
+            u[r.randrange(len(u))] = f"x{r.randrange(10**6)}"
+        a, b = shingled(t), shingled(u)
+        texts += [t, u]
+        if len(a & b) / len(a | b) >= 0.8:
+            pairs.append((2 * k, 2 * k + 1))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    label = {x.id: x.component for x in simhash.similar_groups(docs).collect()}
+    assert len(pairs) > size // 10
+    assert sum(label[i] == label[j] for i, j in pairs) >= 0.99 * len(pairs)
+    assert sum(label[i] != i for i in label) <= len(pairs)
+
+
 def test_pair_of_two_thirds_stays(spark):
     a = [f"w{i}" for i in range(104)]
     b = [*a[:50], "x", *a[51:70], "y", *a[71:90], "z", *a[91:97], *(f"v{i}" for i in range(3)), *a[100:]]
