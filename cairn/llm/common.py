@@ -151,10 +151,12 @@ def free_memory() -> None:
         pass
 
 
-def released(run):
-    """A function over Arrow batches that frees the worker's memory when its partition ends."""
+def released(run, keep: bool = False):
+    """A function over Arrow batches that frees the worker's memory when its partition ends; what other operators left in the worker goes first, unless `keep`."""
 
     def call(batches):
+        if not keep:
+            worker_state().clear()
         try:
             yield from run(batches)
         finally:

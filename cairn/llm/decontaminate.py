@@ -32,7 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, released, text_or_empty
+from .common import bound_batches, released, text_or_empty, worker_state
 
 CUT, BLOCK = 0.6, 200_000
 CHUNK = 200_000
@@ -254,6 +254,7 @@ def holds_item(shared, text: Column) -> Column:
         import pyarrow as pa
 
         if not own:
+            worker_state().clear()  # what other operators left in the worker
             own.append((pickle.loads(shared.value), {}))
         block, memo = own[0]
         return pa.array([bool(x) for x in block.matches(texts.to_pylist(), memo)], pa.bool_())

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE_A, BASE_B, bound_batches, parts, prefix_sums, slices, span_hash, text_or_empty
+from .common import BASE_A, BASE_B, bound_batches, parts, prefix_sums, released, slices, span_hash, text_or_empty
 
 LETTERS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", dtype=np.uint8)
 SMALLEST, MOST, FEWEST, ROLL, COMMON = 3, 64, 16, 7, 4
@@ -189,7 +189,7 @@ def neighbour_fingerprints(docs: DataFrame, text: str = "text", id_column: str =
     guests = placed.join(first, same).groupBy("g").agg(F.first("id").alias("id"), F.first("text").alias("text")).select(F.col("g").alias("b"), "id", "text")
     rows = placed.select("b", "id", "text", F.lit(False).alias("guest")).unionByName(guests.withColumn("guest", F.lit(True)))
     sorted_rows = rows.repartition(parts(spark), "b").sortWithinPartitions("b", "guest", F.desc_nulls_last("id"), F.desc(F.xxhash64("text")))
-    marks = sorted_rows.mapInArrow(_with_neighbours(kind), f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, next_fingerprint string")
+    marks = sorted_rows.mapInArrow(released(_with_neighbours(kind)), f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, next_fingerprint string")
     return marks.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),

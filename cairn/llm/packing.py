@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, cut, slices, text_bytes, text_or_empty, worker_state
+from .common import bound_batches, cut, released, slices, text_bytes, text_or_empty, worker_state
 
 CAPACITY, END, NEARLY, FAN_IN, PER_TASK, CACHE = 2048, 0, 0.99, 8, 200_000, 1_200_000
 
@@ -146,7 +146,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, t
     bound_batches(docs.sparkSession)
     slim = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text"))
     kind = dict(slim.dtypes)["id"]
-    return slim.mapInArrow(_pieces_of(path or tokenizer_path(), capacity), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return slim.mapInArrow(released(_pieces_of(path or tokenizer_path(), capacity), keep=True), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
@@ -215,7 +215,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, nearly: float = NEARLY, fan
     closed = None
     while True:
         dealt = open_bins.repartition(tasks, F.xxhash64("items")) if tasks > 1 else open_bins.coalesce(1)
-        packed = cut(dealt.mapInArrow(_pack(capacity), schema))
+        packed = cut(dealt.mapInArrow(released(_pack(capacity)), schema))
         last = tasks == 1
         done = packed if last else packed.where(F.col("fill") >= int(nearly * capacity))
         closed = done if closed is None else closed.unionByName(done)
@@ -258,7 +258,7 @@ def packed_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPA
     """Every piece with its sequence and its place there."""
     kind = dict(docs.dtypes)["doc_id"]
     bins = pack(cut(pieces(docs, path, capacity)), capacity)
-    return bins.mapInArrow(_placed(kind), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return bins.mapInArrow(released(_placed(kind)), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def op7_packing(spark, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, slices, text_bytes, text_or_empty
+from .common import bound_batches, released, slices, text_bytes, text_or_empty, worker_state
 from .toxicity import CAPITALS, CHUNK, CRIES, DIGITS, LETTERS, MARKS, SYMBOLS, byte_counts, labelled_sample
 
 SAMPLE, CUT, SHRINK, RIDGE = 20_000, 0.3, 0.1, 1e-2
@@ -123,7 +123,7 @@ def _measured(batches: Iterator) -> Iterator:
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE) -> Discriminant | None:
     bound_batches(docs.sparkSession)
     rows = labelled_sample(docs, labels, "quality", learn, sample)
-    table = rows.mapInArrow(_measured, f"id {dict(rows.dtypes)['id']}, y int, x array<double>").orderBy("id", "x").collect()
+    table = rows.mapInArrow(released(_measured), f"id {dict(rows.dtypes)['id']}, y int, x array<double>").orderBy("id", "x").collect()
     y = np.array([r["y"] for r in table], dtype=float)
     if min((y == 0).sum(), (y == 1).sum()) < 2:
         return None
@@ -135,6 +135,7 @@ def score_column(model: Discriminant | None, text: Column) -> Column:
     def score(texts):
         import pyarrow as pa
 
+        worker_state().clear()  # what other operators left in the worker
         if model is None:
             return pa.array(np.full(len(texts), 0.5))
         data, offsets = text_bytes(texts)

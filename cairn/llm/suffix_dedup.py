@@ -422,7 +422,7 @@ def found_spans(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
     wanted = met.groupBy(*name).agg(F.collect_set(F.struct("khash", "members", "s0", "s1", "p")).alias("runs")).join(copies, name)
     w = wanted.select(F.col("ta").alias("ta2"), F.col("tb").alias("tb2"), F.col("id").alias("id2"), "copies", "runs")
     same = (F.col("ta") == F.col("ta2")) & (F.col("tb") == F.col("tb2")) & F.col("id").eqNullSafe(F.col("id2"))
-    held = cut(long_enough.join(w, same).dropDuplicates(name).select(*name, "text", "copies", "runs"))
+    held = cut(long_enough.join(w, same).select(*name, "text", "copies", "runs"))
     segments = held.select(*name, "text", "runs").mapInArrow(released(_segments_of(length, gram)), f"lead binary, {_TEXT}, khash long, members long, s0 int, s1 int, p int, seg binary")
     n = parts(spark)
     cold = segments.where(F.col("members") <= hot).repartitionByRange(n, "lead", "khash").sortWithinPartitions("lead", "khash")
@@ -493,26 +493,61 @@ _WORD = re.compile(rf"[{_ALONE}]|[^\s{_ALONE}]+")
 CODE = 5  # bytes that stand for a word
 
 
-def word_codes(text: str, known: dict) -> str:
-    """CODE ASCII letters for each word, 30 bits of its hash."""
-    import xxhash
+#: Bytes of white space in ASCII, and what can't be parted at them alone: other white space, and letters that are words.
+_BLANK = np.isin(np.arange(256), list(b"\t\n\v\f\r\x1c\x1d\x1e\x1f "))
+_RARE = re.compile(rb"\xc2[\x85\xa0]|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|[\xe0\xe1\xe3-\xef]")
+
+
+def word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first byte, last byte + 1) of every word of the rows."""
+    blank = _BLANK[data]
+    first, last = ~blank, ~blank
+    first[1:] &= blank[:-1]
+    last[:-1] &= blank[1:]
+    at = offsets[:-1][offsets[:-1] < offsets[1:]]  # rows end words too
+    first[at] |= ~blank[at]
+    last[offsets[1:][offsets[:-1] < offsets[1:]] - 1] |= ~blank[offsets[1:][offsets[:-1] < offsets[1:]] - 1]
+    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    row = np.searchsorted(offsets, start, side="right") - 1
+    raw = data.tobytes()
+    rare = np.unique(np.searchsorted(offsets, [m.start() for m in _RARE.finditer(raw)], side="right") - 1).tolist()
+    if rare:
+        keep = ~np.isin(row, rare)
+        places = [(row[keep], start[keep], end[keep])]
+        for k in rare:
+            text = raw[offsets[k] : offsets[k + 1]].decode("utf-8", "surrogatepass")
+            byte = np.cumsum([0, *(len(c.encode("utf-8", "surrogatepass")) for c in text)]) + offsets[k]
+            spans = np.array([m.span() for m in _WORD.finditer(text)], dtype=np.int64).reshape(-1, 2)
+            places.append((np.full(len(spans), k), byte[spans[:, 0]], byte[spans[:, 1]]))
+        row, start, end = (np.concatenate(x) for x in zip(*places, strict=True))
+        order = np.lexsort((start, row))
+        row, start, end = row[order], start[order], end[order]
+    return row, start, end
+
+
+def word_codes(texts):
+    """An Arrow array of CODE ASCII letters for each word of each text, 30 bits of its hash."""
+    import pyarrow as pa
 
-    out = []
-    for w in _WORD.findall(text):
-        code = known.get(w)
-        if code is None:
-            h = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
-            code = known[w] = "".join(chr(48 + (h >> 6 * k & 63)) for k in range(CODE))
-        out.append(code)
-    return "".join(out)
+    data, offsets = text_bytes(texts)
+    letters, counts = [], np.zeros(len(texts), np.int64)
+    for a, b in slices(offsets, CHUNK):
+        part, cuts = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+        row, start, end = word_places(part, cuts)
+        h = span_hash(prefix_sums(part, BASE_A), start, end, BASE_A)
+        shifts = np.arange(CODE, dtype=np.uint64) * np.uint64(6) + np.uint64(34)
+        letters.append((((h[:, None] >> shifts) & np.uint64(63)) + np.uint64(48)).astype(np.uint8).ravel())
+        counts[a:b] = np.bincount(row, minlength=b - a)
+    ends = np.zeros(len(texts) + 1, np.int32)
+    np.cumsum(CODE * counts, out=ends[1:])
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(np.concatenate(letters) if letters else np.zeros(0, np.uint8)))
 
 
 def _coded(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
     for batch in batches:
-        known: dict = {}
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([word_codes(t, known) for t in batch.column("text").to_pylist()], pa.string())], ["id", "codes"])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), word_codes(batch.column("text"))], ["id", "codes"])
 
 
 def without_words(text: str, spans: list[tuple[int, int]]) -> str:
@@ -534,12 +569,9 @@ def without_repeated_words(docs: DataFrame, words: int, text: str = "text", id_c
     codes = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text")).mapInArrow(released(_coded), f"id {kind}, codes string")
     _, copies, single = found_spans(codes, "codes", "id", words * CODE)
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf("string")
     def coded(texts):
-        import pyarrow as pa
-
-        known: dict = {}
-        return pa.array([word_codes(t, known).encode() for t in texts.to_pylist()], pa.binary())
+        return word_codes(texts)
 
     @F.arrow_udf("string")
     def rest(texts, spans):

@@ -3,7 +3,7 @@
 Learning reads a bounded sample of labelled rows: at most `sample` of them, those
 whose ids hash lowest, never a row that the caller holds out.  From it come, in
 turn, a lexicon (words and four-letter word beginnings that mark toxic texts, by
-smoothed log odds less 1.5 standard errors), the trees and the calibration.  The
+smoothed log odds less 1.5 standard errors; at most `ENTRIES`, those of largest weight), the trees and the calibration.  The
 features of a training row use the lexicon of the other half of the sample, and
 the calibration uses out-of-fold scores, so neither sees its own labels.
 
@@ -27,9 +27,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, slices, text_bytes, text_or_empty
+from .common import bound_batches, released, slices, text_bytes, text_or_empty, worker_state
 
-SAMPLE, ENTRIES, CUT, CHUNK = 20_000, 3_000, 0.7, 1 << 20
+SAMPLE, ENTRIES, CUT, CHUNK = 20_000, 3_000, 0.7, 1 << 18
 TREES, DEPTH, RATE, BINS, LEAF, FOLDS = 60, 3, 0.2, 32, 5, 3
 INSULTS = frozenset("idiot idiots moron morons stupid dumb pathetic disgusting worthless trash scum loser losers clown clowns filth garbage imbecile retard bastard vermin".split())
 SECOND = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton ta vous votre vos tú ti usted ustedes tus vosotros".split())
@@ -228,7 +228,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE)
         if any(sum(sizes.get((h, y), 0) for h in (0, 1)) < 4 for y in (0, 1)):
             return Model({}, None, None)
         pick = lambda h, y: F.sum(F.when(F.col("half") == h, F.col(f"n{y}")).otherwise(0))
-        terms = rows.mapInArrow(_count_terms, "term string, half long, n1 long, n0 long").groupBy("term").agg(
+        terms = rows.mapInArrow(released(_count_terms), "term string, half long, n1 long, n0 long").groupBy("term").agg(
             *(pick(h, y).alias(f"h{h}{y}") for h in (0, 1) for y in (0, 1)), F.sum("n1").alias("all1"), F.sum("n0").alias("all0")
         ).persist()
         lexicons = [_lexicon(terms, f"h{h}", sizes.get((h, 1), 0), sizes.get((h, 0), 0)) for h in (0, 1)]
@@ -248,7 +248,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE)
                     yield pa.RecordBatch.from_arrays([part.column("id"), part.column("y"), pa.array(list(x), pa.list_(pa.float64()))], ["id", "y", "x"])
 
         kind = dict(rows.dtypes)["id"]
-        table = rows.mapInArrow(featured, f"id {kind}, y int, x array<double>").orderBy("id", "x").collect()
+        table = rows.mapInArrow(released(featured), f"id {kind}, y int, x array<double>").orderBy("id", "x").collect()
     finally:
         rows.unpersist()
     x, y = np.array([r["x"] for r in table]), np.array([r["y"] for r in table], dtype=float)
@@ -264,6 +264,7 @@ def score_column(model: Model, text: Column) -> Column:
     def score(texts):
         import pyarrow as pa
 
+        worker_state().clear()  # what other operators left in the worker
         data, offsets = text_bytes(texts)
         out = [model.score(texts.slice(a, b - a).to_pylist(), data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets, CHUNK)]
         return pa.array(np.concatenate(out) if out else np.zeros(0))

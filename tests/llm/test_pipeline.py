@@ -129,6 +129,21 @@ def test_pair_of_two_thirds_stays(spark):
     assert simhash.one_of_each(docs).count() == 2
 
 
+def test_word_codes_see_every_script_alike():
+    import pyarrow as pa
+
+    texts = ["", " ", "a b\tc", "a  b c ", "a\u00a0b", "x \u2003 y\u3000z", "\u4e2d\u6587 ab\u4e00", "é è\x85ñ", "\u2014 dash \u201cquoted\u201d", "😀 a", "\u0e01\u0e02x", "a\x1cb"]
+    got = suffix_dedup.word_codes(pa.array(texts)).to_pylist()
+    size = suffix_dedup.CODE
+    seen = {}
+    for t, codes in zip(texts, got, strict=True):
+        words = suffix_dedup._WORD.findall(t)
+        assert len(codes) == size * len(words)
+        for k, w in enumerate(words):
+            assert seen.setdefault(w, codes[size * k : size * k + size]) == codes[size * k : size * k + size]
+    assert len(set(seen.values())) == len(seen) and suffix_dedup.word_codes(pa.array([], pa.string())).to_pylist() == []
+
+
 def test_repeats_of_over_50_short_words_go(spark, sf):
     r = random.Random(8)
     short = lambda n: [r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)]
