@@ -120,6 +120,26 @@ def _features():
     return F.arrow_udf(run, "array<double>")
 
 
+@cache
+def _nearest():
+    def run(values, allowed):
+        import pyarrow as pa
+
+        out = []
+        for v, choices in zip(values.to_pylist(), allowed.to_pylist(), strict=True):
+            scores = [fuzzy(v, c or "") for c in choices] if v is not None and choices else []
+            best = max(scores, default=0.0)
+            out.append({"at": scores.index(best), "score": best} if best > 0 else None)
+        return pa.array(out, pa.struct([("at", pa.int32()), ("score", pa.float64())]))
+
+    return F.arrow_udf(run, "struct<at:int,score:double>")
+
+
+def nearest(value, allowed) -> Column:
+    """Place and score of the likest of the allowed keys, the first of equals."""
+    return _nearest()(value, allowed)
+
+
 def phonetic_key(c) -> Column:
     return _phonetic()(c)
 

@@ -131,18 +131,19 @@ def variety_key(branch: Column, type_slug: Column, name_slug: Column) -> Column:
 
 
 def color_bucket(r: Column, g: Column, b: Column) -> Column:
-    """Name of a colour by hue, saturation and value of 0..255 channels."""
-    top, low = F.greatest(r, g, b), F.least(r, g, b)
-    v, spread = top / 255.0, (top - low)
-    s = F.when(top == 0, 0.0).otherwise(spread / top)
-    hue = (
-        F.when(spread == 0, 0.0)
-        .when(top == r, F.pmod(60 * (g - b) / spread, F.lit(360.0)))
-        .when(top == g, 60 * (b - r) / spread + 120)
-        .otherwise(60 * (r - g) / spread + 240)
-    )
-    return (
-        F.when(v < 0.18, "Black").when((s < 0.12) & (v > 0.85), "White").when(s < 0.12, "Grey")
-        .when((hue < 15) | (hue >= 345), F.when(v < 0.45, "Brown").otherwise("Red")).when(hue < 40, F.when((v > 0.75) & (s < 0.45), "Beige").when(v < 0.6, "Brown").otherwise("Orange"))
-        .when(hue < 65, F.when(s < 0.35, "Cream").otherwise("Yellow")).when(hue < 165, "Green").when(hue < 255, "Blue").when(hue < 300, "Purple").otherwise("Pink")
-    )
+    """Name of a stone's colour from 0..255 channels: a lightness ramp for neutral and washed-out light ones, else by hue."""
+
+    def named(x: Column) -> Column:
+        r, g, b = x["r"], x["g"], x["b"]
+        top, low = F.greatest(r, g, b), F.least(r, g, b)
+        v, s = top / 255, F.when(top == 0, 0.0).otherwise((top - low) / top)
+        turn = F.when(top == low, 0.0).when(top == r, (g - b) / (top - low)).when(top == g, (b - r) / (top - low) + 2).otherwise((r - g) / (top - low) + 4)
+        hue = F.pmod(turn * 60, F.lit(360.0))
+        neutral = (s < 0.10) | ((s < 0.25) & (v > 0.80))
+        # The ramp's and the hues' limits.
+        ramp = F.when(v < 0.27, "Black").when(v < 0.70, "Grey").when(r > b + 12, "Cream").otherwise("White")
+        earth = F.when(v < 0.55, "Brown").when(s > 0.4, "Gold").otherwise("Beige")
+        rest = F.when(hue < 170, "Green").when(hue < 255, "Blue").when(hue < 290, "Purple").otherwise("Pink")
+        return F.when(neutral, ramp).when((hue < 20) | (hue >= 345), "Red").when(hue < 45, earth).when(hue < 70, F.when(v > 0.6, "Yellow").otherwise("Brown")).otherwise(rest)
+
+    return let(F.struct(r.cast("double").alias("r"), g.cast("double").alias("g"), b.cast("double").alias("b")), named)

@@ -13,8 +13,7 @@ SPECIAL = {
     "Þ": "Th", "þ": "th", "ß": "ss", "ẞ": "SS", "ı": "i", "Ħ": "H", "ħ": "h", "Ŋ": "N", "ŋ": "n", "Ŧ": "T", "ŧ": "t", "ĸ": "k",
 }
 # Connectors that stay lower-case inside a title.
-CONNECTORS = ("de", "da", "do", "di", "du", "del", "della", "dos", "das", "des", "la", "le", "el", "e", "y", "et")
-_EDGE = r"^[\s\-–—_.,;:/|]+|[\s\-–—_.,;:/|]+$"
+CONNECTORS = ("de", "do", "da", "di", "del", "della", "e", "y")
 
 
 @cache
@@ -61,14 +60,20 @@ def compact(key: Column) -> Column:
 
 
 def tokenset(key: Column) -> Column:
-    return F.array_join(F.array_sort(F.array_distinct(F.split(key, " "))), " ")
+    """The words in order, repeats kept."""
+    return F.array_join(F.array_sort(F.split(key, " ")), " ")
 
 
-def deprefixed(key: Column) -> Column:
-    """Without a leading code letter and without rendering, thickness and grade tails."""
-    head = F.regexp_replace(key, r"^(z|zb) ", "")
-    tail = F.regexp_replace(head, r"( (polished|honed|leathered|brushed|flamed|raw|extra|premium|select|standard|commercial|\d+ ?(mm|cm)))+$", "")
-    return F.when(tail == "", key).otherwise(tail)
+# Render words that a slash tag at a name's end may hold.
+RENDER_TAGS = ("polished", "honed", "leather", "leathered", "brushed", "mat", "matt", "mate", "matte")
+
+
+def deprefixed(name: Column) -> Column:
+    """Key of a name without an inventory mark (Z, ZB, Z B) and one trailing tag: a slash with a thickness or render word, a thickness, or a grade."""
+    bare = F.regexp_replace(F.trim(F.coalesce(name, F.lit(""))), r"(?i)^z(?:\s?b)?\s+", "")
+    tails = (rf"(?i)\s*/\s*(?:\d+\s?cm|{'|'.join(RENDER_TAGS)})\b.*$", r"(?i)\s*\b\d+\s?cm\s*$", r"(?i)\s*\bgrade\s+\w+\s*$")
+    cuts = [F.regexp_replace(bare, tail, "") for tail in tails]
+    return match_key(F.when(cuts[0] != bare, cuts[0]).when(cuts[1] != bare, cuts[1]).otherwise(cuts[2]))
 
 
 def slugify(c: Column, sep: str = "-") -> Column:
@@ -106,22 +111,46 @@ def first_by_key(items: Column, keys: Column) -> Column:
     )
 
 
-def is_number_code(c: Column) -> Column:
-    return c.rlike(r"(?i)^no\.?$") | (c.rlike(r"\d") & ~c.rlike(r"^[Gg]\d+[A-Za-z]?$"))
+def looks_codey(c: Column) -> Column:
+    """A word that reads like a code: a digit, or no vowel (a, e, i, o, u), bar st, mt and ft; edge punctuation doesn't count."""
+    low = F.regexp_replace(F.lower(c), r"^[().\[\]{}\-–—,]+|[().\[\]{}\-–—,]+$", "")
+    return (low != "") & (low.rlike(r"\d") | (~low.rlike("[aeiou]") & ~low.isin("st", "mt", "ft")))
 
 
-def looks_codey(c: Column) -> Column:
-    """A digit; two characters or fewer without a vowel, bar st, mt and ft; longer without a vowel."""
-    low = F.lower(c)
-    vowel = low.rlike("[aeiouy]")
-    return low.rlike(r"\d") | ((F.char_length(low) <= 2) & ~vowel & ~low.isin("st", "mt", "ft")) | ((F.char_length(low) >= 3) & ~vowel)
+#: Entities that `clean` resolves, with every numeric one.
+_ENTITIES = ("quot", "apos", "lt", "gt", "nbsp", "copy", "reg", "trade", "deg", "plusmn", "times", "divide", "frac12", "frac14", "frac34", "sup2", "sup3", "micro", "middot",
+             "ndash", "mdash", "lsquo", "rsquo", "ldquo", "rdquo", "laquo", "raquo", "hellip", "bull", "euro", "pound", "szlig", "iexcl", "iquest")
+
+
+@cache
+def _entities() -> dict[str, str]:
+    """Entity name to character: those above and every accented Latin letter."""
+    from html.entities import html5
+
+    latin = {k[:-1]: v for k, v in html5.items() if k.endswith(";") and len(v) == 1 and 0xC0 <= ord(v) <= 0x17F}
+    return {k: html5[f"{k};"] for k in _ENTITIES} | latin
+
+
+def _unescaped(c: Column) -> Column:
+    table = F.create_map(*(F.lit(x) for kv in _entities().items() for x in kv))
+    parts = F.split(c, r"&(?=#?\w+;)")
+
+    def resolved(part: Column) -> Column:
+        name = F.regexp_extract(part, r"^(#?\w+);", 1)
+        rest = F.substring(part, F.char_length(name) + 2, F.char_length(part))
+        number = F.when(name.rlike(r"^#\d+$"), F.substring(name, F.lit(2), F.char_length(name)).try_cast("int"))
+        number = number.when(name.rlike(r"^#[xX][0-9a-fA-F]+$"), F.conv(F.substring(name, F.lit(3), F.char_length(name)), 16, 10).try_cast("int"))
+        letter = F.when(number.between(1, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32BE"))
+        return F.coalesce(F.concat(letter, rest), F.concat(F.try_element_at(table, name), rest), F.when(name == "amp", F.concat(F.lit("&"), rest)), F.concat(F.lit("&"), part))
+
+    return F.array_join(F.transform(parts, lambda x, i: F.when(i == 0, x).otherwise(resolved(x))), "")
 
 
 def clean(c: Column) -> Column:
-    """Common entities resolved, no-break spaces plain, zero-width characters gone, trimmed."""
-    for k, v in (("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(k), F.lit(v))
-    return F.trim(F.regexp_replace(F.replace(c, F.lit(" "), F.lit(" ")), "[​‌‍⁠﻿]", ""))
+    """Entities resolved, no-break spaces plain, zero-width characters gone, trimmed; null gives the empty text."""
+    c = F.coalesce(c.cast("string"), F.lit(""))
+    c = F.when(c.contains("&"), _unescaped(c)).otherwise(c)
+    return F.trim(F.regexp_replace(F.replace(c, F.lit("\u00a0"), F.lit(" ")), "[\u200b\u200c\u200d\u2060\ufeff]", ""))
 
 
 def split_list(c: Column, sep: str = ",") -> Column:

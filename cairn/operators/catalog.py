@@ -52,8 +52,11 @@ def duplicate_identities(rows: DataFrame, identity: list[str], key: str) -> Data
 
 
 def union_fill(rows: DataFrame, categories: DataFrame, category: str, keys: list[str]) -> DataFrame:
-    """(category, keys…) that a category lacks though another has them; categories is the closed list, a few rows."""
-    every = rows.select(*keys).distinct().join(F.broadcast(categories.select(category).distinct()))
+    """(category, keys…) that a category lacks though another has them; categories is the closed list, of 1,000 at most."""
+    names = [r[0] for r in categories.select(category).where(F.col(category).isNotNull()).distinct().limit(1_001).collect()]
+    if len(names) > 1_000:
+        raise ValueError("a closed list of categories has 1,000 values at most")
+    every = rows.select(*keys).distinct().withColumn(category, F.explode(F.array(*map(F.lit, sorted(names)))))
     return every.join(rows.select(category, *keys).distinct(), [category, *keys], "left_anti")
 
 
@@ -83,9 +86,9 @@ def gap_queue(gaps: DataFrame, keys: list[str], ordinal: list[str]) -> DataFrame
 
 
 def code_prefixes(names: DataFrame, name: str) -> DataFrame:
-    """(head, rests): code-shaped first words that stand before two or more different rests."""
-    w = F.split(T.match_key(F.col(name)), " ")
-    parts = names.select(F.get(w, F.lit(0)).alias("head"), F.array_join(F.slice(w, 2, 100), " ").alias("rest")).where("rest <> ''")
+    """(head, rests): code-shaped first words that stand before two or more different rests, whatever their case."""
+    text = F.lower(T.collapse_ws(F.coalesce(F.col(name), F.lit(""))))
+    parts = names.select(F.regexp_extract(text, r"^(\S+) (.+)$", 1).alias("head"), F.regexp_extract(text, r"^(\S+) (.+)$", 2).alias("rest")).where("rest <> ''")
     return parts.where(T.looks_codey(F.col("head"))).groupBy("head").agg(F.count_distinct("rest").alias("rests")).where("rests >= 2")
 
 
@@ -94,7 +97,7 @@ def vocabulary_swap(rows: DataFrame, columns: list[str], vocabulary: DataFrame)
     long = rows.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), T.match_key(F.col(c)).alias("norm")) for c in columns))).alias("x")).select("x.*").where("norm <> ''")
     counts = long.groupBy("column", "norm").agg(F.count("*").alias("n"))
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
-    known = counts.join(F.broadcast(vocabulary.select("category", "norm").distinct()), "norm").groupBy("column", "category").agg(F.sum("n").alias("hit"))
+    known = counts.join(vocabulary.select("category", "norm").distinct(), "norm").groupBy("column", "category").agg(F.sum("n").alias("hit"))
     return known.join(totals, "column").select("column", "category", F.round(F.col("hit") / F.col("total"), 4).alias("rate"))
 
 

@@ -86,7 +86,7 @@ def scrape_allowed(rows: int, expected: int) -> bool:
 
 def history(events: DataFrame, source: str = "source", at: str = "at", most: int = C.HISTORY) -> DataFrame:
     w = Window.partitionBy(source).orderBy(F.desc(at))
-    return events.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most).drop("_n")
+    return events.withColumn("age", F.row_number().over(w)).where(F.col("age") <= most)
 
 
 def search_names(rows: DataFrame, part: str, most: int) -> DataFrame:

@@ -35,9 +35,9 @@ def resolve_vocabulary(values: DataFrame, vocabulary: DataFrame, synonyms: DataF
     Only what no equality resolves is compared by likeness, with every word whose length allows the floor.
     """
     raw = values.select("raw").distinct().withColumn("norm", T.match_key(F.col("raw")))
-    words = F.broadcast(vocabulary.select("norm", "canonical"))  # a closed vocabulary: some hundred words
-    known = F.broadcast(synonyms.select("norm", "target"))
-    hit = raw.join(known, "norm", "left").join(words, "norm", "left")
+    words, known = vocabulary.select("norm", "canonical"), synonyms.select("norm", "target")
+    named = words.select(F.col("norm").alias("_tnorm"), F.col("canonical").alias("_named"))
+    hit = raw.join(known, "norm", "left").join(words, "norm", "left").join(named, T.match_key(F.col("target")) == F.col("_tnorm"), "left").withColumn("target", F.when(F.lower("target") == "none", "none").otherwise(F.coalesce("_named", "target")))
     method = (
         F.when(F.col("norm") == "", "empty").when(F.lower("target") == "none", "synonym_none").when(F.col("target").isNotNull(), "synonym")
         .when(F.col("canonical").isNotNull(), "exact")
@@ -51,7 +51,7 @@ def resolve_vocabulary(values: DataFrame, vocabulary: DataFrame, synonyms: DataF
     if not near:
         return settled.unionByName(residue.select("raw", F.lit(None).cast("string").alias("value"), F.lit("none").alias("confidence"), F.lit("unresolved").alias("method")))
     right = vocabulary.select(F.col("norm").alias("norm2"), "canonical")
-    pairs = residue.join(F.broadcast(right), _long_enough(F.col("norm"), F.col("norm2"), floor))
+    pairs = residue.join(right, _long_enough(F.col("norm"), F.col("norm2"), floor))
     scored = pairs.withColumn("score", K.fuzzy_score("norm", "norm2"))
     best = scored.groupBy("raw").agg(F.max(F.struct("score", F.col("canonical"))).alias("b"))
     out = residue.join(best, "raw", "left").select(
@@ -62,38 +62,79 @@ def resolve_vocabulary(values: DataFrame, vocabulary: DataFrame, synonyms: DataF
     return settled.unionByName(out)
 
 
+# Words around joined values that say nothing.
+NOISE = ("dual", "combination", "combo", "mixed", "finish", "finishes")
+_COMBINED = r"\+|&|/|\band\b"
+
+
 def multi_parts(raw: Column) -> Column:
-    """(combine, parts) of a value that names several: joined by + & / and, or listed by | and commas."""
-    listed = raw.rlike(r"[|,]")
-    parts = F.split(raw, r"(?i)\s*[|,]\s*|\s*[+&/]\s*|\s+and\s+")
-    return F.struct((~listed).alias("combine"), F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "").alias("parts"))
-
-
-def resolve_multi(values: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(raw, value, method): a compound that the vocabulary has, a suggestion of one, or the first of a list."""
-    parsed = values.select("raw").distinct().withColumn("m", multi_parts(F.col("raw"))).where(F.size("m.parts") > 1)
-    each = parsed.select("raw", "m.combine", F.posexplode("m.parts").alias("i", "part")).withColumn("norm", T.match_key(F.col("part")))
-    known = each.join(F.broadcast(vocabulary.select("norm", "canonical")), "norm", "left")
-    whole = known.groupBy("raw", "combine").agg(F.array_sort(F.collect_list(F.struct("i", "canonical"))).alias("p"))
-    named = whole.withColumn("names", F.array_distinct(F.array_compact(F.transform("p", lambda x: x["canonical"]))))
-    compound = named.withColumn("both", F.array_join("names", " and ")).withColumn("norm", T.match_key(F.col("both")))
-    out = compound.join(F.broadcast(vocabulary.select("norm", F.col("canonical").alias("compound"))), "norm", "left")
-    many = F.size("names") > 1
-    method = (
-        F.when(F.size("names") == 0, "unresolved").when(~many, "single").when(F.col("combine") & F.col("compound").isNotNull(), "compound")
-        .when(F.col("combine"), "compound_suggest").otherwise("multi_value")
-    )
-    return out.select("raw", F.when(F.col("combine") & F.col("compound").isNotNull() & many, F.col("compound")).otherwise(F.get("names", F.lit(0))).alias("value"), method.alias("method"))
+    """(combine, parts) of a value that names several: combined by + & / and, or listed by | and commas."""
+    bare = F.regexp_replace(F.coalesce(raw, F.lit("")), rf"(?i)\b(?:{'|'.join(NOISE)})\b|[-–]", " ")
+    parts = F.split(bare, rf"(?i)\s*(?:{_COMBINED}|\||,)\s*")
+    return F.struct(bare.rlike(f"(?i){_COMBINED}").alias("combine"), F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "").alias("parts"))
 
 
-def surfaces(candidates: DataFrame) -> DataFrame:
-    """A row for each name and alias with its projections: (cid, ckey, block, surface, norm, ...).  candidates (cid, name, aliases, type)."""
-    named = candidates.select("cid", T.match_key(F.col("name")).alias("ckey"), T.match_key(F.col("type")).alias("block"), F.explode(F.array_union(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("surface"))
-    keyed = named.withColumn("norm", T.match_key(F.col("surface"))).where("norm <> ''").dropDuplicates(["cid", "norm"])
-    return keyed.withColumns({"compact": T.compact(F.col("norm")), "tokenset": T.tokenset(F.col("norm")), "deprefixed": T.deprefixed(F.col("norm")), "phonetic": K.phonetic_key("norm")})
+def resolve_multi(values: DataFrame, vocabulary: DataFrame, synonyms: DataFrame, floor: float = C.ATTRIBUTE_FLOOR, near: bool = True) -> DataFrame:
+    """(raw, value, confidence, method, best) of values that name several.
+
+    A combination is the vocabulary's "A and B", in either order, or a suggestion of it where the
+    vocabulary has such values; otherwise the first part that resolves counts.
+    """
+    parsed = values.select("raw").distinct().withColumn("m", multi_parts(F.col("raw")))
+    each = parsed.where(F.size("m.parts") > 1).select("raw", "m.combine", F.posexplode("m.parts").alias("i", "part"))
+    told = resolve_vocabulary(each.select(F.col("part").alias("raw")), vocabulary, synonyms, floor, near).select(F.col("raw").alias("part"), "value")
+    found = each.join(told, "part").groupBy("raw", "combine").agg(F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("i", "value")))).alias("p"))
+    named = found.withColumn("names", F.array_distinct(F.transform("p", lambda x: x["value"])))
+    composes = not vocabulary.where(F.contains(F.lower("canonical"), F.lit(" and "))).isEmpty()
+    a, b = F.get("names", F.lit(0)), F.get("names", F.lit(1))
+    both = named.withColumns({"ab": F.concat_ws(" and ", a, b), "ba": F.concat_ws(" and ", b, a)})
+    known = lambda c, to: vocabulary.select(F.col("norm").alias(f"_{c}"), F.col("canonical").alias(to))
+    both = both.join(known("ab", "one"), T.match_key(F.col("ab")) == F.col("_ab"), "left").join(known("ba", "two"), T.match_key(F.col("ba")) == F.col("_ba"), "left")
+    joined = (F.size("names") > 1) & F.lit(composes) & F.col("combine")
+    method = F.when(F.size("names") == 0, "unresolved").when(joined & F.coalesce("one", "two").isNotNull(), "compound").when(joined, "compound_suggest").otherwise("multi_value")
+    both = both.withColumn("method", method)
+    value = F.when(F.col("method") == "compound", F.coalesce("one", "two")).when(F.col("method") == "multi_value", a)
+    sure = F.when(F.col("method") == "compound", "medium").when(F.col("method") == "unresolved", "none").otherwise("low")
+    out = both.select("raw", value.alias("value"), sure.alias("confidence"), "method", F.when(F.col("method") == "compound_suggest", F.col("ab")).alias("best"))
+    none = F.lit(None).cast("string")
+    return out.unionByName(parsed.where(F.size("m.parts") < 2).select("raw", none.alias("value"), F.lit("none").alias("confidence"), F.lit("unresolved").alias("method"), none.alias("best")))
+
+
+# Spellings of one colour.
+COLOUR_FORMS = {"gray": "grey", "golden": "gold"}
+
+
+def colour_words(key: Column, colours: list[str]) -> Column:
+    """The colours that a name key spells out, in one form each."""
+    known = [c.lower() for c in colours]
+    form = lambda w: F.coalesce(*(F.when(w == k, F.lit(v)) for k, v in COLOUR_FORMS.items()), w)
+    return F.array_distinct(F.transform(F.filter(F.split(key, " "), lambda w: w.isin(*known) if known else F.lit(False)), form))
+
+
+def colour_conflict(a: Column, b: Column) -> Column:
+    """Both name a colour and none is common."""
+    return (F.size(a) > 0) & (F.size(b) > 0) & ~F.arrays_overlap(a, b)
+
+
+def surfaces(candidates: DataFrame, colours: list[str] = ()) -> DataFrame:
+    """A row for each name and alias with its projections: (cid, ckey, block, colors, cwords, norm, ...).
+
+    candidates (cid, name, aliases, type, and optionally colors); a candidate without colours has those that its name spells out.
+    """
+    own = F.col("colors") if "colors" in candidates.columns else F.array().cast("array<string>")
+    ckey = T.match_key(F.col("name"))
+    fixed = candidates.select(
+        "cid", ckey.alias("ckey"), T.match_key(F.col("type")).alias("block"), F.transform(F.coalesce(own, F.array().cast("array<string>")), T.match_key).alias("_own"),
+        colour_words(ckey, list(colours)).alias("cwords"), F.array_union(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>"))).alias("_names"),
+    )
+    named = fixed.select("cid", "ckey", "block", F.when(F.size("_own") > 0, F.col("_own")).otherwise(F.col("cwords")).alias("colors"), "cwords", F.explode("_names").alias("surface"))
+    keyed = named.withColumn("norm", T.match_key(F.col("surface"))).where("norm <> ''")
+    one = keyed.groupBy("cid", "norm").agg(F.min(F.struct("ckey", "block", "colors", "cwords")).alias("x"), F.min("surface").alias("surface")).select("cid", "norm", "surface", "x.*")
+    return one.withColumns({"compact": T.compact(F.col("norm")), "tokenset": T.tokenset(F.col("norm")), "deprefixed": T.deprefixed(F.col("surface")), "phonetic": K.phonetic_key("norm")})
 
 
-TIERS = ("exact", "compact", "tokenset", "deprefixed", "phonetic")
+TIERS = ("exact", "projection_compact", "projection_tokenset", "projection_deprefixed", "phonetic")
+_ASKED = ["query", "qblock", "qcolor"]
 
 
 def _tiers(rows: DataFrame) -> DataFrame:
@@ -104,7 +145,9 @@ def _tiers(rows: DataFrame) -> DataFrame:
 
 
 def _fits() -> Column:
-    return (F.col("qblock") == "") | (F.col("block") == "") | (F.col("qblock") == F.col("block"))
+    """The candidate's type and colours allow the query's."""
+    kind = (F.col("qblock") == "") | (F.col("block") == "") | (F.col("qblock") == F.col("block"))
+    return kind & ((F.col("qcolor") == "") | (F.size("colors") == 0) | F.array_contains("colors", F.col("qcolor")))
 
 
 def _long_enough(a: Column, b: Column, floor: float) -> Column:
@@ -113,51 +156,78 @@ def _long_enough(a: Column, b: Column, floor: float) -> Column:
     return 200 * F.least(x, y) >= floor * (x + y)
 
 
+_NONE = "array<struct<cid:long,name:string,score:double>>"
+
+
 def _choose(hits: DataFrame) -> DataFrame:
-    """The first tier that settles a query: one candidate after narrowing by name, then by block; only exact ties go to review."""
-    named = F.col("qnorm") == F.col("ckey")
-    per = hits.groupBy("query", "qblock", "rank").agg(
-        F.collect_set("cid").alias("all"), F.collect_set(F.when(named, F.col("cid"))).alias("own"), F.collect_set(F.when(_fits(), F.col("cid"))).alias("fit"),
-        F.collect_set(F.when(named & _fits(), F.col("cid"))).alias("both"),
+    """The first tier that settles a query: its only candidate, after narrowing by name, then by type and colour; names that stand twice in the exact tier go to review."""
+    one, named = F.struct("cid", "ckey"), F.col("qnorm") == F.col("ckey")
+    sets = {"every": F.lit(True), "own": named & (F.col("rank") < 4), "fit": _fits(), "both": named & (F.col("rank") < 4) & _fits()}
+    per = hits.groupBy(*_ASKED, "rank").agg(*(F.collect_set(F.when(c, one)).alias(k) for k, c in sets.items()))
+    by_name = (F.size("every") > 1) & (F.size("own") > 0)
+    per = per.withColumn("pool", F.when(by_name, F.col("own")).otherwise(F.col("every"))).withColumn("near", F.when(by_name, F.col("both")).otherwise(F.col("fit")))
+    asked = (F.col("qblock") != "") | (F.col("qcolor") != "")
+    blocked = (F.size("pool") > 1) & asked & (F.size("near") == 1)
+    left = F.when(blocked, F.col("near")).otherwise(F.col("pool"))
+    tier = F.concat(F.get(F.array(*map(F.lit, TIERS)), F.col("rank")), F.when(by_name, "_name").otherwise(""), F.when(blocked, "_blocked").otherwise(""))
+    sure = F.when(F.col("rank") < 4, "high").otherwise("medium")
+    none = F.lit(None).cast(_NONE)
+    found = F.when(F.size(left) == 1, F.struct(F.get(left, F.lit(0))["cid"].alias("cid"), tier.alias("tier"), F.lit("accept").alias("decision"), sure.alias("confidence"), F.lit(100.0).alias("score"), none.alias("candidates")))
+    dup = F.filter(F.array_sort(left), lambda x: F.size(F.filter(left, lambda y: y["ckey"] == x["ckey"])) > 1)
+    shown = F.transform(F.slice(dup, 1, 3), lambda x: F.struct(x["cid"].alias("cid"), x["ckey"].alias("name"), F.lit(100.0).alias("score")))
+    tied = F.when(
+        (F.col("rank") == 0) & (F.size(left) > 1) & (F.size(dup) > 0),
+        F.struct(F.lit(None).cast("long").alias("cid"), F.concat(tier, F.lit("_ambiguous")).alias("tier"), F.lit("review").alias("decision"), F.lit("low").alias("confidence"), F.lit(100.0).alias("score"), shown.cast(_NONE).alias("candidates")),
     )
-    only = lambda c: F.when(F.size(c) == 1, F.get(c, F.lit(0)))
-    pool = F.when(F.size("own") > 0, F.col("both")).otherwise(F.col("fit"))
-    cid = F.coalesce(F.when(F.size("all") == 1, only("fit")), F.when(F.size("own") > 0, only("own")), only(pool))
-    tier = F.get(F.array(*map(F.lit, TIERS)), F.col("rank"))
-    found = F.when(cid.isNotNull(), F.struct(cid.alias("cid"), tier.alias("tier"), F.lit("accept").alias("decision"), F.lit(100.0).alias("score")))
-    tied = F.when((F.col("rank") == 0) & (F.size(pool) > 1), F.struct(F.array_min(pool).alias("cid"), F.lit("exact_ambiguous").alias("tier"), F.lit("review").alias("decision"), F.lit(100.0).alias("score")))
     out = per.withColumn("x", F.coalesce(found, tied)).where("x is not null")
-    return out.groupBy("query", "qblock").agg(F.min_by("x", "rank").alias("x")).select("query", "qblock", "x.*")
+    return out.groupBy(*_ASKED).agg(F.min_by("x", "rank").alias("x")).select(*_ASKED, "x.*")
 
 
-def match_ladder(queries: DataFrame, index: DataFrame, accept: float = C.AUTO_ACCEPT, floor: float = C.REVIEW_FLOOR) -> DataFrame:
-    """(query, qblock, cid, tier, decision, score) for distinct queries (query, qtype).
+def match_ladder(
+    queries: DataFrame, index: DataFrame, accept: float = C.AUTO_ACCEPT, floor: float = C.REVIEW_FLOOR, colours: list[str] = (), overrides: DataFrame | None = None,
+    suggestions: DataFrame | None = None,
+) -> DataFrame:
+    """(query, qblock, qcolor, cid, tier, decision, confidence, score, candidates) for distinct queries (query, qtype, optionally qcolor).
 
-    Exact, compact, token-set, deprefixed and phonetic tiers are one join on (tier,
-    key), of which the first that settles a query counts; the fuzzy tier runs only on
-    what is left, and compares all candidates of a type block whose lengths allow the floor.
-    A best score that candidates of one name share, or of a single word for a query of
-    several, goes to review.
+    An override (norm, cid) wins.  Exact, compact, token-set, deprefixed and phonetic tiers are one join on
+    (tier, key), of which the first that settles a query counts.  The fuzzy tier runs only on what is left, and
+    compares all candidates that type and colour allow and whose lengths allow the floor.  A best score that
+    candidates of one name share, or of a single word for a query of several, goes to review, with the
+    three best candidates.  Suggestions (query, cid, score) by meaning are for review only.  cids are longs.
     """
-    q = queries.select("query", T.match_key(F.col("qtype")).alias("qblock")).distinct().withColumn("qnorm", T.match_key(F.col("query"))).where("qnorm <> ''")
-    q = q.withColumns({"compact": T.compact(F.col("qnorm")), "tokenset": T.tokenset(F.col("qnorm")), "deprefixed": T.deprefixed(F.col("qnorm")), "phonetic": K.phonetic_key("qnorm"), "norm": F.col("qnorm")})
-    known = index.withColumnRenamed("norm", "_norm").withColumn("norm", F.col("_norm"))
-    asked = _tiers(q).select("query", "qblock", "qnorm", "rank", "key")
-    held = _tiers(known).select("cid", "ckey", "block", "_norm", "rank", "key")
+    color = F.col("qcolor") if "qcolor" in queries.columns else F.lit("")
+    q = queries.select("query", T.match_key(F.col("qtype")).alias("qblock"), T.match_key(color).alias("qcolor")).distinct().withColumn("qnorm", T.match_key(F.col("query"))).where("qnorm <> ''")
+    q = q.withColumns({"compact": T.compact(F.col("qnorm")), "tokenset": T.tokenset(F.col("qnorm")), "deprefixed": T.deprefixed(F.col("query")), "phonetic": K.phonetic_key("qnorm"), "norm": F.col("qnorm"), "qwords": colour_words(F.col("qnorm"), list(colours))})
+    asked = _tiers(q).select(*_ASKED, "qnorm", "qwords", "rank", "key")
+    held = _tiers(index).select("cid", "ckey", "block", "colors", "cwords", "rank", "key")
     hits = asked.join(held, ["rank", "key"])
-    sound = hits.where("rank = 4").where(_fits() & (F.col("_norm") != F.col("qnorm"))).where(K.jaro_winkler_score("qnorm", "_norm") * 100 >= C.PHONETIC_GUARD)
+    sound = hits.where("rank = 4").where(_fits() & ~colour_conflict(F.col("qwords"), F.col("cwords"))).where(K.jaro_winkler_score("qnorm", "ckey") * 100 >= C.PHONETIC_GUARD)
     settled = _choose(hits.where("rank < 4").unionByName(sound))
-    rest = q.select("query", "qblock", "qnorm").join(settled.select("query", "qblock"), ["query", "qblock"], "left_anti")
-    right = index.select("cid", "ckey", "block", F.col("norm").alias("_norm"))
-    pairs = rest.join(F.broadcast(right), _fits() & _long_enough(F.col("qnorm"), F.col("_norm"), floor)).select("query", "qblock", "qnorm", "cid", "ckey", "_norm")
+    if overrides is not None:
+        forced = q.join(overrides.select(F.col("norm").alias("qnorm"), "cid"), "qnorm").select(*_ASKED, "cid", F.lit("override").alias("tier"), F.lit("accept").alias("decision"), F.lit("high").alias("confidence"), F.lit(100.0).alias("score"), F.lit(None).cast(_NONE).alias("candidates"))
+        settled = forced.unionByName(settled.join(forced.select(*_ASKED), _ASKED, "left_anti"))
+    rest = q.select(*_ASKED, "qnorm", "qwords").join(settled.select(*_ASKED), _ASKED, "left_anti")
+    right = index.select("cid", "ckey", "block", "colors", "cwords", F.col("norm").alias("_norm"))
+    pairs = rest.join(right, _fits() & _long_enough(F.col("qnorm"), F.col("_norm"), floor) & ~colour_conflict(F.col("qwords"), F.col("cwords"))).select(*_ASKED, "qnorm", "cid", "ckey", "_norm")
     scored = pairs.withColumn("score", K.fuzzy_score("qnorm", "_norm"))
-    each = scored.groupBy("query", "qblock", "qnorm", "cid", "ckey").agg(F.max(F.struct("score", (F.col("_norm") == F.col("ckey")).alias("own"))).alias("b")).select("query", "qblock", "qnorm", "cid", "ckey", "b.*")
-    top = each.withColumn("_top", F.max("score").over(Window.partitionBy("query", "qblock"))).where((F.col("score") == F.col("_top")) & (F.col("score") >= floor))
-    best = top.groupBy("query", "qblock", "qnorm", "score").agg(F.max_by(F.struct("cid", "ckey"), F.struct("own", -F.col("cid"))).alias("x"), (F.count("*") > F.count_distinct("ckey")).alias("tied"))
+    each = scored.groupBy(*_ASKED, "qnorm", "cid", "ckey").agg(F.max(F.struct("score", (F.col("_norm") == F.col("ckey")).alias("own"))).alias("b")).select(*_ASKED, "qnorm", "cid", "ckey", "b.*")
+    placed = each.withColumn("_n", F.row_number().over(Window.partitionBy(*_ASKED).orderBy(F.desc("score"), F.desc("own"), "cid"))).withColumn("_top", F.max("score").over(Window.partitionBy(*_ASKED)))
+    at_top = F.when(F.col("score") == F.col("_top"), F.col("ckey"))
+    three = F.array_sort(F.collect_list(F.when(F.col("_n") <= 3, F.struct("_n", "cid", F.col("ckey").alias("name"), "score"))))
+    best = placed.groupBy(*_ASKED, "qnorm").agg(F.min_by(F.struct("cid", "ckey"), "_n").alias("x"), F.max("score").alias("score"), (F.count(at_top) > F.count_distinct(at_top)).alias("tied"), three.alias("three"))
     guarded = (F.size(F.split("x.ckey", " ")) > 1) | (F.size(F.split("qnorm", " ")) < 2)
-    fuzzy = best.select("query", "qblock", "x.cid", F.lit("fuzzy").alias("tier"), F.when((F.col("score") >= accept) & guarded & ~F.col("tied"), "accept").otherwise("review").alias("decision"), F.round("score", 4).alias("score"))
+    sure = (F.col("score") >= accept) & guarded & ~F.col("tied")
+    fuzzy = best.where(F.col("score") >= floor).select(
+        *_ASKED, F.when(sure, F.col("x.cid")).alias("cid"), F.when(sure, "fuzzy").otherwise("review").alias("tier"), F.when(sure, "accept").otherwise("review").alias("decision"),
+        F.when(sure, "medium").otherwise("low").alias("confidence"), F.round("score", 4).alias("score"), F.transform("three", lambda x: F.struct(x["cid"].alias("cid"), x["name"].alias("name"), x["score"].alias("score"))).cast(_NONE).alias("candidates"),
+    )
     out = settled.unionByName(fuzzy)
-    return q.select("query", "qblock").join(out, ["query", "qblock"], "left").withColumns({"tier": F.coalesce("tier", F.lit("no_candidate")), "decision": F.coalesce("decision", F.lit("gap"))})
+    if suggestions is not None:
+        near = rest.join(fuzzy.select(*_ASKED), _ASKED, "left_anti").join(suggestions.where(F.col("score") >= floor).groupBy("query").agg(F.max_by(F.struct("cid", "score"), F.struct("score", -F.col("cid"))).alias("s")), "query")
+        shown = F.array(F.struct(F.col("s.cid").alias("cid"), F.lit(None).cast("string").alias("name"), F.col("s.score").cast("double").alias("score"))).cast(_NONE)
+        out = out.unionByName(near.select(*_ASKED, F.lit(None).cast("long").alias("cid"), F.lit("semantic_review").alias("tier"), F.lit("review").alias("decision"), F.lit("low").alias("confidence"), F.col("s.score").cast("double").alias("score"), shown.alias("candidates")))
+    whole = q.select(*_ASKED).join(out, _ASKED, "left")
+    return whole.withColumns({"tier": F.coalesce("tier", F.lit("no_candidate")), "decision": F.coalesce("decision", F.lit("gap")), "confidence": F.coalesce("confidence", F.lit("none"))})
 
 
 def hashing_embedding(key: Column, dims: int = 64) -> Column:
@@ -214,5 +284,5 @@ def train_alias_model(pairs: DataFrame):
 
 def new_aliases(found: DataFrame, known: DataFrame) -> DataFrame:
     """Accepted spellings (variation_id, alias) that are not written back yet; effective from the next run."""
-    fold = found.select("variation_id", "alias", F.lower("alias").alias("_k")).dropDuplicates(["variation_id", "_k"])
+    fold = found.groupBy("variation_id", F.lower("alias").alias("_k")).agg(F.min("alias").alias("alias"))
     return fold.join(known.select("variation_id", F.lower("alias").alias("_k")), ["variation_id", "_k"], "left_anti").drop("_k")

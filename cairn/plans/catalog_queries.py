@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import kernels as K
+from ..functions import names as M
 from ..functions import numbers as N
 from ..functions import text as T
-from ..operators import catalog, derive, health, ledger, resolve
+from ..operators import catalog, control, derive, health, ledger, resolve
 from ..sources import readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,7 +123,7 @@ def slug_title_case(spark, sf):
 
 @query("""
 WITH w AS (SELECT string_split(CASE WHEN p_size % 5 = 0 THEN 'z ' WHEN p_size % 5 = 1 THEN 'kx7 ' ELSE '' END || p_name, ' ') AS w FROM part), p AS (SELECT w[1] AS head, array_to_string(w[2:], ' ') AS rest FROM w)
-SELECT head, count(DISTINCT rest) AS rests FROM p WHERE rest <> '' AND (regexp_matches(head, '\\d') OR NOT regexp_matches(head, '[aeiouy]')) GROUP BY head HAVING count(DISTINCT rest) >= 2
+SELECT head, count(DISTINCT rest) AS rests FROM p WHERE rest <> '' AND (regexp_matches(head, '\\d') OR NOT regexp_matches(head, '[aeiou]') AND head NOT IN ('st', 'mt', 'ft')) GROUP BY head HAVING count(DISTINCT rest) >= 2
 """)
 def code_prefix_fanout(spark, sf):
     name = F.concat(F.when(F.col("p_size") % 5 == 0, "z ").when(F.col("p_size") % 5 == 1, "kx7 ").otherwise(""), F.col("p_name"))
@@ -181,11 +182,11 @@ def safe_cell(spark, sf):
 
 
 @query("""
-SELECT page_id, len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS links, lower(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title, len(regexp_extract_all(html, '(?is)<th[^>]*>(.*?)</th>\\s*<td[^>]*>(.*?)</td>', 1)) AS cells FROM pages
+SELECT page_id, len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS links, lower(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title, len(list_distinct(list_transform(regexp_extract_all(html, '(?is)<th[^>]*>(.*?)</th>\\s*<td[^>]*>(.*?)</td>', 1), lambda x: lower(trim(regexp_replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')))))) AS cells FROM pages
 """)
 def html_attribute_table(spark, sf):
     p = t(spark, sf, "pages")
-    n = F.size(F.regexp_extract_all("html", F.lit(r"(?is)<th[^>]*>(.*?)</th>\s*<td[^>]*>(.*?)</td>"), 1))
+    n = F.size(readers.attribute_table(F.col("html")))
     return p.select("page_id", F.size(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)).cast("long").alias("links"), F.lower(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"), n.cast("long").alias("cells"))
 
 
@@ -216,8 +217,7 @@ def latest_run_per_source(spark, sf):
 
 @query("SELECT user_id, event_id, CAST(n AS BIGINT) AS age FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events) WHERE n <= 20")
 def rolling_history(spark, sf):
-    w = Window.partitionBy("user_id").orderBy(F.desc("event_id"))
-    return t(spark, sf, "events").select("user_id", "event_id", F.row_number().over(w).cast("long").alias("age")).where("age <= 20")
+    return control.history(t(spark, sf, "events"), "user_id", "event_id").select("user_id", "event_id", F.col("age").cast("long").alias("age"))
 
 
 @query("""
@@ -263,33 +263,35 @@ def vocab_resolve_fuzzy(spark, sf):
 
 @query("""
 WITH r AS (SELECT DISTINCT string_split(p_name, ' ')[1] || CASE WHEN p_size % 2 = 0 THEN ' + ' ELSE ' | ' END || CASE WHEN p_size % 3 = 0 THEN 'blue' ELSE 'hot' END AS raw FROM part),
-s AS (SELECT raw, contains(raw, '+') AS c, CASE WHEN contains(raw, '+') THEN string_split(raw, ' + ') ELSE string_split(raw, ' | ') END AS p FROM r),
-n AS (SELECT raw, c, list_distinct(list_filter(p, lambda x: x IN ('red', 'blue', 'small', 'large', 'hot', 'cold'))) AS d, list_filter(p, lambda x: x IN ('red', 'blue', 'small', 'large', 'hot', 'cold'))[1] AS f FROM s)
-SELECT raw, upper(f[1]) || f[2:] AS value, CASE WHEN len(d) = 1 THEN 'single' WHEN c THEN 'compound_suggest' ELSE 'multi_value' END AS method FROM n
+s AS (SELECT raw, contains(raw, '+') AS c, list_transform(string_split(replace(raw, '|', '+'), ' + '), lambda x: CASE WHEN x = 'new' THEN 'red' ELSE x END) AS p FROM r),
+n AS (SELECT raw, c, list_filter(p, lambda x: x IN ('red', 'blue', 'small', 'large', 'hot', 'cold')) AS d FROM s),
+k AS (SELECT raw, c, CASE WHEN len(d) = 2 AND d[1] = d[2] THEN d[1:1] ELSE d END AS d FROM n),
+m AS (SELECT *, CASE WHEN len(d) = 0 THEN 'unresolved' WHEN len(d) = 2 AND c AND list_sort(d) = ['cold', 'hot'] THEN 'compound' WHEN len(d) = 2 AND c THEN 'compound_suggest' ELSE 'multi_value' END AS method FROM k)
+SELECT raw, CASE method WHEN 'compound' THEN 'Hot and Cold' WHEN 'multi_value' THEN upper(d[1][1]) || d[1][2:] END AS value, method,
+CASE WHEN method = 'compound_suggest' THEN upper(d[1][1]) || d[1][2:] || ' and ' || upper(d[2][1]) || d[2][2:] END AS best FROM m
 """)
 def vocab_resolve_multi(spark, sf):
     p = t(spark, sf, "part")
     raw = p.select(F.concat(F.get(F.split("p_name", " "), F.lit(0)), F.when(F.col("p_size") % 2 == 0, " + ").otherwise(" | "), F.when(F.col("p_size") % 3 == 0, "blue").otherwise("hot")).alias("raw"))
-    return resolve.resolve_multi(raw, _vocabulary(spark))
+    words = _vocabulary(spark).unionByName(spark.createDataFrame([("hot and cold", "Hot and Cold")], "norm string, canonical string"))
+    return resolve.resolve_multi(raw, words, spark.createDataFrame(_SYNONYMS, "norm string, target string"), near=False).select("raw", "value", "method", "best")
 
 
 @query("""
-WITH n AS (SELECT DISTINCT p_name FROM part), m AS (SELECT p_name, regexp_replace(p_name, '[^a-z0-9]', '', 'g') AS compact, list_aggregate(list_sort(list_distinct(string_split(p_name, ' '))), 'string_agg', ' ') AS ts FROM n)
+WITH n AS (SELECT DISTINCT p_name FROM part), m AS (SELECT p_name, regexp_replace(p_name, '[^a-z0-9]', '', 'g') AS compact, list_aggregate(list_sort(string_split(p_name, ' ')), 'string_agg', ' ') AS ts FROM n)
 SELECT a.p_name AS query, b.p_name AS found, CASE WHEN a.compact = b.compact THEN 'compact' ELSE 'tokenset' END AS tier FROM m a JOIN m b ON a.compact = b.compact OR a.ts = b.ts
 """)
 def projection_tiers(spark, sf):
     n = t(spark, sf, "part").select("p_name").distinct()
     m = n.select("p_name", T.compact(F.col("p_name")).alias("compact"), T.tokenset(F.col("p_name")).alias("ts"))
-    swapped = m.select(F.array_join(F.reverse(F.split("p_name", " ")), " ").alias("q"), F.col("p_name").alias("query"))
     by = lambda c: m.select(F.col("p_name").alias("query"), c).join(m.select(F.col("p_name").alias("found"), c), c).select("query", "found")
-    del swapped
     first = by("compact").withColumn("tier", F.lit("compact"))
     return first.unionByName(by("ts").join(first, ["query", "found"], "left_anti").withColumn("tier", F.lit("tokenset")))
 
 
-@query("SELECT s_suppkey, c_custkey, round(jaro_winkler_similarity(s_name, c_name), 6) AS score FROM supplier JOIN customer ON s_nationkey = c_nationkey AND s_suppkey % 10 = c_custkey % 10")
+@query("SELECT s_suppkey, c_custkey, round(jaro_winkler_similarity(s_name, c_name), 6) AS score FROM supplier JOIN customer ON right(s_name, 4) = right(c_name, 4)")
 def jaro_winkler_pairs(spark, sf):
-    j = t(spark, sf, "supplier").join(t(spark, sf, "customer"), (F.col("s_nationkey") == F.col("c_nationkey")) & (F.col("s_suppkey") % 10 == F.col("c_custkey") % 10))
+    j = t(spark, sf, "supplier").join(t(spark, sf, "customer"), F.right("s_name", F.lit(4)) == F.right("c_name", F.lit(4)))
     return j.select("s_suppkey", "c_custkey", F.round(K.jaro_winkler_score("s_name", "c_name"), 6).alias("score"))
 
 
@@ -299,7 +301,8 @@ def fuzzy_match_ladder(spark, sf):
     known = p.groupBy(F.col("p_name").alias("name"), F.col("p_type").alias("type")).agg(F.min("p_partkey").alias("cid")).withColumn("aliases", F.array(F.concat(F.col("name"), F.lit(" stone"))))
     name = F.col("p_name")
     typo = F.when(F.col("p_size") % 4 == 0, F.concat(name, F.lit("s"))).when(F.col("p_size") % 4 == 1, F.replace(name, F.lit(" "), F.lit(""))).when(F.col("p_size") % 4 == 2, F.array_join(F.reverse(F.split(name, " ")), " ")).otherwise(name)
-    return resolve.match_ladder(p.select(typo.alias("query"), F.col("p_type").alias("qtype")), resolve.surfaces(known))
+    colours = ["red", "blue"]
+    return resolve.match_ladder(p.select(typo.alias("query"), F.col("p_type").alias("qtype")), resolve.surfaces(known, colours), colours=colours).select("query", "qblock", "cid", "tier", "decision", "confidence", "score")
 
 
 @query("""
@@ -357,7 +360,7 @@ SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'IT' WHEN s_suppkey % 4 = 1 T
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 """)
 def origin_ladder(spark, sf):
-    j = t(spark, sf, "supplier").join(F.broadcast(t(spark, sf, "nation")), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(t(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    j = t(spark, sf, "supplier").join(t(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     k = F.col("s_suppkey") % 4
     o = derive.origin_ladder(F.when(k == 0, "it").otherwise("IT,BR"), k < 3, F.when(k == 1, F.concat(F.lit("n"), F.col("n_nationkey").cast("string"))), F.col("r_name"), F.col("r_name"))
     return j.withColumn("o", o).select("s_suppkey", F.col("o.value").alias("origin"), F.col("o.method").alias("method"))
@@ -379,7 +382,7 @@ SELECT p_partkey, list_contains(allowed, string_split(p_name, ' ')[1]) AS member
 def reconcile_membership(spark, sf):
     p = t(spark, sf, "part").withColumn("w", F.get(F.split("p_name", " "), F.lit(0)))
     a = p.where("p_size <= 10").groupBy("p_type").agg(F.array_sort(F.collect_set("w")).alias("allowed"))
-    return p.join(F.broadcast(a), "p_type").select("p_partkey", F.array_contains("allowed", F.col("w")).alias("member"), F.array_join("allowed", ",").alias("allowed"))
+    return p.join(a, "p_type").select("p_partkey", M.member(F.upper("w"), F.col("allowed")).alias("member"), F.array_join("allowed", ",").alias("allowed"))
 
 
 def _listings(spark, sf):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cairn import config
 from cairn.functions import kernels as K
+from cairn.functions import names
 from cairn.functions import numbers as N
 from cairn.functions import text as T
 
@@ -38,7 +39,7 @@ def test_safe_cell(spark):
 def test_small_text_functions(spark):
     assert apply(spark, ["a (b) [c ] ()"], T.bracket_aliases, T.without_brackets) == [(["b", "c"], "a")]
     assert apply(spark, ["St", "El", "Kx", "Z", "a1", "brr"], T.looks_codey) == [(False,), (False,), (True,), (True,), (True,), (True,)]
-    assert apply(spark, ["G654", "12", "No."], T.is_number_code) == [(False,), (True,), (True,)]
+    assert apply(spark, ["G654", "12", "No."], names.number_code) == [(False,), (True,), (True,)]
     assert apply(spark, ["x, y,,z "], T.split_list) == [(["x", "y", "z"],)]
     assert apply(spark, ["Grey Slab stone"], lambda c: T.strip_words(c, ["slab"])) == [("Grey stone",)]
     assert apply(spark, ["A&amp;B&nbsp;​"], T.clean) == [("A&B",)]

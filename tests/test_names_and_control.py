@@ -26,7 +26,7 @@ def test_artifacts_and_codes(spark):
 
 
 def test_words(spark):
-    assert one(spark, ["Azul Marble", "Marble Azul", "Marble", "Not Marble"], lambda c: M.explicit_type_word(c, ["marble"])) == ["marble", "marble", None, None]
+    assert one(spark, ["Azul Marble", "Marble Azul", "Marble", "Falsa Marble", "Marble False Marble", "azul MARBLE"], lambda c: M.explicit_type_word(c, ["marble"])) == ["Marble", "Marble", None, None, None, "MARBLE"]
     assert one(spark, ["Preto São", "nothing", "the grey black"], lambda c: M.extract_word(c, {"preto": "Black", "black": "Black", "grey": "Grey"})) == ["Black", None, "Grey"]
     d = spark.createDataFrame([(None, ["A"]), (None, ["A", "B"]), ("C", ["A"]), (None, None)], "v string, a array<string>")
     got = [r["x"] and r["x"]["method"] for r in d.select(M.from_variety(F.col("v"), F.col("a")).alias("x")).collect()]
