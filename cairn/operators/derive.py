@@ -61,15 +61,60 @@ def inventory_ladder(slabs: Column, quantity: Column, stock_m2: Column, length:
 
 
 def origin_ladder(scraped: Column, type_known: Column, supplier_override: Column, mapped: Column, supplier_default: Column) -> Column:
+    """The scraped country; where the type is known the supplier's override and the variety's countries; the supplier's own.
+
+    Of several countries of a variety the supplier's own counts, else the first, to be reviewed (`origin_map_first`).
+    """
     one = lambda c: F.when((F.trim(c) != "") & ~F.contains(c, F.lit(",")), F.upper(F.trim(c)))
+    many = F.filter(F.transform(F.split(F.coalesce(mapped, F.lit("")), ","), lambda x: F.upper(F.trim(x))), lambda x: x != "")
+    home = one(supplier_default)
     return ladder(
         rung(one(scraped), "scrape", "high"),
         rung(F.when(type_known, one(supplier_override)), "supplier_override", "high"),
-        rung(F.when(type_known, one(mapped)), "origin_map", "medium"),
-        rung(one(supplier_default), "supplier_default", "low"),
+        rung(F.when(type_known & (F.size(many) == 1), F.get(many, F.lit(0))), "origin_map", "high"),
+        rung(F.when(type_known & F.array_contains(many, home), home), "origin_map", "high"),
+        rung(F.when(type_known, F.get(many, F.lit(0))), "origin_map_first", "low"),
+        rung(home, "supplier_default", "low"),
     )
 
 
+def origin_mapped(rows: DataFrame, overrides: DataFrame, origins: DataFrame) -> DataFrame:
+    """Adds supplier_country of (source, variety, type) and mapped_countries of (variety, type), by name key and only under the same type."""
+    keyed = rows.withColumns({"_v": T.match_key(F.col("variety")), "_t": T.match_key(F.col("type"))})
+    o = overrides.groupBy("source", T.match_key(F.col("variety")).alias("_v"), T.match_key(F.col("type")).alias("_t")).agg(F.min("country").alias("supplier_country"))
+    m = origins.groupBy(T.match_key(F.col("variety")).alias("_v"), T.match_key(F.col("type")).alias("_t")).agg(F.min("countries").alias("mapped_countries"))
+    return keyed.join(o, ["source", "_v", "_t"], "left").join(m, ["_v", "_t"], "left").drop("_v", "_t")
+
+
+def overlay_origins(origins: DataFrame, decided: DataFrame) -> DataFrame:
+    """(variety, type, countries): decisions replace the file's countries for the same name and type, and add new ones."""
+    key = lambda d: d.withColumns({"_v": T.match_key(F.col("variety")), "_t": T.match_key(F.col("type"))})
+    d = key(decided).groupBy("_v", "_t").agg(F.min(F.struct("countries", "variety", "type")).alias("d"))
+    o = key(origins).groupBy("_v", "_t").agg(F.min(F.struct("countries", "variety", "type")).alias("o"))
+    j = o.join(d, ["_v", "_t"], "full_outer")
+    return j.select(F.coalesce("o.variety", "d.variety").alias("variety"), F.coalesce("o.type", "d.type").alias("type"), F.coalesce("d.countries", "o.countries").alias("countries"))
+
+
+def resolve_ports(sources: DataFrame, ports: DataFrame) -> DataFrame:
+    """(source, port_ids, unresolved) of each source's list of tokens, by id, location code or name; order is kept."""
+    known = ports.select("port_id", F.explode(F.array_distinct(F.transform(F.array("port_id", "un_locode", "name"), T.match_key))).alias("_k")).where("_k <> ''").groupBy("_k").agg(F.min("port_id").alias("port_id"))
+    each = sources.select("source", F.posexplode_outer("ports").alias("i", "token")).withColumn("_k", T.match_key(F.col("token"))).join(known, "_k", "left")
+    per = each.groupBy("source").agg(F.array_sort(F.collect_list(F.when(F.col("port_id").isNotNull(), F.struct("i", "port_id")))).alias("p"), F.count("token").alias("n"))
+    ids = F.array_distinct(F.transform("p", lambda x: x["port_id"]))
+    return per.select("source", ids.alias("port_ids"), ((F.col("n") > 0) & (F.size("p") == 0)).alias("unresolved"))
+
+
+def apply_overrides(rows: DataFrame, overrides: DataFrame, iso: list[str]) -> DataFrame:
+    """Bundle size, origin, title and description that a person has set for (src_site, surrogate_key); an origin must be a country and clears the city."""
+    o = overrides.select("src_site", "surrogate_key", *(F.col(c).alias(f"_{c}") for c in ("bundle_size", "origin", "title", "description")))
+    j = rows.join(o, ["src_site", "surrogate_key"], "left")
+    valid = F.upper(F.trim("_origin")).isin(*iso)
+    return j.withColumns({
+        "bundle_size": F.coalesce(N.positive_int(F.col("_bundle_size")), F.col("bundle_size")), "origin_city": F.when(valid, F.lit(None)).otherwise(F.col("origin_city")), "origin": F.when(valid, F.upper(F.trim("_origin"))).otherwise(F.col("origin")),
+        "title": F.coalesce(F.when(F.trim("_title") != "", F.col("_title")), "title"), "description": F.coalesce(F.when(F.trim("_description") != "", F.col("_description")), "description"),
+    }).drop("_bundle_size", "_origin", "_title", "_description")
+
+
 def dimension(raw: Column, form: Column, which: int) -> Column:
     """Metres rounded to three places with method and an out-of-range mark; 0, 1, 2: length, width, thickness."""
     parsed = N.parse_thickness(raw) if which == 2 else N.parse_face(raw)
@@ -105,6 +150,12 @@ def handle(variety: Column, finish: Column, source: Column, surrogate: Column) -
     return F.concat_ws("-", T.slugify(F.concat_ws(" ", variety, finish)), T.slugify(source), T.slugify(surrogate))
 
 
+def first_bad_dimension() -> Column:
+    """The first of length, width and height that is missing or not positive, unless its fetch failed (dimension_unavailable holds its name)."""
+    held = lambda d: F.coalesce(F.array_contains("unavailable", d), F.lit(False))
+    return F.coalesce(*(F.when((F.coalesce(F.col(d), F.lit(0.0)) <= 0) & ~held(d), F.lit(d)) for d in ("length", "width", "height")))
+
+
 #: The row rules in order: name and the condition that rejects.
 def row_rules(require_images: bool = True) -> list[tuple[str, Column]]:
     blank = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == ""
@@ -112,7 +163,7 @@ def row_rules(require_images: bool = True) -> list[tuple[str, Column]]:
     rules += [("tree_gap", F.coalesce(F.col("tree_gap"), F.lit(False))), ("category_invalid", blank("category_id")), ("handle_missing", blank("handle")), ("owner_missing", blank("owner")), ("origin_missing", blank("origin"))]
     if require_images:
         rules.append(("no_image", (F.coalesce(F.col("images"), F.lit(0)) == 0) & ~F.coalesce(F.col("image_terminal"), F.lit(False))))
-    rules += [("dimension_unavailable", F.coalesce(F.col("dimension_unavailable"), F.lit(False))), ("dimension_invalid", F.coalesce(F.col("length") <= 0, F.lit(False))), ("stock_undetermined", F.col("inventory").isNull())]
+    rules += [("dimension_unavailable", F.coalesce(F.size("unavailable"), F.lit(0)) > 0), ("dimension_defaulted", F.coalesce(F.col("dimension_defaulted"), F.lit(False))), ("dimension_invalid", first_bad_dimension().isNotNull()), ("stock_undetermined", F.col("inventory").isNull())]
     return rules
 
 
@@ -125,7 +176,8 @@ def validate(rows: DataFrame, rules: list[tuple[str, Column]], emit_on_review: b
 
 def product_state(rows: DataFrame, known: DataFrame) -> DataFrame:
     """new or existing by upper-case SKU, and whether the stock changed."""
-    k = known.select(F.upper("sku").alias("_sku"), N.parse_number(F.col("quantity")).alias("_old")).dropDuplicates(["_sku"])
+    at = F.col("ordinal") if "ordinal" in known.columns else F.col("quantity")  # the last row of a SKU counts
+    k = known.groupBy(F.upper("sku").alias("_sku")).agg(N.parse_number(F.max_by("quantity", at)).alias("_old"))
     out = rows.join(k, F.upper("sku") == F.col("_sku"), "left")
     return out.withColumn("state", F.when(F.col("_sku").isNull(), "new").otherwise("existing")).withColumn("product_changed", F.col("_sku").isNotNull() & ~F.col("_old").eqNullSafe(F.col("inventory").cast("double"))).drop("_sku", "_old")
 
@@ -142,7 +194,7 @@ def delist_allowed(gone: int, known: int) -> bool:
 def publishable_images(images: DataFrame, discarded: DataFrame, enhanced: DataFrame) -> DataFrame:
     """(surrogate_key, keys, state) from (surrogate_key, i, url, sha256): content duplicates and discards go, enhanced ones stay in order."""
     fresh = images.join(discarded.select("sha256").distinct(), "sha256", "left_anti").groupBy("surrogate_key", "sha256").agg(F.min("i").alias("i"))
-    ready = fresh.join(enhanced.select("sha256", "key").dropDuplicates(["sha256"]), "sha256", "left")
+    ready = fresh.join(enhanced.groupBy("sha256").agg(F.min("key").alias("key")), "sha256", "left")
     per = ready.groupBy("surrogate_key").agg(F.transform(F.array_sort(F.collect_list(F.when(F.col("key").isNotNull(), F.struct("i", "key")))), lambda x: x["key"]).alias("keys"), F.count("*").alias("n"))
     every = images.groupBy("surrogate_key").agg(F.count("*").alias("raw"))
     out = every.join(per, "surrogate_key", "left").withColumn("keys", F.coalesce("keys", F.array().cast("array<string>")))

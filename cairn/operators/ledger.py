@@ -15,13 +15,28 @@ def write_version(state: DataFrame, root: str, table: str, version: int) -> str:
     return path
 
 
-def publish(spark: SparkSession, root: str, versions: dict[str, int]) -> None:
-    """One pointer for all tables: written after every table is."""
-    spark.createDataFrame(list(versions.items()), "table string, version int").coalesce(1).write.mode("overwrite").json(f"{root}/_current")
+def _pointers(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the pointers whose write ended, in order."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root}/_pointers")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    done = [s.getPath() for s in fs.listStatus(path) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    return sorted(int(p.getName().removeprefix("n=")) for p in done)
+
+
+def publish(spark: SparkSession, root: str, versions: dict[str, int]) -> int:
+    """A new numbered pointer to all tables' versions, written after every table is; older ones stay, so a reader always finds one."""
+    number = (_pointers(spark, root) or [0])[-1] + 1
+    spark.createDataFrame(list(versions.items()), "table string, version int").coalesce(1).write.mode("errorifexists").json(f"{root}/_pointers/n={number}")
+    return number
 
 
 def current(spark: SparkSession, root: str, table: str) -> DataFrame:
-    version = {r["table"]: r["version"] for r in spark.read.schema("table string, version int").json(f"{root}/_current").collect()}[table]
+    """The table as the highest complete pointer names it."""
+    at = _pointers(spark, root)[-1]
+    version = {r["table"]: r["version"] for r in spark.read.schema("table string, version int").json(f"{root}/_pointers/n={at}").collect()}[table]
     return spark.read.parquet(f"{root}/{table}/v={version}")
 
 
@@ -141,3 +156,110 @@ def converge(state: DataFrame, key: str, rounds: int = 50, size: int = C.PAGE) -
         _, state = serve(state, ready, key, now, size)
         state = state.withColumn("state", F.when(F.col("state") == "syncing", "synced").otherwise(F.col("state"))).checkpoint()
     raise RuntimeError(f"no fixed point in {rounds} rounds")
+
+
+def apply_acks(state: DataFrame, acks: DataFrame, key: str, now: Column, parents: DataFrame | None = None) -> DataFrame:
+    """The entities after one acknowledgement each: (key, status, remote_id, payload_hash, reason).
+
+    A success counts only for a row that isn't retiring, for the version it echoes, and, where parents are given
+    (variation_key), if its parent is synced.  Failures count up; at the cap the row is held.
+    """
+    a = acks.select(F.col(key).alias("_k"), F.col("status").alias("_status"), F.col("remote_id").alias("_rid"), F.col("payload_hash").alias("_echo"), F.coalesce("reason", F.lit("apply failed")).alias("_reason"))
+    j = state.join(a, F.col(key) == F.col("_k"), "left")
+    live = F.col("_k").isNotNull() & (F.col("state") != "retiring")
+    if parents is not None:
+        j = j.join(parents.select(F.col("variation_key").alias("_p")).distinct(), F.col("variation_key") == F.col("_p"), "left")
+        ready = F.col("_p").isNotNull()
+    else:
+        ready = F.lit(True)
+    ok = live & (F.col("_status") == "synced") & ready & (F.col("_echo").isNull() | (F.col("_echo") == F.col("payload_hash")))
+    failed = live & (F.col("_status") == "failed")
+    n = F.coalesce("attempts", F.lit(0)) + 1
+    j = j.withColumns({"_ok": F.coalesce(ok, F.lit(False)), "_failed": F.coalesce(failed, F.lit(False)), "_n": n})
+    to = F.when(F.col("_ok"), "synced").when(F.col("_failed") & (F.col("_n") >= C.DEAD_LETTER), "gap_held").when(F.col("_failed"), "dirty").otherwise(F.col("state"))
+    new = {
+        "state": to, "attempts": F.when(F.col("_ok"), 0).when(F.col("_failed"), F.col("_n")).otherwise(F.col("attempts")).cast("int"), "remote_id": F.when(F.col("_ok"), F.col("_rid")).otherwise(F.col("remote_id")),
+        "error": F.when(F.col("_failed"), F.substring("_reason", 1, 500)).when(~F.col("_ok"), F.col("error")), "updated_at": F.when(F.col("_ok") | F.col("_failed"), now).otherwise(F.col("updated_at")),
+    }
+    return j.select(*(new.get(c, F.col(c)).alias(c) for c in state.columns))
+
+
+def apply_inventory_acks(inventory: DataFrame, acks: DataFrame, products: DataFrame) -> DataFrame:
+    """Stock that the other side holds: only of synced products, and only the quantity that the ack (sku, status, quantity) echoes, if it does."""
+    a = acks.where("status <> 'failed'").groupBy("sku").agg(F.max("quantity").alias("_echo"), F.lit(True).alias("_in")) if "quantity" in acks.columns else acks.where("status <> 'failed'").select("sku", F.lit(None).cast("int").alias("_echo"), F.lit(True).alias("_in")).distinct()
+    held = products.where("state = 'synced'").select("sku", F.lit(True).alias("_held")).distinct()
+    j = inventory.join(a, "sku", "left").join(held, "sku", "left")
+    hit = F.col("_in") & F.col("_held") & (F.col("_echo").isNull() | (F.col("_echo") == F.col("qty")))
+    return j.withColumn("last_synced_qty", F.when(hit, F.col("qty")).otherwise(F.col("last_synced_qty"))).drop("_echo", "_in", "_held")
+
+
+def removed_acks(tombstones: DataFrame, acks: DataFrame, children: DataFrame) -> DataFrame:
+    """Tombstones after acks (external_id, status): done ones go, unless a variety has children again; others count up and die at the cap."""
+    a = acks.groupBy("external_id").agg(F.max("status").alias("_status"))
+    kids = children.select(F.col("variation_key").alias("external_id"), F.lit(True).alias("_kids")).distinct()
+    j = tombstones.join(a, "external_id", "left").join(kids, "external_id", "left")
+    gone = (F.col("_status") == "done") & ~((F.col("kind") == "variation") & F.coalesce("_kids", F.lit(False)))
+    blocked = F.col("_status").isNotNull() & (F.col("_status") != "done")
+    left = j.where(~F.coalesce(gone, F.lit(False))).withColumn("_b", F.coalesce(blocked, F.lit(False)))
+    left = left.withColumn("attempts", F.when(F.col("_b"), F.coalesce("attempts", F.lit(0)) + 1).otherwise(F.col("attempts")).cast("int"))
+    return left.withColumn("state", F.when(~F.col("_b"), F.col("state")).when(F.col("attempts") >= C.DEAD_LETTER, "dead").otherwise("pending")).drop("_status", "_kids", "_b")
+
+
+def populate_inventory(inventory: DataFrame, rows: DataFrame, discontinued: DataFrame) -> DataFrame:
+    """(sku, qty, last_synced_qty): new quantities, nothing for discontinued ones; what was synced last stays known."""
+    new = rows.select("sku", F.col("qty").cast("int").alias("_q"), F.lit(1).alias("_r")).unionByName(discontinued.select("sku", F.lit(0).alias("_q"), F.lit(0).alias("_r")))
+    one = new.groupBy("sku").agg(F.max_by("_q", "_r").alias("_q"))
+    return inventory.join(one, "sku", "full_outer").select("sku", F.coalesce("_q", "qty").alias("qty"), "last_synced_qty")
+
+
+def bootstrap(state: DataFrame, seeds: DataFrame, key: str) -> DataFrame:
+    """Seeds that the ledger lacks, added as they are; what is there stays."""
+    return state.unionByName(seeds.join(state.select(key), key, "left_anti"), allowMissingColumns=True)
+
+
+def reconcile_to_seed(state: DataFrame, seeds: DataFrame, identity: list[str], protected: DataFrame) -> DataFrame:
+    """One row for each identity, a seed's before others; rows whose identity no seed has go, unless protected."""
+    marked = state.join(seeds.select("key", F.lit(True).alias("_seed")).distinct(), "key", "left").join(protected.select("key", F.lit(True).alias("_safe")).distinct(), "key", "left")
+    w = Window.partitionBy(*identity).orderBy(F.col("_seed").desc_nulls_last(), "key")
+    ranked = marked.withColumn("_n", F.row_number().over(w)).join(seeds.select(*identity, F.lit(True).alias("_known")).distinct(), identity, "left")
+    keep = F.coalesce("_safe", F.lit(False)) | ((F.col("_n") == 1) & F.coalesce("_known", F.lit(False)))
+    return ranked.where(keep).select(*state.columns)
+
+
+def isolate(page_rows: DataFrame, cells: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(served, held): rows of which a JSON cell (column: type) can't be read are held with the reason, the rest of the page is served."""
+    bad = F.array_compact(F.array(*(F.when(F.col(c).isNotNull() & F.from_json(c, kind, {"mode": "PERMISSIVE"}).isNull(), F.lit(c)) for c, kind in cells.items())))
+    marked = page_rows.withColumn("_bad", bad)
+    held = marked.where(F.size("_bad") > 0).withColumn("state", F.lit("gap_held")).withColumn("error", F.concat(F.lit("unreadable: "), F.array_join("_bad", ",")))
+    return marked.where(F.size("_bad") == 0).drop("_bad"), held.drop("_bad")
+
+
+def bind_env(meta: DataFrame, env: str, fingerprint: str | None) -> DataFrame:
+    """The ledger's one (env, fingerprint) row; another environment's is an error."""
+    rows = meta.limit(2).collect()
+    if rows and (len(rows) > 1 or rows[0]["env"] != env or (fingerprint and rows[0]["fingerprint"] and rows[0]["fingerprint"] != fingerprint)):
+        raise RuntimeError(f"the ledger belongs to {rows[0]['env']}, not to {env}")
+    return meta if rows else meta.sparkSession.createDataFrame([(env, fingerprint)], "env string, fingerprint string")
+
+
+def removed_page(tombstones: DataFrame, size: int = C.PAGE) -> DataFrame:
+    return page(tombstones.where("state = 'pending'"), ["created_at", "external_id"], size)
+
+
+def stale_varieties(variations: DataFrame, products: DataFrame) -> DataFrame:
+    """Varieties that the last full set lacked and that no product has."""
+    return variations.where("in_full = 0").join(products.select("variation_key").distinct(), "variation_key", "left_anti")
+
+
+def retire(variations: DataFrame, products: DataFrame, inventory: DataFrame, keys: DataFrame, reason: str = "retired") -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(variations, products, inventory, tombstones): retired varieties wait for their ack, their products and stock leave with a tombstone."""
+    gone = keys.select("variation_key").distinct()
+    out = variations.join(gone.withColumn("_go", F.lit(True)), "variation_key", "left").withColumn("state", F.when(F.col("_go"), "retiring").otherwise(F.col("state"))).drop("_go")
+    lost = products.join(gone, "variation_key", "left_semi").select("sku")
+    stones = lost.select(F.col("sku").alias("external_id"), F.lit("product").alias("kind")).unionByName(gone.join(variations.select("variation_key"), "variation_key", "left_semi").select(F.col("variation_key").alias("external_id"), F.lit("variation").alias("kind")))
+    return out, products.join(lost, "sku", "left_anti"), inventory.join(lost, "sku", "left_anti"), stones.withColumn("reason", F.lit(reason))
+
+
+def failures(state: DataFrame, key: str, size: int = 200) -> DataFrame:
+    """The held rows, the newest first; the limit is the page."""
+    return state.where("state = 'gap_held'").orderBy(F.desc("updated_at"), key).limit(size)

@@ -188,7 +188,7 @@ def variation_stage(rows: DataFrame, index: DataFrame, active: list[str], colour
     cases = [
         (held, "hold", F.lit("category_not_activated"), F.lit("none")), (F.col("_valid"), "bind", F.lit("override"), F.lit("high")), (F.col("_q") == "", "gap", F.lit("no_variety"), F.lit("none")),
         (accept, "bind", F.when(F.col("_generic"), F.concat(F.lit("descriptor_"), F.col("tier"))).otherwise(F.col("tier")), F.col("confidence")), (near, "review", F.lit("review_generic"), F.lit("low")),
-        (F.col("tier").isin("review", "semantic_review"), "review", F.col("tier"), F.lit("low")),
+        (F.col("decision") == "review", "review", F.col("tier"), F.lit("low")),
     ]
     pick = lambda k, last: F.coalesce(*(F.when(F.coalesce(c[0], F.lit(False)), F.lit(c[k]) if isinstance(c[k], str) else c[k]) for c in cases), last)
     out = out.withColumns({"action": pick(1, F.lit("gap")), "variation_method": pick(2, F.coalesce("tier", F.lit("no_candidate"))), "variation_confidence": pick(3, F.lit("none"))})

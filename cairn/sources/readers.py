@@ -30,7 +30,29 @@ def last_wins(rows: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
 def vocabulary(rows: DataFrame) -> DataFrame:
     """(category, norm, canonical, id) from rows (category, value, sourceid); rows with a blank go."""
     full = rows.where(" and ".join(f"trim(coalesce({c}, '')) <> ''" for c in ("category", "value", "sourceid")))
-    return full.select("category", T.match_key(F.col("value")).alias("norm"), F.col("value").alias("canonical"), F.col("sourceid").alias("id")).dropDuplicates(["category", "norm"])
+    at = F.col("_ordinal") if "_ordinal" in rows.columns else F.struct("value", "sourceid")
+    one = full.groupBy("category", T.match_key(F.col("value")).alias("norm")).agg(F.max_by(F.struct("value", "sourceid"), at).alias("x"))  # the last of a key counts
+    return one.select("category", "norm", F.col("x.value").alias("canonical"), F.col("x.sourceid").alias("id"))
+
+
+def last_of(rows: DataFrame, keys: list[str], values: list[str], ordinal: str = "_ordinal") -> DataFrame:
+    """Reference rows by key, the last of each; rows with a blank key or value go."""
+    full = rows.where(" and ".join(f"trim(coalesce({c}, '')) <> ''" for c in (*keys, *values)))
+    return full.groupBy(*keys).agg(F.max_by(F.struct(*values), ordinal).alias("x")).select(*keys, "x.*")
+
+
+def canonical(spark: SparkSession, path: str) -> DataFrame:
+    """Canonical rows as written; lists are arrays, not text."""
+    return spark.read.parquet(path)
+
+
+def from_source(adapter, load, spark: SparkSession):
+    """Rows of a source that gives a frame instead of a file: (rows, label), or None where it has nothing, which is a clean skip."""
+    got = load(spark)
+    if got is None:
+        return None
+    frame, label = got
+    return adapter.adapt(frame), label
 
 
 def backbone(spark: SparkSession, path: str) -> DataFrame:
@@ -41,8 +63,9 @@ def backbone(spark: SparkSession, path: str) -> DataFrame:
 
 
 def pivot_overrides(rows: DataFrame, fields: list[str]) -> DataFrame:
-    """(src_site, surrogate_key, field, value) to one row for each key."""
-    return rows.groupBy("src_site", "surrogate_key").pivot("field", fields).agg(F.last("value"))
+    """(src_site, surrogate_key, field, value) to one row for each key; the last of a field counts, by `_ordinal` where rows have one."""
+    at = F.col("_ordinal") if "_ordinal" in rows.columns else F.col("value")
+    return rows.groupBy("src_site", "surrogate_key").agg(*(F.max_by(F.when(F.col("field") == f, F.col("value")), F.when(F.col("field") == f, at)).alias(f) for f in fields))
 
 
 def by_alternates(frame: DataFrame, wanted: dict[str, list[str]]) -> DataFrame:
