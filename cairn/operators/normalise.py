@@ -57,24 +57,28 @@ def normalise(rows: DataFrame, vocabulary: DataFrame, synonyms: DataFrame, type_
         out = out.join(forced, ["src_site", "surrogate_key"], "left")
     else:
         out = out.withColumns({f"_{f}_forced": F.lit(None).cast("string") for f in C.ATTRIBUTES})
-    flags = []
+    empty, of = F.lit(""), ("category",)
+    raw = rows.select(F.explode(F.array(*(F.struct(F.lit(f).alias("category"), F.coalesce(f"raw_{f}", empty).alias("raw")) for f in C.ATTRIBUTES))).alias("x")).select("x.*").distinct()
+    words = vocabulary.select("category", "norm", "canonical")
+    whole = resolve.resolve_vocabulary(raw, words, synonyms, by=of)
+    several = resolve.resolve_multi(whole.where("value is null and method = 'unresolved'"), words, synonyms, by=of).select("category", "raw", F.col("value").alias("_v"), F.col("confidence").alias("_c"), F.col("method").alias("_m"), "best")
+    told = whole.join(several, ["category", "raw"], "left").select("category", "raw", F.coalesce("_v", "value").alias("value"), F.coalesce("_c", "confidence").alias("conf"), F.coalesce("_m", "method").alias("method"), "best")
+    told = told.withColumn("norm", T.match_key(F.col("value"))).join(lookup.select("category", "norm", "id"), ["category", "norm"], "left")
+    per = {f: told.where(F.col("category") == f).select(F.col("raw").alias(f"_{f}_raw"), F.struct("value", "conf", "method", "best", "id").alias(f"_{f}")) for f in C.ATTRIBUTES}
     for f in C.ATTRIBUTES:
-        mine, known = vocabulary.where(F.col("category") == f), synonyms.where(F.col("category") == f)
-        raw = rows.select(F.coalesce(f"raw_{f}", F.lit("")).alias("raw")).distinct()
-        whole = resolve.resolve_vocabulary(raw, mine, known)
-        open_ = whole.where("value is null and method = 'unresolved'").select("raw")
-        several = resolve.resolve_multi(open_, mine, known).select("raw", F.col("value").alias("_v"), F.col("confidence").alias("_c"), F.col("method").alias("_m"), "best")
-        told = whole.join(several, "raw", "left").select(
-            F.col("raw").alias("_raw"), F.coalesce("_v", "value").alias("_value"), F.coalesce("_c", "confidence").alias("_conf"), F.coalesce("_m", "method").alias("_method"), F.col("best").alias(f"_{f}_best"),
-        )
-        out = out.join(told, F.coalesce(F.col(f"raw_{f}"), F.lit("")) == F.col("_raw"), "left").drop("_raw")
-        on = F.col(f"_{f}_forced").isNotNull()
-        out = out.withColumns({f"{f}_name": F.when(on, F.col(f"_{f}_forced")).otherwise(F.col("_value")), f"{f}_confidence": F.when(on, "high").otherwise(F.col("_conf")), f"{f}_method": F.when(on, "override").otherwise(F.col("_method"))})
-        out = with_attribute(out.drop("_value", "_conf", "_method"), lookup, f, F.col(f"{f}_name"), f"_{f}_canon", f"{f}_id").drop(f"_{f}_canon")
-        method, value = F.col(f"{f}_method"), F.col(f"{f}_name")
-        flags.append(F.when(method == "multi_value", flag(f, "multi_value", F.col(f"raw_{f}"), value)))
-        flags.append(F.when(F.col(f"{f}_id").isNull() & ~method.isin("synonym_none", "empty", "override"), flag(f, "attr_unresolved", F.col(f"raw_{f}"), F.col(f"_{f}_best"))))
-    out = add_flags(out, *flags).drop(*(f"_{f}_forced" for f in C.ATTRIBUTES), *(f"_{f}_best" for f in C.ATTRIBUTES))
+        out = out.join(per[f], F.coalesce(F.col(f"raw_{f}"), empty) == F.col(f"_{f}_raw"), "left").drop(f"_{f}_raw")
+        if overrides is not None:
+            out = with_attribute(out, lookup, f, F.col(f"_{f}_forced"), "_fname", f"_{f}_fid").drop("_fname")
+        else:
+            out = out.withColumn(f"_{f}_fid", F.lit(None).cast("string"))
+    new, flags = {}, []
+    for f in C.ATTRIBUTES:
+        on, x = F.col(f"_{f}_forced").isNotNull(), F.col(f"_{f}")
+        new |= {f"{f}_name": F.when(on, F.col(f"_{f}_forced")).otherwise(x["value"]), f"{f}_confidence": F.when(on, "high").otherwise(x["conf"]), f"{f}_method": F.when(on, "override").otherwise(x["method"]), f"{f}_id": F.when(on, F.col(f"_{f}_fid")).otherwise(x["id"])}
+        flags.append(F.when(~on & (x["method"] == "multi_value"), flag(f, "multi_value", F.col(f"raw_{f}"), x["value"])))
+        flags.append(F.when(~on & x["id"].isNull() & ~x["method"].isin("synonym_none", "empty"), flag(f, "attr_unresolved", F.col(f"raw_{f}"), x["best"])))
+    out = out.withColumns(new)
+    out = add_flags(out, *flags).drop(*(f"_{f}" for f in C.ATTRIBUTES), *(f"_{f}_fid" for f in C.ATTRIBUTES), *(f"_{f}_forced" for f in C.ATTRIBUTES))
     blank = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
     word = N.explicit_type_word(F.when(blank("variety_match_key"), F.col("raw_name")).otherwise(F.col("variety_match_key")), type_words)
     out = with_attribute(out, lookup, "type", word, "_wname", "_wid")

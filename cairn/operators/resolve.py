@@ -28,38 +28,40 @@ def handle_collisions(rows: DataFrame, handle: str, surrogate: str, ordinal: lis
     return rows.withColumn("handle_collision", ~F.first(surrogate).over(w).eqNullSafe(F.col(surrogate)))
 
 
-def resolve_vocabulary(values: DataFrame, vocabulary: DataFrame, synonyms: DataFrame, floor: float = C.ATTRIBUTE_FLOOR, near: bool = True) -> DataFrame:
-    """(raw, value, confidence, method) of each distinct raw value: synonym, exact, near, or unresolved.
+def resolve_vocabulary(values: DataFrame, vocabulary: DataFrame, synonyms: DataFrame, floor: float = C.ATTRIBUTE_FLOOR, near: bool = True, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by…, raw, value, confidence, method) of each distinct raw value: synonym, exact, near, or unresolved.
 
-    values (raw); vocabulary (norm, canonical); synonyms (norm, target), target `none` resolves to nothing.
+    values (raw); vocabulary (norm, canonical); synonyms (norm, target), target `none` resolves to nothing; all with the columns
+    of `by` (such as an attribute's name) if several vocabularies are asked at once.
     Only what no equality resolves is compared by likeness, with every word whose length allows the floor.
     """
-    raw = values.select("raw").distinct().withColumn("norm", T.match_key(F.col("raw")))
-    words, known = vocabulary.select("norm", "canonical"), synonyms.select("norm", "target")
-    named = words.select(F.col("norm").alias("_tnorm"), F.col("canonical").alias("_named"))
-    hit = raw.join(known, "norm", "left").join(words, "norm", "left").join(named, T.match_key(F.col("target")) == F.col("_tnorm"), "left").withColumn("target", F.when(F.lower("target") == "none", "none").otherwise(F.coalesce("_named", "target")))
+    at = list(by)
+    raw = values.select(*at, "raw").distinct().withColumn("norm", T.match_key(F.col("raw")))
+    words = vocabulary.select(*at, "norm", "canonical")
+    named = words.select(*at, F.col("norm").alias("_tnorm"), F.col("canonical").alias("_named"))
+    known = synonyms.select(*at, "norm", "target", T.match_key(F.col("target")).alias("_tnorm")).join(named, [*at, "_tnorm"], "left")
+    known = known.select(*at, "norm", F.when(F.lower("target") == "none", "none").otherwise(F.coalesce("_named", "target")).alias("target"))
+    hit = raw.join(known, [*at, "norm"], "left").join(words, [*at, "norm"], "left")
     method = (
-        F.when(F.col("norm") == "", "empty").when(F.lower("target") == "none", "synonym_none").when(F.col("target").isNotNull(), "synonym")
+        F.when(F.col("norm") == "", "empty").when(F.col("target") == "none", "synonym_none").when(F.col("target").isNotNull(), "synonym")
         .when(F.col("canonical").isNotNull(), "exact")
     )
     done = hit.withColumn("method", method)
-    settled = done.where("method is not null").select(
-        "raw", F.when(F.col("method") == "synonym", F.col("target")).when(F.col("method") == "exact", F.col("canonical")).alias("value"),
-        F.when(F.col("method") == "empty", "none").otherwise("high").alias("confidence"), "method",
-    )
-    residue = done.where("method is null").select("raw", "norm")
+    value = F.when(F.col("method") == "synonym", F.col("target")).when(F.col("method") == "exact", F.col("canonical"))
     if not near:
-        return settled.unionByName(residue.select("raw", F.lit(None).cast("string").alias("value"), F.lit("none").alias("confidence"), F.lit("unresolved").alias("method")))
-    right = vocabulary.select(F.col("norm").alias("norm2"), "canonical")
-    pairs = residue.join(right, _long_enough(F.col("norm"), F.col("norm2"), floor))
-    scored = pairs.withColumn("score", K.fuzzy_score("norm", "norm2"))
-    best = scored.groupBy("raw").agg(F.max(F.struct("score", F.col("canonical"))).alias("b"))
-    out = residue.join(best, "raw", "left").select(
-        "raw", F.when(F.col("b.score") >= floor, F.col("b.canonical")).alias("value"),
-        F.when(F.col("b.score") >= floor, "medium").otherwise("none").alias("confidence"),
-        F.when(F.col("b.score") >= floor, "fuzzy").otherwise("unresolved").alias("method"),
-    )
-    return settled.unionByName(out)
+        sure = F.when(F.col("method").isNull() | (F.col("method") == "empty"), "none").otherwise("high")
+        return done.select(*at, "raw", value.alias("value"), sure.alias("confidence"), F.coalesce("method", F.lit("unresolved")).alias("method"))
+    residue = done.where("method is null").select(*at, "raw", "norm")
+    right = vocabulary.select(*(F.col(c).alias(f"_{c}") for c in at), F.col("norm").alias("norm2"), "canonical")
+    fits = _long_enough(F.col("norm"), F.col("norm2"), floor)
+    for c in at:
+        fits = fits & (F.col(c) == F.col(f"_{c}"))
+    scored = residue.join(right, fits).withColumn("score", K.fuzzy_score("norm", "norm2"))
+    best = scored.groupBy(*at, "raw").agg(F.max(F.struct("score", "canonical")).alias("b")).where(F.col("b.score") >= floor)
+    out = done.join(best, [*at, "raw"], "left")
+    close = F.col("method").isNull() & F.col("b").isNotNull()
+    sure = F.when(close, "medium").when(F.col("method").isNull() | (F.col("method") == "empty"), "none").otherwise("high")
+    return out.select(*at, "raw", F.when(close, F.col("b.canonical")).otherwise(value).alias("value"), sure.alias("confidence"), F.when(close, "fuzzy").otherwise(F.coalesce("method", F.lit("unresolved"))).alias("method"))
 
 
 # Words around joined values that say nothing.
@@ -74,30 +76,32 @@ def multi_parts(raw: Column) -> Column:
     return F.struct(bare.rlike(f"(?i){_COMBINED}").alias("combine"), F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "").alias("parts"))
 
 
-def resolve_multi(values: DataFrame, vocabulary: DataFrame, synonyms: DataFrame, floor: float = C.ATTRIBUTE_FLOOR, near: bool = True) -> DataFrame:
-    """(raw, value, confidence, method, best) of values that name several.
+def resolve_multi(values: DataFrame, vocabulary: DataFrame, synonyms: DataFrame, floor: float = C.ATTRIBUTE_FLOOR, near: bool = True, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by…, raw, value, confidence, method, best) of values that name several.
 
     A combination is the vocabulary's "A and B", in either order, or a suggestion of it where the
     vocabulary has such values; otherwise the first part that resolves counts.
     """
-    parsed = values.select("raw").distinct().withColumn("m", multi_parts(F.col("raw")))
-    each = parsed.where(F.size("m.parts") > 1).select("raw", "m.combine", F.posexplode("m.parts").alias("i", "part"))
-    told = resolve_vocabulary(each.select(F.col("part").alias("raw")), vocabulary, synonyms, floor, near).select(F.col("raw").alias("part"), "value")
-    found = each.join(told, "part").groupBy("raw", "combine").agg(F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("i", "value")))).alias("p"))
+    at = list(by)
+    parsed = values.select(*at, "raw").distinct().withColumn("m", multi_parts(F.col("raw")))
+    each = parsed.where(F.size("m.parts") > 1).select(*at, "raw", "m.combine", F.posexplode("m.parts").alias("i", "part"))
+    told = resolve_vocabulary(each.select(*at, F.col("part").alias("raw")), vocabulary, synonyms, floor, near, by).select(*at, F.col("raw").alias("part"), "value")
+    found = each.join(told, [*at, "part"]).groupBy(*at, "raw", "combine").agg(F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("i", "value")))).alias("p"))
     named = found.withColumn("names", F.array_distinct(F.transform("p", lambda x: x["value"])))
-    composes = not vocabulary.where(F.contains(F.lower("canonical"), F.lit(" and "))).isEmpty()
+    composing = [tuple(r) for r in vocabulary.where(F.contains(F.lower("canonical"), F.lit(" and "))).select(F.lit(1), *at).distinct().limit(1_000).collect()]  # vocabularies, not words
+    composes = F.lit(bool(composing)) if not at else F.struct(F.lit(1), *at).isin(*(F.struct(*map(F.lit, r)) for r in composing)) if composing else F.lit(False)
     a, b = F.get("names", F.lit(0)), F.get("names", F.lit(1))
-    both = named.withColumns({"ab": F.concat_ws(" and ", a, b), "ba": F.concat_ws(" and ", b, a)})
-    known = lambda c, to: vocabulary.select(F.col("norm").alias(f"_{c}"), F.col("canonical").alias(to))
-    both = both.join(known("ab", "one"), T.match_key(F.col("ab")) == F.col("_ab"), "left").join(known("ba", "two"), T.match_key(F.col("ba")) == F.col("_ba"), "left")
-    joined = (F.size("names") > 1) & F.lit(composes) & F.col("combine")
+    both = named.withColumns({"ab": F.concat_ws(" and ", a, b), "ba": F.concat_ws(" and ", b, a), "composes": composes})
+    for c, to in (("ab", "one"), ("ba", "two")):
+        both = both.withColumn("_k", T.match_key(F.col(c))).join(vocabulary.select(*at, F.col("norm").alias("_k"), F.col("canonical").alias(to)), [*at, "_k"], "left").drop("_k")
+    joined = (F.size("names") > 1) & F.col("composes") & F.col("combine")
     method = F.when(F.size("names") == 0, "unresolved").when(joined & F.coalesce("one", "two").isNotNull(), "compound").when(joined, "compound_suggest").otherwise("multi_value")
     both = both.withColumn("method", method)
     value = F.when(F.col("method") == "compound", F.coalesce("one", "two")).when(F.col("method") == "multi_value", a)
     sure = F.when(F.col("method") == "compound", "medium").when(F.col("method") == "unresolved", "none").otherwise("low")
-    out = both.select("raw", value.alias("value"), sure.alias("confidence"), "method", F.when(F.col("method") == "compound_suggest", F.col("ab")).alias("best"))
+    out = both.select(*at, "raw", value.alias("value"), sure.alias("confidence"), "method", F.when(F.col("method") == "compound_suggest", F.col("ab")).alias("best"))
     none = F.lit(None).cast("string")
-    return out.unionByName(parsed.where(F.size("m.parts") < 2).select("raw", none.alias("value"), F.lit("none").alias("confidence"), F.lit("unresolved").alias("method"), none.alias("best")))
+    return out.unionByName(parsed.where(F.size("m.parts") < 2).select(*at, "raw", none.alias("value"), F.lit("none").alias("confidence"), F.lit("unresolved").alias("method"), none.alias("best")))
 
 
 # Spellings of one colour.
