@@ -366,3 +366,50 @@ def test_op4_loss_follows_the_mask(spark, sf_tiny, monkeypatch):
     monkeypatch.setattr(chat, "read_back", lambda f: read(f).withColumn("loss_mask", chat.F.expr(shorter)))
     wrong = {r["conv_id"]: r["loss_chars"] for r in rows(chat.op4_chat(spark, sf_tiny))}
     assert right[-7] == 26 and wrong[-7] == 25 and right != wrong
+
+
+def test_op6_difference_is_the_log_density_difference():
+    """Against densities computed with full covariances, their inverses and determinants."""
+    from cairn.llm import quality
+
+    r = np.random.default_rng(9)
+    x = np.concatenate((r.normal(size=(300, 4)) @ r.normal(size=(4, 4)), 1.5 + 2 * r.normal(size=(200, 4))))
+    y = np.repeat([0, 1], [300, 200])
+    model = quality.Discriminant.fit(x, y.astype(float))
+    z = (x - x.mean(axis=0)) / np.maximum(x.std(axis=0), 1e-3)
+    side = []
+    for k in (0, 1):
+        own = z[y == k]
+        cov = np.cov(own.T)
+        weight = max(quality.SHRINK, min(1.0, 4 / len(own)))
+        cov = (1 - weight) * cov + weight * np.diag(np.diag(cov)) + quality.RIDGE * np.eye(4)
+        off = z - own.mean(axis=0)
+        side.append(np.log(len(own) / len(z)) - 0.5 * np.log(np.linalg.det(cov)) - 0.5 * np.einsum("ij,jk,ik->i", off, np.linalg.inv(cov), off))
+    want = side[1] - side[0]
+    got = model.difference(x)
+    assert np.allclose(np.sign(got) * np.expm1(np.abs(got)), want, rtol=1e-6, atol=1e-8)
+
+
+def test_op3_isotonic_is_the_best_monotone_fit():
+    """Pooled levels against the max-min formula of monotone regression, with tied scores."""
+    r = np.random.default_rng(3)
+    raw = np.sort(r.normal(size=60))
+    y = (r.random(60) < 1 / (1 + np.exp(-2 * raw))).astype(float)
+    at, level = toxicity.isotonic(raw, y)
+    best = [max(min(y[a : b + 1].mean() for b in range(i, 60)) for a in range(i + 1)) for i in range(60)]
+    blocks = np.unique(np.round(best, 9))
+    assert np.allclose(np.unique(np.round(level, 9)), blocks) and len(at) == len(level)
+
+
+def test_op3_split_is_the_best_of_all():
+    r = np.random.default_rng(6)
+    b = r.integers(0, 6, size=(80, 3))
+    grad, hess = r.normal(size=80), r.uniform(0.1, 0.25, size=80)
+    rows_ = np.arange(80)
+    gain = {}
+    for f in range(3):
+        for cut in range(1, 6):
+            left = b[:, f] < cut
+            if min(left.sum(), (~left).sum()) >= toxicity.LEAF:
+                gain[f, cut] = sum(grad[m].sum() ** 2 / (hess[m].sum() + 1) for m in (left, ~left)) - grad.sum() ** 2 / (hess.sum() + 1)
+    assert toxicity.Trees._split(b, grad, hess, rows_) == max(gain, key=gain.get)
