@@ -140,7 +140,7 @@ def _unescaped(c: Column) -> Column:
         rest = F.substring(part, F.char_length(name) + 2, F.char_length(part))
         number = F.when(name.rlike(r"^#\d+$"), F.substring(name, F.lit(2), F.char_length(name)).try_cast("int"))
         number = number.when(name.rlike(r"^#[xX][0-9a-fA-F]+$"), F.conv(F.substring(name, F.lit(3), F.char_length(name)), 16, 10).try_cast("int"))
-        letter = F.when(number.between(1, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32BE"))
+        letter = F.when(number.between(1, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
         return F.coalesce(F.concat(letter, rest), F.concat(F.try_element_at(table, name), rest), F.when(name == "amp", F.concat(F.lit("&"), rest)), F.concat(F.lit("&"), part))
 
     return F.array_join(F.transform(parts, lambda x, i: F.when(i == 0, x).otherwise(resolved(x))), "")
