@@ -157,13 +157,18 @@ def first_bad_dimension() -> Column:
 
 
 #: The row rules in order: name and the condition that rejects.
-def row_rules(require_images: bool = True) -> list[tuple[str, Column]]:
+def row_rules(require_images: bool = True, detailed: bool = False) -> list[tuple[str, Column]]:
+    """detailed: rows say which dimensions couldn't be fetched (unavailable) and whether one is a default, and have all three."""
     blank = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == ""
     rules = [(f"{k}_missing", blank(f"{k}_id")) for k in ("type", "color", "finish", "quality", "variation")]
     rules += [("tree_gap", F.coalesce(F.col("tree_gap"), F.lit(False))), ("category_invalid", blank("category_id")), ("handle_missing", blank("handle")), ("owner_missing", blank("owner")), ("origin_missing", blank("origin"))]
     if require_images:
         rules.append(("no_image", (F.coalesce(F.col("images"), F.lit(0)) == 0) & ~F.coalesce(F.col("image_terminal"), F.lit(False))))
-    rules += [("dimension_unavailable", F.coalesce(F.size("unavailable"), F.lit(0)) > 0), ("dimension_defaulted", F.coalesce(F.col("dimension_defaulted"), F.lit(False))), ("dimension_invalid", first_bad_dimension().isNotNull()), ("stock_undetermined", F.col("inventory").isNull())]
+    if detailed:
+        rules += [("dimension_unavailable", F.coalesce(F.size("unavailable"), F.lit(0)) > 0), ("dimension_defaulted", F.coalesce(F.col("dimension_defaulted"), F.lit(False))), ("dimension_invalid", first_bad_dimension().isNotNull())]
+    else:
+        rules += [("dimension_unavailable", F.coalesce(F.col("dimension_unavailable"), F.lit(False))), ("dimension_invalid", F.coalesce(F.col("length") <= 0, F.lit(False)))]
+    rules += [("stock_undetermined", F.col("inventory").isNull())]
     return rules
 
 

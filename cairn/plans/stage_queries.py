@@ -187,7 +187,7 @@ def row_rules(spark, sf):
         F.lit("h").alias("handle"), F.lit("o").alias("owner"), ok(k.isin(3, 4)).alias("origin"), F.when(k == 5, 0).otherwise(1).alias("images"), F.lit(False).alias("image_terminal"), F.when(k == 7, F.array(F.lit("length"))).alias("unavailable"),
         (k == 8).alias("dimension_defaulted"), F.when(k != 7, 1.0).alias("length"), F.when(k.isin(4, 9), -1.0).otherwise(1.0).alias("width"), F.when(k == 9, 0.0).otherwise(1.0).alias("height"), F.when(k != 6, 1).alias("inventory"),
     ).withColumn("review_flags", F.array().cast("array<string>"))
-    return derive.validate(p, derive.row_rules()).select("p_partkey", F.array_join("reject_reasons", ",").alias("reasons"), derive.first_bad_dimension().alias("bad_dimension"))
+    return derive.validate(p, derive.row_rules(detailed=True)).select("p_partkey", F.array_join("reject_reasons", ",").alias("reasons"), derive.first_bad_dimension().alias("bad_dimension"))
 
 
 # ---- curation and catalog -------------------------------------------------------------------------------------------
