@@ -26,3 +26,4 @@ INVENTORY_CAP = 1_000_000
 STATUS_RANK = {"OK": 0, "DEGRADED": 1, "FAILED": 2}
 CONFIDENCE = {"none": 0, "low": 1, "medium": 2, "high": 3}
 FRAMEWORK_COLUMNS = ("format", "image_count", "image_urls", "image_filenames_local", "scrape_timestamp", "raw_json", "fetch_failed")
+SWAP_LEAST, SWAP_LEAD = 5, 0.4

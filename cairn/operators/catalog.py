@@ -92,13 +92,35 @@ def code_prefixes(names: DataFrame, name: str) -> DataFrame:
     return parts.where(T.looks_codey(F.col("head"))).groupBy("head").agg(F.count_distinct("rest").alias("rests")).where("rests >= 2")
 
 
-def vocabulary_swap(rows: DataFrame, columns: list[str], vocabulary: DataFrame) -> DataFrame:
-    """(column, category, rate): share of each column's values that each category's vocabulary knows."""
+def _vocabulary_hits(rows: DataFrame, columns: list[str], vocabulary: DataFrame) -> DataFrame:
+    """(column, category, hit, total): how many of a column's filled values a category's vocabulary knows; pairs without a hit are absent."""
     long = rows.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), T.match_key(F.col(c)).alias("norm")) for c in columns))).alias("x")).select("x.*").where("norm <> ''")
     counts = long.groupBy("column", "norm").agg(F.count("*").alias("n"))
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
-    known = counts.join(vocabulary.select("category", "norm").distinct(), "norm").groupBy("column", "category").agg(F.sum("n").alias("hit"))
-    return known.join(totals, "column").select("column", "category", F.round(F.col("hit") / F.col("total"), 4).alias("rate"))
+    return counts.join(vocabulary.select("category", "norm").distinct(), "norm").groupBy("column", "category").agg(F.sum("n").alias("hit")).join(totals, "column")
+
+
+def vocabulary_swap(rows: DataFrame, columns: list[str], vocabulary: DataFrame) -> DataFrame:
+    """(column, category, rate): share of each column's values that each category's vocabulary knows."""
+    return _vocabulary_hits(rows, columns, vocabulary).select("column", "category", F.round(F.col("hit") / F.col("total"), 4).alias("rate"))
+
+
+def likely_swaps(rows: DataFrame, columns: dict[str, str], vocabulary: DataFrame) -> DataFrame:
+    """(column, own, other): columns (by their own category) whose values another vocabulary clearly knows better.
+
+    Needs SWAP_LEAST filled values, under half known by the own vocabulary, at least half by the other and a lead of
+    SWAP_LEAD, so values that no vocabulary knows never count.  Of equal vocabularies the smallest name is reported.
+    """
+    own = F.create_map(*(F.lit(x) for pair in columns.items() for x in pair))[F.col("column")]
+    hits = _vocabulary_hits(rows, list(columns), vocabulary).withColumn("own", own)
+    named = hits.withColumn("mine", F.col("category") == F.col("own"))
+    rates = named.groupBy("column", "own", "total").agg(
+        F.coalesce(F.max(F.when(F.col("mine"), F.col("hit"))), F.lit(0)).alias("own_hit"),
+        F.min(F.when(~F.col("mine"), F.struct((-F.col("hit")).alias("worst"), F.col("category").alias("other")))).alias("best"),
+    )
+    here, there = F.col("own_hit") / F.col("total"), -F.col("best.worst") / F.col("total")
+    fits = (F.col("total") >= C.SWAP_LEAST) & (here < 0.5) & (there >= 0.5) & (there - here >= C.SWAP_LEAD)
+    return rates.where(fits).select("column", "own", F.col("best.other").alias("other"))
 
 
 def color_fill(rows: DataFrame, identity: list[str], color: str = "color") -> DataFrame:

@@ -10,6 +10,9 @@ from ..functions import text as T
 
 #: Fields that a variety decision keeps, by action.
 DECISION_FIELDS = {"mint": ("color", "type", "country"), "alias": ("target", "target_type"), "reject": ()}
+#: What a leaf can be, the verdicts, and what tells a leaf.
+LEAF_ATTRIBUTES, LEAF_ACTIONS = ("color", "finish", "quality"), ("approve", "reject")
+LEAF_KEY = ["name_norm", "type_norm", "attribute", "value_norm"]
 
 
 def decide(decisions: DataFrame, changes: DataFrame) -> DataFrame:
@@ -37,6 +40,43 @@ def pending_with_action(pending: DataFrame, decisions: DataFrame) -> DataFrame:
     return pending.join(decisions.select(F.col("key").alias("ref"), "action"), "ref", "left")
 
 
+def leaf_changes(rows: DataFrame) -> DataFrame:
+    """Leaf rows (name, type, attribute, value, action) with their key columns and `error`: attribute, action or empty, null for a sound row."""
+    low = lambda c: F.lower(F.trim(F.coalesce(F.col(c), F.lit(""))))
+    key = lambda c: T.match_key(F.coalesce(F.col(c), F.lit("")))
+    blank = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
+    out = rows.withColumns({"attribute": low("attribute"), "action": low("action"), "name_norm": key("name"), "type_norm": key("type"), "value_norm": key("value")})
+    wrong = F.when(~F.col("attribute").isin(*LEAF_ATTRIBUTES), "attribute").when(~F.col("action").isin(*LEAF_ACTIONS), "action").when(blank("name") | blank("value"), "empty")
+    return out.withColumn("error", wrong)
+
+
+def decide_leaves(decisions: DataFrame, changes: DataFrame, at: str) -> DataFrame:
+    """Decisions (LEAF_KEY, value, action, at) with the sound changes; the last change of a key by `at` replaces what stood there."""
+    last = leaf_changes(changes).where("error IS NULL").groupBy(*LEAF_KEY).agg(F.max_by(F.struct(F.trim("value").alias("value"), "action", at), F.struct(at, "action", "value")).alias("x"))
+    new = last.select(*LEAF_KEY, "x.*")
+    return decisions.join(new, LEAF_KEY, "left_anti").unionByName(new)
+
+
+def undecided_leaves(pending: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Suggestions that nobody has approved or rejected; decided ones leave the queue."""
+    keyed = leaf_changes(pending.withColumn("action", F.lit("approve"))).drop("action", "error")
+    return keyed.join(decisions, LEAF_KEY, "left_anti")
+
+
+def approve_leaves(decisions: DataFrame, pending: DataFrame, at: str, verdict: str | None = None) -> DataFrame:
+    """Approves the suggestions that are still undecided, on request only those of one verdict; a decision is never flipped."""
+    open_ = undecided_leaves(pending, decisions).where(F.lit(True) if verdict is None else F.col("verdict") == verdict)
+    return decide_leaves(decisions, open_.drop("name_norm", "type_norm", "value_norm").withColumn("action", F.lit("approve")), at)
+
+
+def revise_leaves(decisions: DataFrame, revisions: DataFrame, at: str) -> DataFrame:
+    """Recorded decisions changed by revisions (LEAF_KEY, action, at): approve or reject flips, clear forgets; unknown keys and actions change nothing."""
+    sound = revisions.where(F.col("action").isin(*LEAF_ACTIONS, "clear"))
+    last = sound.groupBy(*LEAF_KEY).agg(F.max_by(F.struct("action", at), F.struct(at, "action")).alias("_new"))
+    joined = decisions.join(last, LEAF_KEY, "left").where(~F.col("_new.action").eqNullSafe("clear"))
+    return joined.withColumns({c: F.coalesce(F.col(f"_new.{c}"), F.col(c)) for c in ("action", at)}).select(*decisions.columns)
+
+
 def leaf_overlay(leaves: DataFrame) -> DataFrame:
     """(name_norm, type_norm, attribute, values) of approved leaves."""
     ok = leaves.where("action = 'approve'")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import names as M
 from ..functions import numbers as N
 from ..functions import text as T
-from ..operators import contracts, curation, derive, health, ledger, normalise, resolve
+from ..operators import catalog, contracts, control, curation, derive, health, ledger, normalise, resolve
 from ..sources import sinks
 from .catalog_queries import query, t
 
@@ -455,3 +455,30 @@ def retire_cascade(spark, sf):
 def ledger_bootstrap(spark, sf):
     state = t(spark, sf, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("k"), F.lit("kept").alias("state"))
     return ledger.bootstrap(state, t(spark, sf, "orders").select(F.col("o_custkey").alias("k")).distinct().withColumn("state", F.lit("seed")), "k")
+
+
+@query("""
+WITH v AS (SELECT 'color' AS category, unnest(['red', 'blue', 'small', 'large']) AS norm UNION ALL SELECT 'type', unnest(['standard', 'promo', 'economy', 'large', 'small', 'medium'])),
+l AS (SELECT 'first' AS "column", 'type' AS own, string_split(p_name, ' ')[1] AS norm FROM part UNION ALL SELECT 'p_type', 'color', lower(p_type) FROM part),
+h AS (SELECT l."column", l.own, category, count(*) AS hit FROM l JOIN v USING (norm) GROUP BY 1, 2, 3), n AS (SELECT "column", count(*) AS total FROM l GROUP BY 1),
+r AS (SELECT h."column", h.own, any_value(total) AS total, coalesce(max(CASE WHEN category = own THEN hit END), 0) AS mine, max(CASE WHEN category <> own THEN hit END) AS best, arg_max(category, CASE WHEN category <> own THEN hit END) AS other FROM h JOIN n ON n."column" = h."column" GROUP BY 1, 2)
+SELECT "column", own, other FROM r WHERE total >= 5 AND mine / total < 0.5 AND best / total >= 0.5 AND (best - mine) / total >= 0.4
+""")
+def likely_swaps(spark, sf):
+    p = t(spark, sf, "part").select(F.get(F.split("p_name", " "), F.lit(0)).alias("first"), "p_type")
+    v = spark.createDataFrame([("color", w) for w in ("red", "blue", "small", "large")] + [("type", w) for w in ("standard", "promo", "economy", "large", "small", "medium")], "category string, norm string")
+    return catalog.likely_swaps(p, {"first": "type", "p_type": "color"}, v)
+
+
+@query("""
+WITH d AS (SELECT p_name AS n, lower(p_type) AS t, arg_max(CASE WHEN p_size % 3 = 0 THEN 'approve' ELSE 'reject' END, p_partkey) AS a FROM part GROUP BY 1, 2),
+r AS (SELECT p_name AS n, lower(p_type) AS t, arg_max(CASE WHEN p_size > 47 THEN 'clear' ELSE 'approve' END, p_partkey) AS a FROM part WHERE p_size > 40 GROUP BY 1, 2)
+SELECT n AS name_norm, t AS type_norm, string_split(n, ' ')[1] AS value_norm, coalesce(r.a, d.a) AS action FROM d LEFT JOIN r USING (n, t) WHERE coalesce(r.a, '') <> 'clear'
+""")
+def leaf_decisions(spark, sf):
+    p = t(spark, sf, "part").select(F.col("p_name").alias("name"), F.col("p_type").alias("type"), F.lit("color").alias("attribute"), F.get(F.split("p_name", " "), F.lit(0)).alias("value"), "p_size", F.col("p_partkey").alias("at"))
+    none = spark.createDataFrame([], "name_norm string, type_norm string, attribute string, value_norm string, value string, action string, at long")
+    decided = control.decide_leaves(none, p.withColumn("action", F.when(F.col("p_size") % 3 == 0, "approve").otherwise("reject")), "at")
+    keyed = control.leaf_changes(p.where("p_size > 40").withColumn("action", F.lit("approve")))
+    revised = keyed.select(*control.LEAF_KEY, F.when(F.col("p_size") > 47, "clear").otherwise("approve").alias("action"), "at")
+    return control.revise_leaves(decided, revised, "at").select("name_norm", "type_norm", "value_norm", "action")

@@ -68,3 +68,18 @@ def test_sources(spark):
     assert sorted(r["source"] for r in control.seed_sources(names("a"), names("a", "b", "c"), names("c")).collect()) == ["a", "b"]
     ids = spark.range(50).select(F.col("id").cast("string"))
     assert control.backend_fingerprint(ids).first() == control.backend_fingerprint(ids.orderBy(F.desc("id"))).first()
+
+
+def test_leaf_decisions(spark):
+    frame = lambda rows, schema="name string, type string, attribute string, value string, action string, at long": spark.createDataFrame(rows, schema)
+    none = spark.createDataFrame([], "name_norm string, type_norm string, attribute string, value_norm string, value string, action string, at long")
+    changes = frame([("Azul  Bahia", "Granite", "Color", " Teal", "approve", 1), ("azul bahia", "granite", "color", "teal", "reject", 2), ("A", "b", "size", "x", "approve", 3), ("A", "b", "color", "x", "maybe", 4), ("A", "b", "color", None, "reject", 5)])
+    assert [r["error"] for r in control.leaf_changes(changes).orderBy("at").collect()] == [None, None, "attribute", "action", "empty"]
+    held = control.decide_leaves(none, changes, "at")
+    assert [(r["value"], r["action"], r["at"]) for r in held.collect()] == [("teal", "reject", 2)]
+    pending = spark.createDataFrame([("Azul Bahia", "granite", "color", "Teal", "likely_real", 7), ("Azul Bahia", "granite", "color", "Navy", "likely_real", 7), ("Azul Bahia", "granite", "finish", "Honed", "doubtful", 7)], "name string, type string, attribute string, value string, verdict string, at long")
+    assert {r["value"] for r in control.undecided_leaves(pending, held).collect()} == {"Navy", "Honed"}
+    more = control.approve_leaves(held, pending, "at", "likely_real")
+    assert {(r["value"], r["action"]) for r in more.collect()} == {("teal", "reject"), ("Navy", "approve")}
+    revisions = more.select(*control.LEAF_KEY, F.when(F.col("value") == "Navy", "clear").otherwise("approve").alias("action"), F.lit(9).cast("long").alias("at"))
+    assert [(r["value"], r["action"], r["at"]) for r in control.revise_leaves(more, revisions, "at").collect()] == [("teal", "approve", 9)]
