@@ -119,3 +119,36 @@ def per_piece_weight(net: Column, count: Column) -> Column:
     """A bundle's net weight over its slabs; blank where either is missing."""
     each = F.try_divide(N.parse_number(net), N.parse_number(count))
     return F.coalesce(F.when(each > 0, F.round(each, 3).cast("string")), F.lit(""))
+
+
+# ---- fields of slab back ends ---------------------------------------------------------------------------------------
+
+
+def thickness_format(thickness: Column) -> Column:
+    """block for the sentinel of several thicknesses, slab for any other, empty where there is none: the name is never asked."""
+    t = F.upper(F.trim(F.coalesce(thickness, F.lit(""))))
+    return F.when(t == "", "").when(t == "MULTI", "block").otherwise("slab")
+
+
+def shown_price(price: Column) -> Column:
+    """The price, or empty where a link or an invitation to log in stands instead."""
+    p = F.coalesce(price, F.lit(""))
+    return F.when(p.rlike(r"(?i)<\s*a\s") | p.rlike(r"(?i)login\s*for\s*price"), "").otherwise(p)
+
+
+def badge(html: Column) -> Column:
+    """recommended or new by the class of a badge that is displayed, else empty."""
+    classes = F.lower(F.regexp_extract(html, r"(?i)class='([^']+)'", 1))
+    shown = F.contains(F.lower(html), F.lit("display: block"))
+    return F.when(shown & F.contains(classes, F.lit("recommended-product")), "recommended").when(shown & F.contains(classes, F.lit("new-product")), "new").otherwise("")
+
+
+def joined(items: Column, field_: str) -> Column:
+    """One field of all pieces, joined by bars; a missing one leaves its place empty."""
+    return F.array_join(F.transform(F.coalesce(items, F.array()), lambda x: F.coalesce(x[field_].cast("string"), F.lit(""))), " | ")
+
+
+def photo_urls(paths: Column, base: str) -> Column:
+    """Absolute addresses of photo paths; empty ones drop out."""
+    some = F.filter(F.coalesce(paths, F.array().cast("array<string>")), lambda p: p.isNotNull() & (p != ""))
+    return F.transform(some, lambda p: F.when(p.startswith("http"), p).when(p.startswith("/"), F.concat(F.lit(base), p)).otherwise(F.concat(F.lit(base + "/"), p)))
