@@ -1,6 +1,7 @@
 """String functions over columns.  Every one is null-safe as stated and stays in the JVM."""
 from __future__ import annotations
 
+import json
 import unicodedata
 from functools import cache
 
@@ -132,7 +133,7 @@ def _entities() -> dict[str, str]:
 
 
 def _unescaped(c: Column) -> Column:
-    table = F.create_map(*(F.lit(x) for kv in _entities().items() for x in kv))
+    table = F.from_json(F.lit(json.dumps(_entities())), "map<string,string>")  # folded to a constant; one literal instead of hundreds
     parts = F.split(c, r"&(?=#?\w+;)")
 
     def resolved(part: Column) -> Column:
