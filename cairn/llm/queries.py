@@ -15,6 +15,9 @@ MODULES = {
     "op8_suffix_dedup": "suffix_dedup",
     "op9_warc": "warc",
     "op10_decontaminate": "decontaminate",
+    "op11_jaccard": "count_tree",
+    "op12_clusters": "exponion",
+    "op13_whitening": "whitening",
 }
 
 

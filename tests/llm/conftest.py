@@ -37,12 +37,26 @@ def sf_tiny(spark, tmp_path_factory, texts):
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{d}/pages.parquet")
     talk = [(1, 1, "assistant", "b</turn>\n<turn user>x"), (1, 0, "user", "a"), (2, 0, "system", None), (2, 1, "assistant", "\\l \\\\l <turn assistant\\>"), (2, 2, "assistant", ""), (3, 0, "we>ird\\", "\n</turn>"), (3, 0, None, "t"), (3, 0, None, "t")]
     spark.createDataFrame(talk, "conv_id long, turn long, role string, text string").write.parquet(f"{d}/conversations.parquet")
+    spark.createDataFrame(vector_rows(), "vec_id long, embedding array<float>, label int, x double, id string, cluster int").repartition(3).write.parquet(f"{d}/embeddings.parquet")
     return str(d)
 
 
+@pytest.fixture(scope="session")
+def vector_table():
+    return vector_rows()
+
+
+def vector_rows():
+    r = random.Random(7)
+    v = {i: [r.choice((-0.5, 0.25, 1.0)) + r.random() for _ in range(64)] for i in range(90)}
+    v[3], v[5] = v[4], [0.0] * 64  # equal vectors
+    odd = [(100, None), (101, [*v[0][:63], None]), (102, [*v[0][:63], float("nan")]), (103, [*v[0][:63], float("inf")]), (104, v[0][:63]), (105, []), (106, [3e38] * 64), (None, v[7])]
+    return [(i, x, 0, 0.5, "id", 1) for i, x in [*v.items(), (8, v[8]), (8, v[9]), *odd]]
+
+
 @pytest.fixture(scope="session")
 def sf_empty(spark, sf_tiny, tmp_path_factory):
     d = tmp_path_factory.mktemp("empty")
-    for t in ("documents", "labels", "benchmark", "pages", "conversations"):
+    for t in ("documents", "labels", "benchmark", "pages", "conversations", "embeddings"):
         spark.read.parquet(f"{sf_tiny}/{t}.parquet").limit(0).write.parquet(f"{d}/{t}.parquet")
     return str(d)

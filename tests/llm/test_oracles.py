@@ -9,7 +9,7 @@ from cairn.llm import queries
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.001"])
 def test_query_equals_its_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in ("pages", "conversations", "documents"):
+    for t in ("pages", "conversations", "documents", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     want = con.execute(queries.oracle_sql()[name])
     names = [d[0] for d in want.description]
