@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import names as N
 from ..functions import text as T
-from . import catalog, contracts, curation, ledger
+from . import acks, catalog, contracts, curation, ledger
 
 #: Run modes, the tables of sync requests with their keys, and the state in which each is a dead letter.
 MODES = ("review", "auto")
@@ -185,10 +185,19 @@ def latest_diagnostics(runs: DataFrame, admission: DataFrame) -> DataFrame:
 # ---- sync requests --------------------------------------------------------------------------------------------------
 
 
+def _ack_rows(spark, body: list) -> DataFrame:
+    """A request's list of acknowledgements as rows, numbered in their order; what isn't an object is malformed."""
+    columns = {"type": str, "external_id": str, "status": str, "remote_id": str, "payload_hash": str, "quantity": int, "reason": str}
+    cell = lambda x, c, kind: x[c] if isinstance(x, dict) and isinstance(x.get(c), kind) else None
+    rows = [(n, *(cell(x, c, kind) for c, kind in columns.items())) for n, x in enumerate(body)]
+    return spark.createDataFrame(rows, "ordinal long, " + ", ".join(f"{c} {'long' if kind is int else 'string'}" for c, kind in columns.items()))
+
+
 def sync_request(tables: dict[str, DataFrame], method: str, resource: str, limit: str = "", body=None, now: Column | None = None) -> tuple[int, DataFrame | dict, dict[str, DataFrame]]:
     """(code, answer, changed tables) of one request to the ledger's tables: variations, products, inventory, removed.  Pure: the caller writes the changes.
 
-    body is a frame of acks (type, external_id, and the columns of `ledger.apply_acks`), the type to requeue (none: both), or (type, external_id) to abandon.
+    body is a frame of acks (ordinal, type, external_id, and the columns of `acks.apply_batch`) or a list of them in their order, the type to requeue
+    (none: both), or (type, external_id) to abandon.  An ack answers how many were applied, missed and skipped.
     """
     now = F.current_timestamp() if now is None else now
     size = int(limit) if limit.isdigit() and 0 < int(limit) <= C.PAGE_MOST else C.PAGE
@@ -207,12 +216,10 @@ def sync_request(tables: dict[str, DataFrame], method: str, resource: str, limit
     if method == "GET" and resource == "removed":
         return 200, ledger.removed_page(tables["removed"], size), {}
     if method == "POST" and resource == "ack":
-        if not isinstance(body, DataFrame):
-            return 400, {"error": "acks are rows"}, {}
-        of = lambda kind, key: body.where(F.col("type") == kind).withColumnRenamed("external_id", key)
-        v = ledger.apply_acks(tables["variations"], of("variation", "variation_key"), "variation_key", now)
-        p = ledger.apply_acks(tables["products"], of("product", "sku"), "sku", now, v.where("state = 'synced'"))
-        return 200, {}, {"variations": v, "products": p}
+        if not isinstance(body, (DataFrame, list)):
+            return 400, {"error": "acks are rows or a list"}, {}
+        changed, outcome = acks.apply_batch(tables, body if isinstance(body, DataFrame) else _ack_rows(tables["variations"].sparkSession, body), now)
+        return 200, acks.counts(outcome), changed
     if method == "POST" and resource == "requeue":
         kinds = both if body is None else (body,)
         if not set(kinds) <= set(both):

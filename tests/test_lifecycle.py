@@ -42,11 +42,11 @@ def test_pages_lease_what_they_give(spark):
 
 
 def test_acks_of_varieties_free_their_products(spark):
-    acks = spark.createDataFrame([("variation", "b", "synced", "r1", "h", None), ("product", "p2", "synced", "r2", "h", None), ("product", "p1", "failed", None, None, "no price")], "type string, external_id string, status string, remote_id string, payload_hash string, reason string")
+    acks = spark.createDataFrame([(1, "variation", "b", "synced", "r1", "h", None), (2, "product", "p2", "synced", "r2", "h", None), (3, "product", "p1", "failed", None, None, "no price")], "ordinal long, type string, external_id string, status string, remote_id string, payload_hash string, reason string")
     code, _, changed = lifecycle.sync_request(tables(spark), "POST", "ack", body=acks, now=now())
     got = {r["sku"]: (r["state"], r["attempts"], r["error"]) for r in changed["products"].collect()}
     assert code == 200 and got["p2"] == ("synced", 0, None) and got["p1"] == ("dirty", 1, "no price")
-    assert lifecycle.sync_request(tables(spark), "POST", "ack", body=[1])[0] == 400
+    assert lifecycle.sync_request(tables(spark), "POST", "ack", body="x")[0] == 400
 
 
 def test_requeue_and_abandon(spark):
