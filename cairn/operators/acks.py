@@ -3,7 +3,7 @@
 Whether an acknowledgement counts depends on few things: its row isn't retiring, the version it echoes is the row's, a product's variety (stock's
 product) is synced at that moment.  The first two don't change within a batch; the last is looked up as of the acknowledgement's
 place.  So a batch is folded by key in four steps (removals, varieties, products, stock) with aggregates and joins, whatever the number
-of acknowledgements; no table is walked in order, and a key with many of them is dealt to many tasks.
+of acknowledgements; what each step found is written once to the shared folder for the next.  No table is walked in order, and a key with many of them is dealt to many tasks.
 """
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import config as C
+from ..streaming.paths import scratch
 
 #: What a type is called; any other is malformed.
 KINDS = {"variation": "variations", "variations": "variations", "product": "products", "products": "products", "inventory": "inventory", "removed": "removed"}
@@ -41,6 +42,13 @@ def as_of(events: DataFrame, key: str, order: str, value: str, to: str, block: i
     return near.join(carried.drop("_end"), [key, "_b"]).withColumn(to, F.coalesce("_near", "_far")).drop("_near", "_far", "_b")
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder and read from there, so that what builds on them doesn't compute them again."""
+    path = scratch(df.sparkSession, "acks")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def tidy(acks: DataFrame) -> DataFrame:
     """(ordinal, kind, external_id, status, …): kind is null for a malformed acknowledgement."""
     kind = F.coalesce(*(F.when(F.col("type") == k, F.lit(v)) for k, v in KINDS.items()))
@@ -56,7 +64,7 @@ def _removals(stones: DataFrame, acks: DataFrame, children: DataFrame) -> tuple[
     mine = dealt_join(acks.where("kind = 'removed'").select("ordinal", "external_id", "status", "reason"), of, "external_id")
     mine = mine.withColumn("_done", F.col("status") == "done")
     ends = mine.groupBy("external_id", "_kind").agg(F.min(F.when(F.col("_done") & ~F.col("_bound"), F.col("ordinal"))).alias("gone_at"))
-    placed = dealt_join(mine, ends.drop("_kind"), "external_id").withColumn("_before", F.col("gone_at").isNull() | (F.col("ordinal") < F.col("gone_at")))
+    placed = written(dealt_join(mine, ends.drop("_kind"), "external_id")).withColumn("_before", F.col("gone_at").isNull() | (F.col("ordinal") < F.col("gone_at")))
     counted = F.col("_before") & ~F.col("_done")
     told = placed.groupBy("external_id").agg(F.count(F.when(counted, 1)).alias("_n"), F.max_by("reason", F.when(counted, F.col("ordinal"))).alias("_why"), F.min("gone_at").alias("_gone"))
     left = stones.join(told, "external_id", "left").where("_gone is null")
@@ -65,7 +73,7 @@ def _removals(stones: DataFrame, acks: DataFrame, children: DataFrame) -> tuple[
     left = left.withColumn("state", F.when(~held, F.col("state")).when(F.col("attempts") >= C.DEAD_LETTER, "dead").otherwise("pending"))
     if "error" in stones.columns:
         left = left.withColumn("error", F.when(held, F.substring(F.coalesce("_why", F.lit("blocked")), 1, REASON)).otherwise(F.col("error")))
-    gone = ends.where("_kind = 'variation' and gone_at is not null").select("external_id", "gone_at")
+    gone = placed.where("_kind = 'variation' and gone_at is not null").select("external_id", "gone_at").distinct()
     return left.select(*stones.columns), gone, placed.select("ordinal", (counted | (F.col("ordinal") == F.col("gone_at"))).alias("applied"))
 
 
@@ -123,18 +131,19 @@ def apply_batch(tables: dict[str, DataFrame], acks: DataFrame, now: Column) -> t
 
     v = dealt_join(of("variations"), rows(variations, "variation_key"), "external_id")
     v = dealt_join(v, gone, "external_id", "left").withColumn("applied", _sound(v) & (F.col("gone_at").isNull() | (F.col("ordinal") < F.col("gone_at"))))
+    v = written(v.drop("_state", "_hash", "gone_at"))
     v_next = _fold(variations, "variation_key", v.where("applied"), now).join(gone.select(F.col("external_id").alias("variation_key")), "variation_key", "left_anti")
     v_line = _timeline(v).unionByName(gone.select(F.col("external_id").alias("key"), F.col("gone_at").alias("ordinal"), F.lit(False).alias("synced")))
 
     p = dealt_join(of("products"), rows(products, "sku"), "external_id")
     p = _with_parent(p, "variation_key", v_line, variations.select(F.col("variation_key").alias("key"), (F.col("state") == "synced").alias("was")))
-    p = p.withColumn("applied", _sound(p) & (~F.col("ok") | F.col("ready")))
+    p = written(p.withColumn("applied", _sound(p) & (~F.col("ok") | F.col("ready"))).drop("_state", "_hash", "ready"))
     p_next = _fold(products, "sku", p.where("applied"), now)
 
     held = stock.select(F.col("sku").alias("external_id"), "qty")
     i = dealt_join(of("inventory").where("ok"), held, "external_id")
     i = _with_parent(i.withColumn("sku", F.col("external_id")), "sku", _timeline(p), products.select(F.col("sku").alias("key"), (F.col("state") == "synced").alias("was")))
-    i = i.withColumn("applied", F.col("ready") & (F.col("quantity").isNull() | (F.col("quantity") == F.col("qty"))))
+    i = written(i.withColumn("applied", F.col("ready") & (F.col("quantity").isNull() | (F.col("quantity") == F.col("qty")))).select("ordinal", "sku", "applied"))
     known = i.where("applied").select("sku", F.lit(True).alias("_in")).distinct()
     i_next = stock.join(known, "sku", "left").withColumn("last_synced_qty", F.when(F.col("_in"), F.col("qty")).otherwise(F.col("last_synced_qty"))).select(*stock.columns)
 
