@@ -1,43 +1,13 @@
 """The sync ledger: keyed snapshots, leases, acknowledgements.  A transition is a join and a CASE, written as the next version."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import config as C
 from ..functions import numbers as N
-
-
-def write_version(state: DataFrame, root: str, table: str, version: int) -> str:
-    path = f"{root}/{table}/v={version}"
-    state.write.mode("errorifexists").parquet(path)
-    return path
-
-
-def _pointers(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the pointers whose write ended, in order."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/_pointers")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    done = [s.getPath() for s in fs.listStatus(path) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    return sorted(int(p.getName().removeprefix("n=")) for p in done)
-
-
-def publish(spark: SparkSession, root: str, versions: dict[str, int]) -> int:
-    """A new numbered pointer to all tables' versions, written after every table is; older ones stay, so a reader always finds one."""
-    number = (_pointers(spark, root) or [0])[-1] + 1
-    spark.createDataFrame(list(versions.items()), "table string, version int").coalesce(1).write.mode("errorifexists").json(f"{root}/_pointers/n={number}")
-    return number
-
-
-def current(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The table as the highest complete pointer names it."""
-    at = _pointers(spark, root)[-1]
-    version = {r["table"]: r["version"] for r in spark.read.schema("table string, version int").json(f"{root}/_pointers/n={at}").collect()}[table]
-    return spark.read.parquet(f"{root}/{table}/v={version}")
+from .commits import current, publish, write_version  # noqa: F401
 
 
 def payload_hash(columns: list[str]) -> Column:
