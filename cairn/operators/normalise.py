@@ -175,13 +175,10 @@ def variation_stage(rows: DataFrame, index: DataFrame, active: list[str], colour
     asked = rows.withColumn("_generic", (own == "") & F.lit(generic) & (described != "")).withColumn("_q", F.when(own != "", own).when(F.col("_generic"), described).otherwise(""))
     asked = asked.withColumns({"_qb": T.match_key(F.col("type_name")), "_qc": T.match_key(F.col("color_name"))})
     known = index.groupBy("branch", "cid").agg(F.min("ckey").alias("ckey"))
-    out = None
-    for b in C.CATEGORIES:
-        mine = asked.where(F.col("branch") == b)
-        found = resolve.match_ladder(mine.select(F.col("_q").alias("query"), F.col("type_name").alias("qtype"), F.col("color_name").alias("qcolor")), index.where(F.col("branch") == b), colours=colours, suggestions=suggestions)
-        found = found.select(F.col("query").alias("_q"), F.col("qblock").alias("_qb"), F.col("qcolor").alias("_qc"), "cid", "tier", "decision", "confidence", "candidates")
-        mine = mine.join(found, ["_q", "_qb", "_qc"], "left")
-        out = mine if out is None else out.unionByName(mine)
+    branches = F.col("branch").isin(*C.CATEGORIES)
+    found = resolve.match_ladder(asked.where(branches).select("branch", F.col("_q").alias("query"), F.col("type_name").alias("qtype"), F.col("color_name").alias("qcolor")), index, colours=colours, suggestions=suggestions, by=("branch",))
+    found = found.select("branch", F.col("query").alias("_q"), F.col("qblock").alias("_qb"), F.col("qcolor").alias("_qc"), "cid", "tier", "decision", "confidence", "candidates")
+    out = asked.where(branches).join(found, ["branch", "_q", "_qb", "_qc"], "left")
     out = out.join(known.select("branch", F.col("cid").alias("forced"), F.lit(True).alias("_valid")), ["branch", "forced"], "left")
     out = out.join(known.select("branch", "cid", F.col("ckey").alias("_cname")), ["branch", "cid"], "left")
     out = out.join(known.groupBy("branch").agg(F.count("*").alias("_n")), "branch", "left")

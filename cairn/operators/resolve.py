@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 from .. import config as C
 from ..functions import kernels as K
 from ..functions import text as T
+from . import likeness
 
 
 def keep_first(rows: DataFrame, key: Column, ordinal: list[str]) -> DataFrame:
@@ -33,7 +34,7 @@ def resolve_vocabulary(values: DataFrame, vocabulary: DataFrame, synonyms: DataF
 
     values (raw); vocabulary (norm, canonical); synonyms (norm, target), target `none` resolves to nothing; all with the columns
     of `by` (such as an attribute's name) if several vocabularies are asked at once.
-    Only what no equality resolves is compared by likeness, with every word whose length allows the floor.
+    Only what no equality resolves is compared by likeness, with every word that can reach the floor (`likeness.fuzzy_pairs`).
     """
     at = list(by)
     raw = values.select(*at, "raw").distinct().withColumn("norm", T.match_key(F.col("raw")))
@@ -52,12 +53,9 @@ def resolve_vocabulary(values: DataFrame, vocabulary: DataFrame, synonyms: DataF
         sure = F.when(F.col("method").isNull() | (F.col("method") == "empty"), "none").otherwise("high")
         return done.select(*at, "raw", value.alias("value"), sure.alias("confidence"), F.coalesce("method", F.lit("unresolved")).alias("method"))
     residue = done.where("method is null").select(*at, "raw", "norm")
-    right = vocabulary.select(*(F.col(c).alias(f"_{c}") for c in at), F.col("norm").alias("norm2"), "canonical")
-    fits = _long_enough(F.col("norm"), F.col("norm2"), floor)
-    for c in at:
-        fits = fits & (F.col(c) == F.col(f"_{c}"))
-    scored = residue.join(right, fits).withColumn("score", K.fuzzy_score("norm", "norm2"))
-    best = scored.groupBy(*at, "raw").agg(F.max(F.struct("score", "canonical")).alias("b")).where(F.col("b.score") >= floor)
+    alike = likeness.fuzzy_pairs(residue.select(*at, F.col("norm").alias("name")), vocabulary.select(*at, F.col("norm").alias("name")), floor, by)
+    scored = residue.join(alike.select(*at, F.col("a").alias("norm"), F.col("b").alias("_norm"), "score"), [*at, "norm"]).join(words.select(*at, F.col("norm").alias("_norm"), "canonical"), [*at, "_norm"])
+    best = scored.groupBy(*at, "raw").agg(F.max(F.struct("score", "canonical")).alias("b"))
     out = done.join(best, [*at, "raw"], "left")
     close = F.col("method").isNull() & F.col("b").isNotNull()
     sure = F.when(close, "medium").when(F.col("method").isNull() | (F.col("method") == "empty"), "none").otherwise("high")
@@ -148,26 +146,25 @@ def _tiers(rows: DataFrame) -> DataFrame:
     return long.withColumns({"rank": F.col("_t.rank"), "key": F.col("_t.key")}).drop("_t").where("key <> ''")
 
 
+def tier_rows(index: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by…, cid, ckey, block, colors, cwords, rank, key): what the equality tiers join on, a row for each tier of each surface."""
+    return _tiers(index).select(*by, "cid", "ckey", "block", "colors", "cwords", "rank", "key")
+
+
 def _fits() -> Column:
     """The candidate's type and colours allow the query's."""
     kind = (F.col("qblock") == "") | (F.col("block") == "") | (F.col("qblock") == F.col("block"))
     return kind & ((F.col("qcolor") == "") | (F.size("colors") == 0) | F.array_contains("colors", F.col("qcolor")))
 
 
-def _long_enough(a: Column, b: Column, floor: float) -> Column:
-    """False only for lengths at which no likeness can reach the floor: all letters of the shorter are common at most."""
-    x, y = F.char_length(a), F.char_length(b)
-    return 200 * F.least(x, y) >= floor * (x + y)
-
-
 _NONE = "array<struct<cid:long,name:string,score:double>>"
 
 
-def _choose(hits: DataFrame) -> DataFrame:
+def _choose(hits: DataFrame, asked_by: list[str]) -> DataFrame:
     """The first tier that settles a query: its only candidate, after narrowing by name, then by type and colour; names that stand twice in the exact tier go to review."""
     one, named = F.struct("cid", "ckey"), F.col("qnorm") == F.col("ckey")
     sets = {"every": F.lit(True), "own": named & (F.col("rank") < 4), "fit": _fits(), "both": named & (F.col("rank") < 4) & _fits()}
-    per = hits.groupBy(*_ASKED, "rank").agg(*(F.collect_set(F.when(c, one)).alias(k) for k, c in sets.items()))
+    per = hits.groupBy(*asked_by, "rank").agg(*(F.collect_set(F.when(c, one)).alias(k) for k, c in sets.items()))
     by_name = (F.size("every") > 1) & (F.size("own") > 0)
     per = per.withColumn("pool", F.when(by_name, F.col("own")).otherwise(F.col("every"))).withColumn("near", F.when(by_name, F.col("both")).otherwise(F.col("fit")))
     asked = (F.col("qblock") != "") | (F.col("qcolor") != "")
@@ -184,53 +181,58 @@ def _choose(hits: DataFrame) -> DataFrame:
         F.struct(F.lit(None).cast("long").alias("cid"), F.concat(tier, F.lit("_ambiguous")).alias("tier"), F.lit("review").alias("decision"), F.lit("low").alias("confidence"), F.lit(100.0).alias("score"), shown.cast(_NONE).alias("candidates")),
     )
     out = per.withColumn("x", F.coalesce(found, tied)).where("x is not null")
-    return out.groupBy(*_ASKED).agg(F.min_by("x", "rank").alias("x")).select(*_ASKED, "x.*")
+    return out.groupBy(*asked_by).agg(F.min_by("x", "rank").alias("x")).select(*asked_by, "x.*")
 
 
 def match_ladder(
     queries: DataFrame, index: DataFrame, accept: float = C.AUTO_ACCEPT, floor: float = C.REVIEW_FLOOR, colours: list[str] = (), overrides: DataFrame | None = None,
-    suggestions: DataFrame | None = None,
+    suggestions: DataFrame | None = None, by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(query, qblock, qcolor, cid, tier, decision, confidence, score, candidates) for distinct queries (query, qtype, optionally qcolor).
+    """(by…, query, qblock, qcolor, cid, tier, decision, confidence, score, candidates) for distinct queries (by…, query, qtype, optionally qcolor).
+
+    index: what `surfaces` or `tier_rows` gives, the latter perhaps stored (`candidate_index`); with the columns of `by`, such as a branch,
+    queries meet candidates of their own only, all in one pass.
 
     An override (norm, cid) wins.  Exact, compact, token-set, deprefixed and phonetic tiers are one join on
-    (tier, key), of which the first that settles a query counts.  The fuzzy tier runs only on what is left, and
-    compares all candidates that type and colour allow and whose lengths allow the floor.  A best score that
+    (tier, key), of which the first that settles a query counts.  The fuzzy tier runs only on what is left: all names that reach the
+    floor are found through rare letter pairs and scored once, then held against type and colour.  A best score that
     candidates of one name share, or of a single word for a query of several, goes to review, with the
-    three best candidates.  Suggestions (query, cid, score) by meaning are for review only.  cids are longs.
+    three best candidates that reach the floor.  Suggestions (query, cid, score) by meaning are for review only.  cids are longs.
     """
     color = F.col("qcolor") if "qcolor" in queries.columns else F.lit("")
-    q = queries.select("query", T.match_key(F.col("qtype")).alias("qblock"), T.match_key(color).alias("qcolor")).distinct().withColumn("qnorm", T.match_key(F.col("query"))).where("qnorm <> ''")
+    asked_by = [*by, *_ASKED]
+    q = queries.select(*by, "query", T.match_key(F.col("qtype")).alias("qblock"), T.match_key(color).alias("qcolor")).distinct().withColumn("qnorm", T.match_key(F.col("query"))).where("qnorm <> ''")
     q = q.withColumns({"compact": T.compact(F.col("qnorm")), "tokenset": T.tokenset(F.col("qnorm")), "deprefixed": T.deprefixed(F.col("query")), "phonetic": K.phonetic_key("qnorm"), "norm": F.col("qnorm"), "qwords": colour_words(F.col("qnorm"), list(colours))})
-    asked = _tiers(q).select(*_ASKED, "qnorm", "qwords", "rank", "key")
-    held = _tiers(index).select("cid", "ckey", "block", "colors", "cwords", "rank", "key")
-    hits = asked.join(held, ["rank", "key"])
+    asked = _tiers(q).select(*asked_by, "qnorm", "qwords", "rank", "key")
+    held = index if "rank" in index.columns else tier_rows(index, by)
+    hits = asked.join(held, [*by, "rank", "key"])
     sound = hits.where("rank = 4").where(_fits() & ~colour_conflict(F.col("qwords"), F.col("cwords"))).where(K.jaro_winkler_score("qnorm", "ckey") * 100 >= C.PHONETIC_GUARD)
-    settled = _choose(hits.where("rank < 4").unionByName(sound))
+    settled = _choose(hits.where("rank < 4").unionByName(sound), asked_by)
     if overrides is not None:
-        forced = q.join(overrides.select(F.col("norm").alias("qnorm"), "cid"), "qnorm").select(*_ASKED, "cid", F.lit("override").alias("tier"), F.lit("accept").alias("decision"), F.lit("high").alias("confidence"), F.lit(100.0).alias("score"), F.lit(None).cast(_NONE).alias("candidates"))
-        settled = forced.unionByName(settled.join(forced.select(*_ASKED), _ASKED, "left_anti"))
-    rest = q.select(*_ASKED, "qnorm", "qwords").join(settled.select(*_ASKED), _ASKED, "left_anti")
-    right = index.select("cid", "ckey", "block", "colors", "cwords", F.col("norm").alias("_norm"))
-    pairs = rest.join(right, _fits() & _long_enough(F.col("qnorm"), F.col("_norm"), floor) & ~colour_conflict(F.col("qwords"), F.col("cwords"))).select(*_ASKED, "qnorm", "cid", "ckey", "_norm")
-    scored = pairs.withColumn("score", K.fuzzy_score("qnorm", "_norm"))
-    each = scored.groupBy(*_ASKED, "qnorm", "cid", "ckey").agg(F.max(F.struct("score", (F.col("_norm") == F.col("ckey")).alias("own"))).alias("b")).select(*_ASKED, "qnorm", "cid", "ckey", "b.*")
-    placed = each.withColumn("_n", F.row_number().over(Window.partitionBy(*_ASKED).orderBy(F.desc("score"), F.desc("own"), "cid"))).withColumn("_top", F.max("score").over(Window.partitionBy(*_ASKED)))
+        forced = q.join(overrides.select(F.col("norm").alias("qnorm"), "cid"), "qnorm").select(*asked_by, "cid", F.lit("override").alias("tier"), F.lit("accept").alias("decision"), F.lit("high").alias("confidence"), F.lit(100.0).alias("score"), F.lit(None).cast(_NONE).alias("candidates"))
+        settled = forced.unionByName(settled.join(forced.select(*asked_by), asked_by, "left_anti"))
+    rest = q.select(*asked_by, "qnorm", "qwords").join(settled.select(*asked_by), asked_by, "left_anti")
+    right = held.where("rank = 0").select(*by, "cid", "ckey", "block", "colors", "cwords", F.col("key").alias("_norm"))
+    alike = likeness.fuzzy_pairs(rest.select(*by, F.col("qnorm").alias("name")), right.select(*by, F.col("_norm").alias("name")), floor, by)
+    met = rest.join(alike.select(*by, F.col("a").alias("qnorm"), F.col("b").alias("_norm"), "score"), [*by, "qnorm"])
+    scored = met.join(right, [*by, "_norm"]).where(_fits() & ~colour_conflict(F.col("qwords"), F.col("cwords"))).select(*asked_by, "qnorm", "cid", "ckey", "_norm", "score")
+    each = scored.groupBy(*asked_by, "qnorm", "cid", "ckey").agg(F.max(F.struct("score", (F.col("_norm") == F.col("ckey")).alias("own"))).alias("b")).select(*asked_by, "qnorm", "cid", "ckey", "b.*")
+    placed = each.withColumn("_n", F.row_number().over(Window.partitionBy(*asked_by).orderBy(F.desc("score"), F.desc("own"), "cid"))).withColumn("_top", F.max("score").over(Window.partitionBy(*asked_by)))
     at_top = F.when(F.col("score") == F.col("_top"), F.col("ckey"))
     three = F.array_sort(F.collect_list(F.when(F.col("_n") <= 3, F.struct("_n", "cid", F.col("ckey").alias("name"), "score"))))
-    best = placed.groupBy(*_ASKED, "qnorm").agg(F.min_by(F.struct("cid", "ckey"), "_n").alias("x"), F.max("score").alias("score"), (F.count(at_top) > F.count_distinct(at_top)).alias("tied"), three.alias("three"))
+    best = placed.groupBy(*asked_by, "qnorm").agg(F.min_by(F.struct("cid", "ckey"), "_n").alias("x"), F.max("score").alias("score"), (F.count(at_top) > F.count_distinct(at_top)).alias("tied"), three.alias("three"))
     guarded = (F.size(F.split("x.ckey", " ")) > 1) | (F.size(F.split("qnorm", " ")) < 2)
     sure = (F.col("score") >= accept) & guarded & ~F.col("tied")
-    fuzzy = best.where(F.col("score") >= floor).select(
-        *_ASKED, F.when(sure, F.col("x.cid")).alias("cid"), F.when(sure, "fuzzy").otherwise("review").alias("tier"), F.when(sure, "accept").otherwise("review").alias("decision"),
+    fuzzy = best.select(
+        *asked_by, F.when(sure, F.col("x.cid")).alias("cid"), F.when(sure, "fuzzy").otherwise("review").alias("tier"), F.when(sure, "accept").otherwise("review").alias("decision"),
         F.when(sure, "medium").otherwise("low").alias("confidence"), F.round("score", 4).alias("score"), F.transform("three", lambda x: F.struct(x["cid"].alias("cid"), x["name"].alias("name"), x["score"].alias("score"))).cast(_NONE).alias("candidates"),
     )
     out = settled.unionByName(fuzzy)
     if suggestions is not None:
-        near = rest.join(fuzzy.select(*_ASKED), _ASKED, "left_anti").join(suggestions.where(F.col("score") >= floor).groupBy("query").agg(F.max_by(F.struct("cid", "score"), F.struct("score", -F.col("cid"))).alias("s")), "query")
+        near = rest.join(fuzzy.select(*asked_by), asked_by, "left_anti").join(suggestions.where(F.col("score") >= floor).groupBy("query").agg(F.max_by(F.struct("cid", "score"), F.struct("score", -F.col("cid"))).alias("s")), "query")
         shown = F.array(F.struct(F.col("s.cid").alias("cid"), F.lit(None).cast("string").alias("name"), F.col("s.score").cast("double").alias("score"))).cast(_NONE)
-        out = out.unionByName(near.select(*_ASKED, F.lit(None).cast("long").alias("cid"), F.lit("semantic_review").alias("tier"), F.lit("review").alias("decision"), F.lit("low").alias("confidence"), F.col("s.score").cast("double").alias("score"), shown.alias("candidates")))
-    whole = q.select(*_ASKED).join(out, _ASKED, "left")
+        out = out.unionByName(near.select(*asked_by, F.lit(None).cast("long").alias("cid"), F.lit("semantic_review").alias("tier"), F.lit("review").alias("decision"), F.lit("low").alias("confidence"), F.col("s.score").cast("double").alias("score"), shown.alias("candidates")))
+    whole = q.select(*asked_by).join(out, asked_by, "left")
     return whole.withColumns({"tier": F.coalesce("tier", F.lit("no_candidate")), "decision": F.coalesce("decision", F.lit("gap")), "confidence": F.coalesce("confidence", F.lit("none"))})
 
 

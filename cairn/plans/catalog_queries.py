@@ -16,7 +16,7 @@ from ..functions import kernels as K
 from ..functions import names as M
 from ..functions import numbers as N
 from ..functions import text as T
-from ..operators import catalog, control, derive, health, ledger, resolve
+from ..operators import catalog, control, derive, health, ledger, likeness, resolve
 from ..sources import readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -289,10 +289,34 @@ def projection_tiers(spark, sf):
     return first.unionByName(by("ts").join(first, ["query", "found"], "left_anti").withColumn("tier", F.lit("tokenset")))
 
 
-@query("SELECT s_suppkey, c_custkey, round(jaro_winkler_similarity(s_name, c_name), 6) AS score FROM supplier JOIN customer ON right(s_name, 4) = right(c_name, 4)")
+_TYPOS = "SELECT DISTINCT CASE p_size % 4 WHEN 0 THEN p_name || 's' WHEN 1 THEN replace(p_name, ' ', '') WHEN 2 THEN string_split(p_name, ' ')[2] || ' ' || string_split(p_name, ' ')[1] ELSE p_name[2:] END AS w FROM part"
+
+
+def _typos(spark, sf) -> DataFrame:
+    name, s = F.col("p_name"), F.col("p_size") % 4
+    typo = F.when(s == 0, F.concat(name, F.lit("s"))).when(s == 1, F.replace(name, F.lit(" "), F.lit(""))).when(s == 2, F.array_join(F.reverse(F.split(name, " ")), " ")).otherwise(F.substring(name, 2, 1000))
+    return t(spark, sf, "part").select(typo.alias("name"))
+
+
+@query(f"SELECT a.w AS a, b.w AS b, round(jaro_winkler_similarity(a.w, b.w), 6) AS score FROM ({_TYPOS}) a JOIN (SELECT DISTINCT p_name AS w FROM part) b ON jaro_winkler_similarity(a.w, b.w) >= 0.85")
 def jaro_winkler_pairs(spark, sf):
-    j = t(spark, sf, "supplier").join(t(spark, sf, "customer"), F.right("s_name", F.lit(4)) == F.right("c_name", F.lit(4)))
-    return j.select("s_suppkey", "c_custkey", F.round(K.jaro_winkler_score("s_name", "c_name"), 6).alias("score"))
+    """Every misspelt part name with every part name that is 0.85 alike or more."""
+    return likeness.jaro_winkler_alike(_typos(spark, sf), t(spark, sf, "part").select(F.col("p_name").alias("name")), 0.85).select("a", "b", F.round("score", 6).alias("score"))
+
+
+@query(f"""
+WITH n AS (SELECT DISTINCT p_name AS w FROM part), q AS ({_TYPOS}),
+f AS (SELECT w, array_to_string(list_sort(string_split(w, ' ')), ' ') AS s FROM n), g AS (SELECT w, array_to_string(list_sort(string_split(w, ' ')), ' ') AS s FROM q),
+a AS (SELECT DISTINCT string_split(w, '') AS x, w FROM (SELECT w FROM f UNION SELECT s FROM f UNION SELECT w FROM g UNION SELECT s FROM g)),
+p AS (SELECT g.w AS a, f.w AS b, unnest([[g.w, f.w], [g.s, f.s]]) AS t FROM g JOIN f ON TRUE),
+l AS (SELECT a, b, length(t[1]) AS m, length(t[2]) AS n, list_reduce(list_prepend(list_transform(range(length(t[2]) + 1), lambda x: CAST(0 AS BIGINT)), list_transform(range(1, length(t[1]) + 1), lambda i: [i])),
+  lambda row, i: list_reduce(list_prepend([CAST(0 AS BIGINT)], list_transform(range(1, length(t[2]) + 1), lambda j: [j])),
+    lambda acc, j: list_append(acc, CASE WHEN t[1][i[1]] = t[2][j[1]] THEN row[j[1]] + 1 ELSE greatest(acc[j[1]], row[j[1] + 1]) END))) AS row FROM p)
+SELECT a, b, round(max(200.0 * row[n + 1] / (m + n)), 4) AS score FROM l GROUP BY a, b HAVING max(200.0 * row[n + 1] / (m + n)) >= 84
+""")
+def likeness_pairs(spark, sf):
+    """Every misspelt part name with every part name that is 84 alike or more, in its order or sorted by words."""
+    return likeness.fuzzy_pairs(_typos(spark, sf), t(spark, sf, "part").select(F.col("p_name").alias("name")), 84.0).select("a", "b", F.round("score", 4).alias("score"))
 
 
 @query()
