@@ -31,6 +31,7 @@ import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import bound_batches, released, text_or_empty, worker_state
 
@@ -219,7 +220,7 @@ def seeded_blocks(docs: DataFrame, benchmark: DataFrame, cut: float = CUT, most:
             yield spark.sparkContext.broadcast(cloudpickle.dumps(block))  # by value: workers need no copy of this package
 
 
-def _matches(shared):
+def _matches(shared, item):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -229,7 +230,7 @@ def _matches(shared):
             found = block.matches(batch.column("text").to_pylist(), memo)
             rows = [(k, *m) for k, held in zip(batch.column("id").to_pylist(), found, strict=True) for m in held]
             cols = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
-            kinds = [batch.schema.field("id").type, pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
+            kinds = [batch.schema.field("id").type, item, pa.float64(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
 
     return run
@@ -239,10 +240,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cut: float = CUT, most:
     """(doc_id, item_id, score, first_word, end_word, seeds) of every item that a document holds."""
     slim = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text"))
     kind = dict(slim.dtypes)["id"]
-    schema = f"doc_id {kind}, item_id long, score double, first_word long, end_word long, seeds long"
+    schema = f"doc_id {kind}, item_id {dict(benchmark.dtypes)['item_id']}, score double, first_word long, end_word long, seeds long"
     out = docs.sparkSession.createDataFrame([], schema)
     for shared in seeded_blocks(docs, benchmark, cut, most):
-        out = out.unionByName(slim.mapInArrow(released(_matches(shared)), schema))
+        out = out.unionByName(slim.mapInArrow(released(_matches(shared, to_arrow_type(benchmark.schema["item_id"].dataType))), schema))
     return out
 
 

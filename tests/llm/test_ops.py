@@ -20,6 +20,84 @@ def test_empty_tables(spark, sf_empty, name):
     assert queries.queries()[name](spark, sf_empty).count() == (1 if name == "op4_chat" else 0)
 
 
+def pieces_by_hand(text):
+    """The module's description carried out byte by byte in whole numbers: rolling hash of the last seven bytes, cuts, a letter for each piece."""
+    m, raw = 1 << 64, text.encode()
+    a, b = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+
+    def mixed(x):
+        x = ((x ^ x >> 31) * 0x7FB5D329728EA185) % m
+        x = ((x ^ x >> 27) * 0x81DADEF4BC2DD44D) % m
+        return x ^ x >> 33
+
+    hashed = lambda part, base: mixed((sum((c + 1) * pow(base, i, m) for i, c in enumerate(part)) + len(part)) % m)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    if not raw:
+        return "3::"
+    rolls = [hashed(raw[max(0, k - 6) : k + 1], a) >> 16 for k in range(len(raw))]
+    ends = lambda size: [k + 1 for k, r in enumerate(rolls) if r % size == size - 1]
+
+    def line(size):
+        cuts = [0, *ends(size)[:63]]
+        cuts += [len(raw)] if cuts[-1] < len(raw) else []
+        return "".join(letters[hashed(raw[x:y], b) >> 58] for x, y in zip(cuts, cuts[1:]))
+
+    size = 3
+    while size * 64 < len(raw):
+        size *= 2
+    while size > 3 and len(ends(size)) + 1 < 16:
+        size //= 2
+    return f"{size}:{line(size)}:{line(2 * size)}"
+
+
+def likeness_by_hand(x, y):
+    if x == y:
+        return 1.0
+
+    def alike(p, q):
+        runs = lambda s: {s[i : i + 4] for i in range(len(s) - 3)}
+        if not p or not q or (min(len(p), len(q)) >= 4 and not runs(p) & runs(q)):
+            return 0.0
+        row = list(range(len(q) + 1))
+        for i, c in enumerate(p, 1):
+            new = [i]
+            for j, d in enumerate(q, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+            row = new
+        return 1 - row[-1] / max(len(p), len(q))
+
+    both = [{int(s): p, 2 * int(s): q} for s, p, q in (v.split(":") for v in (x, y))]
+    return max((alike(both[0][k], both[1][k]) for k in set(both[0]) & set(both[1])), default=0.0)
+
+
+def test_op1_against_whole_numbers(spark, sf_tiny, texts):
+    order = sorted([*texts, 20], reverse=True)
+    got = {r["doc_id"]: r for r in rows(fingerprint.op1_fingerprint(spark, sf_tiny))}
+    for k, i in enumerate(order):
+        t, n = texts[i] or "", texts[order[(k + 1) % len(order)]] or ""
+        h = len(t) // 2
+        own, edited, after = map(pieces_by_hand, (t, t[: len(t) - h] + n[:h], n))
+        assert got[i]["fingerprint"] == own
+        if i != 20:
+            assert got[i]["edited_fingerprint"] == edited
+            assert abs(got[i]["near_edited"] - likeness_by_hand(own, edited)) < 1e-9 and abs(got[i]["near_next"] - likeness_by_hand(own, after)) < 1e-9
+
+
+def test_op1_of_a_text_over_several_batches(spark, tmp_path):
+    long = "".join(chr(97 + (i * i // 7 + i // 11) % 26) for i in range(60_000))
+    assert fingerprint.fingerprint(long) == pieces_by_hand(long)
+    docs = spark.createDataFrame([(1, long * 40), (2, "short")], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in rows(fingerprint.op1_fingerprint(spark, str(tmp_path)))}
+    assert got[1]["n_chars"] == 2_400_000 and got[1]["fingerprint"] == fingerprint.fingerprint(long * 40) and got[2]["fingerprint"] == pieces_by_hand("short")
+
+
+def test_op10_items_of_any_id(spark, texts):
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
+    items = spark.createDataFrame([("first", texts[31]), ("other", "nothing of the kind stands anywhere in these texts")], "item_id string, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in rows(decontaminate.contaminated(docs, items))} >= {(31, "first")}
+
+
 def test_op1(spark, sf_tiny, texts):
     order = sorted([*texts, 20], reverse=True)
     got = {(r["doc_id"]): r for r in rows(fingerprint.op1_fingerprint(spark, sf_tiny))}

@@ -27,6 +27,38 @@ def test_stages(spark, sf_tiny, texts):
     assert ids["best_fit_packing"] == left
 
 
+def test_stages_of_empty_tables(spark, sf_tiny, sf_empty):
+    docs, none = spark.read.parquet(f"{sf_tiny}/documents.parquet"), spark.read.parquet(f"{sf_empty}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, sf_empty).count() == 0
+        out = stage(spark, docs, sf_empty)  # no labels, no benchmark
+        assert out.count() > 0 and (name == corpus_pipeline.STAGES[-1][0] or out.columns == docs.columns)
+    assert corpus_pipeline.run(spark, sf_empty).count() == 0
+
+
+def test_columns_named_like_a_stages_own(spark, sf_tiny):
+    clash = ["_twin", "_left", "_rest", "row", "code", "id", "node", "n", "component", "kept", "digest", "y", "half", "fp", "keys", "met", "x", "score", "start", "piece", "key"]
+    docs = spark.read.parquet(f"{sf_tiny}/documents.parquet").select("doc_id", "text", "n_chars")
+    more = docs.selectExpr("*", *(f"'{c}' AS {c}" for c in clash))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, wide = stage(spark, docs, sf_tiny), stage(spark, more, sf_tiny)
+        assert wide.columns == more.columns
+        assert sorted(map(str, wide.select("doc_id", "text", "n_chars").collect())) == sorted(map(str, plain.collect())), name
+        assert all(r[c] == c for r in wide.collect() for c in clash)
+    assert corpus_pipeline.pack_sequences(spark, more, sf_tiny).count() == corpus_pipeline.pack_sequences(spark, docs, sf_tiny).count()
+
+
+def test_ties_of_toxicity(spark):
+    """Equal texts have equal scores and leave together, whatever the partitions; order of rows and ids changes nothing."""
+    from cairn.llm import toxicity
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    twice = docs.unionByName(docs.withColumn("doc_id", docs["doc_id"] + 10**6))
+    one = sorted((r.doc_id, r.text) for r in toxicity.not_toxic(twice.repartition(1), labels).collect())
+    many = sorted((r.doc_id, r.text) for r in toxicity.not_toxic(twice.orderBy("text").repartition(7), labels).collect())
+    assert one == many and {i for i, _ in one if i < 10**6} == {i - 10**6 for i, _ in one if i >= 10**6}
+
+
 def test_run(spark, sf_tiny):
     assert corpus_pipeline.run(spark, sf_tiny).count() > 0
 
