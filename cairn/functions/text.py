@@ -36,18 +36,32 @@ def collapse_ws(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
+@cache
+def _many_folds() -> dict[str, str]:
+    """Other characters whose compatibility decomposition leaves ASCII characters: several, or one for those beyond the basic plane."""
+    out = {}
+    for code in range(0x80, 0x110000):
+        c = chr(code)
+        if 0xD800 <= code < 0xE000 or c in SPECIAL or not unicodedata.decomposition(c):
+            continue
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if ord(x) < 128)
+        if len(plain) > 1 or (plain and code >= 0x10000):
+            out[c] = plain
+    return out
+
+
 def ascii_fold(c: Column) -> Column:
-    """Latin letters to ASCII; other characters outside ASCII go.  Ligatures and digits in signs expand.  ASCII passes as it is."""
+    """Letters and signs to ASCII by their compatibility decompositions; other characters outside ASCII go.  ASCII passes as it is."""
     plain = c
     for k, v in SPECIAL.items():
         if len(v) > 1:
             c = F.replace(c, F.lit(k), F.lit(v))
     one = {k: v for k, v in SPECIAL.items() if len(v) == 1}
     source, target = _single_folds()
-    for k, v in (("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬀ", "ff"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("½", "12"), ("¼", "14"), ("¾", "34")):
-        c = F.replace(c, F.lit(k), F.lit(v))
     c = F.translate(c, "".join(one) + source, "".join(one.values()) + target)
-    return F.when(plain.rlike(r"^[\x00-\x7F]*$"), plain).otherwise(F.regexp_replace(c, r"[^\x00-\x7F]", ""))
+    table = F.from_json(F.lit(json.dumps(_many_folds())), "map<string,string>")
+    rare = F.array_join(F.transform(F.split(c, ""), lambda x: F.when(~x.rlike(r"[^\x00-\x7F]"), x).otherwise(F.coalesce(F.try_element_at(table, x), F.lit("")))), "")
+    return F.when(~plain.rlike(r"[^\x00-\x7F]"), plain).when(~c.rlike(r"[^\x00-\x7F]"), c).otherwise(rare)
 
 
 def match_key(c: Column) -> Column:
@@ -70,11 +84,26 @@ RENDER_TAGS = ("polished", "honed", "leather", "leathered", "brushed", "mat", "m
 
 
 def deprefixed(name: Column) -> Column:
-    """Key of a name without an inventory mark (Z, ZB, Z B) and one trailing tag: a slash with a thickness or render word, a thickness, or a grade."""
-    bare = F.regexp_replace(F.trim(F.coalesce(name, F.lit(""))), r"(?i)^z(?:\s?b)?\s+", "")
-    tails = (rf"(?i)\s*/\s*(?:\d+\s?cm|{'|'.join(RENDER_TAGS)})\b.*$", r"(?i)\s*\b\d+\s?cm\s*$", r"(?i)\s*\bgrade\s+\w+\s*$")
-    cuts = [F.regexp_replace(bare, tail, "") for tail in tails]
-    return match_key(F.when(cuts[0] != bare, cuts[0]).when(cuts[1] != bare, cuts[1]).otherwise(cuts[2]))
+    """Key of a name without the inventory mark that is its first word (Z, ZB, or Z and B), and without one tag at its end.
+
+    A tag is all from the first slash on whose next word is a thickness or a render word; without one, a thickness at the end, else "grade" and the word after it.
+    """
+    mark = lambda w: F.lower(F.get(w, F.lit(0)))
+    given = F.split(collapse_ws(name), " ")
+    two = (mark(given) == "z") & (F.lower(F.get(given, F.lit(1))) == "b") & (F.size(given) > 2)
+    skip = F.when(two, 2).when(mark(given).isin("z", "zb") & (F.size(given) > 1), 1).otherwise(0)
+    parts = F.split(F.array_join(F.slice(given, skip + 1, F.size(given)), " "), "/")
+
+    def tagged(part: Column) -> Column:
+        words = F.transform(F.split(F.trim(part), " "), lambda w: F.regexp_substr(F.lower(w), F.lit("^[a-z0-9]+")))
+        first, second = F.get(words, F.lit(0)), F.get(words, F.lit(1))
+        return F.coalesce(first.isin(*RENDER_TAGS) | first.rlike("^[0-9]+cm$") | (first.rlike("^[0-9]+$") & (second == "cm")), F.lit(False))
+
+    at = F.array_position(F.transform(parts, lambda p, i: (i > 0) & tagged(p)), True).cast("int")
+    words = F.split(F.trim(F.array_join(parts, "/")), " ")
+    back = lambda k: F.lower(F.get(words, F.size(words) - k))
+    gone = F.when(back(1).rlike("^[0-9]+cm$"), 1).when((back(1) == "cm") & back(2).rlike("^[0-9]+$"), 2).when((back(2) == "grade") & back(1).rlike(r"^\w+$"), 2).otherwise(0)
+    return match_key(F.when(at > 0, F.array_join(F.slice(parts, F.lit(1), at - 1), "/")).otherwise(F.array_join(F.slice(words, F.lit(1), F.size(words) - gone), " ")))
 
 
 def slugify(c: Column, sep: str = "-") -> Column:
@@ -118,33 +147,39 @@ def looks_codey(c: Column) -> Column:
     return (low != "") & (low.rlike(r"\d") | (~low.rlike("[aeiou]") & ~low.isin("st", "mt", "ft")))
 
 
-#: Entities that `clean` resolves, with every numeric one.
-_ENTITIES = ("quot", "apos", "lt", "gt", "nbsp", "copy", "reg", "trade", "deg", "plusmn", "times", "divide", "frac12", "frac14", "frac34", "sup2", "sup3", "micro", "middot",
-             "ndash", "mdash", "lsquo", "rsquo", "ldquo", "rdquo", "laquo", "raquo", "hellip", "bull", "euro", "pound", "szlig", "iexcl", "iquest")
-
-
 @cache
-def _entities() -> dict[str, str]:
-    """Entity name to character: those above and every accented Latin letter."""
+def _entities() -> tuple[dict[str, str], int]:
+    """Every named entity, with its semicolon where that is needed, and the length of the longest name that goes without."""
     from html.entities import html5
 
-    latin = {k[:-1]: v for k, v in html5.items() if k.endswith(";") and len(v) == 1 and 0xC0 <= ord(v) <= 0x17F}
-    return {k: html5[f"{k};"] for k in _ENTITIES} | latin
+    return dict(html5), max(len(k) for k in html5 if not k.endswith(";"))
+
+
+#: What the numbers 128 to 159 stand for on the web, in Windows' Latin alphabet; undefined ones stay control characters.
+_WINDOWS = {k: bytes([k]).decode("cp1252", "replace") for k in range(0x80, 0xA0)}
 
 
 def _unescaped(c: Column) -> Column:
-    table = F.from_json(F.lit(json.dumps(_entities())), "map<string,string>")  # folded to a constant; one literal instead of hundreds
-    parts = F.split(c, r"&(?=#?\w+;)")
+    """Entities by their longest name, also without a semicolon, and by number, as browsers read them."""
+    names, longest = _entities()
+    table = F.from_json(F.lit(json.dumps(names)), "map<string,string>")  # folded to a constant; one literal instead of thousands
+    windows = F.from_json(F.lit(json.dumps({str(k): chr(k) if v == "\ufffd" else v for k, v in _WINDOWS.items()})), "map<string,string>")
 
     def resolved(part: Column) -> Column:
-        name = F.regexp_extract(part, r"^(#?\w+);", 1)
-        rest = F.substring(part, F.char_length(name) + 2, F.char_length(part))
-        number = F.when(name.rlike(r"^#\d+$"), F.substring(name, F.lit(2), F.char_length(name)).try_cast("int"))
-        number = number.when(name.rlike(r"^#[xX][0-9a-fA-F]+$"), F.conv(F.substring(name, F.lit(3), F.char_length(name)), 16, 10).try_cast("int"))
-        letter = F.when(number.between(1, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
-        return F.coalesce(F.concat(letter, rest), F.concat(F.try_element_at(table, name), rest), F.when(name == "amp", F.concat(F.lit("&"), rest)), F.concat(F.lit("&"), part))
-
-    return F.array_join(F.transform(parts, lambda x, i: F.when(i == 0, x).otherwise(resolved(x))), "")
+        told = F.regexp_extract(part, r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)", 1)
+        after = lambda k: F.substring(part, k + 1, F.char_length(part))
+        digits = F.regexp_replace(F.regexp_replace(told, "^#[xX]?0*|;$", ""), "^$", "0")
+        hexed = told.rlike("^#[xX]")
+        many = F.char_length(digits) > 9  # beyond any letter
+        number = F.when(many, F.lit(0x110000)).when(hexed, F.conv(digits, 16, 10).try_cast("int")).otherwise(digits.try_cast("int"))
+        letter = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        dropped = number.between(1, 8) | number.isin(11) | number.between(14, 31) | (number == 127) | number.between(0xFDD0, 0xFDEF) | ((number % 65536) >= 65534)
+        sign = F.when((number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF), "\ufffd").when(number == 13, "\r").when(number.between(0x80, 0x9F), F.try_element_at(windows, number.cast("string"))).when(dropped, "").otherwise(letter)
+        short = [F.concat(F.try_element_at(table, F.left(told, F.lit(k))), after(F.lit(k))) for k in range(longest, 1, -1)]
+        named = F.coalesce(F.concat(F.try_element_at(table, told), after(F.char_length(told))), *short)
+        return F.when(told == "", F.concat(F.lit("&"), part)).when(told.startswith("#"), F.concat(sign, after(F.char_length(told)))).otherwise(F.coalesce(named, F.concat(F.lit("&"), part)))
+
+    return F.array_join(F.transform(F.split(c, "&"), lambda x, i: F.when(i == 0, x).otherwise(resolved(x))), "")
 
 
 def clean(c: Column) -> Column:
