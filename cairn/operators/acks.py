@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import config as C
-from ..streaming.paths import scratch
+from .joins import dealt_join, written
 
 #: What a type is called; any other is malformed.
 KINDS = {"variation": "variations", "variations": "variations", "product": "products", "products": "products", "inventory": "inventory", "removed": "removed"}
@@ -22,12 +22,6 @@ ACK = {"remote_id": "string", "payload_hash": "string", "quantity": "long", "rea
 REASON = 500
 
 
-def dealt_join(rows: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """A join with a side that has a key once: both sides are dealt by key and hash, so that Spark can split a key that many rows have."""
-    mark = lambda df: df.withColumn("_deal", F.xxhash64(key))
-    return mark(rows).join(mark(small), [key, "_deal"], how).drop("_deal")
-
-
 def as_of(events: DataFrame, key: str, order: str, value: str, to: str, block: int = 100_000) -> DataFrame:
     """Adds to each event the last value that isn't null among its key's earlier ones.
 
@@ -42,13 +36,6 @@ def as_of(events: DataFrame, key: str, order: str, value: str, to: str, block: i
     return near.join(carried.drop("_end"), [key, "_b"]).withColumn(to, F.coalesce("_near", "_far")).drop("_near", "_far", "_b")
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder and read from there, so that what builds on them doesn't compute them again."""
-    path = scratch(df.sparkSession, "acks")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def tidy(acks: DataFrame) -> DataFrame:
     """(ordinal, kind, external_id, status, …): kind is null for a malformed acknowledgement."""
     kind = F.coalesce(*(F.when(F.col("type") == k, F.lit(v)) for k, v in KINDS.items()))

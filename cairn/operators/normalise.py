@@ -9,6 +9,7 @@ from ..functions import kernels as K
 from ..functions import names as N
 from ..functions import text as T
 from . import resolve
+from .joins import attach, dealt_join, written
 
 FLAG = "struct<field:string,code:string,raw:string,best:string>"
 
@@ -37,10 +38,21 @@ def attribute_lookup(vocabulary: DataFrame, synonyms: DataFrame, fallback: tuple
     return direct.unionByName(more.select("category", "norm", "canonical", "id"))
 
 
-def with_attribute(rows: DataFrame, lookup: DataFrame, category: str, name: Column, to_name: str, to_id: str) -> DataFrame:
-    """Adds the canonical name and id of a name; null where the lookup doesn't know it."""
-    known = lookup.where(F.col("category") == category).select(F.col("norm").alias("_norm"), F.col("canonical").alias(to_name), F.col("id").alias(to_id))
-    return rows.withColumn("_key", T.match_key(name)).join(known, F.col("_key") == F.col("_norm"), "left").drop("_key", "_norm")
+def ids_of(lookup: DataFrame) -> DataFrame:
+    """The lookup as `attach` reads it: x is (canonical, id)."""
+    return lookup.select("category", F.col("norm").alias("_key"), F.struct("canonical", "id").alias("x"))
+
+
+def closed(lookup: DataFrame, category: str, words: list[str]) -> dict[str, tuple[str, str]]:
+    """Key -> (canonical, id) of the given words, as few as they are."""
+    keys = lookup.sparkSession.createDataFrame([(w,) for w in words], "word string").select(T.match_key(F.col("word")).alias("norm")).distinct()
+    return {r["norm"]: (r["canonical"], r["id"]) for r in lookup.where(F.col("category") == category).join(keys, "norm").collect()}
+
+
+def pick(table: dict[str, tuple[str, str]], key: Column) -> Column:
+    """(name, id) of a key in such a table; null for others."""
+    text = lambda v: F.lit(v).cast("string")
+    return F.coalesce(*(F.when(key == k, F.struct(text(n).alias("name"), text(i).alias("id"))) for k, (n, i) in table.items()), F.lit(None).cast("struct<name:string,id:string>"))
 
 
 def normalise(rows: DataFrame, vocabulary: DataFrame, synonyms: DataFrame, type_words: list[str], overrides: DataFrame | None = None) -> DataFrame:
@@ -53,24 +65,20 @@ def normalise(rows: DataFrame, vocabulary: DataFrame, synonyms: DataFrame, type_
     lookup = attribute_lookup(vocabulary, synonyms)
     out = rows
     if overrides is not None:
-        forced = overrides.select("src_site", "surrogate_key", *(F.col(f"{f}_name").alias(f"_{f}_forced") for f in C.ATTRIBUTES))
+        forced = attach(overrides.select("src_site", "surrogate_key", *(f"{f}_name" for f in C.ATTRIBUTES)), {f: T.match_key(F.col(f"{f}_name")) for f in C.ATTRIBUTES}, ids_of(lookup))
+        forced = forced.select("src_site", "surrogate_key", *(F.col(f"{f}_name").alias(f"_{f}_forced") for f in C.ATTRIBUTES), *(F.col(f"_{f}")["id"].alias(f"_{f}_fid") for f in C.ATTRIBUTES))
         out = out.join(forced, ["src_site", "surrogate_key"], "left")
     else:
-        out = out.withColumns({f"_{f}_forced": F.lit(None).cast("string") for f in C.ATTRIBUTES})
+        out = out.withColumns({f"_{f}_{k}": F.lit(None).cast("string") for f in C.ATTRIBUTES for k in ("forced", "fid")})
     empty, of = F.lit(""), ("category",)
     raw = rows.select(F.explode(F.array(*(F.struct(F.lit(f).alias("category"), F.coalesce(f"raw_{f}", empty).alias("raw")) for f in C.ATTRIBUTES))).alias("x")).select("x.*").distinct()
     words = vocabulary.select("category", "norm", "canonical")
-    whole = resolve.resolve_vocabulary(raw, words, synonyms, by=of)
+    whole = written(resolve.resolve_vocabulary(raw, words, synonyms, by=of))
     several = resolve.resolve_multi(whole.where("value is null and method = 'unresolved'"), words, synonyms, by=of).select("category", "raw", F.col("value").alias("_v"), F.col("confidence").alias("_c"), F.col("method").alias("_m"), "best")
     told = whole.join(several, ["category", "raw"], "left").select("category", "raw", F.coalesce("_v", "value").alias("value"), F.coalesce("_c", "confidence").alias("conf"), F.coalesce("_m", "method").alias("method"), "best")
     told = told.withColumn("norm", T.match_key(F.col("value"))).join(lookup.select("category", "norm", "id"), ["category", "norm"], "left")
-    per = {f: told.where(F.col("category") == f).select(F.col("raw").alias(f"_{f}_raw"), F.struct("value", "conf", "method", "best", "id").alias(f"_{f}")) for f in C.ATTRIBUTES}
-    for f in C.ATTRIBUTES:
-        out = out.join(per[f], F.coalesce(F.col(f"raw_{f}"), empty) == F.col(f"_{f}_raw"), "left").drop(f"_{f}_raw")
-        if overrides is not None:
-            out = with_attribute(out, lookup, f, F.col(f"_{f}_forced"), "_fname", f"_{f}_fid").drop("_fname")
-        else:
-            out = out.withColumn(f"_{f}_fid", F.lit(None).cast("string"))
+    told = written(told.select("category", F.col("raw").alias("_key"), F.struct("value", "conf", "method", "best", "id").alias("x")))
+    out = attach(out, {f: F.col(f"raw_{f}") for f in C.ATTRIBUTES}, told)
     new, flags = {}, []
     for f in C.ATTRIBUTES:
         on, x = F.col(f"_{f}_forced").isNotNull(), F.col(f"_{f}")
@@ -81,7 +89,8 @@ def normalise(rows: DataFrame, vocabulary: DataFrame, synonyms: DataFrame, type_
     out = add_flags(out, *flags).drop(*(f"_{f}" for f in C.ATTRIBUTES), *(f"_{f}_fid" for f in C.ATTRIBUTES), *(f"_{f}_forced" for f in C.ATTRIBUTES))
     blank = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
     word = N.explicit_type_word(F.when(blank("variety_match_key"), F.col("raw_name")).otherwise(F.col("variety_match_key")), type_words)
-    out = with_attribute(out, lookup, "type", word, "_wname", "_wid")
+    kinds = closed(lookup, "type", type_words)
+    out = out.withColumn("_said", pick(kinds, T.match_key(word))).withColumns({"_wname": F.col("_said.name"), "_wid": F.col("_said.id")}).drop("_said")
     wins = F.col("_wid").isNotNull() & (F.lower(word) != F.lower(F.coalesce("type_name", F.lit(""))))
     out = out.withColumns({
         "type_name": F.when(wins, F.col("_wname")).otherwise(F.col("type_name")), "type_id": F.when(wins, F.col("_wid")).otherwise(F.col("type_id")),
@@ -90,7 +99,8 @@ def normalise(rows: DataFrame, vocabulary: DataFrame, synonyms: DataFrame, type_
     form = F.lower(F.trim(F.coalesce("raw_format", F.lit(""))))
     usual = F.coalesce(*(F.when(form == k, F.lit(v)) for k, v in C.LAST_FINISH.items()), F.lit(C.LAST_FINISH["slab"]))
     for f, default in (("finish", F.when(form == "block", F.lit(C.BLOCK_FINISH)).otherwise(usual)), ("quality", F.lit(C.LAST_QUALITY))):
-        out = with_attribute(out, lookup, f, default, "_dname", "_did")
+        usable = closed(lookup, f, [C.BLOCK_FINISH, *C.LAST_FINISH.values()] if f == "finish" else [C.LAST_QUALITY])
+        out = out.withColumn("_last", pick(usable, T.match_key(default))).withColumns({"_dname": F.col("_last.name"), "_did": F.col("_last.id")}).drop("_last")
         fill, block = F.col(f"{f}_id").isNull() & F.col("_did").isNotNull(), (form == "block") & F.lit(f == "finish")
         out = out.withColumn("_fill", fill).withColumn("_block", block)
         out = add_flags(out, F.when(F.col("_fill") & ~F.col("_block"), flag(f, "attr_last_resort", None, F.col("_dname"))))
@@ -109,14 +119,15 @@ def backbone_record(rows: DataFrame, backbone: DataFrame, name: Column, kind: Co
     """
     one = F.struct("name", "type", "colors", "finishes", "qualities")
     keyed = backbone.select("ordinal", T.match_key(F.col("name")).alias("_n"), T.match_key(F.col("type")).alias("_k"), F.transform(F.coalesce("aliases", F.array().cast("array<string>")), T.match_key).alias("_as"), one.alias("r"))
-    first = lambda df, n, *keys: df.groupBy(*keys).agg(F.min_by("r", "ordinal").alias(n))
-    aliased = keyed.withColumn("_n", F.explode("_as")).where("_n <> ''")
-    out = rows.withColumns({"_qn": T.match_key(name), "_qk": T.match_key(kind)})
-    for at, source in enumerate((keyed, aliased)):
-        typed = first(source, f"_t{at}", "_n", "_k").withColumnsRenamed({"_n": "_n1", "_k": "_k1"})
-        untyped = first(source, f"_u{at}", "_n").withColumnRenamed("_n", "_n2")
-        out = out.join(typed, (F.col("_qn") == F.col("_n1")) & (F.col("_qk") == F.col("_k1")), "left").join(untyped, F.col("_qn") == F.col("_n2"), "left").drop("_n1", "_k1", "_n2")
-    by_name, by_alias = (F.when(F.col("_qk") == "", F.col(f"_u{k}")).otherwise(F.col(f"_t{k}")) for k in (0, 1))
+    both = keyed.select("_n", "_k", "ordinal", "r", F.lit(0).alias("at")).unionByName(keyed.select(F.explode("_as").alias("_n"), "_k", "ordinal", "r", F.lit(1).alias("at")).where("_n <> ''"))
+    typed = both.groupBy("_n", "_k", "at").agg(F.min_by("r", "ordinal").alias("r"), F.min("ordinal").alias("o"))
+    per = []
+    for at in (0, 1):  # a name has few types: the vocabulary of types is closed
+        mine = F.col("at") == at
+        per += [F.map_from_entries(F.collect_list(F.when(mine, F.struct("_k", "r")))).alias(f"_t{at}"), F.min_by("r", F.when(mine, F.col("o"))).alias(f"_u{at}")]
+    names = typed.groupBy("_n").agg(*per).withColumnRenamed("_n", "_qn")
+    out = dealt_join(rows.withColumns({"_qn": T.match_key(name), "_qk": T.match_key(kind)}), names, "_qn", "left")
+    by_name, by_alias = (F.when(F.col("_qk") == "", F.col(f"_u{k}")).otherwise(F.try_element_at(F.col(f"_t{k}"), F.col("_qk"))) for k in (0, 1))
     found = F.when(F.col("_u0").isNotNull(), by_name).otherwise(by_alias)  # aliases count only where no name does
     return out.withColumn("record", found).drop("_qn", "_qk", "_t0", "_u0", "_t1", "_u1")
 
@@ -128,7 +139,8 @@ def reconcile(rows: DataFrame, backbone: DataFrame, vocabulary: DataFrame, synon
     """
     lookup = attribute_lookup(vocabulary, synonyms)
     slug = F.regexp_replace(T.type_slug(F.coalesce("variation_key", F.lit("")), slugs), "_", " ")
-    out = with_attribute(rows.withColumn("_bound", F.col("variation_id").isNotNull()), lookup, "type", F.when(F.col("variation_key").isNotNull(), slug), "_ktype", "_kid").drop("_kid")
+    out = attach(rows.withColumn("_bound", F.col("variation_id").isNotNull()), {"type": T.match_key(F.when(F.col("variation_key").isNotNull(), slug))}, ids_of(lookup))
+    out = out.withColumn("_ktype", F.col("_type.canonical")).drop("_type")
     out = out.withColumn("_new", F.coalesce("_ktype", F.when(F.col("type_name") != "", F.col("type_name")), "raw_type"))
     over = F.col("_bound") & F.col("_ktype").isNotNull() & (T.match_key(F.col("type_name")) != T.match_key(F.col("_ktype"))) & (F.coalesce("type_name", F.lit("")) != "")
     out = add_flags(out, F.when(over, flag("type", "type_overridden_by_variety", F.col("type_name"), F.col("_ktype"))))
@@ -157,8 +169,8 @@ def reconcile(rows: DataFrame, backbone: DataFrame, vocabulary: DataFrame, synon
         missed = missed | F.col(f"_miss_{f}")
     outcome = F.when(~F.col("_bound"), "missing_variation").when(F.col("record").isNull(), "no_backbone_record").when(missed, "missing_leaf_child").otherwise("validated")
     out = out.withColumn("outcome", outcome).withColumn("missing_leaves", F.array_compact(F.array(*(F.when(F.col(f"_miss_{f}"), F.lit(f)) for f in ("color", "finish", "quality")))))
-    for f in C.ATTRIBUTES:
-        out = with_attribute(out.drop(f"{f}_id"), lookup, f, F.col(f"{f}_name"), "_c", f"{f}_id").drop("_c")
+    out = attach(out.drop(*(f"{f}_id" for f in C.ATTRIBUTES)), {f: T.match_key(F.col(f"{f}_name")) for f in C.ATTRIBUTES}, ids_of(lookup))
+    out = out.withColumns({f"{f}_id": F.col(f"_{f}")["id"] for f in C.ATTRIBUTES}).drop(*(f"_{f}" for f in C.ATTRIBUTES))
     return out.drop("_bound", "record", "_miss_color", "_miss_finish", "_miss_quality")
 
 
