@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from .. import config as C
 from ..functions import names as N
+from ..functions import kernels as K
 from ..functions import text as T
 
 
@@ -70,9 +71,15 @@ def unresolved_attributes(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode("review_flags").alias("f")).where("f.code = 'attr_unresolved'").groupBy("f.field", "f.raw").agg(F.count("*").alias("n"))
 
 
-def attribute_curation(unresolved: DataFrame, score: Column) -> DataFrame:
-    """Adds a suggestion: synonym from 80, synonym? from 60, else new_value."""
-    return unresolved.withColumn("suggestion", F.when(score >= 80, "synonym").when(score >= 60, "synonym?").otherwise("new_value"))
+def attribute_curation(unresolved: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Adds the likest value of the field's vocabulary (category, canonical), its score, and a suggestion: synonym from 80, synonym? from 60, else new_value.
+
+    A vocabulary is closed, so a field's values are one list; equal scores go to the first in order.
+    """
+    lists = vocabulary.groupBy(F.col("category").alias("field")).agg(F.array_sort(F.collect_set("canonical")).alias("_all"))
+    near = unresolved.join(lists, "field", "left").withColumn("_near", K.nearest(T.match_key(F.col("raw")), F.transform("_all", T.match_key)))
+    scored = near.withColumns({"nearest": F.get("_all", F.col("_near.at")), "score": F.round(F.coalesce("_near.score", F.lit(0.0)), 4)})
+    return scored.withColumn("suggestion", F.when(F.col("score") >= 80, "synonym").when(F.col("score") >= 60, "synonym?").otherwise("new_value")).drop("_all", "_near")
 
 
 def folded_aliases(groups: DataFrame, keys: list[str], name: str, aliases: str, order: list[Column]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from .. import config as C
 from ..functions import kernels as K
+from .joins import written
 
 
 def filled(c: str) -> Column:
@@ -87,11 +88,42 @@ def gate_rows(rows: DataFrame, invariants: list[tuple[str, str, Column]]) -> Dat
     return rows.withColumn("gate_rejects", pick("HARD") if "HARD" in kinds else none).withColumn("gate_flags", pick("SOFT") if "SOFT" in kinds else none)
 
 
-def magnitudes(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+#: Values of one group that a task may hold, and bins of a pass over a larger group.
+HELD, BINS = 1 << 20, 1024
+
+
+def medians(rows: DataFrame, keys: list[str], value: str, held: int = HELD) -> DataFrame:
+    """(keys…, median, n): exact medians of the values that aren't null, also of groups that no task could hold.
+
+    Groups of over `held` values are narrowed first: a pass counts the values of the middle range in equal bins and goes on with those in which the
+    middle lies, until few enough or only one value is left.  A pass needs `BINS` counts for each such group, and there are few such groups.
+    """
+    v = rows.select(*keys, F.col(value).cast("double").alias("_v")).where("_v is not null")
+    sizes = v.groupBy(*keys).agg(F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    sizes = written(sizes)
+    small = v.join(sizes.where(F.col("n") <= held).select(*keys), keys, "left_semi") if not sizes.where(F.col("n") > held).isEmpty() else v
+    out = small.groupBy(*keys).agg(F.percentile("_v", F.lit(0.5)).alias("median"), F.count("*").alias("n"))
+    if small is v:
+        return out
+    at = sizes.where(F.col("n") > held).select(*keys, "n", "lo", "hi", F.lit(0).cast("long").alias("below"), F.col("n").alias("inside"))
+    first, last = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)  # ranks of the one or two values in the middle
+    while not at.where((F.col("inside") > held) & (F.col("lo") < F.col("hi"))).isEmpty():
+        span = F.col("hi") / 2 - F.col("lo") / 2  # halves, so that no difference overflows
+        place = F.when(span > 0, F.least(F.floor((F.col("_v") / 2 - F.col("lo") / 2) / span * BINS), F.lit(BINS - 1))).otherwise(0)
+        counts = v.join(at, keys).where("_v between lo and hi").groupBy(*keys, "n", "below", place.alias("_b")).agg(F.count("*").alias("c"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        before = F.col("below") + F.sum("c").over(Window.partitionBy(*keys).orderBy("_b")) - F.col("c")
+        middle = counts.withColumn("_from", before).where((F.col("_from") <= last) & (F.col("_from") + F.col("c") > first))
+        at = written(middle.groupBy(*keys, "n").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("_from").alias("below"), F.sum("c").alias("inside")))
+    one = at.where("lo = hi").select(*keys, F.col("lo").alias("median"), "n")
+    rest = v.join(at.where("lo < hi"), keys).where("_v between lo and hi").groupBy(*keys, "n", "below").agg(F.sort_array(F.collect_list("_v")).alias("vs"))
+    pick = lambda rank: F.get("vs", (rank - F.col("below")).cast("int"))
+    return out.unionByName(one).unionByName(rest.select(*keys, (pick(first) * 0.5 + pick(last) * 0.5).alias("median"), "n"))
+
+
+def magnitudes(rows: DataFrame, keys: list[str], value: str, held: int = HELD) -> DataFrame:
     """Exact median of the positive values of each group that has enough of them."""
-    v = F.when(F.col(value) > 0, F.col(value))
-    out = rows.groupBy(*keys).agg(F.round(F.percentile(v, F.lit(0.5)), 4).alias("median"), F.count(v).alias("n"))
-    return out.where(F.col("n") >= C.DRIFT_MIN_ROWS)
+    out = medians(rows.withColumn("_m", F.when(F.col(value) > 0, F.col(value))), keys, "_m", held)
+    return out.where(F.col("n") >= C.DRIFT_MIN_ROWS).select(*keys, F.round("median", 4).alias("median"), "n")
 
 
 def drift_status(now: Column, base: Column) -> Column:

@@ -88,11 +88,51 @@ def guarded_product_acks(acks: DataFrame) -> DataFrame:
     return events.withColumn("applied", F.coalesce(seen, F.lit(False))).where("type = 'product'").drop("_v")
 
 
-def reset(state: DataFrame, hard: bool, scope: Column | None = None) -> DataFrame:
-    """Soft: all but retiring rows are served again; hard: ids go too."""
-    on = (scope if scope is not None else F.lit(True)) & (F.col("state") != "retiring")
-    out = state.withColumn("state", F.when(on, "pending").otherwise(F.col("state")))
-    return out.withColumn("remote_id", F.when(on, F.lit(None)).otherwise(F.col("remote_id"))) if hard and "remote_id" in state.columns else out
+def _overlay(state: DataFrame, now: Column, scope: Column | None = None) -> DataFrame:
+    """Rows in scope are served again from nothing: ids and bookkeeping go.  Retiring ones keep theirs, which tell what the other side must delete."""
+    on = (F.lit(True) if scope is None else F.coalesce(scope, F.lit(False))) & (F.col("state") != "retiring")
+    new = {"state": F.lit("pending"), "attempts": F.lit(0)} | {c: F.lit(None) for c in ("remote_id", "last_synced", "error", "abandoned_at", "leased_at")} | {"updated_at": now}
+    kinds = dict(state.dtypes)
+    return state.select(*(F.when(on, new[c].cast(kinds[c])).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in state.columns))
+
+
+def with_tombstones(stones: DataFrame, new: DataFrame, reason: str) -> DataFrame:
+    """Tombstones with new ones (external_id, kind); one that is there already is served again from nothing."""
+    kinds = dict(stones.dtypes)
+    fresh = {"external_id": F.col("external_id"), "kind": F.col("kind"), "state": F.lit("pending"), "reason": F.lit(reason), "attempts": F.lit(0)}
+    rows = new.select("external_id", "kind").distinct()
+    return stones.join(rows.select("external_id"), "external_id", "left_anti").select(*stones.columns).unionByName(rows.select(*(fresh.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in stones.columns)))
+
+
+def reset(tables: dict[str, DataFrame], now: Column, hard: bool = False, sources: list[str] | None = None, prune_stale: bool = False) -> dict[str, DataFrame]:
+    """The tables that a clean start of the sync changes: variations, products, inventory, removed.
+
+    Soft: everything is served again, without ids and bookkeeping, and all stock counts as not synced.  Hard: products and their stock go, and those that
+    the other side knows leave a tombstone.  sources (perhaps none) narrow it to their products and stock, and leave the varieties alone.  prune_stale: without sources,
+    varieties that the last full set lacked and that no product has retire first, each with a tombstone.
+    """
+    v, p, stock, stones = (tables[k] for k in ("variations", "products", "inventory", "removed"))
+    out: dict[str, DataFrame] = {}
+    if sources is None:
+        if prune_stale:
+            gone = stale_varieties(v.where("state <> 'retiring'"), p).select("variation_key", F.lit(True).alias("_gone"))
+            stones = out["removed"] = with_tombstones(stones, gone.select(F.col("variation_key").alias("external_id"), F.lit("variation").alias("kind")), "stale_not_in_seed")
+            v = v.join(gone, "variation_key", "left").withColumn("state", F.when(F.col("_gone"), "retiring").otherwise(F.col("state"))).select(*v.columns)
+        out["variations"] = _overlay(v, now)
+        mine = F.lit(True)
+    else:
+        mine = F.col("source").isin(*sources) if sources else F.lit(False)
+    own = p.where(mine).select("sku").distinct()
+    if hard:
+        known = p.where(mine & (F.trim(F.coalesce("remote_id", F.lit(""))) != "")).select(F.col("sku").alias("external_id"), F.lit("product").alias("kind"))
+        out["removed"] = with_tombstones(stones, known, "reset_dropped")
+        out["products"] = p.where(~F.coalesce(mine, F.lit(False)))
+        out["inventory"] = stock.limit(0) if sources is None else stock.join(own, "sku", "left_anti").select(*stock.columns)
+    else:
+        out["products"] = _overlay(p, now, mine)
+        j = stock.join(own.withColumn("_own", F.lit(True)), "sku", "left")
+        out["inventory"] = j.withColumn("last_synced_qty", F.when(F.lit(sources is None) | F.coalesce("_own", F.lit(False)), F.lit(None)).otherwise(F.col("last_synced_qty"))).select(*stock.columns)
+    return out
 
 
 def purge(products: DataFrame, inventory: DataFrame, reason: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -61,6 +61,14 @@ def contract_drift_report(spark, sf):
     return health.fill_drops(side(1, 60), side(0, 20), ["event_type"])
 
 
+@query("SELECT 'all' AS grp, round(median(l_extendedprice), 4) AS median, count(*) AS n FROM lineitem UNION ALL SELECT l_returnflag, round(median(l_extendedprice), 4), count(*) FROM lineitem GROUP BY 1")
+def hot_group_median(spark, sf):
+    """Medians where one group has all rows: no task holds over 1,000 of its values."""
+    li = t(spark, sf, "lineitem")
+    both = li.select(F.lit("all").alias("grp"), "l_extendedprice").unionByName(li.select(F.col("l_returnflag").alias("grp"), "l_extendedprice"))
+    return health.medians(both, ["grp"], "l_extendedprice", held=1_000).select("grp", F.round("median", 4).alias("median"), "n")
+
+
 @query("""
 WITH m AS (SELECT l_returnflag, year(l_shipdate) AS y, round(median(CASE WHEN l_extendedprice > 0 THEN l_extendedprice END), 4) AS median, count(CASE WHEN l_extendedprice > 0 THEN 1 END) AS n FROM lineitem GROUP BY 1, 2)
 SELECT l_returnflag, y, median, n FROM m WHERE n >= 8
@@ -289,6 +297,10 @@ def projection_tiers(spark, sf):
     return first.unionByName(by("ts").join(first, ["query", "found"], "left_anti").withColumn("tier", F.lit("tokenset")))
 
 
+#: Longest common subsequences of the pairs p (a, b, t: two texts): the last entry of `row`, over lengths m and n.
+LCS = """l AS (SELECT a, b, length(t[1]) AS m, length(t[2]) AS n, list_reduce(list_prepend(list_transform(range(length(t[2]) + 1), lambda x: CAST(0 AS BIGINT)), list_transform(range(1, length(t[1]) + 1), lambda i: [i])),
+  lambda row, i: list_reduce(list_prepend([CAST(0 AS BIGINT)], list_transform(range(1, length(t[2]) + 1), lambda j: [j])),
+    lambda acc, j: list_append(acc, CASE WHEN t[1][i[1]] = t[2][j[1]] THEN row[j[1]] + 1 ELSE greatest(acc[j[1]], row[j[1] + 1]) END))) AS row FROM p)"""
 _TYPOS = "SELECT DISTINCT CASE p_size % 4 WHEN 0 THEN p_name || 's' WHEN 1 THEN replace(p_name, ' ', '') WHEN 2 THEN string_split(p_name, ' ')[2] || ' ' || string_split(p_name, ' ')[1] ELSE p_name[2:] END AS w FROM part"
 
 
@@ -309,9 +321,7 @@ WITH n AS (SELECT DISTINCT p_name AS w FROM part), q AS ({_TYPOS}),
 f AS (SELECT w, array_to_string(list_sort(string_split(w, ' ')), ' ') AS s FROM n), g AS (SELECT w, array_to_string(list_sort(string_split(w, ' ')), ' ') AS s FROM q),
 a AS (SELECT DISTINCT string_split(w, '') AS x, w FROM (SELECT w FROM f UNION SELECT s FROM f UNION SELECT w FROM g UNION SELECT s FROM g)),
 p AS (SELECT g.w AS a, f.w AS b, unnest([[g.w, f.w], [g.s, f.s]]) AS t FROM g JOIN f ON TRUE),
-l AS (SELECT a, b, length(t[1]) AS m, length(t[2]) AS n, list_reduce(list_prepend(list_transform(range(length(t[2]) + 1), lambda x: CAST(0 AS BIGINT)), list_transform(range(1, length(t[1]) + 1), lambda i: [i])),
-  lambda row, i: list_reduce(list_prepend([CAST(0 AS BIGINT)], list_transform(range(1, length(t[2]) + 1), lambda j: [j])),
-    lambda acc, j: list_append(acc, CASE WHEN t[1][i[1]] = t[2][j[1]] THEN row[j[1]] + 1 ELSE greatest(acc[j[1]], row[j[1] + 1]) END))) AS row FROM p)
+{LCS}
 SELECT a, b, round(max(200.0 * row[n + 1] / (m + n)), 4) AS score FROM l GROUP BY a, b HAVING max(200.0 * row[n + 1] / (m + n)) >= 84
 """)
 def likeness_pairs(spark, sf):

@@ -8,7 +8,7 @@ from ..functions import numbers as N
 from ..functions import text as T
 from ..operators import catalog, contracts, control, curation, derive, health, ledger, normalise, resolve
 from ..sources import sinks
-from .catalog_queries import query, t
+from .catalog_queries import LCS, query, t
 
 
 def _word(n: int):
@@ -64,11 +64,12 @@ def attribute_normalise(spark, sf):
 @query(_LISTED + """
 , u AS (SELECT 'type' AS field, p_type AS raw FROM part JOIN n USING (p_partkey) WHERE type_name IS NULL UNION ALL SELECT 'color', string_split(p_name, ' ')[1] FROM part JOIN n USING (p_partkey) WHERE color_name IS NULL AND NOT none
   UNION ALL SELECT 'finish', string_split(p_name, ' ')[2] FROM part JOIN n USING (p_partkey) WHERE f0 IS NULL)
-SELECT field, raw, count(*) AS n, CASE WHEN length(raw) > 6 THEN 'synonym' WHEN length(raw) > 4 THEN 'synonym?' ELSE 'new_value' END AS suggestion FROM u GROUP BY 1, 2
+, k AS (SELECT field, raw, count(*) AS n FROM u GROUP BY 1, 2), p AS (SELECT k.field || ':' || raw AS a, v.name AS b, [lower(raw), lower(v.name)] AS t FROM k JOIN v ON v.category = k.field),
+""" + LCS + """, z AS (SELECT a, b, 200.0 * row[n + 1] / (m + n) AS score FROM l), y AS (SELECT a, max(score) AS score, min(b) AS nearest FROM (SELECT *, max(score) OVER (PARTITION BY a) AS top FROM z) WHERE score = top GROUP BY a)
+SELECT field, raw, n, CASE WHEN score > 0 THEN nearest END AS nearest, round(coalesce(score, 0), 4) AS score, CASE WHEN score >= 80 THEN 'synonym' WHEN score >= 60 THEN 'synonym?' ELSE 'new_value' END AS suggestion FROM k LEFT JOIN y ON y.a = field || ':' || raw
 """)
 def unresolved_attributes(spark, sf):
-    n = F.char_length("raw")
-    return curation.attribute_curation(curation.unresolved_attributes(_listed(spark, sf)), F.when(n > 6, 85.0).when(n > 4, 70.0).otherwise(10.0))
+    return curation.attribute_curation(curation.unresolved_attributes(_listed(spark, sf)), _vocabulary(spark))
 
 
 @query(_LISTED + """

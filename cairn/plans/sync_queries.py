@@ -1,10 +1,12 @@
 """Queries of the sync ledger's batches over the driver's tables, with the SQL that checks them; every query reads its whole tables."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import acks
+from ..operators import acks, ledger
 from .catalog_queries import query, t
 
 _ACK_BATCH = """
@@ -114,3 +116,35 @@ def streaming_lease_state(spark, sf):
     source = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
     leases.run(spark, leases.ledger_rows(source, "1 hour"), f"{root}/log", f"{root}/checkpoint")
     return leases.latest(spark, f"{root}/log")
+
+
+_RESET = """
+WITH v AS (SELECT 'v' || c_custkey AS key, CASE c_nationkey % 4 WHEN 0 THEN 'synced' WHEN 1 THEN 'retiring' ELSE 'dirty' END AS state, c_nationkey % 5 AS attempts, c_acctbal >= 0 AS in_full, c_custkey IN (SELECT o_custkey FROM orders) AS used FROM customer),
+p AS (SELECT 'p' || o_orderkey AS key, o_orderstatus AS st, o_orderpriority LIKE '1%' AS mine, CASE o_orderstatus WHEN 'F' THEN 'synced' WHEN 'O' THEN 'pending' ELSE 'retiring' END AS state, o_orderkey % 5 AS attempts, o_custkey % 5 AS qty FROM orders),
+s AS (SELECT 'v' || c_custkey AS key, 3 AS attempts FROM customer WHERE c_acctbal < 2000 UNION ALL SELECT 'p' || o_orderkey, o_orderkey % 5 FROM orders WHERE o_totalprice > 150000),
+x AS (SELECT *, NOT in_full AND NOT used AND state <> 'retiring' AS gone FROM v)
+SELECT 'soft variations' AS kind, key, CASE WHEN gone OR state = 'retiring' THEN 'retiring' ELSE 'pending' END AS state, CASE WHEN gone OR state = 'retiring' THEN attempts ELSE 0 END AS attempts FROM x
+UNION ALL SELECT 'soft products', key, CASE WHEN state = 'retiring' THEN state ELSE 'pending' END, CASE WHEN state = 'retiring' THEN attempts ELSE 0 END FROM p
+UNION ALL SELECT 'soft inventory', key, 'open', qty FROM p
+UNION ALL SELECT 'soft removed', s.key, 'pending', CASE WHEN s.key IN (SELECT key FROM x WHERE gone) THEN 0 ELSE attempts END FROM s UNION ALL SELECT 'soft removed', key, 'pending', 0 FROM x WHERE gone AND key NOT IN (SELECT key FROM s)
+UNION ALL SELECT 'hard products', key, state, attempts FROM p WHERE NOT mine UNION ALL SELECT 'hard inventory', key, 'held', qty FROM p WHERE NOT mine
+UNION ALL SELECT 'hard removed', key, 'pending', CASE WHEN key IN (SELECT key FROM p WHERE mine AND st = 'F') THEN 0 ELSE attempts END FROM s UNION ALL SELECT 'hard removed', key, 'pending', 0 FROM p WHERE mine AND st = 'F' AND key NOT IN (SELECT key FROM s)
+"""
+
+
+@query(_RESET)
+def reset_state(spark, sf):
+    """A soft reset of everything with stale varieties pruned, and a hard one of one source's products."""
+    ts = _ledger(spark, sf)
+    c, o, now = t(spark, sf, "customer"), t(spark, sf, "orders"), F.lit("2024-05-01").cast("timestamp")
+    ts["variations"] = ts["variations"].join(c.select(_text("v", "c_custkey").alias("variation_key"), (F.col("c_acctbal") >= 0).cast("int").alias("in_full")), "variation_key")
+    ts["products"] = ts["products"].drop("remote_id").join(o.select(_text("p", "o_orderkey").alias("sku"), F.col("o_orderpriority").alias("source"), F.when(F.col("o_orderstatus") == "F", "r").otherwise("").alias("remote_id")), "sku")
+    ts["inventory"] = ts["inventory"].withColumn("last_synced_qty", F.col("qty"))
+    urgent = [r[0] for r in o.select("o_orderpriority").distinct().where("o_orderpriority like '1%'").collect()]
+    keys = {"variations": "variation_key", "products": "sku", "inventory": "sku", "removed": "external_id"}
+
+    def told(label: str, changed: dict) -> list[DataFrame]:
+        state = lambda k: F.when(F.col("last_synced_qty").isNull(), "open").otherwise("held") if k == "inventory" else F.col("state")
+        return [df.select(F.lit(f"{label} {k}").alias("kind"), F.col(keys[k]).alias("key"), state(k).alias("state"), F.col("qty" if k == "inventory" else "attempts").cast("long").alias("attempts")) for k, df in sorted(changed.items())]
+
+    return reduce(DataFrame.unionByName, told("soft", ledger.reset(ts, now, prune_stale=True)) + told("hard", ledger.reset(ts, now, hard=True, sources=urgent)))
