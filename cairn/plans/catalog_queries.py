@@ -348,6 +348,13 @@ def semantic_nn(spark, sf):
     return resolve.semantic_nearest(e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec")), e.select(F.col("vec_id").alias("cid"), "embedding"))
 
 
+@query()
+def semantic_nn_all(spark, sf):
+    """The likest other vector of every vector, through an inverted file; `semantic_nn` is the exact way for a stated set of queries."""
+    e = t(spark, sf, "embeddings").select(F.col("vec_id").alias("cid"), "embedding")
+    return resolve.neighbours(e.select(F.col("cid").alias("qid"), F.col("embedding").alias("qvec")), resolve.neighbour_index(e))
+
+
 @query()
 def hashing_embedder(spark, sf):
     v = t(spark, sf, "part").select("p_name").distinct().withColumn("v", resolve.hashing_embedding(T.match_key(F.col("p_name"))))

@@ -148,3 +148,22 @@ def reset_state(spark, sf):
         return [df.select(F.lit(f"{label} {k}").alias("kind"), F.col(keys[k]).alias("key"), state(k).alias("state"), F.col("qty" if k == "inventory" else "attempts").cast("long").alias("attempts")) for k, df in sorted(changed.items())]
 
     return reduce(DataFrame.unionByName, told("soft", ledger.reset(ts, now, prune_stale=True)) + told("hard", ledger.reset(ts, now, hard=True, sources=urgent)))
+
+
+@query("""
+WITH i AS (SELECT 'p' || o_orderkey AS sku, o_custkey % 5 AS qty, CASE WHEN o_orderstatus = 'F' THEN o_custkey % 5 END AS last FROM orders WHERE o_orderpriority NOT LIKE '5%'),
+r AS (SELECT sku, 'h' || sku AS handle, CAST(qty AS VARCHAR) AS quantity FROM i WHERE last IS DISTINCT FROM qty),
+f AS (SELECT sku, handle, CASE WHEN sku LIKE '%77' THEN '9' ELSE quantity END AS quantity FROM r WHERE sku NOT LIKE '%13')
+SELECT sku, quantity, 'one' AS side FROM (SELECT * FROM r EXCEPT SELECT * FROM f) UNION ALL SELECT sku, quantity, 'two' FROM (SELECT * FROM f EXCEPT SELECT * FROM r)
+""")
+def rendered_stock_differences(spark, sf):
+    """Stock rendered from the ledger against a file that lacks some rows and has others changed."""
+    from ..operators import render
+
+    o = t(spark, sf, "orders")
+    sku = _text("p", "o_orderkey")
+    held = o.where("o_orderpriority not like '5%'").select(sku.alias("sku"), (F.col("o_custkey") % 5).cast("int").alias("qty"), F.when(F.col("o_orderstatus") == "F", F.col("o_custkey") % 5).cast("int").alias("last_synced_qty"))
+    own = render.stock(held, o.select(sku.alias("sku"), F.concat(F.lit("h"), sku).alias("handle")))
+    key, quantity = render.STOCK_COLUMNS[0], render.STOCK_COLUMNS[2]
+    file = own.where(~F.col(key).endswith("13")).withColumn(quantity, F.when(F.col(key).endswith("77"), "9").otherwise(F.col(quantity)))
+    return render.differences(own, file, [key]).select(F.col(key).alias("sku"), F.col(quantity).alias("quantity"), "side")
