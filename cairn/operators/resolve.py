@@ -307,19 +307,6 @@ def alias_decision(probability: Column, despaced: Column, same_type: Column) ->
     )
 
 
-def train_alias_model(pairs: DataFrame):
-    """Logistic model over the pair features of (a, b, label); None for too few pairs."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import StandardScaler
-    from pyspark.ml.functions import array_to_vector
-
-    rows = pairs.select("label", array_to_vector(K.feature_vector("a", "b")).alias("raw"))
-    if rows.where("label = 1").limit(100).count() < 100:
-        return None
-    return Pipeline(stages=[StandardScaler(inputCol="raw", outputCol="features", withMean=True), LogisticRegression(regParam=1e-3)]).fit(rows)
-
-
 def new_aliases(found: DataFrame, known: DataFrame) -> DataFrame:
     """Accepted spellings (variation_id, alias) that are not written back yet; effective from the next run."""
     fold = found.groupBy("variation_id", F.lower("alias").alias("_k")).agg(F.min("alias").alias("alias"))
