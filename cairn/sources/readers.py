@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
+from ..operators import commits
 
 
 def read_scrape(spark: SparkSession, path: str) -> DataFrame:
@@ -15,6 +16,34 @@ def read_scrape(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("_ordinal", F.monotonically_increasing_id())
 
 
+def read_scrape_split(spark: SparkSession, path: str) -> DataFrame:
+    """What `read_scrape` gives of one file, read in as many splits as Spark makes of it: every column a string, `_ordinal` from 0 in file order.
+
+    A line belongs to the record before it if an odd number of quotes stands before it.  Each split's quotes and record starts are counted
+    first; what earlier splits leave, a row for each, is carried over, and then each split's lines find their records by themselves.
+    Line ends inside quotes become plain newlines.
+    """
+    # The header is the first line: no column's name holds a newline.
+    columns = [c.lstrip("\ufeff").strip() for c in spark.read.csv(path, header=True, inferSchema=False, escape='"').columns]
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
+    own = Window.partitionBy("block").orderBy("at")
+    marked = lines.withColumn("q", quotes).withColumn("seen", F.sum("q").over(own) - F.col("q"))  # quotes of the split before the line
+    # Of a split that begins outside quotes the lines with an even count before them start a record, of one that begins inside the others do.
+    sums = marked.groupBy("block").agg(F.sum("q").alias("q"), F.count_if(F.col("seen") % 2 == 0).alias("even"), F.count_if(F.col("seen") % 2 == 1).alias("odd"))
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
+    carried = sums.withColumn("inside", F.coalesce(F.sum("q").over(before), F.lit(0)) % 2)
+    carried = carried.withColumn("starts", F.when(F.col("inside") == 0, F.col("even")).otherwise(F.col("odd")))
+    carried = carried.withColumn("first", F.coalesce(F.sum("starts").over(before), F.lit(0))).select("block", "inside", "first")
+    placed = marked.join(F.broadcast(carried), "block").withColumn("start", ((F.col("seen") + F.col("inside")) % 2 == 0).cast("int"))
+    numbered = placed.withColumn("record", F.col("first") + F.sum("start").over(own) - 1)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "at", "value"))), lambda x: x["value"]), "\n")
+    records = numbered.groupBy("record").agg(text.alias("t")).where("record > 0")
+    schema = ", ".join(f"_c{i} string" for i in range(len(columns)))
+    parsed = records.where("t <> ''").select((F.col("record") - 1).alias("_ordinal"), F.from_csv("t", F.lit(schema), {"escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1"}).alias("r"))
+    return parsed.select(*(F.col(f"r._c{i}").alias(c) for i, c in enumerate(columns)), "_ordinal")
+
+
 def latest_per_source(runs: DataFrame, source: str = "source", at: str = "run_id", usable: Column | None = None) -> DataFrame:
     """The newest usable run of each source; a newer unusable one never supersedes it."""
     rows = runs if usable is None else runs.where(F.coalesce(usable, F.lit(True)))
@@ -42,8 +71,8 @@ def last_of(rows: DataFrame, keys: list[str], values: list[str], ordinal: str =
 
 
 def canonical(spark: SparkSession, path: str) -> DataFrame:
-    """Canonical rows as written; lists are arrays, not text."""
-    return spark.read.parquet(path)
+    """Canonical rows as last published, or of a plain folder; lists are arrays, not text."""
+    return commits.current(spark, path, "canonical") if commits.head(spark, path)[0] else spark.read.parquet(path)
 
 
 def from_source(adapter, load, spark: SparkSession):

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import numbers as N
 from ..functions import text as T
+from ..operators import commits
 
 
-def write_canonical(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").parquet(path)
+def write_canonical(rows: DataFrame, path: str) -> int:
+    """Writes the rows beside what is there and then publishes them, so that a lost driver leaves the rows before; the commit's number."""
+    return commits.publish(rows.sparkSession, path, {"canonical": commits.write_version(rows, path, "canonical")})
 
 
 def cell(c: Column, kind: str) -> Column:
