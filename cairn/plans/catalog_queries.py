@@ -247,6 +247,12 @@ _WORDS = ["red", "blue", "small", "large", "hot", "cold"]
 _SYNONYMS = [("new", "Red"), ("old", "none")]
 
 
+#: Longest common subsequences of the pairs p (a, b, t: two texts): the last entry of `row`, over lengths m and n.
+LCS = """l AS (SELECT a, b, length(t[1]) AS m, length(t[2]) AS n, list_reduce(list_prepend(list_transform(range(length(t[2]) + 1), lambda x: CAST(0 AS BIGINT)), list_transform(range(1, length(t[1]) + 1), lambda i: [i])),
+  lambda row, i: list_reduce(list_prepend([CAST(0 AS BIGINT)], list_transform(range(1, length(t[2]) + 1), lambda j: [j])),
+    lambda acc, j: list_append(acc, CASE WHEN t[1][i[1]] = t[2][j[1]] THEN row[j[1]] + 1 ELSE greatest(acc[j[1]], row[j[1] + 1]) END))) AS row FROM p)"""
+
+
 def _vocabulary(spark):
     return spark.createDataFrame([(w, w.title()) for w in _WORDS], "norm string, canonical string")
 
@@ -262,7 +268,13 @@ def vocab_resolve_exact_synonym(spark, sf):
     return resolve.resolve_vocabulary(raw, _vocabulary(spark), spark.createDataFrame(_SYNONYMS, "norm string, target string"), near=False)
 
 
-@query()
+@query("""
+WITH r AS (SELECT DISTINCT string_split(p_name, ' ')[1] || CASE WHEN p_size % 3 = 0 THEN 'x' ELSE '' END AS raw FROM part), v AS (SELECT unnest(['red', 'blue', 'small', 'large', 'hot', 'cold']) AS w),
+p AS (SELECT raw AS a, w AS b, [raw, w] AS t FROM r JOIN v ON TRUE WHERE raw NOT IN ('new', 'old')), """ + LCS + """,
+z AS (SELECT a, arg_max(b, (200.0 * row[n + 1] / (m + n), b)) AS b, max(200.0 * row[n + 1] / (m + n)) AS s FROM l GROUP BY a)
+SELECT raw, CASE WHEN raw = 'new' THEN 'Red' WHEN s >= 90 THEN upper(b[1]) || b[2:] END AS value, CASE WHEN raw IN ('new', 'old') OR s = 100 THEN 'high' WHEN s >= 90 THEN 'medium' ELSE 'none' END AS confidence,
+CASE WHEN raw = 'new' THEN 'synonym' WHEN raw = 'old' THEN 'synonym_none' WHEN s = 100 THEN 'exact' WHEN s >= 90 THEN 'fuzzy' ELSE 'unresolved' END AS method FROM r LEFT JOIN z ON a = raw
+""")
 def vocab_resolve_fuzzy(spark, sf):
     first = F.get(F.split("p_name", " "), F.lit(0))
     raw = t(spark, sf, "part").select(F.when(F.col("p_size") % 3 == 0, F.concat(first, F.lit("x"))).otherwise(first).alias("raw"))
@@ -297,10 +309,6 @@ def projection_tiers(spark, sf):
     return first.unionByName(by("ts").join(first, ["query", "found"], "left_anti").withColumn("tier", F.lit("tokenset")))
 
 
-#: Longest common subsequences of the pairs p (a, b, t: two texts): the last entry of `row`, over lengths m and n.
-LCS = """l AS (SELECT a, b, length(t[1]) AS m, length(t[2]) AS n, list_reduce(list_prepend(list_transform(range(length(t[2]) + 1), lambda x: CAST(0 AS BIGINT)), list_transform(range(1, length(t[1]) + 1), lambda i: [i])),
-  lambda row, i: list_reduce(list_prepend([CAST(0 AS BIGINT)], list_transform(range(1, length(t[2]) + 1), lambda j: [j])),
-    lambda acc, j: list_append(acc, CASE WHEN t[1][i[1]] = t[2][j[1]] THEN row[j[1]] + 1 ELSE greatest(acc[j[1]], row[j[1] + 1]) END))) AS row FROM p)"""
 _TYPOS = "SELECT DISTINCT CASE p_size % 4 WHEN 0 THEN p_name || 's' WHEN 1 THEN replace(p_name, ' ', '') WHEN 2 THEN string_split(p_name, ' ')[2] || ' ' || string_split(p_name, ' ')[1] ELSE p_name[2:] END AS w FROM part"
 
 
