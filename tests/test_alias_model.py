@@ -29,7 +29,12 @@ def varieties(spark):
     return spark.createDataFrame(rows(), SCHEMA)
 
 
-def test_pairs_and_fit(spark, varieties):
+@pytest.fixture(scope="module")
+def model(varieties):
+    return alias_model.train(varieties)
+
+
+def test_pairs_and_fit(spark, varieties, model):
     pairs = alias_model.training_pairs(varieties).withColumn("x", alias_model.features(*(F.col(c) for c in ("a", "b", "ta", "tb", "ca", "cb")))).collect()
     by_name = {}
     for n, al, t, c in sorted(((n.lower(), [a.lower() for a in al or []], t or "", c or []) for n, al, t, c in rows()), key=lambda v: (v[2], v[1], v[3])):
@@ -41,7 +46,6 @@ def test_pairs_and_fit(spark, varieties):
     extra = lambda p: set(p.a.split()) ^ set(p.b.split())
     for p in pairs[::17]:
         assert p.x[:13] == pytest.approx(K.pair_features(p.a, p.b)) and p.x[13] == float(p.ta != "" and p.ta == p.tb) and p.x[15] == float(bool(extra(p)) and extra(p) <= set(alias_model.GENERIC))
-    model = alias_model.train(varieties)
     learn = [p for p in pairs if not p.held_out]
     x, y = np.array([p.x for p in learn]), np.array([p.label for p in learn], float)
     z = np.c_[(x - x.mean(0)) / (x.std(0) + 1e-9), np.ones(len(x))]
@@ -64,8 +68,7 @@ def test_too_few_names(spark):
     assert alias_model.train(spark.createDataFrame(rows()[:40], SCHEMA)) is None
 
 
-def test_curation_asks_the_model(spark, varieties):
-    model = alias_model.train(varieties)
+def test_curation_asks_the_model(spark, varieties, model):
     name, _, kind, _ = next(v for v in rows() if v[2] == "marble")
     asked = spark.createDataFrame([("The " + name, "marble"), ("The " + name, "granite"), ("Wholly Different Thing", "marble"), (name, "marble"), ("AB12", "")], "name string, type string")
     none = spark.createDataFrame([], "name string, type string")
