@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels as K
 from ..functions import text as T
+from .joins import written
 
 
 def numbered(grams: Column) -> Column:
@@ -61,7 +62,7 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, floor: float, by: tuple[str,
         both = one.select(*by, F.col("name").alias("_whole"), F.explode(F.array(F.struct(F.lit(0).alias("_form"), F.col("name").alias("_t")), F.struct(F.lit(1).alias("_form"), T.tokenset(F.col("name")).alias("_t")))).alias("x")).select(*by, "_whole", "x.*")
         return both.select(*at, F.struct("_whole", "_t").alias("name"), numbered(letter_grams(F.col("_t"), 2)).alias("grams"), _share(F.char_length("_t") * rate - 1).alias("least"))
 
-    met = met_under_rare_grams(forms(left), forms(right), at)
+    met = met_under_rare_grams(written(forms(left)), written(forms(right)), at)
     x, y = F.char_length("a._t"), F.char_length("b._t")
     fits = (200 * F.least(x, y) >= floor * (x + y)) & (F.col("common") >= F.ceil((1.5 * r - 1) * (x + y) - 1))
     pairs = met.where((F.col("a._t") == F.col("b._t")) | fits).select(*by, F.col("a._whole").alias("a"), F.col("b._whole").alias("b")).distinct()
@@ -79,7 +80,7 @@ def jaro_winkler_alike(left: DataFrame, right: DataFrame, least: float) -> DataF
         # The shortest partner has so many letters that all of them are common: n of a's letters with n / len(a) + 1 >= share.
         return one.select("name", numbered(letter_grams(F.col("name"), 1)).alias("grams"), _share(F.char_length("name") * (share - 1) - 1e-9).alias("least"))
 
-    met = met_under_rare_grams(posted(left), posted(right), [])
+    met = met_under_rare_grams(written(posted(left)), written(posted(right)), [])
     x, y = F.char_length("a"), F.char_length("b")
     enough = F.col("common") * (x + y) >= (share - 1e-9) * x * y
     return met.where(enough).drop("common").withColumn("score", K.jaro_winkler_score("a", "b")).where(F.col("score") >= least)

@@ -9,6 +9,7 @@ from .. import config as C
 from ..functions import kernels as K
 from ..functions import text as T
 from . import likeness
+from .joins import written
 
 
 def keep_first(rows: DataFrame, key: Column, ordinal: list[str]) -> DataFrame:
@@ -52,6 +53,7 @@ def resolve_vocabulary(values: DataFrame, vocabulary: DataFrame, synonyms: DataF
     if not near:
         sure = F.when(F.col("method").isNull() | (F.col("method") == "empty"), "none").otherwise("high")
         return done.select(*at, "raw", value.alias("value"), sure.alias("confidence"), F.coalesce("method", F.lit("unresolved")).alias("method"))
+    done = written(done)  # distinct values: several joins build on them
     residue = done.where("method is null").select(*at, "raw", "norm")
     alike = likeness.fuzzy_pairs(residue.select(*at, F.col("norm").alias("name")), vocabulary.select(*at, F.col("norm").alias("name")), floor, by)
     scored = residue.join(alike.select(*at, F.col("a").alias("norm"), F.col("b").alias("_norm"), "score"), [*at, "norm"]).join(words.select(*at, F.col("norm").alias("_norm"), "canonical"), [*at, "_norm"])
