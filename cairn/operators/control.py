@@ -1,12 +1,16 @@
 """Control-plane state: decisions, sources, pending queues.  Small tables, each change a pure function of the last version."""
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import config as C
+from ..functions import digest
 from ..functions import text as T
+from ..streaming.paths import scratch
+from .joins import written
 
 #: Fields that a variety decision keeps, by action.
 DECISION_FIELDS = {"mint": ("color", "type", "country"), "alias": ("target", "target_type"), "reject": ()}
@@ -134,8 +138,29 @@ def search_names(rows: DataFrame, part: str, most: int) -> DataFrame:
     return rows.where(F.contains(F.lower("name"), F.lit(part.lower()))).orderBy(F.lower("name"), "name").limit(most)
 
 
-def backend_fingerprint(ids: DataFrame, column: str = "id") -> DataFrame:
-    """One digest of a table's set of ids: digests of hash ranges, then of those, so no task holds all ids."""
-    parts = ids.select(F.col(column).cast("string").alias("i")).distinct().withColumn("p", F.substring(F.sha2(F.col("i").cast("binary"), 256), 1, 3))
-    ranges = parts.groupBy("p").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("i")), "\n").cast("binary"), 256).alias("h"))
-    return ranges.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat("p", "h"))), "\n").cast("binary"), 256).alias("fingerprint"))
+def backend_fingerprint(ids: DataFrame, column: str = "id", held: int = 200_000) -> DataFrame:
+    """(fingerprint): 16 hexadecimal digits of the SHA-256 of all different ids in their byte order, each with a zero byte after it; null ids don't count.
+
+    The digest takes them in one order, so ranges of about `held` ids follow each other; a task reads one range, and hands the digest's state, some hundred bytes, to the next.
+    """
+    spark = ids.sparkSession
+    one = written(ids.select(F.col(column).cast("string").alias("i")).where("i is not null").distinct())
+    ranges = one.count() // held + 1
+    path = scratch(spark, "ids")
+    one.repartitionByRange(ranges, "i").withColumn("range", F.spark_partition_id()).write.partitionBy("range").parquet(path)
+    rows, state = spark.read.schema("i string, range int").parquet(path), digest.start()
+    for r in range(ranges):
+
+        def go_on(batches, at=state):
+            for b in batches:
+                at = digest.taken(at, b"".join(x.encode() + b"\0" for x in b.column(0).to_pylist()))
+            yield pa.RecordBatch.from_pylist([{"words": list(at[0]), "n": at[1], "rest": at[2]}])
+
+        got = rows.where(F.col("range") == r).select("i").coalesce(1).sortWithinPartitions("i").mapInArrow(go_on, "words array<long>, n long, rest binary").first()
+        state = state if got is None else (tuple(got["words"]), got["n"], bytes(got["rest"]))
+    return spark.createDataFrame([(digest.hexed(state)[:16],)], "fingerprint string")
+
+
+def drifted(ids: DataFrame, pinned: str | None) -> bool:
+    """Whether a pinned fingerprint isn't that of the ids; nothing pinned yet is no drift."""
+    return bool(pinned) and backend_fingerprint(ids).first()[0] != pinned

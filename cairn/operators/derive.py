@@ -115,6 +115,19 @@ def apply_overrides(rows: DataFrame, overrides: DataFrame, iso: list[str]) -> Da
     }).drop("_bundle_size", "_origin", "_title", "_description")
 
 
+def category(rows: DataFrame, vocabulary: DataFrame, own: dict[str, str] | None = None) -> DataFrame:
+    """Adds category_pcat_id and category_method to rows with the format ladder's `format`: the id of the format's label, else the registry's own id (branch: id), else null.
+
+    vocabulary (label, pcat_id, ordinal): the last id of a label counts, an empty one is none.  A format that is no category has no id; a row without a format has a method all the same.
+    """
+    branch = {b: f"{b.capitalize()}s" for b in C.CATEGORIES}
+    told = vocabulary.where(F.col("label").isin(*branch.values()) & (F.trim("pcat_id") != "")).groupBy("label").agg(F.max_by("pcat_id", "ordinal").alias("_told"))
+    label = F.coalesce(*(F.when(F.col("format.value") == b, F.lit(x)) for b, x in branch.items()))
+    mine = F.coalesce(*(F.when((F.col("format.value") == b) & F.lit(x != ""), F.lit(x)) for b, x in (own or {}).items()), F.lit(None).cast("string"))
+    j = rows.withColumn("_label", label).join(F.broadcast(told.withColumnRenamed("label", "_label")), "_label", "left")  # a row for each category at most
+    return j.withColumns({"category_pcat_id": F.coalesce("_told", mine), "category_method": F.concat(F.lit("format:"), F.coalesce("format.method", F.lit("unknown")))}).drop("_label", "_told")
+
+
 def dimension(raw: Column, form: Column, which: int) -> Column:
     """Metres rounded to three places with method and an out-of-range mark; 0, 1, 2: length, width, thickness."""
     parsed = N.parse_thickness(raw) if which == 2 else N.parse_face(raw)

@@ -1,6 +1,8 @@
 """Keys, duplicates, vocabulary resolution and the variety ladder."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,7 +11,7 @@ from .. import config as C
 from ..functions import kernels as K
 from ..functions import text as T
 from . import likeness
-from .joins import written
+from .joins import dealt_join, written
 
 
 def keep_first(rows: DataFrame, key: Column, ordinal: list[str]) -> DataFrame:
@@ -313,3 +315,13 @@ def new_aliases(found: DataFrame, known: DataFrame) -> DataFrame:
     """Accepted spellings (variation_id, alias) that are not written back yet; effective from the next run."""
     fold = found.groupBy("variation_id", F.lower("alias").alias("_k")).agg(F.min("alias").alias("alias"))
     return fold.join(known.select("variation_id", F.lower("alias").alias("_k")), ["variation_id", "_k"], "left_anti").drop("_k")
+
+
+def variation_keys(rows: DataFrame, branches: list[DataFrame], variation: str = "variation_id") -> DataFrame:
+    """Adds `variation_key` of the matched variety's id: of the first branch (id, key) that has it, null for none.
+
+    Products hold on to the key: ids change when the other side gives its own.  The last of a branch's rows by key counts; an empty id has none.
+    """
+    every = reduce(DataFrame.unionByName, (b.select(F.col("id").cast("string").alias("_id"), "key", F.lit(i).alias("_at")) for i, b in enumerate(branches)))
+    first = every.where("_id <> ''").groupBy("_id", "_at").agg(F.max("key").alias("key")).groupBy("_id").agg(F.min_by("key", "_at").alias("variation_key"))
+    return dealt_join(rows.withColumn("_id", F.col(variation).cast("string")), first, "_id", "left").drop("_id")

@@ -4,9 +4,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import source_requests
+from ..operators import commits, control, derive, resolve, source_requests, writethrough
+from ..streaming.paths import scratch
 from .catalog_queries import query, t
 
+_AT = "2024-01-01"
 _ADAPTERS = 100  # sources that code knows
 
 
@@ -65,3 +67,80 @@ def _sources(spark, sf) -> tuple[dict[str, DataFrame], DataFrame]:
     port = F.when(value < 10, F.lit(" ")).otherwise(F.concat(F.lit("q"), F.floor(value).cast("string")))
     asked = e.select(F.col("event_id").alias("n"), name("user_id").alias("source"), verb.alias("verb"), code.alias("source_code"), F.array(port).alias("ports"), (value < 60).alias("enabled"))
     return {"sources": sources, "removed": removed, "products": products}, asked
+
+
+@query("""
+SELECT substr(sha256(string_agg(i || chr(0), '' ORDER BY i)), 1, 16) AS fingerprint
+FROM (SELECT DISTINCT 'part_' || p_partkey AS i FROM part UNION SELECT 'cust_' || c_custkey FROM customer UNION SELECT p_name FROM part UNION SELECT s_name FROM supplier)
+""")
+def id_fingerprint(spark, sf):
+    """The digest of all ids and names in their order, range after range."""
+    col = lambda table, c: t(spark, sf, table).select(c.alias("id"))
+    told = lambda word, c: F.concat(F.lit(word), F.col(c).cast("string"))
+    ids = col("part", told("part_", "p_partkey")).unionByName(col("customer", told("cust_", "c_custkey"))).unionByName(col("part", F.col("p_name"))).unionByName(col("supplier", F.col("s_name")))
+    return control.backend_fingerprint(ids, held=1_000)
+
+
+@query("""
+WITH b AS (SELECT 'v' || p_partkey AS id, 'slab-' || lower(p_name) || '-' || p_partkey AS key, 0 AS o FROM part WHERE p_size <= 20 UNION ALL SELECT 'v' || p_partkey, 'block-' || p_partkey, 1 FROM part WHERE p_size BETWEEN 10 AND 30 UNION ALL SELECT 'v' || p_partkey, 'tile-' || p_type, 2 FROM part WHERE p_size BETWEEN 25 AND 40)
+SELECT l_orderkey, l_linenumber, key AS variation_key FROM lineitem LEFT JOIN (SELECT id, arg_min(key, o) AS key FROM b GROUP BY id) k ON k.id = 'v' || l_partkey
+""")
+def variation_keys(spark, sf):
+    """Each listed product's variety by its stable key, from the first branch that has its id."""
+    p, size = t(spark, sf, "part"), F.col("p_size")
+    id_ = F.concat(F.lit("v"), F.col("p_partkey").cast("string")).alias("id")
+    slab = p.where(size <= 20).select(id_, F.concat(F.lit("slab-"), F.lower("p_name"), F.lit("-"), F.col("p_partkey").cast("string")).alias("key"))
+    block = p.where(size.between(10, 30)).select(id_, F.concat(F.lit("block-"), F.col("p_partkey").cast("string")).alias("key"))
+    tile = p.where(size.between(25, 40)).select(id_, F.concat(F.lit("tile-"), F.col("p_type")).alias("key"))
+    rows = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.concat(F.lit("v"), F.col("l_partkey").cast("string")).alias("variation_id"))
+    return resolve.variation_keys(rows, [slab, block, tile]).select("l_orderkey", "l_linenumber", "variation_key")
+
+
+@query("""
+WITH v AS (SELECT CASE n_regionkey WHEN 0 THEN 'Blocks' WHEN 1 THEN 'Slabs' WHEN 2 THEN 'Tiles' ELSE 'Others' END AS label, CASE WHEN n_regionkey = 2 THEN ' ' ELSE 'pcat_' || n_nationkey END AS id, n_nationkey AS o FROM nation),
+m AS (SELECT label, arg_max(id, o) AS id FROM v WHERE trim(id) <> '' GROUP BY label),
+f AS (SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'block' WHEN 1 THEN 'slab' WHEN 2 THEN CASE WHEN p_size > 25 THEN 'tile' ELSE 'slab' END ELSE 'mosaic' END AS f, CASE p_size % 4 WHEN 0 THEN 'tag' WHEN 1 THEN 'name_word' WHEN 2 THEN CASE WHEN p_size > 25 THEN 'tag' ELSE 'default' END ELSE 'override' END AS method FROM part)
+SELECT p_partkey, CASE f WHEN 'block' THEN (SELECT id FROM m WHERE label = 'Blocks') WHEN 'slab' THEN (SELECT id FROM m WHERE label = 'Slabs') WHEN 'tile' THEN 'pcat_own' END AS category_pcat_id, 'format:' || method AS category_method FROM f
+""")
+def row_categories(spark, sf):
+    """Each product's category by its format: the vocabulary's id of the label, else the registry's own."""
+    k = F.col("p_size") % 4
+    told = derive.format_ladder(F.when(k == 3, "Mosaic"), F.when(k == 0, "Blocks").when((k == 2) & (F.col("p_size") > 25), "tile"), F.when(k == 1, F.concat("p_name", F.lit(" slabs"))).otherwise("plain"), F.lit(False))
+    region = F.col("n_regionkey")
+    words = t(spark, sf, "nation").select(F.when(region == 0, "Blocks").when(region == 1, "Slabs").when(region == 2, "Tiles").otherwise("Others").alias("label"), F.when(region == 2, " ").otherwise(F.concat(F.lit("pcat_"), F.col("n_nationkey").cast("string"))).alias("pcat_id"), F.col("n_nationkey").alias("ordinal"))
+    return derive.category(t(spark, sf, "part").withColumn("format", told), words, {"tile": "pcat_own", "slab": "unused"}).select("p_partkey", "category_pcat_id", "category_method")
+
+
+@query("""
+WITH v AS (SELECT 'v' || p_partkey AS key, p_size % 2 = 0 AS seeded, p_size % 3 = 0 AS full_, p_size % 5 = 0 AS changed FROM part),
+o AS (SELECT 'o' || o_orderkey AS key, o_orderstatus AS st, o_orderkey, CAST(floor(o_totalprice / 1000) AS INT) AS q FROM orders)
+SELECT 'variation' AS kind, key, CASE WHEN NOT seeded THEN 'pending' WHEN full_ AND changed THEN 'dirty' ELSE 'synced' END AS state, CAST(NULL AS INT) AS qty, CAST(NULL AS INT) AS last_synced_qty FROM v WHERE seeded OR full_
+UNION ALL SELECT 'product', key, CASE WHEN st = 'P' AND o_orderkey % 2 = 0 THEN 'dirty' WHEN st = 'P' THEN 'synced' ELSE 'pending' END, NULL, NULL FROM o
+UNION ALL SELECT 'inventory', key, NULL, CASE WHEN st = 'F' THEN 0 ELSE q END, CASE WHEN st = 'P' THEN q + 1 END FROM o
+""")
+def write_through(spark, sf):
+    """A catalog and two runs of a source recorded by three commits; the second run changes nothing but stock that it lists or lacks."""
+    root, now = scratch(spark, "ledger"), F.lit(_AT).cast("timestamp")
+    k, part = F.col("p_size"), t(spark, sf, "part")
+    variety = F.concat(F.lit("v"), F.col("p_partkey").cast("string")).alias("variation_key")
+    synced = [F.lit("synced").alias("state"), now.alias("created_at"), now.alias("updated_at")]
+    o = t(spark, sf, "orders").select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("sku"), "o_orderkey", "o_orderstatus", F.floor(F.col("o_totalprice") / 1000).cast("int").alias("qty"))
+    older, turned = F.col("o_orderstatus") == "P", F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 2 == 0), "h2").otherwise("h").alias("payload_hash")
+    seeds = {
+        "variations": part.where(k % 2 == 0).select(variety, F.lit("h").alias("payload_hash"), *synced),
+        "products": o.where(older).select("sku", F.lit("h").alias("payload_hash"), *synced),
+        "inventory": o.where(older).select("sku", (F.col("qty") + 1).alias("qty"), (F.col("qty") + 1).alias("last_synced_qty")),
+    }
+    full = part.where(k % 3 == 0).select(variety, F.when(k % 5 == 0, "h2").otherwise("h").alias("payload_hash"))
+    run, none = o.select("sku", turned, "qty"), o.limit(0).select("sku")
+    done = [
+        writethrough.record_catalog(spark, root, full, now, seeds),
+        writethrough.record_source(spark, root, run, none, now, seeds),
+        writethrough.record_source(spark, root, run.where("payload_hash = 'h2'"), o.where("o_orderstatus = 'F'").select("sku"), now, seeds),
+    ]
+    if not all(done):
+        raise RuntimeError("a run did not reach the ledger")
+    at, nil = commits.read(spark, root), F.lit(None).cast("int")
+    states = [at[f"{x}s"].select(F.lit(x).alias("kind"), F.col(c).alias("key"), "state", nil.alias("qty"), nil.alias("last_synced_qty")) for x, c in (("variation", "variation_key"), ("product", "sku"))]
+    stock = at["inventory"].select(F.lit("inventory").alias("kind"), F.col("sku").alias("key"), F.lit(None).cast("string").alias("state"), "qty", "last_synced_qty")
+    return states[0].unionByName(states[1]).unionByName(stock)
