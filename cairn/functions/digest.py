@@ -3,6 +3,11 @@ from __future__ import annotations
 
 import math
 import struct
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no copy of this package
 
 _WORD = 0xFFFFFFFF
 State = tuple[tuple[int, ...], int, bytes]  # eight words, bytes taken, bytes that don't fill a block yet

@@ -151,9 +151,9 @@ def backend_fingerprint(ids: DataFrame, column: str = "id", held: int = 200_000)
     rows, state = spark.read.schema("i string, range int").parquet(path), digest.start()
     for r in range(ranges):
 
-        def go_on(batches, at=state):
+        def go_on(batches, at=state, taken=digest.taken):
             for b in batches:
-                at = digest.taken(at, b"".join(x.encode() + b"\0" for x in b.column(0).to_pylist()))
+                at = taken(at, b"".join(x.encode() + b"\0" for x in b.column(0).to_pylist()))
             yield pa.RecordBatch.from_pylist([{"words": list(at[0]), "n": at[1], "rest": at[2]}])
 
         got = rows.where(F.col("range") == r).select("i").coalesce(1).sortWithinPartitions("i").mapInArrow(go_on, "words array<long>, n long, rest binary").first()

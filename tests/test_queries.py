@@ -3,9 +3,9 @@ import duckdb
 import pytest
 
 from cairn.plans import catalog_queries as Q
-from cairn.plans import control_queries, lifecycle_queries, stage_queries, sync_queries
+from cairn.plans import control_queries, curated_queries, lifecycle_queries, stage_queries, sync_queries
 
-assert stage_queries.query is control_queries.query is lifecycle_queries.query is sync_queries.query is Q.query  # all register their queries in one place
+assert stage_queries.query is control_queries.query is curated_queries.query is lifecycle_queries.query is sync_queries.query is Q.query  # all register their queries in one place
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
