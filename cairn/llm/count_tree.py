@@ -29,7 +29,6 @@ An empty table gives no rows.  Other columns are not read.  Two different hashes
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -48,7 +47,6 @@ BLOOM_MOST = 26
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache
 def class_tops() -> np.ndarray:
     tops = [8]
     while tops[-1] < 1 << 31:
@@ -56,8 +54,11 @@ def class_tops() -> np.ndarray:
     return np.array(tops, dtype=np.int64)
 
 
+TOPS = class_tops()  # an array, as a cached function would travel to workers by name
+
+
 def size_class(n: int) -> int:
-    return int(np.searchsorted(class_tops(), n))
+    return int(np.searchsorted(TOPS, n))
 
 
 def most_apart(total: int, percent: int) -> int:
@@ -67,7 +68,7 @@ def most_apart(total: int, percent: int) -> int:
 
 def groups_of(k: int) -> int:
     """Groups of the points that meet in class k: a power of two."""
-    return max(LEAST_GROUPS, 1 << int(class_tops()[k] // MEMBERS).bit_length())
+    return max(LEAST_GROUPS, 1 << int(TOPS[k] // MEMBERS).bit_length())
 
 
 def classes_of(n: int, percent: int) -> range:
@@ -83,7 +84,7 @@ def part_keys(own: np.ndarray, percent: int) -> np.ndarray:
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(own))))
     out = []
     for k in classes_of(n, percent):
-        m = most_apart(2 * int(class_tops()[k]), percent) + 1
+        m = most_apart(2 * int(TOPS[k]), percent) + 1
         inner = np.array([(j << 64) // m for j in range(1, m)], dtype=np.uint64)
         at = np.concatenate(([0], np.searchsorted(own, inner), [n]))
         salt = mix64(np.arange(m, dtype=np.uint64) * ODD + np.uint64(k))

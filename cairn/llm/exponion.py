@@ -171,12 +171,12 @@ def clusters(df: DataFrame, k: int = K, rounds: int = ROUNDS, id_column: str = "
     c = first_centroids(rows, k, seed, dim, scale)
     if not len(c):
         return spark.createDataFrame([], f"id {kind}, cluster int, distance long"), c
-    shared = spark.sparkContext.broadcast(Neighbours(c))
+    shared = spark.sparkContext.broadcast(c)  # arrays alone: broadcasts carry a class by its name, which workers may not know
 
     def begin(batches: Iterator, shared=shared) -> Iterator:
         import pyarrow as pa
 
-        near = shared.value
+        near = Neighbours(shared.value)
         for batch in batches:
             if batch.num_rows:
                 x = _whole(batch, dim, scale)
@@ -188,7 +188,7 @@ def clusters(df: DataFrame, k: int = K, rounds: int = ROUNDS, id_column: str = "
         def run(batches: Iterator) -> Iterator:
             import pyarrow as pa
 
-            near, (own, most) = shared.value, shift
+            near, (own, most) = Neighbours(shared.value), shift
             for batch in batches:
                 if not batch.num_rows:
                     continue
@@ -210,7 +210,7 @@ def clusters(df: DataFrame, k: int = K, rounds: int = ROUNDS, id_column: str = "
         new = moved(state, c)
         far = np.sqrt(own_squared(new, c).astype(np.float64)) * UP
         most = np.array([max(np.delete(far, a), default=0.0) for a in range(len(c))])
-        c, shared = new, spark.sparkContext.broadcast(Neighbours(new))
+        c, shared = new, spark.sparkContext.broadcast(new)
         last, state = state, state.mapInArrow(released(again(shared, (far, most))), f"id {kind}, {STATE}").persist(StorageLevel.DISK_ONLY)
         state.count()
         last.unpersist()

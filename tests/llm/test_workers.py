@@ -1,9 +1,12 @@
 """Workers that can't import this repository, as on a cluster that has no copy of it."""
+import importlib
 import os
 import subprocess
 import sys
 from pathlib import Path
 
+from cairn.llm import queries
+
 REPO = str(Path(__file__).resolve().parents[2])
 SCRIPT = """
 import sys
@@ -27,3 +30,10 @@ def test_every_query_without_the_repository_on_the_workers_path(sf_tiny, tmp_pat
     script.write_text(SCRIPT.format(repo=REPO, folder=str(tmp_path / "checkpoint"), sf=sf_tiny))
     done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
     assert "done" in done.stdout, done.stderr[-3000:]
+
+
+def test_no_function_travels_by_name():
+    """A cached function is pickled by its name, which workers without the repository can't look up."""
+    for module in queries.MODULES.values():
+        own = vars(importlib.import_module(f"cairn.llm.{module}"))
+        assert not [name for name, x in own.items() if hasattr(x, "cache_info")], module
