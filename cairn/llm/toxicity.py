@@ -115,7 +115,7 @@ class Trees:
             for _ in range(DEPTH):
                 level = []
                 for k in range(int(node.max()) + 1 if not tree else 2 ** len(tree)):
-                    level.append(self._split(b, grad, hess, np.flatnonzero(node == k)))
+                    level.append(self._split(b, grad, hess, np.flatnonzero(node == k), UNIT))
                 f, t = (np.array(v) for v in zip(*level, strict=True))
                 tree.append((f, t))
                 node = 2 * node + (b[np.arange(len(y)), f[node]] >= t[node])
@@ -128,19 +128,20 @@ class Trees:
         return self
 
     @staticmethod
-    def _split(b: np.ndarray, grad: np.ndarray, hess: np.ndarray, rows: np.ndarray) -> tuple[int, int]:
-        best, at = 1e-9 * UNIT, (0, 1 << 30)
+    def _split(b: np.ndarray, grad: np.ndarray, hess: np.ndarray, rows: np.ndarray, unit: float = 1.0) -> tuple[int, int]:
+        """(feature, bin) of the best split; gradients are multiples of 1 / unit, given times `unit`."""
+        best, at = 1e-9 * unit, (0, 1 << 30)
         if len(rows) < 2 * LEAF:
             return at
         g, h = grad[rows], hess[rows]
-        whole = g.sum() ** 2 / (h.sum() + UNIT)
+        whole = g.sum() ** 2 / (h.sum() + unit)
         for f in range(b.shape[1]):
             v = b[rows, f]
             n = int(v.max()) + 1
             cg, ch, cn = (np.cumsum(np.bincount(v, w, n))[:-1] for w in (g, h, None))
             if not len(cg):
                 continue
-            gain = cg**2 / (ch + UNIT) + (g.sum() - cg) ** 2 / (h.sum() - ch + UNIT) - whole
+            gain = cg**2 / (ch + unit) + (g.sum() - cg) ** 2 / (h.sum() - ch + unit) - whole
             gain[(cn < LEAF) | (len(rows) - cn < LEAF)] = -1
             k = int(gain.argmax())
             if gain[k] > best:

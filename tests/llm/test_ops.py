@@ -491,3 +491,11 @@ def test_op3_split_is_the_best_of_all():
             if min(left.sum(), (~left).sum()) >= toxicity.LEAF:
                 gain[f, cut] = sum(grad[m].sum() ** 2 / (hess[m].sum() + 1) for m in (left, ~left)) - grad.sum() ** 2 / (hess.sum() + 1)
     assert toxicity.Trees._split(b, grad, hess, rows_) == max(gain, key=gain.get)
+
+
+def test_op3_split_is_the_same_in_every_unit():
+    r = np.random.default_rng(8)
+    b, unit = r.integers(0, 6, size=(80, 3)), 1 << 24
+    grad, hess = np.rint(r.normal(size=80) * unit), np.rint(r.uniform(0.1, 0.25, size=80) * unit)
+    one = toxicity.Trees._split(b, grad / unit, hess / unit, np.arange(80))
+    assert one == toxicity.Trees._split(b, grad, hess, np.arange(80), unit) and one != (0, 1 << 30)
