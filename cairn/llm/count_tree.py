@@ -16,7 +16,8 @@ entries that can't reach the similarity goes with all below it.
 
 Verifying.  The pairs that are left are counted exactly.  As only components are asked for, two rounds
 propose a spanning forest for each bucket (from the point nearest to the mean, then through the tree); the last proposes every
-pair that isn't joined by then and hasn't been counted.  So no link is lost between components, and groups of
+pair that isn't joined by then and hasn't been counted.  A bucket of one task whose proposals were all right is settled and
+isn't searched again: they joined all that could link.  So no link is lost between components, and groups of
 many near copies are not expanded into all pairs.
 
 A bucket of over `BUCKET` nodes is dealt to many tasks, with common pivots in the first rounds; in the last, what isn't of its largest
@@ -34,17 +35,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import ODD, bloom, may_hold, sifted
 from .common import bound_batches, cut, mix64, parts, released, shared_path, spread_join, text_or_empty
 from .components import connected_components
 from .simhash import _node, settle, shingle_set
-from .vectors import tree_sum
 
 WORDS, PERCENT = 3, 90
 #: Growth of the size classes, members to a group of the points, and the least number of groups.
 GROWTH, MEMBERS, LEAST_GROUPS = 1.5, 4, 16
 FAN, BUCKET, PIVOTS, CELLS, HELD = 16, 4_096, 8, 2_000_000, 16 << 20
-BLOOM_MOST = 26
-ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def class_tops() -> np.ndarray:
@@ -121,34 +120,6 @@ def _rows(words: int, percent: int):
     return run
 
 
-def _places(x: np.ndarray, bits: int) -> Iterator[np.ndarray]:
-    for i in range(3):
-        yield mix64(x * ODD + np.uint64(i + 1)) >> np.uint64(64 - bits)
-
-
-def bloom(values: DataFrame):
-    """Broadcast (bits, filter) of a column `x` of longs: a fixed size at most, so beyond some millions of values it lets more through, but never drops one."""
-    n = values.count()
-    bits = int(np.clip((16 * n).bit_length(), 12, BLOOM_MOST))
-
-    def add(state, batch):
-        x = batch.column("x").to_numpy(zero_copy_only=False).view(np.uint64)
-        for at in _places(x, bits):
-            np.bitwise_or.at(state, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-        return state
-
-    held = tree_sum(values, lambda: np.zeros(1 << (bits - 3), np.uint8), add, np.bitwise_or)
-    return values.sparkSession.sparkContext.broadcast((bits, held))
-
-
-def _may_hold(filter, x: np.ndarray) -> np.ndarray:
-    bits, held = filter
-    keep = np.ones(len(x), bool)
-    for at in _places(x, bits):
-        keep &= (held[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-    return keep
-
-
 def _keyed(rows: DataFrame, held=None) -> DataFrame:
     """(key, node) of every row's keys, or of those that a filter may hold."""
 
@@ -159,7 +130,7 @@ def _keyed(rows: DataFrame, held=None) -> DataFrame:
             raw = batch.column("keys").to_pylist()
             keys = np.frombuffer(b"".join(raw), dtype=np.uint64)
             nodes = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), [len(x) // 8 for x in raw])
-            keep = _may_hold(held.value, keys) if held is not None else slice(None)
+            keep = may_hold(held.value, keys) if held is not None else slice(None)
             yield pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), pa.array(nodes[keep])], ["key", "node"])
 
     return rows.select("node", "keys").mapInArrow(released(run), "key long, node long")
@@ -181,9 +152,14 @@ def _sets(words: int, percent: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        seen: set[int] = set()  # a node has one id, so its rows are in one task, but for an id of so many rows that Spark splits it
         for batch in batches:
             own = [shingle_set(x.as_buffer().to_pybytes(), words) for x in batch.column("text")]
-            same = np.array([_node(x) == n for x, n in zip(own, batch.column("node").to_pylist(), strict=True)], dtype=bool)  # an id can stand with other texts too
+            same = np.zeros(len(own), dtype=bool)
+            for k, (x, n) in enumerate(zip(own, batch.column("node").to_pylist(), strict=True)):
+                same[k] = n not in seen and _node(x) == n  # an id can stand with other texts too
+                if same[k]:
+                    seen.add(n)
             points = [point(x, groups_of(classes_of(len(x), percent)[-1])).tobytes() for x in own]
             cols = [batch.column("node"), pa.array([len(x) for x in own], pa.int64()), pa.array(points, pa.binary()), pa.array([x.tobytes() for x in own], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, ["node", "n", "point", "own"]).filter(pa.array(same))
@@ -193,16 +169,8 @@ def _sets(words: int, percent: int):
 
 def _texts(slim: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows (id, node, text) of the wanted (node, id)."""
-    held = bloom(wanted.select(F.xxhash64("id").alias("x")))
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            yield batch.select(["id", "text"]).filter(pa.array(_may_hold(held.value, batch.column("x").to_numpy(zero_copy_only=False).view(np.uint64))))
-
-    marked = slim.where("id is not null").withColumn("x", F.xxhash64("id"))
-    return marked.mapInArrow(released(run), slim.schema).join(wanted, "id")
+    known = slim.where("id is not null")
+    return sifted(known, F.xxhash64("id"), wanted.select(F.xxhash64("id").alias("x"))).join(wanted, "id")
 
 
 def overlap(points: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -371,14 +339,15 @@ def _searched(placed: DataFrame, points: DataFrame, percent: int, every: bool) -
     return dealt.mapInArrow(released(_candidates(percent, every)), "a long, b long").distinct()
 
 
-def _proposed(members: DataFrame, points: DataFrame, percent: int, every: bool, most: int = BUCKET) -> DataFrame:
-    """Pairs of the buckets (key, node, label); buckets of over `most` nodes are dealt to several tasks."""
+def _proposed(members: DataFrame, points: DataFrame, percent: int, every: bool, most: int = BUCKET) -> tuple[DataFrame, DataFrame]:
+    """(pairs, keys) of the buckets (key, node, label): those of over `most` nodes are dealt to several tasks, and theirs are the keys."""
     cls = F.col("key").bitwiseAND(F.lit(63)).cast("int").alias("cls")
     size = cut(members.groupBy("key").agg(F.count("*").alias("n"), F.ceil(F.count("*") / most).cast("long").alias("deals")))
     sized = spread_join(members, size.drop("n"), ["key"])
     small = sized.where("deals = 1").select(cls, F.col("key").alias("met"), "node", "label")
-    if size.where("deals > 1").isEmpty():
-        return _searched(small, points, percent, every)
+    dealt = size.where("deals > 1").select("key")
+    if dealt.isEmpty():
+        return _searched(small, points, percent, every), dealt
     large = cut(sized.where("deals > 1").withColumn("deal", F.pmod(F.xxhash64("node"), "deals")))
     all_deals = lambda rows: rows.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)))
     if not every:
@@ -393,7 +362,7 @@ def _proposed(members: DataFrame, points: DataFrame, percent: int, every: bool,
         answers = marked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         placed = asked.unionByName(answers).dropDuplicates(["key", "deal", "block", "node"])
         met = F.xxhash64("key", "deal", "block")
-    return _searched(small.unionByName(placed.select(cls, met.alias("met"), "node", "label")), points, percent, every).distinct()
+    return _searched(small.unionByName(placed.select(cls, met.alias("met"), "node", "label")), points, percent, every).distinct(), dealt
 
 
 def _alike(percent: int):
@@ -415,24 +384,34 @@ def _alike(percent: int):
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets reach the similarity, counted exactly."""
+    """The pairs whose sets reach the similarity, counted exactly; only sets that stand in pairs are shuffled."""
+    sets = sifted(sets.select("node", "own"), F.col("node"), pairs.select(F.explode(F.array("a", "b")).alias("x")))
     one = pairs.join(sets.select(F.col("node").alias("a"), F.col("own").alias("one")), "a")
     both = one.join(sets.select(F.col("node").alias("b"), F.col("own").alias("two")), "b").select("a", "b", "one", "two")
     return both.mapInArrow(released(_alike(percent)), "a long, b long")
 
 
+def _holding(met: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Keys of the buckets that hold both nodes of a pair."""
+    one = spread_join(met.withColumnRenamed("node", "a"), pairs, ["a"])
+    return spread_join(one.select("key", F.col("b").alias("node")), met, ["key", "node"]).select("key")
+
+
 def similar_nodes(met: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame | None:
     """(node, component) of the nodes of buckets (key, node) that link; None where none do."""
     points = sets.select("node", "n", "point")
-    links = tried = named = None
+    links = tried = named = large = None
     for every in (False, False, True):
         if named is None:
             members = met.withColumn("label", F.col("node"))
         else:
             labelled = met.join(named, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
             open_keys = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("key")
-            members = cut(spread_join(labelled, open_keys, ["key"]))
-        pairs = _proposed(members, points, percent, every)
+            # in a bucket of one task the proposals joined all that could link, so it is settled if none of them failed
+            unsettled = _holding(met, tried.join(links, ["a", "b"], "left_anti")).unionByName(large).distinct()
+            members = cut(spread_join(labelled, open_keys.join(unsettled, "key"), ["key"]))
+        pairs, dealt = _proposed(members, points, percent, every)
+        large = dealt if large is None else large  # the first round sees every bucket
         pairs = cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             continue
@@ -456,7 +435,7 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     reps = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("id"))
     met = buckets(rows.where("length(keys) > 0 AND id is not null"))
     wanted = cut(reps.join(met.select("node").distinct(), "node"))
-    _texts(slim, wanted).mapInArrow(released(_sets(words, percent)), "node long, n long, point binary, own binary").dropDuplicates(["node"]).write.parquet(f"{path}/sets")
+    _texts(slim, wanted).mapInArrow(released(_sets(words, percent)), "node long, n long, point binary, own binary").write.parquet(f"{path}/sets")
     linked = similar_nodes(met, spark.read.parquet(f"{path}/sets"), percent)
     if linked is None:
         own = reps.select("node", F.col("id").alias("component"))

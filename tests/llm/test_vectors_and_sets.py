@@ -80,6 +80,28 @@ def test_large_buckets_are_dealt_without_losing_links(spark, monkeypatch, most):
     assert found(spark, texts) == brute_groups(texts)
 
 
+def test_settled_buckets_and_sets_without_pairs_are_left_alone(spark, monkeypatch):
+    own = {n: np.arange(100, dtype=np.uint64) * np.uint64(1 << 57) + np.uint64(n) for n in (3, 4)}
+    own[1] = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 100).astype(np.uint64) * np.uint64(2))
+    own[2] = np.sort(np.append(own[1][:-1], np.uint64(5)))
+    own[4] = own[4] >> np.uint64(1)
+    cls = count_tree.size_class(100)
+    sets = spark.createDataFrame([(n, len(x), bytearray(count_tree.point(x, count_tree.groups_of(count_tree.classes_of(100, 90)[-1])).tobytes()), bytearray(x.tobytes())) for n, x in own.items()], "node long, n long, point binary, own binary")
+    met = spark.createDataFrame([(64 | cls, 1), (64 | cls, 2), (128 | cls, 3), (128 | cls, 4), (192 | cls, 1), (192 | cls, 3)], "key long, node long")
+    searched, counted, propose, sift = [], [], count_tree._proposed, count_tree.sifted
+    monkeypatch.setattr(count_tree, "_proposed", lambda members, *rest: searched.append(members.count()) or propose(members, *rest))
+    monkeypatch.setattr(count_tree, "sifted", lambda *of: counted.append(sift(*of)) or counted[-1])
+    assert {r["node"]: r["component"] for r in rows(count_tree.similar_nodes(met, sets))} == {1: 1, 2: 1}
+    assert searched == [6, 0, 0] and [x.count() for x in counted] == [2]
+
+
+def test_an_id_with_several_texts_of_one_set(spark):
+    texts = [*near_copies(9, 6, 60, 2).items(), *((i, t.upper()) for i, t in near_copies(9, 6, 60, 2).items()), (3, "quite another text")]
+    got = rows(count_tree.jaccard_groups(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)))
+    want = brute_groups(dict(texts[:6]))
+    assert sorted((r["id"], r["n"], r["component"]) for r in got) == sorted([(i, *want[i]) for i in want] * 2 + [(3, 1, 3)])
+
+
 def test_a_long_text_and_null_ids(spark):
     long = " ".join(f"t{i}" for i in range(60_000))
     texts = [(1, long), (2, long.replace("t100 ", "u ")), (3, long[: len(long) // 2]), (None, long), (None, "only here"), (4, "only there")]
