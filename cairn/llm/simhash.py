@@ -28,6 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import sifted
 from .common import bound_batches, cut, mix64, parts, released, spread_join, text_bytes, text_or_empty
 from .components import connected_components
 
@@ -517,7 +518,8 @@ def similar_groups(docs: DataFrame, words: int = WIDE_WORDS, text: str = "text",
     grouped = cut(nodes.join(found.select("node", F.col("component").alias("met")), "node").select("met", "node", "id", "n", "fp"))
     deals = cut(grouped.groupBy("met").agg(F.greatest(F.ceil(F.count("*") / GROUP), F.ceil(8 * F.sum("n") / GROUP_BYTES), F.lit(1)).cast("long").alias("deals")))
     met = spread_join(grouped, deals, ["met"]).select("met", "deals", "node", "id", "fp")
-    sets = slim.join(met, "id").select("met", "deals", "node", "fp", "text").mapInArrow(released(_sets(words)), "met long, deals long, node long, fp binary, own binary").dropDuplicates(["node"])
+    texts = sifted(slim.where("id is not null"), F.xxhash64("id"), grouped.select(F.xxhash64("id").alias("x")))
+    sets = texts.join(met, "id").select("met", "deals", "node", "fp", "text").mapInArrow(released(_sets(words)), "met long, deals long, node long, fp binary, own binary").dropDuplicates(["node"])
     joined = _compared(sets.where("deals = 1").withColumn("known", F.col("node")))
     if not deals.where("deals > 1").isEmpty():
         joined = joined.unionByName(_large_groups(cut(sets.where("deals > 1"))))
@@ -535,8 +537,9 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     groups = similar_groups(docs.where(F.col(id_column).isNotNull()), text=text, id_column=id_column)
     keep = groups.where("id = component").select(F.col("id").alias("kept")).distinct()
     packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_column).alias("id"), F.md5(text_or_empty(text).cast("binary")).alias("digest"))
-    named = packed.where("id is not null").join(keep, F.col("id") == F.col("kept"), "left_semi")
-    every = named.unionByName(packed.where("id is null")).dropDuplicates(["id", "digest"])
+    once = lambda rows: rows.dropDuplicates(["id", "digest"])
+    named = once(packed.where("id is not null").join(keep, F.col("id") == F.col("kept"), "left_semi"))  # the join has dealt the rows by id
+    every = named.unionByName(once(packed.where("id is null")))
     return every.select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 

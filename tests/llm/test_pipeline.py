@@ -103,6 +103,16 @@ def test_near_duplicates_are_verified(spark):
     assert sorted(x.doc_id for x in simhash.one_of_each(docs).collect()) == sorted(set(label.values()))
 
 
+def test_texts_without_a_partner_are_not_shuffled(spark, monkeypatch):
+    texts = {i: [f"w{i}x{k}" for k in range(30)] for i in range(400)}
+    texts[400], texts[401] = texts[3], [*texts[5], "more"]
+    sifted, sift = [], simhash.sifted
+    monkeypatch.setattr(simhash, "sifted", lambda *of: sifted.append(sift(*of)) or sifted[-1])
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    assert sorted(x.doc_id for x in simhash.one_of_each(docs).collect()) == list(range(400))
+    assert {5, 401} <= {x.id for x in sifted[0].collect()} and sifted[0].count() < 40
+
+
 def shingled(t):
     return {tuple(t[k : k + 5]) for k in range(max(1, len(t) - 4))}
 
