@@ -34,6 +34,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows to a partition of what `packed` reads.
+ROWS = 25_000
+
+
+def packed(done: DataFrame, rows: int) -> DataFrame:
+    """What `cut` gave, of so many rows, read in no more partitions than they fill, however many it was made in."""
+    return done.coalesce(max(1, -(-rows // ROWS)))
+
+
+def cut_packed(df: DataFrame) -> tuple[DataFrame, int]:
+    """`cut` and `packed`, and the number of rows."""
+    done = cut(df)
+    rows = done.count()
+    return packed(done, rows), rows
+
+
 def shared_path(spark: SparkSession, what: str) -> str:
     """A fresh path in the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"

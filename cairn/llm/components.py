@@ -4,14 +4,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, packed
 
 
-def connected_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def connected_components(links: DataFrame, most_rounds: int = 60, pack: bool = False) -> DataFrame:
     """(node, component) for every node that has a link, from links (a, b); the component is its smallest node.
 
     Large-star and small-star rounds alternate until each node points straight at
-    its component's smallest node.  Self links and nulls are dropped.
+    its component's smallest node.  Self links and nulls are dropped.  pack: few links are read in few partitions.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
     for _ in range(most_rounds):
@@ -22,8 +22,9 @@ def connected_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         parent = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(parent, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut(parent.select("u", F.col("m").alias("v")).unionByName(moved).distinct())
-        children = edges.select(F.col("u").alias("v")).distinct()
         shape = edges.agg(F.count("*").alias("n"), F.count_distinct("u").alias("d")).first()
+        edges = packed(edges, shape["n"]) if pack else edges
+        children = edges.select(F.col("u").alias("v")).distinct()
         if shape["n"] == shape["d"] and edges.join(children, "v", "left_semi").isEmpty():
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -14,14 +14,14 @@ the points are packed into an R-tree, each entry with the largest count of each
 set.  The sum of the smaller counts of two points, or of two entries, bounds the overlap of all sets below them: a pair of
 entries that can't reach the similarity goes with all below it.
 
-Verifying.  The pairs that are left are counted exactly.  As only components are asked for, two rounds
-propose a spanning forest for each bucket (from the point nearest to the mean, then through the tree); the last proposes every
+Verifying.  The pairs that are left are counted exactly.  As only components are asked for, the first round
+proposes a spanning forest for each bucket (from the point nearest to the mean, then through the tree); the last proposes every
 pair that isn't joined by then and hasn't been counted.  A bucket of one task whose proposals were all right is settled and
 isn't searched again: they joined all that could link.  So no link is lost between components, and groups of
 many near copies are not expanded into all pairs.
 
-A bucket of over `BUCKET` nodes is dealt to many tasks, with common pivots in the first rounds; in the last, what isn't of its largest
-component meets every deal, in blocks.
+A bucket of over `BUCKET` nodes is dealt to many tasks, with common pivots; only such buckets have a second round of forests, as
+in one task the forest would hardly differ. In the last round what isn't of its largest component meets every deal, in blocks.
 
 Null and empty texts, and texts of white space only, have an empty set and link with nothing.  Texts with fewer words than a shingle are one
 shingle.  Repeated rows link; a null id stays null and has the component of its text's other rows (null without any).
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import ODD, bloom, may_hold, sifted
-from .common import bound_batches, cut, mix64, parts, released, shared_path, spread_join, text_or_empty
+from .common import bound_batches, cut, cut_packed, mix64, parts, released, shared_path, spread_join, text_or_empty
 from .components import connected_components
 from .simhash import _node, settle, shingle_set
 
@@ -139,38 +139,40 @@ def _keyed(rows: DataFrame, held=None) -> DataFrame:
 def buckets(rows: DataFrame) -> DataFrame:
     """(key, node): the nodes of every key that several have, once for each set of nodes."""
     ends = _keyed(rows).groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-    several = cut(ends.where("a != b").select("key"))
+    several, _ = cut_packed(ends.where("a != b").select("key"))
     held = bloom(several.select(F.col("key").alias("x")))
-    members = cut(spread_join(_keyed(rows, held).distinct(), several, ["key"]))
+    members, _ = cut_packed(spread_join(_keyed(rows, held).distinct(), several, ["key"]))
     held.unpersist()
     marks = members.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
     one = marks.groupBy("n", "x", "y", F.col("key").bitwiseAND(F.lit(63)).alias("cls")).agg(F.min("key").alias("key")).select("key")
-    return cut(spread_join(members, one, ["key"]))
+    return cut_packed(spread_join(members, one, ["key"]))[0]
 
 
 def _sets(words: int, percent: int):
+    """The set of each text; a text's copies in one task have one row, those in several tasks one each."""
+
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        seen: set[int] = set()  # a node has one id, so its rows are in one task, but for an id of so many rows that Spark splits it
+        seen: set[int] = set()
         for batch in batches:
-            own = [shingle_set(x.as_buffer().to_pybytes(), words) for x in batch.column("text")]
-            same = np.zeros(len(own), dtype=bool)
-            for k, (x, n) in enumerate(zip(own, batch.column("node").to_pylist(), strict=True)):
-                same[k] = n not in seen and _node(x) == n  # an id can stand with other texts too
-                if same[k]:
-                    seen.add(n)
-            points = [point(x, groups_of(classes_of(len(x), percent)[-1])).tobytes() for x in own]
-            cols = [batch.column("node"), pa.array([len(x) for x in own], pa.int64()), pa.array(points, pa.binary()), pa.array([x.tobytes() for x in own], pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, ["node", "n", "point", "own"]).filter(pa.array(same))
+            sets = {}
+            for text in batch.column("text"):
+                own = shingle_set(text.as_buffer().to_pybytes(), words)
+                node = _node(own)
+                if node not in seen:
+                    seen.add(node)
+                    sets[node] = own
+            points = [point(x, groups_of(classes_of(len(x), percent)[-1])).tobytes() for x in sets.values()]
+            cols = [pa.array(list(sets), pa.int64()), pa.array([len(x) for x in sets.values()], pa.int64()), pa.array(points, pa.binary()), pa.array([x.tobytes() for x in sets.values()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, ["node", "n", "point", "own"])
 
     return run
 
 
 def _texts(slim: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows (id, node, text) of the wanted (node, id)."""
-    known = slim.where("id is not null")
-    return sifted(known, F.xxhash64("id"), wanted.select(F.xxhash64("id").alias("x"))).join(wanted, "id")
+    """The texts of the wanted (id, node) and a few others, whose sets no bucket asks for or knows already."""
+    return sifted(slim.where("id is not null"), F.xxhash64("id"), wanted.select(F.xxhash64("id").alias("x"))).select("text")
 
 
 def overlap(points: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -342,12 +344,12 @@ def _searched(placed: DataFrame, points: DataFrame, percent: int, every: bool) -
 def _proposed(members: DataFrame, points: DataFrame, percent: int, every: bool, most: int = BUCKET) -> tuple[DataFrame, DataFrame]:
     """(pairs, keys) of the buckets (key, node, label): those of over `most` nodes are dealt to several tasks, and theirs are the keys."""
     cls = F.col("key").bitwiseAND(F.lit(63)).cast("int").alias("cls")
-    size = cut(members.groupBy("key").agg(F.count("*").alias("n"), F.ceil(F.count("*") / most).cast("long").alias("deals")))
-    sized = spread_join(members, size.drop("n"), ["key"])
-    small = sized.where("deals = 1").select(cls, F.col("key").alias("met"), "node", "label")
-    dealt = size.where("deals > 1").select("key")
-    if dealt.isEmpty():
-        return _searched(small, points, percent, every), dealt
+    size, n = cut_packed(members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most).select("key", F.ceil(F.col("n") / most).cast("long").alias("deals")))
+    dealt = size.select("key")
+    if not n:
+        return _searched(members.select(cls, F.col("key").alias("met"), "node", "label"), points, percent, every), dealt
+    sized = spread_join(members, size, ["key"], "left")
+    small = sized.where("deals is null").select(cls, F.col("key").alias("met"), "node", "label")
     large = cut(sized.where("deals > 1").withColumn("deal", F.pmod(F.xxhash64("node"), "deals")))
     all_deals = lambda rows: rows.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)))
     if not every:
@@ -399,28 +401,35 @@ def _holding(met: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def similar_nodes(met: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame | None:
     """(node, component) of the nodes of buckets (key, node) that link; None where none do."""
-    points = sets.select("node", "n", "point")
+    points, labelled = sets.select("node", "n", "point"), met.withColumn("label", F.col("node"))
     links = tried = named = large = None
     for every in (False, False, True):
-        if named is None:
-            members = met.withColumn("label", F.col("node"))
+        if large is None:
+            members = labelled
+        elif not (every or many):
+            members = labelled.where("false")
         else:
-            labelled = met.join(named, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
+            labelled, _ = cut_packed(labelled)
             open_keys = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("key")
-            # in a bucket of one task the proposals joined all that could link, so it is settled if none of them failed
-            unsettled = _holding(met, tried.join(links, ["a", "b"], "left_anti")).unionByName(large).distinct()
-            members = cut(spread_join(labelled, open_keys.join(unsettled, "key"), ["key"]))
+            again = large
+            if every and tried is not None:
+                # in a bucket of one task the proposals joined all that could link, so it is settled if none of them failed
+                wrong = tried if links is None else tried.join(links, ["a", "b"], "left_anti")
+                again = _holding(met, wrong).unionByName(large).distinct()
+            members, _ = cut_packed(spread_join(labelled, open_keys.join(again, "key"), ["key"]))
         pairs, dealt = _proposed(members, points, percent, every)
-        large = dealt if large is None else large  # the first round sees every bucket
-        pairs = cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
+        if large is None:  # the first round sees every bucket
+            large, many = dealt, not dealt.isEmpty()
+        pairs, n = cut_packed(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        if not n:
             continue
         tried = pairs if tried is None else tried.unionByName(pairs)
-        good = cut(verified(pairs, sets, percent))
-        if good.isEmpty():
+        good, n = cut_packed(verified(pairs, sets, percent))
+        if not n:
             continue
         links = good if links is None else links.unionByName(good)
-        named = connected_components(links)
+        named = connected_components(links, pack=True)
+        labelled = met.join(named, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
     return named
 
 
@@ -434,13 +443,13 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     rows = spark.read.parquet(f"{path}/rows")
     reps = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("id"))
     met = buckets(rows.where("length(keys) > 0 AND id is not null"))
-    wanted = cut(reps.join(met.select("node").distinct(), "node"))
+    wanted, _ = cut_packed(reps.join(met.select("node").distinct(), "node"))
     _texts(slim, wanted).mapInArrow(released(_sets(words, percent)), "node long, n long, point binary, own binary").write.parquet(f"{path}/sets")
     linked = similar_nodes(met, spark.read.parquet(f"{path}/sets"), percent)
     if linked is None:
         own = reps.select("node", F.col("id").alias("component"))
     else:
-        named = cut(reps.join(linked, "node", "left").select("node", "id", F.coalesce("component", "node").alias("grp")))
+        named, _ = cut_packed(reps.join(linked, "node", "left").select("node", "id", F.coalesce("component", "node").alias("grp")))
         least = named.groupBy("grp").agg(F.min("id").alias("component"))
         own = spread_join(named, least, ["grp"]).select("node", "component")
     every = rows.select("node", "id", "n")

@@ -95,6 +95,37 @@ def test_settled_buckets_and_sets_without_pairs_are_left_alone(spark, monkeypatc
     assert searched == [6, 0, 0] and [x.count() for x in counted] == [2]
 
 
+def test_a_pair_that_fails_is_searched_once_more_and_small_results_fill_few_partitions(spark, monkeypatch):
+    """Node 5 shares a bucket with 1 by its counts alone, so the bucket isn't settled; no bucket is dealt to many tasks."""
+    r = np.random.default_rng(4)
+    own = {1: np.sort(r.integers(0, 1 << 63, 100).astype(np.uint64) * np.uint64(2))}
+    own[2], own[5] = np.sort(np.append(own[1][:-1], np.uint64(5))), own[1] + np.uint64(1)
+    cls = count_tree.size_class(100)
+    sets = spark.createDataFrame([(n, len(x), bytearray(count_tree.point(x, count_tree.groups_of(count_tree.classes_of(100, 90)[-1])).tobytes()), bytearray(x.tobytes())) for n, x in own.items()], "node long, n long, point binary, own binary")
+    met = spark.createDataFrame([(64 | cls, n) for n in own], "key long, node long")
+    searched, propose = [], count_tree._proposed
+    monkeypatch.setattr(count_tree, "_proposed", lambda members, *rest: searched.append(members.count()) or propose(members, *rest))
+    assert {r["node"]: r["component"] for r in rows(count_tree.similar_nodes(met, sets))} == {1: 1, 2: 1}
+    assert searched == [3, 0, 3]
+    keys = spark.createDataFrame([(n, bytearray(np.arange(64, 1000, 64, dtype=np.uint64).tobytes())) for n in range(9)], "node long, keys binary")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(before, ("40", "false"), strict=True):
+            spark.conf.set(k, v)
+        assert count_tree.buckets(keys).rdd.getNumPartitions() == 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_texts_reach_their_sets_without_a_shuffle(spark):
+    texts = near_copies(2, 9, 20, 2)
+    slim = spark.createDataFrame(list(texts.items()), "id long, text string").repartition(3)
+    found = count_tree._texts(slim, slim.where("id < 4").selectExpr("id", "id as node"))
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {texts[k] for k in range(4)} <= {r["text"] for r in rows(found)}
+
+
 def test_an_id_with_several_texts_of_one_set(spark):
     texts = [*near_copies(9, 6, 60, 2).items(), *((i, t.upper()) for i, t in near_copies(9, 6, 60, 2).items()), (3, "quite another text")]
     got = rows(count_tree.jaccard_groups(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)))
