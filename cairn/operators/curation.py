@@ -83,13 +83,18 @@ def attribute_curation(unresolved: DataFrame, vocabulary: DataFrame) -> DataFram
 
 
 def folded_aliases(groups: DataFrame, keys: list[str], name: str, aliases: str, order: list[Column]) -> DataFrame:
-    """(keys…, name, aliases): the first row's name, and every row's names and aliases in order, each once whatever its case, the survivor's name not."""
-    ranked = groups.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    per = ranked.groupBy(*keys).agg(F.min_by(name, "_n").alias(name), F.array_sort(F.collect_list(F.struct("_n", F.concat(F.array(name), _texts(F.col(aliases))).alias("a")))).alias("_all"))
-    flat = F.filter(F.flatten(F.transform("_all", lambda x: x["a"])), lambda x: x.isNotNull() & (F.trim(x) != ""))
-    low = F.transform(flat, lambda x: F.lower(x))
-    once = F.transform(F.filter(F.arrays_zip(flat.alias("v"), low.alias("k")), lambda x, i: (F.array_position(low, x["k"]) == i + 1) & (x["k"] != F.lower(F.col(name)))), lambda x: x["v"])
-    return per.withColumn("aliases", once).drop("_all")
+    """(keys…, name, aliases): the first row's name, and every row's names and aliases in order, each once whatever its case, the survivor's name not.
+
+    One sort over all groups numbers the rows, and spellings are folded before they are gathered: no task holds a group's rows, only its different spellings.
+    """
+    ranked = groups.sort(*keys, *order).withColumn("_n", F.monotonically_increasing_id())
+    told = F.filter(_texts(F.col(aliases)), lambda x: x.isNotNull() & (F.trim(x) != ""))
+    each = ranked.select(*keys, "_n", F.posexplode(F.concat(F.array(name), told)).alias("_at", "_v"))
+    seen = each.groupBy(*keys, "_at", "_v").agg(F.min("_n").alias("_n"))
+    once = seen.groupBy(*keys, F.lower("_v").alias("_k")).agg(F.min(F.struct("_n", "_at", "_v")).alias("_x"))
+    per = once.groupBy(*keys).agg(F.array_sort(F.collect_list("_x")).alias("_all"))
+    rest = F.filter(F.transform(F.slice("_all", F.lit(2), F.size("_all")), lambda x: x["_v"]), lambda x: x.isNotNull() & (F.trim(x) != ""))
+    return per.select(*keys, F.get("_all", F.lit(0))["_v"].alias(name), rest.alias("aliases"))
 
 
 def consolidate_grades(rows: DataFrame, clean: Column) -> DataFrame:
