@@ -17,6 +17,8 @@ DECISION_FIELDS = {"mint": ("color", "type", "country"), "alias": ("target", "ta
 #: What a leaf can be, the verdicts, and what tells a leaf.
 LEAF_ATTRIBUTES, LEAF_ACTIONS = ("color", "finish", "quality"), ("approve", "reject")
 LEAF_KEY = ["name_norm", "type_norm", "attribute", "value_norm"]
+#: Ranges of a fingerprint at most, and ids of a range from which on there are more.
+RANGES, IDS = 32, 200_000
 
 
 def decide(decisions: DataFrame, changes: DataFrame) -> DataFrame:
@@ -141,11 +143,13 @@ def search_names(rows: DataFrame, part: str, most: int) -> DataFrame:
 def backend_fingerprint(ids: DataFrame, column: str = "id", held: int = 200_000) -> DataFrame:
     """(fingerprint): 16 hexadecimal digits of the SHA-256 of all different ids in their byte order, each with a zero byte after it; null ids don't count.
 
-    The digest takes them in one order, so ranges of about `held` ids follow each other; a task reads one range, and hands the digest's state, some hundred bytes, to the next.
+    The digest takes them in one order, so ranges follow each other; a task reads one range, and hands the digest's state, some hundred bytes, to the next.  `held` ids
+    make a range, but as handing on takes longer than digesting few ids, there are no more than 32 ranges until each has 200,000.
     """
     spark = ids.sparkSession
     one = written(ids.select(F.col(column).cast("string").alias("i")).where("i is not null").distinct())
-    ranges = one.count() // held + 1
+    n = one.count()
+    ranges = min(n // held + 1, max(RANGES, n // IDS + 1))
     path = scratch(spark, "ids")
     one.repartitionByRange(ranges, "i").withColumn("range", F.spark_partition_id()).write.partitionBy("range").parquet(path)
     rows, state = spark.read.schema("i string, range int").parquet(path), digest.start()
@@ -156,8 +160,8 @@ def backend_fingerprint(ids: DataFrame, column: str = "id", held: int = 200_000)
                 at = taken(at, b"".join(x.encode() + b"\0" for x in b.column(0).to_pylist()))
             yield pa.RecordBatch.from_pylist([{"words": list(at[0]), "n": at[1], "rest": at[2]}])
 
-        got = rows.where(F.col("range") == r).select("i").coalesce(1).sortWithinPartitions("i").mapInArrow(go_on, "words array<long>, n long, rest binary").first()
-        state = state if got is None else (tuple(got["words"]), got["n"], bytes(got["rest"]))
+        got = rows.where(F.col("range") == r).select("i").coalesce(1).sortWithinPartitions("i").mapInArrow(go_on, "words array<long>, n long, rest binary").collect()
+        state = next(((tuple(x["words"]), x["n"], bytes(x["rest"])) for x in got), state)
     return spark.createDataFrame([(digest.hexed(state)[:16],)], "fingerprint string")
 
 
